@@ -69,8 +69,9 @@ def json_int(m: ColumnOrName, key: str | tuple[str, ...], default: int | None =
 
     Use :func:`json_int_is_bad` to route rows whose text is present but not an int.
     """
-    v = json_int_raw(m, key).try_cast("int")
-    return v if default is None else F.coalesce(v, F.lit(default))
+    raw = json_int_raw(m, key)
+    v = raw.try_cast("int")
+    return v if default is None else F.when(raw.isNull(), F.lit(default)).otherwise(v)
 
 
 def json_int_is_bad(m: ColumnOrName, key: str | tuple[str, ...]) -> Column:

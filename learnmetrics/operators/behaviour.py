@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from learnmetrics.functions import columns as C
 
@@ -19,6 +20,11 @@ BEHAVIOUR_FIELDS = [
     "event_time",
 ]
 _BIGINT_FIELDS = {"uid", "video_id", "video_length", "start_video_time", "end_video_time", "event_time"}
+# Schema of parsed events (and of the dwd.user_behavior table, partitioned by dt).
+BEHAVIOUR_SCHEMA = StructType(
+    [StructField(n, LongType() if n in _BIGINT_FIELDS else StringType()) for n in BEHAVIOUR_FIELDS]
+    + [StructField("dt", StringType())]
+)
 USERNAME_IDX = BEHAVIOUR_FIELDS.index("username")
 PHONE_IDX = BEHAVIOUR_FIELDS.index("phone")
 

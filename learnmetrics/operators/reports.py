@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 # The six head-count dimensions, in the order the report layer writes them.
 HEADCOUNT_DIMENSIONS = ["appregurl", "sitename", "regsourcename", "adname", "memberlevel", "vip_level"]
 
+HEADCOUNTS_SCHEMA = StructType(
+    [StructField("value", StringType()), StructField("num", LongType()), StructField("website", StringType()),
+     StructField("dimension", StringType())]
+)
+
 TOP_PAYER_COLUMNS = [
     "uid", "memberlevel", "register", "appregurl", "regsourcename", "adname", "sitename",
     "vip_level", "paymoney", "rownum", "website",

@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Partition values (load dates, days) are strings; never guess them as numbers.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
 }
 

@@ -102,5 +102,5 @@ def read_changelog(
     Pass ``schema`` (including ``batch_id``) so that a log without any rows yet reads as empty.
     """
     log = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
-    latest = F.max_by(F.struct(*[F.col(v) for v in values]), F.col("batch_id")).alias("_v")
+    latest = F.max_by(F.struct(*[F.col(v) for v in values]), F.col("batch_id").cast("bigint")).alias("_v")
     return log.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values])

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from learnmetrics.functions import columns as C
 
@@ -60,6 +61,16 @@ class IngestSpec:
     def int_fields(self) -> list[Field]:
         return [f for f in self.fields if f.kind == "int"]
 
+    @property
+    def schema(self) -> StructType:
+        """Declared table schema; read partitioned tables with it so ``time`` stays a string."""
+        return StructType(
+            [StructField(f.name, IntegerType() if f.kind == "int" else StringType()) for f in self.fields]
+        )
+
+    def read(self, spark: SparkSession, path: str) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(path)
+
 
 def S(name: str, key: str | tuple[str, ...] | None = None, transform=None) -> Field:
     return Field(name, "string", key, transform)

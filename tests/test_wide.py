@@ -1,0 +1,97 @@
+from decimal import Decimal
+
+from learnmetrics.operators.wide import WIDE_COLUMNS, build_wide
+from learnmetrics.sources import tables as T
+
+MEMBER = "uid int, ad_id int, email string, fullname string, iconurl string, lastlogin string, mailaddr string, memberlevel string, password string, phone string, qq string, register string, regupdatetime string, unitname string, userip string, zipcode string, time string, website string"
+REGTYPE = "uid int, appkey string, appregurl string, bdp_uuid string, createtime string, domain string, isranreg string, regsource string, regsourcename string, websiteid int, website string"
+AD = "adid int, adname string, website string"
+SITE = "siteid int, sitename string, siteurl string, delete int, createtime string, creator string, website string"
+PAY = "uid int, paymoney string, vip_id int, website string"
+VIP = "vip_id int, vip_level string, start_time string, end_time string, last_modify_time string, max_free string, min_free string, next_level string, operator string, website string"
+
+
+def m(uid, ad, level, web, time="20190712"):
+    return (uid, ad, None, "n", None, None, None, level, "******", None, None, None, None, None, None, None, time, web)
+
+
+def fixtures(spark, dup_regtype=False):
+    member = [m(1, 10, "1", "A"), m(1, 10, "2", "B"), m(2, 99, "1", "A"), m(3, 10, "1", "A")]
+    reg = [
+        (1, None, "http://a_b", None, "2019-01-01", None, None, "1", "PC", 5, "A"),
+        (1, None, "http://c", None, "2019-01-01", None, None, "2", "Mobile", 6, "B"),
+        (2, None, "http://d", None, "2019-01-01", None, None, "3", "App", 77, "A"),
+    ]
+    if dup_regtype:
+        reg.append((1, None, "http://z", None, "2019-02-01", None, None, "4", "WeChat", 5, "A"))
+    ad = [(10, "ad10", "A"), (10, "ad10b", "B")]
+    site = [(5, "s5", "u5", 0, "c", "admin", "A"), (6, "s6", "u6", 0, "c", "admin", "B")]
+    pay = [(1, "10.5", 1, "A"), (1, "20", 2, "A"), (1, "1000000", 1, "A"), (1, None, 9, "A"), (2, "5", 2, "A"), (1, "7", 1, "B")]
+    vip = [
+        (1, "gold", "2019-01-01", "2019-12-31", "2019-06-01", "10", "1", "L2", "op", "A"),
+        (2, "silver", "2018-01-01", "2020-12-31", "2019-07-01", "20", "2", "L3", "op2", "A"),
+        (1, "gold", "2019-03-01", "2019-12-31", "2019-06-01", "10", "1", "L2", "op", "B"),
+    ]
+    df = spark.createDataFrame
+    return (
+        T.member_columns(df(member, MEMBER)),
+        T.regtype_columns(df(reg, REGTYPE)),
+        T.ad_columns(df(ad, AD)),
+        T.site_columns(df(site, SITE)),
+        T.payment_columns(df(pay, PAY)),
+        T.vip_columns(df(vip, VIP)),
+    )
+
+
+def by_key(df):
+    return {(r.uid, r.website): r for r in df.collect()}
+
+
+def test_wide_rules(spark):
+    w = build_wide(*fixtures(spark))
+    assert w.columns == WIDE_COLUMNS
+    got = by_key(w)
+    assert set(got) == {(1, "A"), (1, "B"), (2, "A"), (3, "A")}
+    a = got[(1, "A")]
+    # 1000000 overflows decimal(10,4) -> null, ignored by sum; the unknown vip_id 9 still counts money.
+    assert a.paymoney == Decimal("30.5000")
+    assert (a.vip_level, a.vip_start_time, a.vip_end_time, a.vip_id, a.vip_max_free) == (
+        "silver", "2018-01-01", "2020-12-31", 1, "10",
+    )
+    assert (a.adname, a.siteid, a.sitename, a.appregurl) == ("ad10", 5, "s5", "http://a_b")
+    b = got[(1, "B")]
+    assert (b.paymoney, b.adname, b.sitename, b.memberlevel) == (Decimal("7.0000"), "ad10b", "s6", "2")
+    two = got[(2, "A")]
+    # unmatched ad (99) and site (77): dimension columns null, siteid from the dimension side
+    assert (two.adname, two.siteid, two.sitename, two.vip_level) == (None, None, None, "silver")
+    three = got[(3, "A")]
+    assert three.paymoney is None and three.appregurl is None and three.vip_id is None
+
+
+def test_money_default_zero(spark):
+    got = by_key(build_wide(*fixtures(spark), money_default=0))
+    assert got[(3, "A")].paymoney == Decimal("0.0000")
+
+
+def test_fanout_modes_agree_on_unique_registration(spark):
+    f = fixtures(spark)
+    safe = sorted(map(tuple, build_wide(*f).collect()), key=repr)
+    ref = sorted(map(tuple, build_wide(*f, fanout="reference").collect()), key=repr)
+    assert safe == ref
+
+
+def test_fanout_reference_multiplies_money_with_duplicate_registration(spark):
+    f = fixtures(spark, dup_regtype=True)
+    safe = by_key(build_wide(*f))
+    ref = by_key(build_wide(*f, fanout="reference"))
+    assert safe[(1, "A")].paymoney == Decimal("30.5000")
+    assert ref[(1, "A")].paymoney == Decimal("61.0000")
+    # both pick the earliest registration deterministically
+    assert safe[(1, "A")].appregurl == ref[(1, "A")].appregurl == "http://a_b"
+
+
+def test_latest_member_load_wins(spark):
+    member, *rest = fixtures(spark)
+    newer = spark.createDataFrame([m(3, 10, "8", "A", time="20190801")], MEMBER)
+    w = by_key(build_wide(member.unionByName(T.member_columns(newer)), *rest))
+    assert w[(3, "A")].memberlevel == "8" and len(w) == 4

@@ -1,0 +1,82 @@
+from decimal import Decimal
+
+from learnmetrics.operators.zipper import close_out, day_increment, zipper_schema
+
+from conftest import rows
+
+PAY = "uid int, paymoney string, vip_id int, time string, website string"
+VIP = "vip_id int, vip_level string, website string"
+
+
+def inputs(spark):
+    pay = [
+        (1, "10", 1, "20190701", "A"), (1, "5", 2, "20190701", "A"),
+        (1, "3", 1, "20190703", "A"), (2, "4", 1, "20190703", "A"),
+        (2, "9", 7, "20190703", "A"),  # unknown level: dropped by the inner join
+        (1, "2", 1, "20190702", "B"),
+    ]
+    vip = [(1, "gold", "A"), (2, "silver", "A"), (1, "gold", "B")]
+    return spark.createDataFrame(pay, PAY), spark.createDataFrame(vip, VIP)
+
+
+def test_day_increment_one_day_and_all_days(spark):
+    pay, vip = inputs(spark)
+    one = rows(day_increment(pay, vip, day="20190701"))
+    assert one == [(1, Decimal("15.0000"), "silver", "2019-07-01", "9999-12-31", "A")]
+    assert len(day_increment(pay, vip).collect()) == 4
+
+
+def test_close_out_backfill_sets_next_start(spark):
+    pay, vip = inputs(spark)
+    z = rows(close_out(day_increment(pay, vip)), "uid", "website", "start_time", "end_time")
+    assert z == [
+        (1, "A", "2019-07-01", "2019-07-03"),
+        (1, "A", "2019-07-03", "9999-12-31"),
+        (1, "B", "2019-07-02", "9999-12-31"),
+        (2, "A", "2019-07-03", "9999-12-31"),
+    ]
+
+
+def history_until(spark, pay, vip, day):
+    from pyspark.sql import functions as F
+
+    return close_out(day_increment(pay.where(F.col("time") < day), vip))
+
+
+def test_incremental_equals_backfill_and_rerun_is_idempotent(spark):
+    pay, vip = inputs(spark)
+    full = rows(close_out(day_increment(pay, vip)))
+    hist = history_until(spark, pay, vip, "20190703")
+    inc = day_increment(pay, vip, day="20190703")
+    once = close_out(hist, inc)
+    assert rows(once) == full
+    twice = close_out(once, inc)
+    assert rows(twice) == full
+    # intervals per key do not overlap and exactly one is open
+    for key in {(r[0], r[5]) for r in full}:
+        ivs = sorted((r[3], r[4]) for r in full if (r[0], r[5]) == key)
+        assert sum(1 for _, e in ivs if e == "9999-12-31") == 1
+        assert all(ivs[i][1] == ivs[i + 1][0] for i in range(len(ivs) - 1))
+
+
+def test_late_day_slots_between_neighbours(spark):
+    pay, vip = inputs(spark)
+    from pyspark.sql import functions as F
+
+    without = pay.where(F.col("time") != "20190702")
+    hist = close_out(day_increment(without, vip))
+    late = day_increment(pay, vip, day="20190702")
+    assert rows(close_out(hist, late)) == rows(close_out(day_increment(pay, vip)))
+
+
+def test_close_last_only_touches_second_newest(spark):
+    schema = zipper_schema()
+    hist = spark.createDataFrame(
+        [(1, Decimal(1), "a", "2019-07-01", "2019-07-05", "A"), (1, Decimal(1), "a", "2019-07-02", "9999-12-31", "A")],
+        schema,
+    )
+    inc = spark.createDataFrame([(1, Decimal(2), "b", "2019-07-03", "9999-12-31", "A")], schema)
+    got = rows(close_out(hist, inc, close="last"), "start_time", "end_time")
+    assert got == [("2019-07-01", "2019-07-05"), ("2019-07-02", "2019-07-03"), ("2019-07-03", "9999-12-31")]
+    fixed = rows(close_out(hist, inc, close="all"), "start_time", "end_time")
+    assert fixed[0] == ("2019-07-01", "2019-07-02")
