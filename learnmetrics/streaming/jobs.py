@@ -17,6 +17,7 @@ from learnmetrics.functions import columns as C
 from learnmetrics.operators import behaviour as B
 from learnmetrics.operators.geo import lookup_region
 from learnmetrics.sinks.writers import read_changelog, upsert_changelog_batch
+from learnmetrics.sources.lookups import vip_user_ids
 
 # Reference cadence: 15 s micro-batches; sliding window 4x, slide 2x the interval.
 DEFAULT_TRIGGER = "15 seconds"
@@ -85,7 +86,7 @@ def unpaid_visitors(
     Output: ``uid, window_start, window_end`` (epoch seconds), ``cnt``.
     """
     ev = B.parse_lines(lines).where(F.col("event_key") == B.ENTER_ORDER_PAGE).select("uid", "event_time")
-    vip = vip_users.select(F.col("uid").cast("bigint").alias("uid")).where(F.col("uid").isNotNull())
+    vip = vip_user_ids(vip_users)
     ev = _event_time(ev.join(vip, "uid", "left_anti"))
     if watermark:
         ev = ev.withWatermark("event_ts", watermark)
@@ -167,3 +168,13 @@ def file_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)
+
+
+def stop_gracefully(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Finish the data already available, then stop. Offsets and state are in the
+    checkpoint, so the next start continues exactly after the last committed batch."""
+    if query.isActive:
+        query.processAllAvailable()
+        query.stop()
+    if timeout_s is not None:
+        query.awaitTermination(timeout_s)

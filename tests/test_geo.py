@@ -34,3 +34,19 @@ def test_overlap_check(spark):
     bad = ranges(spark).union(spark.createDataFrame([(3 * B + 150, 4 * B, "x")], "lo long, hi long, region string"))
     got = rows(overlapping_ranges(bad), "region_a", "region_b")
     assert got == [("r2", "x")]
+
+
+def test_ip_range_loader_and_check(spark, tmp_path):
+    import pytest
+
+    from learnmetrics.sources.lookups import check_ip_ranges, read_ip_ranges, vip_user_ids
+
+    p = tmp_path / "ranges.csv"
+    p.write_text("lo,hi,region\n1.0.0.0,1.0.255.255,a\n2.0.0.0,2.0.0.9,b\n")
+    r = read_ip_ranges(spark, str(p), dotted=True)
+    assert rows(r) == [(16777216, 16842751, "a"), (33554432, 33554441, "b")]
+    check_ip_ranges(r)
+    with pytest.raises(ValueError):
+        check_ip_ranges(r.union(spark.createDataFrame([(16777300, 16777400, "x")], "lo long, hi long, region string")))
+    vip = spark.createDataFrame([(1, "7"), (2, "7"), (3, None), (4, "x")], "id int, uid string")
+    assert rows(vip_user_ids(vip)) == [(7,), (7,)]
