@@ -39,6 +39,17 @@ def _fields(value_col: str, keep_trailing_empty: bool):
     return C.split_tsv(value_col, keep_trailing_empty)
 
 
+def _split_once(lines: DataFrame, value_col: str, keep_trailing_empty: bool, keep: list[str]) -> DataFrame:
+    """``keep`` columns plus ``_f``, the line split into fields.
+
+    The array is produced by a generator (``explode`` of a one-element array) because
+    filters are not pushed below a generator: several field tests then read one split
+    instead of each re-splitting (and re-deriving) the line.
+    """
+    arr = F.array(_fields(value_col, keep_trailing_empty))
+    return lines.select(*keep, F.explode(arr).alias("_f"))
+
+
 def is_valid_line(value_col: str = "value", keep_trailing_empty: bool = False):
     return F.size(_fields(value_col, keep_trailing_empty)) == C.BEHAVIOUR_FIELD_COUNT
 
@@ -50,14 +61,15 @@ def clean_lines(
     phone_fill: str = C.PHONE_MASK_BEHAVIOUR,
 ) -> DataFrame:
     """Valid lines only, phone masked, user name without line feeds; column ``value``."""
-    f = _fields(value_col, keep_trailing_empty)
+    split = _split_once(lines, value_col, keep_trailing_empty, [])
+    f = F.col("_f")
     fixed = F.transform(
         f,
         lambda x, i: F.when(i == USERNAME_IDX, C.strip_newlines(x))
         .when(i == PHONE_IDX, C.mask_phone(x, phone_fill))
         .otherwise(x),
     )
-    return lines.where(F.size(f) == C.BEHAVIOUR_FIELD_COUNT).select(C.join_tsv(fixed).alias("value"))
+    return split.where(F.size(f) == C.BEHAVIOUR_FIELD_COUNT).select(C.join_tsv(fixed).alias("value"))
 
 
 def rejected_lines(lines: DataFrame, value_col: str = "value", keep_trailing_empty: bool = False) -> DataFrame:
@@ -75,14 +87,16 @@ def parse_lines(
     """Valid lines -> typed columns named by :data:`BEHAVIOUR_FIELDS` plus ``dt`` (yyyyMMdd).
 
     Numeric fields are ``try_cast`` to bigint (bad text -> null). ``keep_columns`` passes
-    other columns of ``lines`` through (e.g. a Kafka timestamp).
+    other columns of ``lines`` through (e.g. a Kafka timestamp). The line is split once.
     """
-    f = _fields(value_col, False)
+    keep = keep_columns or []
+    split = _split_once(lines, value_col, False, keep)
+    f = F.col("_f")
     cols = []
     for i, name in enumerate(BEHAVIOUR_FIELDS):
         c = f.getItem(i)
         cols.append((c.try_cast("bigint") if name in _BIGINT_FIELDS else c).alias(name))
-    parsed = lines.where(F.size(f) == C.BEHAVIOUR_FIELD_COUNT).select(*(keep_columns or []), *cols)
+    parsed = split.where(F.size(f) == C.BEHAVIOUR_FIELD_COUNT).select(*keep, *cols)
     return parsed.withColumn("dt", C.epoch_to_yyyymmdd("event_time", tz_offset_hours))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnmetrics.functions import columns as C
+from learnmetrics.session import ensure_parallelism
 
 # The five TPC-H market segments, used as the site code ("website") of the
 # dimension tables, which exist once per site.
@@ -35,8 +36,11 @@ TABLES = [
 ]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A benchmark table; ``spread=True`` for inputs feeding heavy per-row string work
+    (see :func:`learnmetrics.session.ensure_parallelism`)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
 
 
 def _per_site(df: DataFrame) -> DataFrame:
@@ -141,7 +145,7 @@ def vip_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = table(spark, sf_dir, "orders", spread=True).select("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
     return j.select(
@@ -228,7 +232,7 @@ def behaviour_lines(events: DataFrame, keep: list[str] | None = None) -> DataFra
 def behaviour(spark: SparkSession, sf_dir: str, tz_offset_hours: int = 8) -> DataFrame:
     from learnmetrics.operators.behaviour import parse_lines
 
-    return parse_lines(behaviour_lines(table(spark, sf_dir, "events")), tz_offset_hours=tz_offset_hours)
+    return parse_lines(behaviour_lines(table(spark, sf_dir, "events", spread=True)), tz_offset_hours=tz_offset_hours)
 
 
 # --- raw JSON lines (ingest inputs) ---------------------------------------------------
@@ -283,7 +287,7 @@ def regtype_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payment_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pcentermempaymoney.log lines from orders (site code from the order status)."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=True)
     return _json_lines(
         o.select(
             F.col("o_custkey").alias("uid"),

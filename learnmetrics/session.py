@@ -46,6 +46,23 @@ def get_session(
     return builder.getOrCreate()
 
 
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Round-robin repartition ``df`` when it has fewer partitions than ``min_partitions``
+    (default: the cluster's default parallelism).
+
+    Meant for inputs stored as a few large, unsplittable units (one Parquet row group, one
+    gzip file) that feed heavy per-row work before the first shuffle. On large inputs,
+    which already have many splits, it returns ``df`` unchanged and adds no shuffle.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        # Hash on all columns rather than round-robin: equally even, and deterministic on
+        # retry without the per-partition sort round-robin needs.
+        return df.repartition(target, *df.columns)
+    return df
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and lineage-cutting tables.
 

@@ -41,12 +41,14 @@ def vip_increments(
     ip_ranges: DataFrame,
     tz_offset_hours: int = 8,
     watermark: str | None = "2 days",
+    with_last_event: bool = False,
 ) -> DataFrame:
     """completeOrder events -> running count per (local day, region).
 
     Days are windows aligned to local midnight at ``tz_offset_hours``. The watermark
     (default 2 days) lets Spark drop the state of old days; ``None`` keeps every day's
-    state forever (unbounded). Output: ``dt`` (yyyy-MM-dd), ``province``, ``cnt``.
+    state forever (unbounded). Output: ``dt`` (yyyy-MM-dd), ``province``, ``cnt``, and with
+    ``with_last_event`` the latest ``event_time`` of the group (``last_event_time``).
     """
     ev = B.parse_lines(lines, tz_offset_hours=tz_offset_hours).where(F.col("event_key") == B.COMPLETE_ORDER)
     ev = ev.select("event_time", C.ipv4_to_long("ip").alias("ip_num"))
@@ -54,11 +56,13 @@ def vip_increments(
     if watermark:
         ev = ev.withWatermark("event_ts", watermark)
     day = F.window("event_ts", "1 day", "1 day", _day_window_start(tz_offset_hours))
-    agg = ev.groupBy(day.alias("w"), "province").agg(F.count(F.lit(1)).alias("cnt"))
+    aggs = [F.count(F.lit(1)).alias("cnt")] + ([F.max("event_time").alias("last_event_time")] if with_last_event else [])
+    agg = ev.groupBy(day.alias("w"), "province").agg(*aggs)
     return agg.select(
         C.epoch_to_day(F.unix_seconds(F.col("w.start")), tz_offset_hours).alias("dt"),
         "province",
         F.col("cnt").cast("bigint").alias("cnt"),
+        *(["last_event_time"] if with_last_event else []),
     )
 
 
