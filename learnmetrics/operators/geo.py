@@ -39,13 +39,18 @@ def lookup_region(
     region_col: str = "region",
     default: str | None = C.UNKNOWN_REGION,
     bucket_bits: int = BUCKET_BITS,
+    broadcast: bool = False,
 ) -> DataFrame:
     """Left range join of ``df.ip_col`` (integer address) onto ``ranges(lo, hi, region)``.
 
     Every row of ``df`` is kept; an address in no range (or null) gets ``default``.
-    Works for batch and for a stream joined with a static range table.
+    Works for batch and for a stream joined with a static range table. ``broadcast=True``
+    hints the exploded ranges for broadcast; use it only when their size was checked
+    (see :func:`size_checked_ranges`). Otherwise Spark decides from statistics and AQE.
     """
     r = explode_ranges(ranges, bucket_bits)
+    if broadcast:
+        r = F.broadcast(r)
     ip = F.col(ip_col)
     left = df.withColumn("_ip_bucket", F.shiftright(ip, bucket_bits))
     cond = (left["_ip_bucket"] == r["_bucket"]) & ip.between(r["_lo"], r["_hi"])
@@ -54,6 +59,15 @@ def lookup_region(
     return joined.withColumn(region_col, region).drop("_ip_bucket", "_bucket", "_lo", "_hi", "_region")
 
 
+def size_checked_ranges(ranges: DataFrame, bucket_bits: int = BUCKET_BITS) -> tuple[DataFrame, bool]:
+    """Count the ranges once and say whether their exploded form may be broadcast: with
+    non-overlapping ranges it has at most ``#ranges + 2**(32 - bucket_bits)`` rows."""
+    from learnmetrics.session import broadcast_if_small
+
+    _, ok = broadcast_if_small(ranges, extra_rows=2 ** (32 - bucket_bits))
+    return ranges, ok
+
+
 def overlapping_ranges(ranges: DataFrame, bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """Pairs of ranges that overlap (empty for a valid table).
 

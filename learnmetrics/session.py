@@ -63,6 +63,27 @@ def ensure_parallelism(df, min_partitions: int | None = None):
     return df
 
 
+# Largest static lookup side (rows) hinted for broadcast where AQE cannot decide at run
+# time (streaming). ~2M narrow rows is tens of MB per executor.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS, extra_rows: int = 0):
+    """Hint ``df`` for broadcast only after counting it: returns ``(df, broadcast?)``.
+
+    For static lookup tables joined to a stream, where AQE cannot switch a shuffle join
+    to a broadcast join at run time. The count is one small job on the lookup table at
+    start-up; ``extra_rows`` adds a known bound on growth (e.g. exploded range blocks).
+    Above ``max_rows`` the table is left to an ordinary shuffle join.
+    """
+    from pyspark.sql import functions as F
+
+    n = df.count()
+    if n + extra_rows <= max_rows:
+        return F.broadcast(df), True
+    return df, False
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and lineage-cutting tables.
 

@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from learnmetrics.functions import columns as C
 from learnmetrics.operators import behaviour as B
-from learnmetrics.operators.geo import lookup_region
+from learnmetrics.operators.geo import lookup_region, size_checked_ranges
+from learnmetrics.session import broadcast_if_small
 from learnmetrics.sinks.writers import read_changelog, upsert_changelog_batch
 from learnmetrics.sources.lookups import vip_user_ids
 
@@ -42,6 +43,7 @@ def vip_increments(
     tz_offset_hours: int = 8,
     watermark: str | None = "2 days",
     with_last_event: bool = False,
+    broadcast_ranges: bool | None = None,
 ) -> DataFrame:
     """completeOrder events -> running count per (local day, region).
 
@@ -49,10 +51,16 @@ def vip_increments(
     (default 2 days) lets Spark drop the state of old days; ``None`` keeps every day's
     state forever (unbounded). Output: ``dt`` (yyyy-MM-dd), ``province``, ``cnt``, and with
     ``with_last_event`` the latest ``event_time`` of the group (``last_event_time``).
+
+    For a stream (no AQE) the range table is counted once and broadcast when its exploded
+    size is bounded under the limit; otherwise each micro-batch uses a shuffle join.
+    ``broadcast_ranges`` overrides the decision.
     """
+    if broadcast_ranges is None:
+        broadcast_ranges = lines.isStreaming and size_checked_ranges(ip_ranges)[1]
     ev = B.parse_lines(lines, tz_offset_hours=tz_offset_hours).where(F.col("event_key") == B.COMPLETE_ORDER)
     ev = ev.select("event_time", C.ipv4_to_long("ip").alias("ip_num"))
-    ev = _event_time(lookup_region(ev, "ip_num", ip_ranges, region_col="province"))
+    ev = _event_time(lookup_region(ev, "ip_num", ip_ranges, region_col="province", broadcast=broadcast_ranges))
     if watermark:
         ev = ev.withWatermark("event_ts", watermark)
     day = F.window("event_ts", "1 day", "1 day", _day_window_start(tz_offset_hours))
@@ -91,6 +99,9 @@ def unpaid_visitors(
     """
     ev = B.parse_lines(lines).where(F.col("event_key") == B.ENTER_ORDER_PAGE).select("uid", "event_time")
     vip = vip_user_ids(vip_users)
+    if lines.isStreaming:
+        # No AQE in streaming: broadcast the VIP ids only when their count is under the limit.
+        vip = broadcast_if_small(vip)[0]
     ev = _event_time(ev.join(vip, "uid", "left_anti"))
     if watermark:
         ev = ev.withWatermark("event_ts", watermark)
