@@ -54,6 +54,27 @@ def ingest_wxtype(spark, sf):
     return I.ingest_json(V.wxtype_json(spark, sf), I.WX_TYPE).rows
 
 
+def ingest_vip_level(spark, sf):
+    return I.ingest_json(V.vip_level_json(spark, sf), I.VIP_LEVEL).rows
+
+
+def ingest_base_ad(spark, sf):
+    return I.ingest_json(V.base_ad_json(spark, sf), I.BASE_AD).rows
+
+
+def ingest_base_ad_rejects(spark, sf):
+    rej = I.ingest_json(V.base_ad_json(spark, sf), I.BASE_AD).rejects
+    return rej.select("value", "reason")
+
+
+def ingest_base_website(spark, sf):
+    return I.ingest_json(V.base_website_json(spark, sf), I.BASE_WEBSITE).rows
+
+
+def ingest_wxbound(spark, sf):
+    return I.ingest_json(V.wxbound_json(spark, sf), I.MEMBER_WXBOUND, V.LOAD_DATE).rows
+
+
 # --- wide table and reports ---------------------------------------------------------------
 
 def wide_table(spark: SparkSession, sf: str, fanout: str = "safe", money_default=None) -> DataFrame:
@@ -105,6 +126,13 @@ def bottom3_payers(spark, sf):
     return _double(top_payers(_report_input(spark, sf), n=3, ascending=True), "paymoney")
 
 
+def top3_payers_legacy_money(spark, sf):
+    """Top 3 with money read as decimal(10,4), as the reference reads it (totals of
+    1,000,000 or more become null and sort last)."""
+    wide = T.wide_for_reports(wide_table(spark, sf), money_type="decimal(10,4)")
+    return _double(top_payers(wide, n=3), "paymoney")
+
+
 # --- zipper ---------------------------------------------------------------------------------
 
 def zipper_day_increment(spark, sf):
@@ -116,12 +144,17 @@ def zipper_close_out(spark, sf):
     return _double(close_out(inc), "paymoney")
 
 
-def zipper_incremental(spark, sf):
+def zipper_incremental(spark, sf, close: str = "all"):
     """History of every day but the latest, then the latest day merged in as an increment."""
     pay, vip = V.payment(spark, sf), V.vip_level(spark, sf)
     latest = pay.select(F.max("time")).scalar()
     history = close_out(day_increment(pay.where(F.col("time") < latest), vip))
-    return _double(close_out(history, day_increment(pay, vip, day=latest)), "paymoney")
+    return _double(close_out(history, day_increment(pay, vip, day=latest), close=close), "paymoney")
+
+
+def zipper_close_last(spark, sf):
+    """As :func:`zipper_incremental` with the reference's close-out (second-newest row only)."""
+    return zipper_incremental(spark, sf, close="last")
 
 
 # --- behaviour -------------------------------------------------------------------------------
@@ -134,6 +167,11 @@ def clean_events(spark, sf):
     return B.clean_lines(_lines(spark, sf))
 
 
+def clean_events_rejects(spark, sf):
+    rej = B.rejected_lines(_lines(spark, sf))
+    return rej.groupBy("n_fields").agg(F.count(F.lit(1)).alias("n")).select("n_fields", "n")
+
+
 def daily_video_users(spark, sf):
     return B.daily_video_users(V.behaviour(spark, sf))
 
@@ -193,6 +231,11 @@ def queries() -> dict[str, Query]:
         "ingest_regtype": ingest_regtype,
         "ingest_payment": ingest_payment,
         "ingest_wxtype": ingest_wxtype,
+        "ingest_vip_level": ingest_vip_level,
+        "ingest_base_ad": ingest_base_ad,
+        "ingest_base_ad_rejects": ingest_base_ad_rejects,
+        "ingest_base_website": ingest_base_website,
+        "ingest_wxbound": ingest_wxbound,
         "wide_member": wide_member,
         "wide_member_reference": wide_member_reference,
         "wide_member_api": wide_member_api,
@@ -205,10 +248,13 @@ def queries() -> dict[str, Query]:
             "headcount_all": headcount_all,
             "top3_payers": top3_payers,
             "bottom3_payers": bottom3_payers,
+            "top3_payers_legacy_money": top3_payers_legacy_money,
             "zipper_day_increment": zipper_day_increment,
             "zipper_close_out": zipper_close_out,
             "zipper_incremental": zipper_incremental,
+            "zipper_close_last": zipper_close_last,
             "clean_events": clean_events,
+            "clean_events_rejects": clean_events_rejects,
             "daily_video_users": daily_video_users,
             "ip_region_join": ip_region_join,
             "vip_increment_stream": vip_increment_stream,

@@ -142,13 +142,13 @@ def _headcount_all() -> str:
     return _with(*MEMBER_VIEWS, WIDE) + "\nUNION ALL\n".join(parts)
 
 
-def _top(asc: bool) -> str:
+def _top(asc: bool, money: str = "DECIMAL(20,4)") -> str:
     order = "ASC NULLS FIRST" if asc else "DESC NULLS LAST"
     return _with(*MEMBER_VIEWS, WIDE) + f"""
 SELECT uid, memberlevel, register, appregurl, regsourcename, adname, sitename, vip_level,
-       CAST(TRY_CAST(paymoney AS DECIMAL(20,4)) AS DOUBLE) AS paymoney, CAST(rownum AS INTEGER) AS rownum, website
+       CAST(TRY_CAST(paymoney AS {money}) AS DOUBLE) AS paymoney, CAST(rownum AS INTEGER) AS rownum, website
 FROM (SELECT *, row_number() OVER (PARTITION BY website, memberlevel ORDER BY
-        TRY_CAST(paymoney AS DECIMAL(20,4)) {order}, uid ASC) AS rownum FROM wide) t
+        TRY_CAST(paymoney AS {money}) {order}, uid ASC) AS rownum FROM wide) t
 WHERE rownum <= 3"""
 
 
@@ -261,6 +261,40 @@ SELECT CAST(o_custkey AS INTEGER) AS uid, CAST(CAST(o_totalprice AS DECIMAL(12,2
        '{LOAD_DATE}' AS time, o_orderstatus AS website
 FROM orders"""
 
+INGEST_VIP_LEVEL = f"""
+SELECT CAST(r_regionkey + 1 AS INTEGER) AS vip_id, r_name AS vip_level,
+       '2019-0' || CAST(r_regionkey + 1 AS VARCHAR) || '-01' AS start_time,
+       '2020-0' || CAST(r_regionkey + 1 AS VARCHAR) || '-01' AS end_time,
+       CAST(NULL AS VARCHAR) AS last_modify_time, CAST(NULL AS VARCHAR) AS max_free, CAST(NULL AS VARCHAR) AS min_free,
+       'L' || CAST(r_regionkey + 2 AS VARCHAR) AS next_level, CAST(NULL AS VARCHAR) AS operator,
+       unnest({_SEGS}) AS website
+FROM region"""
+
+INGEST_BASE_AD = """
+SELECT CAST(p_partkey AS INTEGER) AS adid, p_name AS adname, p_brand AS website
+FROM part WHERE p_size <= 45"""
+
+INGEST_BASE_AD_REJECTS = """
+SELECT '{"adid":"ad' || CAST(p_partkey AS VARCHAR) || '","adname":"' || p_name || '","dn":"' || p_brand || '"}' AS value,
+       'bad_int:adid' AS reason
+FROM part WHERE p_size > 45"""
+
+INGEST_BASE_WEBSITE = f"""
+SELECT n_nationkey AS siteid, n_name AS sitename, 'www.' || lower(n_name) || '.com' AS siteurl,
+       CASE WHEN n_nationkey = 0 THEN 0 ELSE n_regionkey % 2 END AS delete, '{LOAD_DAY}' AS createtime,
+       'admin' AS creator, CAST(n_regionkey AS VARCHAR) AS website
+FROM nation"""
+
+INGEST_WXBOUND = f"""
+SELECT CAST(c_custkey AS INTEGER) AS uid, 'un' || CAST(c_custkey AS VARCHAR) AS unionid,
+       'op' || CAST(c_custkey AS VARCHAR) AS openid, c_name AS nickname, CAST(c_custkey % 2 AS VARCHAR) AS isdefault,
+       CAST(NULL AS VARCHAR) AS headimgurl, CAST(NULL AS VARCHAR) AS boundtime,
+       CAST(c_custkey % 3 AS INTEGER) AS bindsource, '{LOAD_DATE}' AS time, c_mktsegment AS website
+FROM customer"""
+
+CLEAN_EVENTS_REJECTS = """
+SELECT 16 AS n_fields, count(*) AS n FROM events WHERE event_type = 'error'"""
+
 INGEST_WXTYPE = f"""
 SELECT CAST(s_suppkey % 3 AS INTEGER) AS bind_source, 'wx' || CAST(s_suppkey AS VARCHAR) AS app_id,
        't' || CAST(s_suppkey AS VARCHAR) AS token_secret, s_name AS wx_name,
@@ -276,6 +310,14 @@ def oracle_sql() -> dict[str, str]:
         "ingest_regtype": INGEST_REGTYPE,
         "ingest_payment": INGEST_PAYMENT,
         "ingest_wxtype": INGEST_WXTYPE,
+        "ingest_vip_level": INGEST_VIP_LEVEL,
+        "ingest_base_ad": INGEST_BASE_AD,
+        "ingest_base_ad_rejects": INGEST_BASE_AD_REJECTS,
+        "ingest_base_website": INGEST_BASE_WEBSITE,
+        "ingest_wxbound": INGEST_WXBOUND,
+        "clean_events_rejects": CLEAN_EVENTS_REJECTS,
+        "top3_payers_legacy_money": _top(asc=False, money="DECIMAL(10,4)"),
+        "zipper_close_last": _with(*MEMBER_VIEWS, DAY_INCREMENT) + _ZIPPER_OUT,
         "wide_member": _with(*MEMBER_VIEWS, WIDE) + f"SELECT {_WIDE_OUT_COLS} FROM wide",
         "wide_member_reference": _with(*MEMBER_VIEWS, WIDE) + f"SELECT {_WIDE_OUT_COLS} FROM wide",
         "wide_member_api": _with(*MEMBER_VIEWS, WIDE_API) + f"SELECT {_WIDE_OUT_COLS} FROM wide",

@@ -315,3 +315,61 @@ def wxtype_json(spark: SparkSession, sf_dir: str) -> DataFrame:
             _str(F.col("s_nationkey")).alias("wx_no"),
         )
     )
+
+
+def vip_level_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PcenterMemViplevel.log lines from region (one per site); ``discountval`` is read and dropped."""
+    r = table(spark, sf_dir, "region")
+    v = F.col("r_regionkey") + 1
+    return _json_lines(
+        _per_site(
+            r.select(
+                _str(v).alias("vip_id"),
+                F.col("r_name").alias("vip_level"),
+                F.concat(F.lit("2019-0"), _str(v), F.lit("-01")).alias("start_time"),
+                F.concat(F.lit("2020-0"), _str(v), F.lit("-01")).alias("end_time"),
+                F.lit("0.9").alias("discountval"),
+                F.concat(F.lit("L"), _str(v + 1)).alias("next_level"),
+            )
+        ).withColumnRenamed("website", "dn")
+    )
+
+
+def base_ad_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """baseadlog.log lines from part; parts with size over 45 carry a non-numeric id."""
+    p = table(spark, sf_dir, "part")
+    adid = F.when(F.col("p_size") > 45, F.concat(F.lit("ad"), _str("p_partkey"))).otherwise(_str("p_partkey"))
+    return _json_lines(p.select(adid.alias("adid"), F.col("p_name").alias("adname"), F.col("p_brand").alias("dn")))
+
+
+def base_website_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """baswewebsite.log lines from nation; nation 0 has no ``delete`` key."""
+    n = table(spark, sf_dir, "nation")
+    return _json_lines(
+        n.select(
+            F.col("n_nationkey").alias("siteid"),
+            F.col("n_name").alias("sitename"),
+            F.concat(F.lit("www."), F.lower("n_name"), F.lit(".com")).alias("siteurl"),
+            F.when(F.col("n_nationkey") != 0, F.col("n_regionkey") % 2).alias("delete"),
+            F.lit(LOAD_DAY).alias("createtime"),
+            F.lit("admin").alias("creator"),
+            _str(F.col("n_regionkey")).alias("dn"),
+        )
+    )
+
+
+def wxbound_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """memberwxbound.log lines from customer."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return _json_lines(
+        c.select(
+            k.alias("uid"),
+            F.concat(F.lit("un"), _str(k)).alias("unionid"),
+            F.concat(F.lit("op"), _str(k)).alias("openid"),
+            F.col("c_name").alias("nickname"),
+            _str(k % 2).alias("isdefault"),
+            _str(k % 3).alias("bindsource"),
+            F.col("c_mktsegment").alias("dn"),
+        )
+    )
