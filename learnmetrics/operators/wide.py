@@ -15,14 +15,16 @@ minimum. Every other column is a "first" value, made deterministic:
 ``fanout="safe"`` (default) reduces each source to one row per key *before* joining, so
 several registration rows cannot multiply payments, and every aggregate is a partial
 (map-side) aggregate, which keeps a very hot uid from landing whole in one task. The three
-uid-keyed inputs are joined on the same keys, so their shuffles are shared. ``fanout=
+uid-keyed inputs are joined on the same keys, so their shuffles are shared. The payment
+aggregate, over the largest input, only sees integers (VIP attributes are rank-encoded on
+the small VIP dimension and decoded after), so it runs as a hash aggregate. ``fanout=
 "reference"`` joins first and aggregates after, which reproduces the inflated money of a
 member with several registration rows; both modes agree when registrations are unique.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ["uid", "website"]
@@ -114,6 +116,57 @@ def _join_dims(df: DataFrame, ad: DataFrame, site: DataFrame) -> DataFrame:
     ).drop("site_website")
 
 
+def encode_ranks(dim: DataFrame, cols: list[str], within: list[str], tie: list[str]) -> DataFrame:
+    """Add ``_r_<col>``: the position of each row of a small dimension in ``col`` order
+    within ``within`` (ties broken by ``tie``; null values get a null position).
+
+    A big aggregation can then take max/min of these integers (a hash aggregate) instead
+    of strings (a sort aggregate). Positions preserve value order, so the max/min position
+    belongs to a row holding the max/min value; :func:`rank_decoder` maps it back. The
+    positions are unique per ``within``, so decoding needs no de-duplication.
+    """
+    def pos(c):
+        w = Window.partitionBy(*within).orderBy(F.col(c).asc_nulls_first(), *[F.col(t) for t in tie])
+        return F.when(F.col(c).isNotNull(), F.row_number().over(w)).alias(f"_r_{c}")
+
+    return dim.select("*", *[pos(c) for c in cols])
+
+
+def rank_decoder(ranked: DataFrame, col: str, within: list[str]) -> DataFrame:
+    """(within..., ``_r_<col>``) -> ``col``, one row per position."""
+    return ranked.where(F.col(f"_r_{col}").isNotNull()).select(*within, f"_r_{col}", col)
+
+
+def _pay_one_hashed(payment: DataFrame, vip: DataFrame) -> DataFrame:
+    """Per (uid, website): money and VIP attributes, aggregated over integers only.
+
+    VIP attributes are functions of the (small) VIP dimension, so each is replaced by its
+    rank within the website before the payments are aggregated, and decoded afterwards
+    by joins with small decode tables.
+    """
+    ranked_cols = VIP_MAX + VIP_MIN
+    vip_r = encode_ranks(vip, ranked_cols, ["website"], tie=["vip_id_dim"])
+    p, v = payment.alias("p"), vip_r.alias("v")
+    pv = p.join(
+        v, (F.col("p.vip_id") == F.col("v.vip_id_dim")) & (F.col("p.website") == F.col("v.website")), "left"
+    ).select("p.uid", "p.website", "p.paymoney", "v.vip_id_dim", *[F.col(f"v._r_{c}") for c in ranked_cols])
+    agg = pv.groupBy(*KEY).agg(
+        F.sum("paymoney").alias("paymoney"),
+        F.min("vip_id_dim").alias("vip_id"),
+        *[F.max(f"_r_{c}").alias(f"_r_{c}") for c in VIP_MAX],
+        *[F.min(f"_r_{c}").alias(f"_r_{c}") for c in VIP_MIN],
+    )
+    for c in ranked_cols:
+        agg = agg.join(rank_decoder(vip_r, c, ["website"]), ["website", f"_r_{c}"], "left").drop(f"_r_{c}")
+    # "first" VIP columns: those of the smallest matched vip_id (one row per key).
+    first = _unpack(
+        vip.groupBy("vip_id_dim", "website").agg(F.min(F.struct(*[F.col(c) for c in VIP_FIRST[1:]])).alias("_f")),
+        "_f",
+        VIP_FIRST[1:],
+    ).withColumnRenamed("vip_id_dim", "vip_id")
+    return agg.join(first, ["vip_id", "website"], "left")
+
+
 def _build_safe(member, regtype, ad, site, payment, vip) -> DataFrame:
     member_one = _unpack(
         member.groupBy(*KEY).agg(_pick(F.max, ["time"], MEMBER_FIRST, "_m")), "_m", MEMBER_FIRST
@@ -123,10 +176,7 @@ def _build_safe(member, regtype, ad, site, payment, vip) -> DataFrame:
         "_r",
         REG_FIRST,
     )
-    pay = _payments_with_vip(payment, vip)
-    pay_one = _unpack(
-        pay.groupBy(*KEY).agg(F.sum("paymoney").alias("paymoney"), *_vip_aggs()), "_vip", VIP_FIRST
-    )
+    pay_one = _pay_one_hashed(payment, vip)
     # uid-keyed joins first: all three sides are hash-partitioned on (uid, website) by their
     # aggregations, so the sort-merge joins need no further exchange.
     wide = member_one.join(reg_one, KEY, "left").join(pay_one, KEY, "left")

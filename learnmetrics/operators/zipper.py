@@ -43,15 +43,20 @@ def day_increment(payment: DataFrame, vip: DataFrame, day: str | None = None) ->
     (inner join). ``day`` restricts to one load date (partition pruning on ``time``);
     without it every day is computed at once, which is how a history is backfilled.
     """
+    from learnmetrics.operators.wide import encode_ranks, rank_decoder
+
     p = payment.select("uid", "paymoney", "vip_id", "time", "website")
     if day is not None:
         p = p.where(F.col("time") == day)
-    v = vip.select("vip_id", "vip_level", "website")
-    joined = p.join(v, ["vip_id", "website"], "inner")
+    # The level is rank-encoded on the small VIP table, so the payment aggregate takes the
+    # max of an integer (hash aggregate) and the text is looked up afterwards.
+    v = encode_ranks(vip.select("vip_id", "vip_level", "website"), ["vip_level"], ["website"], tie=["vip_id"])
+    joined = p.join(v.select("vip_id", "website", "_r_vip_level"), ["vip_id", "website"], "inner")
     agg = joined.groupBy("uid", "website", "time").agg(
         F.sum(C.money("paymoney")).alias("paymoney"),
-        F.max("vip_level").alias("vip_level"),
+        F.max("_r_vip_level").alias("_r_vip_level"),
     )
+    agg = agg.join(rank_decoder(v, "vip_level", ["website"]), ["website", "_r_vip_level"], "left")
     return agg.select(
         "uid",
         "paymoney",
