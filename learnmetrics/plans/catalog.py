@@ -191,7 +191,9 @@ def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
 def _run_to_table(spark: SparkSession, name: str, agg: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Run a streaming aggregate over everything available, then read its current table."""
     base = scratch_path(spark, "streams", name)
-    q = S.start_upsert_stream(agg, f"{base}/sink", f"{base}/checkpoint", available_now=True)
+    # One state partition per core: the state here is a few thousand keys.
+    parts = spark.sparkContext.defaultParallelism
+    q = S.start_upsert_stream(agg, f"{base}/sink", f"{base}/checkpoint", available_now=True, state_partitions=parts)
     q.awaitTermination()
     schema = StructType(list(agg.schema.fields) + [StructField("batch_id", LongType())])
     return read_changelog(spark, f"{base}/sink", keys, values, schema=schema)

@@ -123,11 +123,16 @@ def start_upsert_stream(
     trigger: str | None = DEFAULT_TRIGGER,
     available_now: bool = False,
     query_name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Run ``agg`` in update mode into a change log at ``sink_path``.
 
     The checkpoint holds source offsets and aggregation state; restarting with the same
     ``checkpoint_path`` resumes. A fresh checkpoint needs a fresh ``sink_path``.
+    ``state_partitions`` fixes the number of state-store partitions (the shuffle
+    partitions of the stateful step), which is recorded in the checkpoint at the first
+    start and cannot change later; size it to the state, not to one batch. By default the
+    session's ``spark.sql.shuffle.partitions`` is used.
     """
     w = (
         agg.writeStream.outputMode("update")
@@ -140,7 +145,16 @@ def start_upsert_stream(
         w = w.trigger(availableNow=True)
     elif trigger:
         w = w.trigger(processingTime=trigger)
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    # The stream takes a copy of the session conf when it starts; restore ours right after.
+    spark = agg.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def read_vip_increments(spark: SparkSession, sink_path: str) -> DataFrame:
