@@ -91,18 +91,25 @@ def unpaid_visitors(
     slide: str = "30 seconds",
     watermark: str | None = "10 minutes",
     min_visits: int = 3,
+    time_col: str | None = None,
 ) -> DataFrame:
     """Users who opened the order page ``min_visits`` times in a sliding window and are
     not VIP. ``vip_users`` needs a ``uid`` column; it is anti-joined before the window
     aggregation (VIP status is per user), so VIP events never enter the state store.
+    Windows are on event time (field 16) by default; ``time_col`` names a timestamp
+    column of ``lines`` to window on instead, e.g. the Kafka arrival time ``kafka_ts``
+    (the reference's arrival-time windows).
     Output: ``uid, window_start, window_end`` (epoch seconds), ``cnt``.
     """
-    ev = B.parse_lines(lines).where(F.col("event_key") == B.ENTER_ORDER_PAGE).select("uid", "event_time")
+    keep = [time_col] if time_col else []
+    ev = B.parse_lines(lines, keep_columns=keep).where(F.col("event_key") == B.ENTER_ORDER_PAGE)
+    ev = ev.select("uid", "event_time", *keep)
     vip = vip_user_ids(vip_users)
     if lines.isStreaming:
         # No AQE in streaming: broadcast the VIP ids only when their count is under the limit.
         vip = broadcast_if_small(vip)[0]
-    ev = _event_time(ev.join(vip, "uid", "left_anti"))
+    ev = ev.join(vip, "uid", "left_anti")
+    ev = ev.withColumn("event_ts", F.col(time_col).cast("timestamp")) if time_col else _event_time(ev)
     if watermark:
         ev = ev.withWatermark("event_ts", watermark)
     agg = ev.groupBy(F.window("event_ts", window, slide).alias("w"), "uid").agg(F.count(F.lit(1)).alias("cnt"))

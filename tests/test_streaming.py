@@ -99,3 +99,16 @@ def test_stream_plan_has_no_python(spark):
     assert agg.isStreaming
     text = agg._jdf.queryExecution().analyzed().toString()
     assert "PythonUDF" not in text and "BatchEvalPython" not in text
+
+
+def test_unpaid_visitors_on_arrival_time_column(spark):
+    import datetime as dt
+
+    base = dt.datetime(2019, 4, 2, 0, 0, 0)
+    # event times are far apart, arrival times close together: only arrival windows count 3
+    data = [(line(9, "enterOrderPage", DAY + i * 10000), base + dt.timedelta(seconds=i)) for i in range(3)]
+    df = spark.createDataFrame(data, "value string, kafka_ts timestamp")
+    vip = spark.createDataFrame([], "id int, uid string")
+    assert S.unpaid_visitors(df, vip, watermark=None).count() == 0
+    got = S.unpaid_visitors(df, vip, watermark=None, time_col="kafka_ts").collect()
+    assert {r.uid for r in got} == {9} and all(r.cnt == 3 for r in got)
