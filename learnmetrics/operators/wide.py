@@ -137,12 +137,26 @@ def rank_decoder(ranked: DataFrame, col: str, within: list[str]) -> DataFrame:
     return ranked.where(F.col(f"_r_{col}").isNotNull()).select(*within, f"_r_{col}", col)
 
 
+def rank_maps(ranked: DataFrame, cols: list[str], within: list[str]) -> DataFrame:
+    """One row per ``within`` key with a map ``_m_<col>``: position -> value, for each col.
+
+    Decoding several rank columns then takes one (broadcast) join and map lookups, instead
+    of one join per column."""
+    maps = [
+        F.map_from_entries(
+            F.collect_list(F.when(F.col(f"_r_{c}").isNotNull(), F.struct(F.col(f"_r_{c}"), F.col(c))))
+        ).alias(f"_m_{c}")
+        for c in cols
+    ]
+    return ranked.groupBy(*within).agg(*maps)
+
+
 def _pay_one_hashed(payment: DataFrame, vip: DataFrame) -> DataFrame:
     """Per (uid, website): money and VIP attributes, aggregated over integers only.
 
     VIP attributes are functions of the (small) VIP dimension, so each is replaced by its
-    rank within the website before the payments are aggregated, and decoded afterwards
-    by joins with small decode tables.
+    position within the website before the payments are aggregated (a hash aggregate),
+    and decoded afterwards with one join to a per-website table of maps.
     """
     ranked_cols = VIP_MAX + VIP_MIN
     vip_r = encode_ranks(vip, ranked_cols, ["website"], tie=["vip_id_dim"])
@@ -156,15 +170,20 @@ def _pay_one_hashed(payment: DataFrame, vip: DataFrame) -> DataFrame:
         *[F.max(f"_r_{c}").alias(f"_r_{c}") for c in VIP_MAX],
         *[F.min(f"_r_{c}").alias(f"_r_{c}") for c in VIP_MIN],
     )
-    for c in ranked_cols:
-        agg = agg.join(rank_decoder(vip_r, c, ["website"]), ["website", f"_r_{c}"], "left").drop(f"_r_{c}")
-    # "first" VIP columns: those of the smallest matched vip_id (one row per key).
-    first = _unpack(
-        vip.groupBy("vip_id_dim", "website").agg(F.min(F.struct(*[F.col(c) for c in VIP_FIRST[1:]])).alias("_f")),
-        "_f",
-        VIP_FIRST[1:],
-    ).withColumnRenamed("vip_id_dim", "vip_id")
-    return agg.join(first, ["vip_id", "website"], "left")
+    # "first" VIP columns: those of the smallest matched vip_id, one entry per vip_id.
+    first = vip.groupBy("vip_id_dim", "website").agg(
+        F.min(F.struct(*[F.col(c) for c in VIP_FIRST[1:]])).alias("_first")
+    )
+    first_map = first.groupBy("website").agg(
+        F.map_from_entries(F.collect_list(F.struct("vip_id_dim", "_first"))).alias("_m_first")
+    )
+    decode = rank_maps(vip_r, ranked_cols, ["website"]).join(first_map, "website", "full")
+    out = agg.join(decode, "website", "left")
+    return out.select(
+        *KEY, "paymoney", "vip_id",
+        *[F.col(f"_m_{c}")[F.col(f"_r_{c}")].alias(c) for c in ranked_cols],
+        *[F.col("_m_first")[F.col("vip_id")].getField(c).alias(c) for c in VIP_FIRST[1:]],
+    )
 
 
 def _build_safe(member, regtype, ad, site, payment, vip) -> DataFrame:
