@@ -94,13 +94,56 @@ def upsert_changelog_batch(df: DataFrame, batch_id: int, path: str) -> None:
     )
 
 
+COMPACTED = "_compacted"  # below the log path; names starting with "_" are not scanned as data
+
+
+def _latest(log: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    latest = F.max_by(F.struct(*[F.col(v) for v in values]), F.col("batch_id").cast("bigint")).alias("_v")
+    return log.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values])
+
+
+def _since_compaction(spark: SparkSession, path: str, log: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """The log with every batch folded into the latest snapshot replaced by that snapshot."""
+    snap = latest_snapshot_path(spark, f"{path}/{COMPACTED}")
+    if snap is None:
+        return log
+    upto = int(snap.rsplit("=", 1)[1])
+    base = spark.read.parquet(snap).withColumn("batch_id", F.lit(upto).cast("bigint"))
+    newer = log.where(F.col("batch_id").cast("bigint") > upto)  # partition pruning
+    return newer.select(*keys, *values, F.col("batch_id").cast("bigint")).unionByName(base.select(*keys, *values, "batch_id"))
+
+
+def _read_log(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+
+
 def read_changelog(
     spark: SparkSession, path: str, keys: list[str], values: list[str], schema: StructType | None = None
 ) -> DataFrame:
     """Current table of an upserted change log: the last value per key (``max_by`` batch).
 
-    Pass ``schema`` (including ``batch_id``) so that a log without any rows yet reads as empty.
+    After :func:`compact_changelog`, the latest snapshot stands for every batch up to its
+    id and only newer ``batch_id`` partitions are read. Pass ``schema`` (including
+    ``batch_id``) so that a log without any rows yet reads as empty.
     """
-    log = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
-    latest = F.max_by(F.struct(*[F.col(v) for v in values]), F.col("batch_id").cast("bigint")).alias("_v")
-    return log.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values])
+    log = _read_log(spark, path, schema)
+    return _latest(_since_compaction(spark, path, log, keys, values), keys, values)
+
+
+def compact_changelog(
+    spark: SparkSession, path: str, keys: list[str], values: list[str], schema: StructType | None = None
+) -> str | None:
+    """Fold the change log up to its newest batch into a snapshot.
+
+    A batch job that can run while the stream keeps appending: batches written after the
+    newest one seen here are left to the next compaction. Readers then skip the folded
+    partitions, so the current-table view stays proportional to the live keys plus recent
+    batches. Returns the snapshot path, or None for an empty log.
+    """
+    log = _read_log(spark, path, schema)
+    newest = log.select(F.max(F.col("batch_id").cast("bigint")).alias("m")).first()["m"]
+    if newest is None:
+        return None
+    upto_newest = log.where(F.col("batch_id").cast("bigint") <= newest)
+    current = _latest(_since_compaction(spark, path, upto_newest, keys, values), keys, values)
+    return write_snapshot(current, f"{path}/{COMPACTED}", str(newest))

@@ -17,7 +17,7 @@ from learnmetrics.functions import columns as C
 from learnmetrics.operators import behaviour as B
 from learnmetrics.operators.geo import lookup_region, size_checked_ranges
 from learnmetrics.session import broadcast_if_small
-from learnmetrics.sinks.writers import read_changelog, upsert_changelog_batch
+from learnmetrics.sinks.writers import compact_changelog, read_changelog, upsert_changelog_batch
 from learnmetrics.sources.lookups import vip_user_ids
 
 # Reference cadence: 15 s micro-batches; sliding window 4x, slide 2x the interval.
@@ -172,6 +172,15 @@ def read_unpaid_visitors(spark: SparkSession, sink_path: str) -> DataFrame:
     return read_changelog(spark, sink_path, UNPAID_KEYS, ["cnt"])
 
 
+def compact_vip_increments(spark: SparkSession, sink_path: str) -> str | None:
+    """Periodic batch job: fold the VIP change log into a snapshot."""
+    return compact_changelog(spark, sink_path, VIP_KEYS, ["cnt"])
+
+
+def compact_unpaid_visitors(spark: SparkSession, sink_path: str) -> str | None:
+    return compact_changelog(spark, sink_path, UNPAID_KEYS, ["cnt"])
+
+
 # --- sources ---------------------------------------------------------------------------
 
 def kafka_lines(

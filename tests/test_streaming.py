@@ -112,3 +112,21 @@ def test_unpaid_visitors_on_arrival_time_column(spark):
     assert S.unpaid_visitors(df, vip, watermark=None).count() == 0
     got = S.unpaid_visitors(df, vip, watermark=None, time_col="kafka_ts").collect()
     assert {r.uid for r in got} == {9} and all(r.cnt == 3 for r in got)
+
+
+def test_changelog_compaction_keeps_current_table(spark):
+    from learnmetrics.sinks.writers import compact_changelog
+
+    out = tempfile.mkdtemp(prefix="lm-log-")
+    keys, vals = ["dt", "province"], ["cnt"]
+    b = lambda rows: spark.createDataFrame(rows, "dt string, province string, cnt long")
+    upsert_changelog_batch(b([("d", "r", 1), ("d", "s", 5)]), 0, out)
+    upsert_changelog_batch(b([("d", "r", 2)]), 1, out)
+    before = rows(read_changelog(spark, out, keys, vals))
+    assert compact_changelog(spark, out, keys, vals).endswith("snapshot=1")
+    assert rows(read_changelog(spark, out, keys, vals)) == before == [("d", "r", 2), ("d", "s", 5)]
+    upsert_changelog_batch(b([("d", "s", 7), ("e", "r", 1)]), 2, out)
+    upsert_changelog_batch(b([("d", "s", 7), ("e", "r", 1)]), 2, out)  # replay
+    assert rows(read_changelog(spark, out, keys, vals)) == [("d", "r", 2), ("d", "s", 7), ("e", "r", 1)]
+    compact_changelog(spark, out, keys, vals)
+    assert rows(read_changelog(spark, out, keys, vals)) == [("d", "r", 2), ("d", "s", 7), ("e", "r", 1)]
