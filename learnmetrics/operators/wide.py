@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from learnmetrics.session import broadcast_if_small
+
 KEY = ["uid", "website"]
 
 MEMBER_FIRST = [
@@ -85,8 +87,14 @@ def build_wide(
     """Wide member table with :data:`WIDE_COLUMNS`; ``paymoney`` is decimal."""
     regtype = regtype.withColumnRenamed("siteid", "reg_siteid")
     vip = vip.withColumnRenamed("vip_id", "vip_id_dim")
+    # Dimensions keyed by few distinct values (site, VIP level, ad per website) are
+    # broadcast when their counted size allows; otherwise shuffle joins with AQE skew
+    # splitting take over.
+    ad = broadcast_if_small(ad)[0]
+    site = broadcast_if_small(site)[0]
+    vip, vip_small = broadcast_if_small(vip)
     if fanout == "safe":
-        wide = _build_safe(member, regtype, ad, site, payment, vip)
+        wide = _build_safe(member, regtype, ad, site, payment, vip, vip_small)
     elif fanout == "reference":
         wide = _build_reference(member, regtype, ad, site, payment, vip)
     else:
@@ -151,16 +159,26 @@ def rank_maps(ranked: DataFrame, cols: list[str], within: list[str]) -> DataFram
     return ranked.groupBy(*within).agg(*maps)
 
 
+def _pay_one_sorted(payment: DataFrame, vip: DataFrame) -> DataFrame:
+    """Per (uid, website): money and VIP attributes with string max/min (sort aggregate).
+    The path for a VIP dimension too large to broadcast."""
+    pay = _payments_with_vip(payment, vip)
+    return _unpack(pay.groupBy(*KEY).agg(F.sum("paymoney").alias("paymoney"), *_vip_aggs()), "_vip", VIP_FIRST)
+
+
 def _pay_one_hashed(payment: DataFrame, vip: DataFrame) -> DataFrame:
     """Per (uid, website): money and VIP attributes, aggregated over integers only.
 
     VIP attributes are functions of the (small) VIP dimension, so each is replaced by its
     position within the website before the payments are aggregated (a hash aggregate),
-    and decoded afterwards with one join to a per-website table of maps.
+    and decoded afterwards with one join to a per-website table of maps. Both joins
+    broadcast VIP-sized tables: the caller has checked the VIP row count. (Their keys,
+    vip id and website, have very few values, so a shuffle join would pile all payments
+    into a handful of tasks.)
     """
     ranked_cols = VIP_MAX + VIP_MIN
     vip_r = encode_ranks(vip, ranked_cols, ["website"], tie=["vip_id_dim"])
-    p, v = payment.alias("p"), vip_r.alias("v")
+    p, v = payment.alias("p"), F.broadcast(vip_r).alias("v")
     pv = p.join(
         v, (F.col("p.vip_id") == F.col("v.vip_id_dim")) & (F.col("p.website") == F.col("v.website")), "left"
     ).select("p.uid", "p.website", "p.paymoney", "v.vip_id_dim", *[F.col(f"v._r_{c}") for c in ranked_cols])
@@ -178,7 +196,7 @@ def _pay_one_hashed(payment: DataFrame, vip: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("vip_id_dim", "_first"))).alias("_m_first")
     )
     decode = rank_maps(vip_r, ranked_cols, ["website"]).join(first_map, "website", "full")
-    out = agg.join(decode, "website", "left")
+    out = agg.join(F.broadcast(decode), "website", "left")
     return out.select(
         *KEY, "paymoney", "vip_id",
         *[F.col(f"_m_{c}")[F.col(f"_r_{c}")].alias(c) for c in ranked_cols],
@@ -186,7 +204,7 @@ def _pay_one_hashed(payment: DataFrame, vip: DataFrame) -> DataFrame:
     )
 
 
-def _build_safe(member, regtype, ad, site, payment, vip) -> DataFrame:
+def _build_safe(member, regtype, ad, site, payment, vip, vip_small: bool) -> DataFrame:
     member_one = _unpack(
         member.groupBy(*KEY).agg(_pick(F.max, ["time"], MEMBER_FIRST, "_m")), "_m", MEMBER_FIRST
     )
@@ -195,7 +213,9 @@ def _build_safe(member, regtype, ad, site, payment, vip) -> DataFrame:
         "_r",
         REG_FIRST,
     )
-    pay_one = _pay_one_hashed(payment, vip)
+    # The integer (hash-aggregate) path broadcasts VIP-sized tables, so it is taken only
+    # when the VIP dimension's row count is under the broadcast limit.
+    pay_one = _pay_one_hashed(payment, vip) if vip_small else _pay_one_sorted(payment, vip)
     # uid-keyed joins first: all three sides are hash-partitioned on (uid, website) by their
     # aggregations, so the sort-merge joins need no further exchange.
     wide = member_one.join(reg_one, KEY, "left").join(pay_one, KEY, "left")

@@ -44,19 +44,28 @@ def day_increment(payment: DataFrame, vip: DataFrame, day: str | None = None) ->
     without it every day is computed at once, which is how a history is backfilled.
     """
     from learnmetrics.operators.wide import encode_ranks, rank_decoder
+    from learnmetrics.session import broadcast_if_small
 
     p = payment.select("uid", "paymoney", "vip_id", "time", "website")
     if day is not None:
         p = p.where(F.col("time") == day)
-    # The level is rank-encoded on the small VIP table, so the payment aggregate takes the
-    # max of an integer (hash aggregate) and the text is looked up afterwards.
-    v = encode_ranks(vip.select("vip_id", "vip_level", "website"), ["vip_level"], ["website"], tie=["vip_id"])
-    joined = p.join(v.select("vip_id", "website", "_r_vip_level"), ["vip_id", "website"], "inner")
-    agg = joined.groupBy("uid", "website", "time").agg(
-        F.sum(C.money("paymoney")).alias("paymoney"),
-        F.max("_r_vip_level").alias("_r_vip_level"),
-    )
-    agg = agg.join(rank_decoder(v, "vip_level", ["website"]), ["website", "_r_vip_level"], "left")
+    v = vip.select("vip_id", "vip_level", "website")
+    keys = ["uid", "website", "time"]
+    money_sum = F.sum(C.money("paymoney")).alias("paymoney")
+    if broadcast_if_small(v)[1]:
+        # Small VIP table (row count checked): rank-encode the level on it, so the payment
+        # aggregate takes the max of an integer (hash aggregate); both joins broadcast it.
+        v = encode_ranks(v, ["vip_level"], ["website"], tie=["vip_id"])
+        enc = F.broadcast(v.select("vip_id", "website", "_r_vip_level"))
+        agg = p.join(enc, ["vip_id", "website"], "inner").groupBy(*keys).agg(
+            money_sum, F.max("_r_vip_level").alias("_r_vip_level")
+        )
+        dec = F.broadcast(rank_decoder(v, "vip_level", ["website"]))
+        agg = agg.join(dec, ["website", "_r_vip_level"], "left")
+    else:
+        agg = p.join(v, ["vip_id", "website"], "inner").groupBy(*keys).agg(
+            money_sum, F.max("vip_level").alias("vip_level")
+        )
     return agg.select(
         "uid",
         "paymoney",
