@@ -87,3 +87,21 @@ def test_day_argument_checked(spark):
         J.check_day("2019-07-12")
     with pytest.raises(J.JobArgumentError):
         J.check_day("")
+
+
+def test_zipper_day_read_is_partition_pruned_and_cli_runs(spark):
+    from learnmetrics.operators.zipper import day_increment
+
+    root = tempfile.mkdtemp(prefix="lm-wh-")
+    layout = J.Layout(root)
+    d1 = tempfile.mkdtemp()
+    raw_day(d1, [{"uid": 1, "paymoney": "3", "vip_id": 1, "dn": "A"}])
+    assert J.main(["ingest", root, d1, "20190711"]) == 0
+    pay = J.read_bdl(spark, layout, "bdl_pcentermempaymoney")
+    vip = J.read_bdl(spark, layout, "bdl_vip_level")
+    plan = day_increment(pay, vip, day="20190711")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(time" in plan and "(time" in plan
+    assert J.main(["zipper", root, "20190711"]) == 0
+    assert rows(J.read_zipper(spark, layout), "uid", "start_time") == [(1, "2019-07-11")]
+    with pytest.raises(J.JobArgumentError):
+        J.main(["zipper", root, "2019-07-11"])
