@@ -195,22 +195,40 @@ def run_daily_video_users(spark, layout: Layout, day: str, files=None) -> DataFr
 
 # --- J9/J10: streaming -------------------------------------------------------------------------
 
+def stream_lines(spark: SparkSession, kafka_servers: str | None, topic: str | None, file_dir: str | None,
+                 starting_offsets: str = "latest") -> DataFrame:
+    """Behaviour lines from Kafka (``value``, ``kafka_ts``) or from files arriving in a folder."""
+    if kafka_servers:
+        return S.kafka_lines(spark, kafka_servers, topic, starting_offsets)
+    if file_dir:
+        return S.file_lines(spark, file_dir)
+    raise JobArgumentError("give --kafka-servers and --topic, or --file-dir")
+
+
+def stream_paths(spark: SparkSession, name: str, sink: str | None, checkpoint: str | None) -> tuple[str, str]:
+    """Sink and checkpoint locations; by default under the cluster's shared checkpoint folder."""
+    from learnmetrics.session import checkpoint_root
+
+    base = f"{checkpoint_root(spark)}/streams/{name}"
+    return sink or f"{base}/sink", checkpoint or f"{base}/checkpoint"
+
+
 def start_vip_increment(
     spark, lines: DataFrame, ip_ranges: DataFrame, sink_path: str, checkpoint: str, **kw
 ):
     agg = S.vip_increments(lines, ip_ranges, **{k: v for k, v in kw.items() if k in ("tz_offset_hours", "watermark")})
     return S.start_upsert_stream(
         agg, sink_path, checkpoint, trigger=kw.get("trigger", S.DEFAULT_TRIGGER),
-        available_now=kw.get("available_now", False),
+        available_now=kw.get("available_now", False), state_partitions=kw.get("state_partitions"),
     )
 
 
 def start_unpaid_visitors(spark, lines: DataFrame, vip_users: DataFrame, sink_path: str, checkpoint: str, **kw):
-    opts = {k: v for k, v in kw.items() if k in ("window", "slide", "watermark", "min_visits")}
+    opts = {k: v for k, v in kw.items() if k in ("window", "slide", "watermark", "min_visits", "time_col")}
     agg = S.unpaid_visitors(lines, vip_users, **opts)
     return S.start_upsert_stream(
         agg, sink_path, checkpoint, trigger=kw.get("trigger", S.DEFAULT_TRIGGER),
-        available_now=kw.get("available_now", False),
+        available_now=kw.get("available_now", False), state_partitions=kw.get("state_partitions"),
     )
 
 
@@ -239,6 +257,31 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("video")
     p.add_argument("warehouse")
     p.add_argument("day")
+    for name in ("vip-stream", "unpaid-stream"):
+        p = sub.add_parser(name)
+        p.add_argument("--kafka-servers")
+        p.add_argument("--topic")
+        p.add_argument("--starting-offsets", default="latest", help='"earliest", "latest" or a JSON offset map')
+        p.add_argument("--file-dir")
+        p.add_argument("--sink")
+        p.add_argument("--checkpoint")
+        p.add_argument("--trigger", default=S.DEFAULT_TRIGGER)
+        p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+        p.add_argument("--state-partitions", type=int)
+        p.add_argument("--watermark")
+    p = sub.choices["vip-stream"]
+    p.add_argument("--ip-ranges", required=True, help="CSV with header lo,hi,region")
+    p.add_argument("--dotted", action="store_true", help="lo/hi are dotted IPv4 text")
+    p.add_argument("--tz-offset-hours", type=int, default=8)
+    p = sub.choices["unpaid-stream"]
+    p.add_argument("--vip-users", required=True, help="Parquet table with a uid column")
+    p.add_argument("--window", default="60 seconds")
+    p.add_argument("--slide", default="30 seconds")
+    p.add_argument("--min-visits", type=int, default=3)
+    p.add_argument("--arrival-time", action="store_true", help="window on the Kafka arrival time")
+    p = sub.add_parser("compact")
+    p.add_argument("stream", choices=["vip-stream", "unpaid-stream"])
+    p.add_argument("--sink")
     a = ap.parse_args(argv)
 
     spark = get_session(f"learnmetrics-{a.job}")
@@ -254,6 +297,30 @@ def main(argv: list[str] | None = None) -> int:
         run_clean_behaviour(spark, a.input_path, a.output_path)
     elif a.job == "video":
         run_daily_video_users(spark, Layout(a.warehouse), check_day(a.day))
+    elif a.job in ("vip-stream", "unpaid-stream"):
+        from learnmetrics.sources.lookups import read_ip_ranges
+
+        lines = stream_lines(spark, a.kafka_servers, a.topic, a.file_dir, a.starting_offsets)
+        sink, ckpt = stream_paths(spark, a.job, a.sink, a.checkpoint)
+        kw = dict(trigger=a.trigger, available_now=a.available_now, state_partitions=a.state_partitions)
+        if a.watermark:
+            kw["watermark"] = a.watermark
+        if a.job == "vip-stream":
+            ranges = read_ip_ranges(spark, a.ip_ranges, dotted=a.dotted)
+            q = start_vip_increment(spark, lines, ranges, sink, ckpt, tz_offset_hours=a.tz_offset_hours, **kw)
+        else:
+            vip = spark.read.parquet(a.vip_users)
+            kw.update(window=a.window, slide=a.slide, min_visits=a.min_visits)
+            if a.arrival_time:
+                kw["time_col"] = "kafka_ts"
+            q = start_unpaid_visitors(spark, lines, vip, sink, ckpt, **kw)
+        q.awaitTermination()
+    elif a.job == "compact":
+        sink, _ = stream_paths(spark, a.stream, a.sink, None)
+        if a.stream == "vip-stream":
+            S.compact_vip_increments(spark, sink)
+        else:
+            S.compact_unpaid_visitors(spark, sink)
     return 0
 
 

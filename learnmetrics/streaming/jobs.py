@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from learnmetrics.functions import columns as C
 from learnmetrics.operators import behaviour as B
@@ -164,21 +165,30 @@ def start_upsert_stream(
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+VIP_LOG_SCHEMA = StructType(
+    [StructField("dt", StringType()), StructField("province", StringType()), StructField("cnt", LongType()),
+     StructField("batch_id", LongType())]
+)
+UNPAID_LOG_SCHEMA = StructType(
+    [StructField(c, LongType()) for c in ("uid", "window_start", "window_end", "cnt", "batch_id")]
+)
+
+
 def read_vip_increments(spark: SparkSession, sink_path: str) -> DataFrame:
-    return read_changelog(spark, sink_path, VIP_KEYS, ["cnt"])
+    return read_changelog(spark, sink_path, VIP_KEYS, ["cnt"], schema=VIP_LOG_SCHEMA)
 
 
 def read_unpaid_visitors(spark: SparkSession, sink_path: str) -> DataFrame:
-    return read_changelog(spark, sink_path, UNPAID_KEYS, ["cnt"])
+    return read_changelog(spark, sink_path, UNPAID_KEYS, ["cnt"], schema=UNPAID_LOG_SCHEMA)
 
 
 def compact_vip_increments(spark: SparkSession, sink_path: str) -> str | None:
     """Periodic batch job: fold the VIP change log into a snapshot."""
-    return compact_changelog(spark, sink_path, VIP_KEYS, ["cnt"])
+    return compact_changelog(spark, sink_path, VIP_KEYS, ["cnt"], schema=VIP_LOG_SCHEMA)
 
 
 def compact_unpaid_visitors(spark: SparkSession, sink_path: str) -> str | None:
-    return compact_changelog(spark, sink_path, UNPAID_KEYS, ["cnt"])
+    return compact_changelog(spark, sink_path, UNPAID_KEYS, ["cnt"], schema=UNPAID_LOG_SCHEMA)
 
 
 # --- sources ---------------------------------------------------------------------------

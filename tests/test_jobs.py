@@ -105,3 +105,27 @@ def test_zipper_day_read_is_partition_pruned_and_cli_runs(spark):
     assert rows(J.read_zipper(spark, layout), "uid", "start_time") == [(1, "2019-07-11")]
     with pytest.raises(J.JobArgumentError):
         J.main(["zipper", root, "2019-07-11"])
+
+
+def test_stream_jobs_from_command_line(spark):
+    from learnmetrics.streaming import jobs as S
+
+    src, out = tempfile.mkdtemp(), tempfile.mkdtemp()
+    day = 1554134400
+    f = lambda uid, key, t, ip: "\t".join([str(uid), "u", "F", "1", "0", "ios", "a", "wifi", ip, "18735100001", "1", "300", "0", "0", "1.0", key, str(t)])
+    with open(os.path.join(src, "a.txt"), "w") as fh:
+        fh.write("\n".join([f(1, "completeOrder", day + 5, "1.0.0.9"), f(2, "completeOrder", day + 9, "9.9.9.9")]
+                           + [f(3, "enterOrderPage", day + i, "1.1.1.1") for i in (1, 2, 3)]) + "\n")
+    with open(os.path.join(out, "ranges.csv"), "w") as fh:
+        fh.write("lo,hi,region\n1.0.0.0,1.0.255.255,east\n")
+    vip_path = os.path.join(out, "vip")
+    spark.createDataFrame([(1, "2")], "id int, uid string").write.parquet(vip_path)
+    common = ["--file-dir", src, "--available-now", "--state-partitions", "2"]
+    assert J.main(["vip-stream", *common, "--sink", f"{out}/vs", "--checkpoint", f"{out}/vc",
+                   "--ip-ranges", f"{out}/ranges.csv", "--dotted"]) == 0
+    assert rows(S.read_vip_increments(spark, f"{out}/vs")) == [("2019-04-02", "east", 1), ("2019-04-02", "未知", 1)]
+    assert J.main(["unpaid-stream", *common, "--sink", f"{out}/us", "--checkpoint", f"{out}/uc",
+                   "--vip-users", vip_path]) == 0
+    assert {r.uid for r in S.read_unpaid_visitors(spark, f"{out}/us").collect()} == {3}
+    assert J.main(["compact", "vip-stream", "--sink", f"{out}/vs"]) == 0
+    assert rows(S.read_vip_increments(spark, f"{out}/vs")) == [("2019-04-02", "east", 1), ("2019-04-02", "未知", 1)]
