@@ -93,12 +93,20 @@ def ingest_table(spark: SparkSession, layout: Layout, raw_dir: str, table: str,
     """One loader: text scan, parse once, write rows and rejects.
 
     Append tables get (or replace) the ``time=dt`` partition; the others are full refreshes.
+    The parsed lines are persisted (memory, spilling to disk) for the two writes, so the raw
+    text is scanned and parsed once; a lost executor's share is recomputed from the text.
     """
+    from pyspark import StorageLevel
+
     check_day(dt)
     spec = I.SPECS[table]
     res = I.ingest_json(I.read_lines(spark, f"{raw_dir.rstrip('/')}/{RAW_FILES[table]}"), spec, dt)
-    write_table(res.rows, layout.bdl(table), partition_by=spec.partition_by, files=files)
-    write_table(res.rejects, layout.rejects(table), partition_by=("time",), files=files)
+    res.staged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_table(res.rows, layout.bdl(table), partition_by=spec.partition_by, files=files)
+        write_table(res.rejects, layout.rejects(table), partition_by=("time",), files=files)
+    finally:
+        res.staged.unpersist()
 
 
 def run_ingest(spark, layout: Layout, raw_dir: str, dt: str, tables: list[str] | None = None, files=None):

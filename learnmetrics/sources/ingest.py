@@ -160,6 +160,10 @@ SPECS: dict[str, IngestSpec] = {
 class IngestResult:
     rows: DataFrame
     rejects: DataFrame
+    # Every line once: the typed columns, ``_reason`` (null when good) and ``_raw`` (the
+    # text, kept only for rejected lines). ``rows`` and ``rejects`` are filters of it, so
+    # persisting it lets both be written from one scan and one parse.
+    staged: DataFrame
 
 
 def _field_columns(spec: IngestSpec, m: Column, load_date: str | None) -> dict[str, Column]:
@@ -200,18 +204,22 @@ def ingest_json(
     """Raw JSON lines -> (typed rows in ``spec`` order, rejects with ``value, reason``)."""
     if any(f.kind == "load_date" for f in spec.fields) and load_date is None:
         raise ValueError(f"{spec.table} needs a load date (yyyyMMdd)")
-    parsed = lines.select(F.col(value_col).alias("_raw"), C.parse_json_object(value_col).alias("_m"))
+    parsed = lines.select(F.col(value_col).alias("_line"), C.parse_json_object(value_col).alias("_m"))
     m = F.col("_m")
     cols = _field_columns(spec, m, load_date)
-    reason = reject_reason(spec, m)
-    staged = parsed.withColumn("_reason", reason)
-    rows = staged.where(F.col("_reason").isNull()).select(*[cols[n].alias(n) for n in spec.columns])
+    with_reason = parsed.withColumn("_reason", reject_reason(spec, m))
+    staged = with_reason.select(
+        *[F.when(F.col("_reason").isNull(), cols[n]).alias(n) for n in spec.columns],
+        "_reason",
+        F.when(F.col("_reason").isNotNull(), F.col("_line")).alias("_raw"),
+    )
+    rows = staged.where(F.col("_reason").isNull()).select(*spec.columns)
     rejects = staged.where(F.col("_reason").isNotNull()).select(
         F.col("_raw").alias("value"),
         F.col("_reason").alias("reason"),
         F.lit(load_date).cast("string").alias("time"),
     )
-    return IngestResult(rows, rejects)
+    return IngestResult(rows, rejects, staged)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -58,3 +58,18 @@ def test_missing_load_date_is_an_error(spark):
 
     with pytest.raises(ValueError):
         I.ingest_json(lines(spark, ["{}"]), I.PAYMONEY)
+
+
+def test_rows_and_rejects_share_one_parse_when_staged_is_persisted(spark):
+    data = [json.dumps({"uid": 1, "dn": "w"}), "bad"]
+    res = I.ingest_json(lines(spark, data), I.BASE_AD, "20190712")
+    res.staged.persist()
+    try:
+        for df in (res.rows, res.rejects):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "InMemoryTableScan" in plan
+        assert res.rows.count() == 1 and rows(res.rejects, "reason") == [("not_a_json_object",)]
+        # the raw text is kept only for rejected lines
+        assert res.staged.where("_raw is not null").count() == 1
+    finally:
+        res.staged.unpersist()
