@@ -68,7 +68,7 @@ def ensure_parallelism(df, min_partitions: int | None = None):
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS, extra_rows: int = 0):
+def broadcast_if_small(df, max_rows: int | None = None, extra_rows: int = 0):
     """Hint ``df`` for broadcast only after counting it: returns ``(df, broadcast?)``.
 
     For static lookup tables joined to a stream, where AQE cannot switch a shuffle join
@@ -78,6 +78,8 @@ def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS, extra_rows: int =
     """
     from pyspark.sql import functions as F
 
+    if max_rows is None:
+        max_rows = BROADCAST_MAX_ROWS
     n = df.count()
     if n + extra_rows <= max_rows:
         return F.broadcast(df), True

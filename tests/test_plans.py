@@ -58,3 +58,16 @@ def test_broadcast_only_below_counted_limit(spark):
     hinted, _ = broadcast_if_small(df, max_rows=100)
     joined = spark.range(1000).join(hinted, "id")
     assert "BroadcastHashJoin" in plan(joined)
+
+
+def test_fallbacks_above_broadcast_limit_give_same_results(spark, monkeypatch):
+    import learnmetrics.session as session
+
+    names = ["wide_member", "wide_member_reference", "zipper_close_out", "ip_region_join", "unpaid_visitors_batch"]
+    before = {n: rows(Q.queries()[n](spark, SF_SMALL)) for n in names}
+    monkeypatch.setattr(session, "BROADCAST_MAX_ROWS", 0)
+    for n in names:
+        df = Q.queries()[n](spark, SF_SMALL)
+        if n == "wide_member":
+            assert "SortAggregate(key=[uid" in df._jdf.queryExecution().sparkPlan().toString()
+        assert rows(df) == before[n], n
