@@ -101,3 +101,20 @@ def close_out(history: DataFrame, increment: DataFrame | None = None, close: str
     else:
         raise ValueError("close must be 'all' or 'last'")
     return rows.withColumn("end_time", end).select(*ZIPPER_COLUMNS)
+
+
+def advance_open(open_rows: DataFrame, increment: DataFrame, reopened: DataFrame | None = None) -> DataFrame:
+    """One day of the zipper on its open rows only.
+
+    ``open_rows``: the open interval of every key (one row per key). ``increment``: the
+    day's rows (all start on that day). ``reopened``: rows earlier closed on that day (a
+    re-run), which become open again before the day is re-applied. Returns the new open
+    rows and the rows closed by this day (``end_time`` = the day); closed intervals of
+    earlier days are untouched, so the work is proportional to the keys, not the history.
+    """
+    base = open_rows.select(*ZIPPER_COLUMNS)
+    if reopened is not None:
+        base = base.unionByName(reopened.select(*ZIPPER_COLUMNS).withColumn("end_time", F.lit(C.OPEN_END)))
+    # A re-run after a partial write can see a row both as open and as closed-then-reopened.
+    base = base.dropDuplicates(["uid", "website", "start_time"])
+    return close_out(base, increment)

@@ -162,6 +162,118 @@ def read_zipper(spark, layout: Layout, uid_type=None) -> DataFrame:
     return read_latest_snapshot(spark, layout.idl("idl_member_zipper"), zipper_schema(uid_type))
 
 
+# --- J4, incremental layout ---------------------------------------------------------------
+# Closed intervals never change on a normal day, so they live in append-only partitions
+# ``closed/end_day=<day>``; the open interval of each key is kept as snapshots ``open/``.
+# A day reads only the open rows (one per key) and that day's payments.
+
+ZIPPER_INC = "idl_member_zipper_inc"
+_STATE = "_state"
+
+
+def _zipper_inc_paths(layout: Layout) -> tuple[str, str]:
+    base = layout.idl(ZIPPER_INC)
+    return f"{base}/open", f"{base}/closed"
+
+
+def _with_column(schema, name: str):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    return StructType(list(schema.fields) + [StructField(name, StringType())])
+
+
+def _read_closed(spark, closed_path: str, schema) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.schema(_with_column(schema, "end_day")).parquet(closed_path)
+    except AnalysisException:  # nothing closed yet
+        return None
+
+
+def _read_open(spark, open_path: str, schema) -> DataFrame:
+    from learnmetrics.sinks.writers import latest_snapshot_path
+
+    snap = latest_snapshot_path(spark, open_path)
+    if snap is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(_with_column(schema, _STATE)).parquet(snap).where(F.col(_STATE) == "open").select(*schema.fieldNames())
+
+
+def read_zipper_inc(spark, layout: Layout, uid_type=None) -> DataFrame:
+    """The whole history in the incremental layout: closed partitions + the open snapshot."""
+    schema = zipper_schema(uid_type)
+    open_path, closed_path = _zipper_inc_paths(layout)
+    rows = _read_open(spark, open_path, schema)
+    closed = _read_closed(spark, closed_path, schema)
+    return rows if closed is None else rows.unionByName(closed.select(*schema.fieldNames()))
+
+
+def run_zipper_daily(spark, layout: Layout, dt: str, files=None) -> str:
+    """Apply day ``dt`` to the incremental zipper; idempotent for the latest day.
+
+    Steps: (1) write open and newly closed rows together as a new snapshot directory,
+    (2) copy the day's closed rows into ``closed/end_day=<day>`` (dynamic overwrite),
+    (3) move the open pointer. A failure before (3) leaves the previous state readable;
+    a re-run tolerates a half-done (2). A day older than an open interval (a late day)
+    is refused: run :func:`run_zipper_rebuild`.
+    """
+    from learnmetrics.functions.columns import OPEN_END
+    from learnmetrics.operators.zipper import advance_open
+    from learnmetrics.sinks.writers import LATEST_POINTER
+
+    check_day(dt)
+    payment = read_bdl(spark, layout, "bdl_pcentermempaymoney")
+    vip = read_bdl(spark, layout, "bdl_vip_level")
+    schema = zipper_schema(payment.schema["uid"].dataType)
+    open_path, closed_path = _zipper_inc_paths(layout)
+    day = f"{dt[:4]}-{dt[4:6]}-{dt[6:]}"
+
+    open_rows = _read_open(spark, open_path, schema)
+    if open_rows.where(F.col("start_time") > day).limit(1).count():
+        raise JobArgumentError(f"{dt} is older than an open interval; rebuild the history instead")
+    closed = _read_closed(spark, closed_path, schema)
+    reopened = None if closed is None else closed.where(F.col("end_day") == day).select(*schema.fieldNames())
+
+    rows = advance_open(open_rows, day_increment(payment, vip, day=dt), reopened)
+    staged = rows.withColumn(_STATE, F.when(F.col("end_time") == OPEN_END, "open").otherwise("closed"))
+    snap_id = new_snapshot_id(dt)
+    snap = f"{open_path}/snapshot={snap_id}"
+    write_table(staged, snap, partition_by=(_STATE,), files=files)
+    done = spark.read.schema(_with_column(schema, _STATE)).parquet(snap)
+    closed_now = done.where(F.col(_STATE) == "closed").select(*schema.fieldNames())
+    # The day's partition is replaced as a whole, also when it is now empty (a re-run that
+    # closes nothing must not leave the first run's rows behind).
+    write_table(closed_now, f"{closed_path}/end_day={day}", files=files)
+    spark.createDataFrame([(snap_id,)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{open_path}/{LATEST_POINTER}"
+    )
+    return snap
+
+
+def run_zipper_rebuild(spark, layout: Layout, files=None) -> None:
+    """Recompute the incremental zipper from every loaded day (late days, repairs)."""
+    from learnmetrics.functions.columns import OPEN_END
+    from learnmetrics.sinks.writers import LATEST_POINTER
+
+    payment = read_bdl(spark, layout, "bdl_pcentermempaymoney")
+    vip = read_bdl(spark, layout, "bdl_vip_level")
+    open_path, closed_path = _zipper_inc_paths(layout)
+    rows = close_out(day_increment(payment, vip))
+    staged = rows.withColumn(_STATE, F.when(F.col("end_time") == OPEN_END, "open").otherwise("closed"))
+    snap_id = new_snapshot_id("rebuild")
+    snap = f"{open_path}/snapshot={snap_id}"
+    write_table(staged, snap, partition_by=(_STATE,), files=files)
+    schema = zipper_schema(payment.schema["uid"].dataType)
+    done = spark.read.schema(_with_column(schema, _STATE)).parquet(snap)
+    closed = done.where(F.col(_STATE) == "closed").select(*schema.fieldNames()).withColumn("end_day", F.col("end_time"))
+    # A full (static) overwrite: end days that no longer exist must disappear.
+    closed.write.mode("overwrite").partitionBy("end_day").option("partitionOverwriteMode", "static").parquet(closed_path)
+    spark.createDataFrame([(snap_id,)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{open_path}/{LATEST_POINTER}"
+    )
+
+
 # --- J5/J6: reports ----------------------------------------------------------------------
 
 def run_reports(spark, layout: Layout, n: int = 3, ascending: bool = False, files=None):
@@ -257,6 +369,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("warehouse")
     p.add_argument("dt")
     p.add_argument("--close", default="all", choices=["all", "last"])
+    p = sub.add_parser("zipper-daily")
+    p.add_argument("warehouse")
+    p.add_argument("dt")
+    p = sub.add_parser("zipper-rebuild")
+    p.add_argument("warehouse")
     p = sub.add_parser("reports")
     p.add_argument("warehouse")
     p = sub.add_parser("clean")
@@ -299,6 +416,10 @@ def main(argv: list[str] | None = None) -> int:
         run_wide_member(spark, Layout(a.warehouse), a.fanout)
     elif a.job == "zipper":
         run_zipper(spark, Layout(a.warehouse), check_day(a.dt), a.close)
+    elif a.job == "zipper-daily":
+        run_zipper_daily(spark, Layout(a.warehouse), check_day(a.dt))
+    elif a.job == "zipper-rebuild":
+        run_zipper_rebuild(spark, Layout(a.warehouse))
     elif a.job == "reports":
         run_reports(spark, Layout(a.warehouse))
     elif a.job == "clean":

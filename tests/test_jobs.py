@@ -129,3 +129,47 @@ def test_stream_jobs_from_command_line(spark):
     assert {r.uid for r in S.read_unpaid_visitors(spark, f"{out}/us").collect()} == {3}
     assert J.main(["compact", "vip-stream", "--sink", f"{out}/vs"]) == 0
     assert rows(S.read_vip_increments(spark, f"{out}/vs")) == [("2019-04-02", "east", 1), ("2019-04-02", "未知", 1)]
+
+
+def test_incremental_zipper_equals_full_recompute_with_rerun_and_late_day(spark):
+    from learnmetrics.operators.zipper import close_out, day_increment
+
+    root = tempfile.mkdtemp(prefix="lm-wh-")
+    layout = J.Layout(root)
+    days = {
+        "20190710": [{"uid": 1, "paymoney": "5", "vip_id": 1, "dn": "A"}, {"uid": 2, "paymoney": "1", "vip_id": 1, "dn": "A"}],
+        "20190711": [{"uid": 1, "paymoney": "3", "vip_id": 2, "dn": "A"}],
+        "20190712": [{"uid": 1, "paymoney": "4", "vip_id": 1, "dn": "A"}, {"uid": 2, "paymoney": "2", "vip_id": 2, "dn": "A"},
+                     {"uid": 3, "paymoney": "9", "vip_id": 2, "dn": "A"}],
+    }
+
+    def full():
+        pay = J.read_bdl(spark, layout, "bdl_pcentermempaymoney")
+        vip = J.read_bdl(spark, layout, "bdl_vip_level")
+        return rows(close_out(day_increment(pay, vip)))
+
+    for dt, pays in days.items():
+        d = tempfile.mkdtemp()
+        raw_day(d, pays)
+        J.run_ingest(spark, layout, d, dt, tables=["bdl_pcentermempaymoney", "bdl_vip_level"])
+        J.run_zipper_daily(spark, layout, dt)
+        assert rows(J.read_zipper_inc(spark, layout)) == full(), dt
+
+    # re-run the latest day with different payments: uid 1 and 2 no longer pay that day
+    d = tempfile.mkdtemp()
+    raw_day(d, [{"uid": 3, "paymoney": "9", "vip_id": 2, "dn": "A"}])
+    J.run_ingest(spark, layout, d, "20190712", tables=["bdl_pcentermempaymoney"])
+    J.run_zipper_daily(spark, layout, "20190712")
+    J.run_zipper_daily(spark, layout, "20190712")
+    assert rows(J.read_zipper_inc(spark, layout)) == full()
+    opened = [r for r in J.read_zipper_inc(spark, layout).collect() if r.end_time == "9999-12-31"]
+    assert sorted((r.uid, r.start_time) for r in opened) == [(1, "2019-07-11"), (2, "2019-07-10"), (3, "2019-07-12")]
+
+    # a late day is refused by the daily job and handled by the rebuild
+    d = tempfile.mkdtemp()
+    raw_day(d, [{"uid": 2, "paymoney": "6", "vip_id": 1, "dn": "A"}])
+    J.run_ingest(spark, layout, d, "20190709", tables=["bdl_pcentermempaymoney"])
+    with pytest.raises(J.JobArgumentError):
+        J.run_zipper_daily(spark, layout, "20190709")
+    J.run_zipper_rebuild(spark, layout)
+    assert rows(J.read_zipper_inc(spark, layout)) == full()
