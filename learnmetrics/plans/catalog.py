@@ -152,6 +152,21 @@ def zipper_incremental(spark, sf, close: str = "all"):
     return _double(close_out(history, day_increment(pay, vip, day=latest), close=close), "paymoney")
 
 
+def zipper_advance_open(spark, sf):
+    """The incremental layout's step: history of every day but the latest, split into
+    closed and open rows; only the open rows are advanced by the latest day."""
+    from learnmetrics.functions.columns import OPEN_END
+    from learnmetrics.operators.zipper import advance_open
+
+    pay, vip = V.payment(spark, sf), V.vip_level(spark, sf)
+    latest = pay.select(F.max("time")).scalar()
+    history = close_out(day_increment(pay.where(F.col("time") < latest), vip))
+    open_rows = history.where(F.col("end_time") == OPEN_END)
+    closed = history.where(F.col("end_time") != OPEN_END)
+    advanced = advance_open(open_rows, day_increment(pay, vip, day=latest))
+    return _double(closed.unionByName(advanced), "paymoney")
+
+
 def zipper_close_last(spark, sf):
     """As :func:`zipper_incremental` with the reference's close-out (second-newest row only)."""
     return zipper_incremental(spark, sf, close="last")
@@ -255,6 +270,7 @@ def queries() -> dict[str, Query]:
             "zipper_close_out": zipper_close_out,
             "zipper_incremental": zipper_incremental,
             "zipper_close_last": zipper_close_last,
+            "zipper_advance_open": zipper_advance_open,
             "clean_events": clean_events,
             "clean_events_rejects": clean_events_rejects,
             "daily_video_users": daily_video_users,

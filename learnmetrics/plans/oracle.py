@@ -318,6 +318,7 @@ def oracle_sql() -> dict[str, str]:
         "clean_events_rejects": CLEAN_EVENTS_REJECTS,
         "top3_payers_legacy_money": _top(asc=False, money="DECIMAL(10,4)"),
         "zipper_close_last": _with(*MEMBER_VIEWS, DAY_INCREMENT) + _ZIPPER_OUT,
+        "zipper_advance_open": _with(*MEMBER_VIEWS, DAY_INCREMENT) + _ZIPPER_OUT,
         "wide_member": _with(*MEMBER_VIEWS, WIDE) + f"SELECT {_WIDE_OUT_COLS} FROM wide",
         "wide_member_reference": _with(*MEMBER_VIEWS, WIDE) + f"SELECT {_WIDE_OUT_COLS} FROM wide",
         "wide_member_api": _with(*MEMBER_VIEWS, WIDE_API) + f"SELECT {_WIDE_OUT_COLS} FROM wide",
