@@ -340,6 +340,7 @@ def start_vip_increment(
     return S.start_upsert_stream(
         agg, sink_path, checkpoint, trigger=kw.get("trigger", S.DEFAULT_TRIGGER),
         available_now=kw.get("available_now", False), state_partitions=kw.get("state_partitions"),
+        sink_files=kw.get("sink_files"),
     )
 
 
@@ -349,6 +350,7 @@ def start_unpaid_visitors(spark, lines: DataFrame, vip_users: DataFrame, sink_pa
     return S.start_upsert_stream(
         agg, sink_path, checkpoint, trigger=kw.get("trigger", S.DEFAULT_TRIGGER),
         available_now=kw.get("available_now", False), state_partitions=kw.get("state_partitions"),
+        sink_files=kw.get("sink_files"),
     )
 
 
@@ -393,6 +395,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--trigger", default=S.DEFAULT_TRIGGER)
         p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         p.add_argument("--state-partitions", type=int)
+        p.add_argument("--sink-files", type=int, help="files per micro-batch in the change log")
         p.add_argument("--watermark")
     p = sub.choices["vip-stream"]
     p.add_argument("--ip-ranges", required=True, help="CSV with header lo,hi,region")
@@ -431,7 +434,8 @@ def main(argv: list[str] | None = None) -> int:
 
         lines = stream_lines(spark, a.kafka_servers, a.topic, a.file_dir, a.starting_offsets)
         sink, ckpt = stream_paths(spark, a.job, a.sink, a.checkpoint)
-        kw = dict(trigger=a.trigger, available_now=a.available_now, state_partitions=a.state_partitions)
+        kw = dict(trigger=a.trigger, available_now=a.available_now, state_partitions=a.state_partitions,
+                  sink_files=a.sink_files)
         if a.watermark:
             kw["watermark"] = a.watermark
         if a.job == "vip-stream":

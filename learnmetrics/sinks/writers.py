@@ -83,8 +83,14 @@ def read_latest_snapshot(spark: SparkSession, base: str, schema: StructType) ->
     return spark.read.schema(schema).parquet(path)
 
 
-def upsert_changelog_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """Write one micro-batch of changed keys to ``path/batch_id=N`` (idempotent on replay)."""
+def upsert_changelog_batch(df: DataFrame, batch_id: int, path: str, files: int | None = None) -> None:
+    """Write one micro-batch of changed keys to ``path/batch_id=N`` (idempotent on replay).
+
+    ``files`` caps the files per batch (``coalesce``): a batch holds only the keys that
+    changed, so a few files avoid thousands of tiny ones per day; compaction folds them.
+    """
+    if files:
+        df = df.coalesce(files)
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")

@@ -132,6 +132,7 @@ def start_upsert_stream(
     available_now: bool = False,
     query_name: str | None = None,
     state_partitions: int | None = None,
+    sink_files: int | None = None,
 ) -> StreamingQuery:
     """Run ``agg`` in update mode into a change log at ``sink_path``.
 
@@ -140,12 +141,13 @@ def start_upsert_stream(
     ``state_partitions`` fixes the number of state-store partitions (the shuffle
     partitions of the stateful step), which is recorded in the checkpoint at the first
     start and cannot change later; size it to the state, not to one batch. By default the
-    session's ``spark.sql.shuffle.partitions`` is used.
+    session's ``spark.sql.shuffle.partitions`` is used. ``sink_files`` caps the files
+    written per micro-batch.
     """
     w = (
         agg.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint_path)
-        .foreachBatch(lambda df, batch_id: upsert_changelog_batch(df, batch_id, sink_path))
+        .foreachBatch(lambda df, batch_id: upsert_changelog_batch(df, batch_id, sink_path, sink_files))
     )
     if query_name:
         w = w.queryName(query_name)

@@ -120,7 +120,7 @@ def test_stream_jobs_from_command_line(spark):
         fh.write("lo,hi,region\n1.0.0.0,1.0.255.255,east\n")
     vip_path = os.path.join(out, "vip")
     spark.createDataFrame([(1, "2")], "id int, uid string").write.parquet(vip_path)
-    common = ["--file-dir", src, "--available-now", "--state-partitions", "2"]
+    common = ["--file-dir", src, "--available-now", "--state-partitions", "2", "--sink-files", "1"]
     assert J.main(["vip-stream", *common, "--sink", f"{out}/vs", "--checkpoint", f"{out}/vc",
                    "--ip-ranges", f"{out}/ranges.csv", "--dotted"]) == 0
     assert rows(S.read_vip_increments(spark, f"{out}/vs")) == [("2019-04-02", "east", 1), ("2019-04-02", "未知", 1)]
