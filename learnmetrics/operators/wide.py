@@ -74,6 +74,10 @@ def _unpack(df: DataFrame, struct_col: str, cols: list[str]) -> DataFrame:
     return df.select("*", *[F.col(f"{struct_col}.{c}").alias(c) for c in cols]).drop(struct_col)
 
 
+PAY_COLUMNS = {"paymoney", *VIP_FIRST, *VIP_MAX, *VIP_MIN}
+REG_COLUMNS = {"appkey", "appregurl", "bdp_uuid", "reg_createtime", "domain", "isranreg", "regsource", "regsourcename"}
+
+
 def build_wide(
     member: DataFrame,
     regtype: DataFrame,
@@ -83,25 +87,39 @@ def build_wide(
     vip: DataFrame,
     fanout: str = "safe",
     money_default: float | int | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """Wide member table with :data:`WIDE_COLUMNS`; ``paymoney`` is decimal."""
+    """Wide member table with :data:`WIDE_COLUMNS` (or the subset ``columns``); ``paymoney``
+    is decimal.
+
+    With ``columns`` the safe build joins only the sources those columns come from: every
+    source is reduced to one row per member first, so dropping an unused left join leaves
+    the rows unchanged. (Catalyst cannot do this itself: it does not know the joined side
+    is unique per key.)
+    """
+    cols = list(columns or WIDE_COLUMNS)
+    need = set(cols)
+    if fanout == "reference" or money_default is not None:
+        need |= set(WIDE_COLUMNS)
     regtype = regtype.withColumnRenamed("siteid", "reg_siteid")
     vip = vip.withColumnRenamed("vip_id", "vip_id_dim")
     # Dimensions keyed by few distinct values (site, VIP level, ad per website) are
     # broadcast when their counted size allows; otherwise shuffle joins with AQE skew
     # splitting take over.
-    ad = broadcast_if_small(ad)[0]
-    site = broadcast_if_small(site)[0]
-    vip, vip_small = broadcast_if_small(vip)
+    ad = broadcast_if_small(ad)[0] if "adname" in need else None
+    site = broadcast_if_small(site)[0] if need & set(SITE_FIRST) else None
+    vip, vip_small = broadcast_if_small(vip) if need & PAY_COLUMNS else (None, False)
+    use_reg = site is not None or bool(need & REG_COLUMNS)
     if fanout == "safe":
-        wide = _build_safe(member, regtype, ad, site, payment, vip, vip_small)
+        wide = _build_safe(member, regtype if use_reg else None, ad, site, payment if vip is not None else None,
+                           vip, vip_small)
     elif fanout == "reference":
         wide = _build_reference(member, regtype, ad, site, payment, vip)
     else:
         raise ValueError("fanout must be 'safe' or 'reference'")
     if money_default is not None:
         wide = wide.withColumn("paymoney", F.coalesce("paymoney", F.lit(money_default).cast("decimal(20,4)")))
-    return wide.select(*WIDE_COLUMNS)
+    return wide.select(*cols)
 
 
 def _payments_with_vip(payment: DataFrame, vip: DataFrame) -> DataFrame:
@@ -116,8 +134,11 @@ def _payments_with_vip(payment: DataFrame, vip: DataFrame) -> DataFrame:
     )
 
 
-def _join_dims(df: DataFrame, ad: DataFrame, site: DataFrame) -> DataFrame:
-    df = df.join(ad, ["ad_id", "website"], "left")
+def _join_dims(df: DataFrame, ad: DataFrame | None, site: DataFrame | None) -> DataFrame:
+    if ad is not None:
+        df = df.join(ad, ["ad_id", "website"], "left")
+    if site is None:
+        return df
     s = site.withColumnRenamed("website", "site_website")
     return df.join(
         s, (df["reg_siteid"] == s["siteid"]) & (df["website"] == s["site_website"]), "left"
@@ -208,17 +229,22 @@ def _build_safe(member, regtype, ad, site, payment, vip, vip_small: bool) -> Dat
     member_one = _unpack(
         member.groupBy(*KEY).agg(_pick(F.max, ["time"], MEMBER_FIRST, "_m")), "_m", MEMBER_FIRST
     )
-    reg_one = _unpack(
-        regtype.groupBy(*KEY).agg(_pick(F.min, ["reg_createtime", "appregurl"], REG_FIRST, "_r")),
-        "_r",
-        REG_FIRST,
-    )
+    wide = member_one
+    if regtype is not None:
+        reg_one = _unpack(
+            regtype.groupBy(*KEY).agg(_pick(F.min, ["reg_createtime", "appregurl"], REG_FIRST, "_r")),
+            "_r",
+            REG_FIRST,
+        )
+        wide = wide.join(reg_one, KEY, "left")
+    if payment is None:
+        return _join_dims(wide, ad, site)
     # The integer (hash-aggregate) path broadcasts VIP-sized tables, so it is taken only
     # when the VIP dimension's row count is under the broadcast limit.
     pay_one = _pay_one_hashed(payment, vip) if vip_small else _pay_one_sorted(payment, vip)
     # uid-keyed joins first: all three sides are hash-partitioned on (uid, website) by their
     # aggregations, so the sort-merge joins need no further exchange.
-    wide = member_one.join(reg_one, KEY, "left").join(pay_one, KEY, "left")
+    wide = wide.join(pay_one, KEY, "left")
     return _join_dims(wide, ad, site)
 
 

@@ -77,7 +77,7 @@ def ingest_wxbound(spark, sf):
 
 # --- wide table and reports ---------------------------------------------------------------
 
-def wide_table(spark: SparkSession, sf: str, fanout: str = "safe", money_default=None) -> DataFrame:
+def wide_table(spark: SparkSession, sf: str, fanout: str = "safe", money_default=None, columns=None) -> DataFrame:
     return build_wide(
         T.member_columns(V.member(spark, sf)),
         T.regtype_columns(V.regtype(spark, sf)),
@@ -87,6 +87,7 @@ def wide_table(spark: SparkSession, sf: str, fanout: str = "safe", money_default
         T.vip_columns(V.vip_level(spark, sf)),
         fanout=fanout,
         money_default=money_default,
+        columns=columns,
     )
 
 
@@ -103,12 +104,13 @@ def wide_member_api(spark, sf):
 
 
 def _report_input(spark, sf):
-    return T.wide_for_reports(wide_table(spark, sf))
+    return T.wide_for_reports(wide_table(spark, sf, columns=T.REPORT_COLUMNS))
 
 
 def _headcount_query(dim: str) -> Query:
     def q(spark, sf):
-        return headcount(_report_input(spark, sf), dim)
+        # Only the sources the dimension comes from are joined.
+        return headcount(wide_table(spark, sf, columns=["uid", dim, "website"]), dim)
 
     q.__name__ = f"headcount_{dim.replace('_', '')}"
     return q

@@ -95,3 +95,12 @@ def test_latest_member_load_wins(spark):
     newer = spark.createDataFrame([m(3, 10, "8", "A", time="20190801")], MEMBER)
     w = by_key(build_wide(member.unionByName(T.member_columns(newer)), *rest))
     assert w[(3, "A")].memberlevel == "8" and len(w) == 4
+
+
+def test_column_subsets_equal_projection_of_full_table(spark):
+    f = fixtures(spark)
+    full = build_wide(*f)
+    for cols in (["uid", "appregurl", "website"], ["uid", "adname", "website"], ["uid", "sitename", "website"],
+                 ["uid", "memberlevel", "website"], ["uid", "vip_level", "paymoney", "website"]):
+        assert sorted(map(tuple, build_wide(*f, columns=cols).collect()), key=repr) == \
+            sorted(map(tuple, full.select(*cols).collect()), key=repr), cols
