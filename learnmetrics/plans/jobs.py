@@ -220,7 +220,7 @@ def run_zipper_daily(spark, layout: Layout, dt: str, files=None) -> str:
     """
     from learnmetrics.functions.columns import OPEN_END
     from learnmetrics.operators.zipper import advance_open
-    from learnmetrics.sinks.writers import LATEST_POINTER
+    from learnmetrics.sinks.writers import publish_snapshot
 
     check_day(dt)
     payment = read_bdl(spark, layout, "bdl_pcentermempaymoney")
@@ -245,16 +245,14 @@ def run_zipper_daily(spark, layout: Layout, dt: str, files=None) -> str:
     # The day's partition is replaced as a whole, also when it is now empty (a re-run that
     # closes nothing must not leave the first run's rows behind).
     write_table(closed_now, f"{closed_path}/end_day={day}", files=files)
-    spark.createDataFrame([(snap_id,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{open_path}/{LATEST_POINTER}"
-    )
+    publish_snapshot(spark, open_path, snap_id)
     return snap
 
 
 def run_zipper_rebuild(spark, layout: Layout, files=None) -> None:
     """Recompute the incremental zipper from every loaded day (late days, repairs)."""
     from learnmetrics.functions.columns import OPEN_END
-    from learnmetrics.sinks.writers import LATEST_POINTER
+    from learnmetrics.sinks.writers import publish_snapshot
 
     payment = read_bdl(spark, layout, "bdl_pcentermempaymoney")
     vip = read_bdl(spark, layout, "bdl_vip_level")
@@ -269,9 +267,7 @@ def run_zipper_rebuild(spark, layout: Layout, files=None) -> None:
     closed = done.where(F.col(_STATE) == "closed").select(*schema.fieldNames()).withColumn("end_day", F.col("end_time"))
     # A full (static) overwrite: end days that no longer exist must disappear.
     closed.write.mode("overwrite").partitionBy("end_day").option("partitionOverwriteMode", "static").parquet(closed_path)
-    spark.createDataFrame([(snap_id,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{open_path}/{LATEST_POINTER}"
-    )
+    publish_snapshot(spark, open_path, snap_id)
 
 
 # --- J5/J6: reports ----------------------------------------------------------------------

@@ -47,33 +47,44 @@ def write_text(df: DataFrame, path: str, files: int | None = None, compression:
 
 
 def new_snapshot_id(day: str) -> str:
-    """Snapshot ids sort by day, then by write time, so the latest is the greatest."""
+    """Snapshot ids sort by write time (then day), so the latest written is the greatest,
+    also when an older day is re-run."""
     now = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    return f"{day}_{now}"
+    return f"{now}_{day}"
+
+
+def publish_snapshot(spark: SparkSession, base: str, snapshot_id: str) -> None:
+    """Make ``snapshot_id`` the current version of the table at ``base``.
+
+    Appends one small pointer file; nothing is deleted or rewritten, so a crash leaves
+    either the old or the new version current, never none. The greatest id wins.
+    """
+    spark.createDataFrame([(snapshot_id,)], "value string").coalesce(1).write.mode("append").text(
+        f"{base}/{LATEST_POINTER}"
+    )
 
 
 def write_snapshot(df: DataFrame, base: str, snapshot_id: str, files: int | None = None) -> str:
-    """Write a table version to ``base/snapshot=<id>`` and then move the latest pointer.
+    """Write a table version to ``base/snapshot=<id>``, then publish it.
 
     Readers follow the pointer, so a job that reads the current version and writes the
-    next one never overwrites its own input; a failed write leaves the pointer unchanged.
+    next one never overwrites its own input; a failed write publishes nothing.
     """
-    spark = df.sparkSession
     path = f"{base}/snapshot={snapshot_id}"
     write_table(df, path, files=files)
-    spark.createDataFrame([(snapshot_id,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{base}/{LATEST_POINTER}"
-    )
+    publish_snapshot(df.sparkSession, base, snapshot_id)
     return path
 
 
 def latest_snapshot_path(spark: SparkSession, base: str) -> str | None:
-    """Path of the latest snapshot, or None when the table has none yet."""
+    """Path of the latest published snapshot, or None when the table has none yet."""
+    from pyspark.errors import AnalysisException
+
     try:
-        rows = spark.read.text(f"{base}/{LATEST_POINTER}").take(1)
-    except Exception:  # pointer missing: first run
+        row = spark.read.text(f"{base}/{LATEST_POINTER}").agg(F.max("value").alias("v")).first()
+    except AnalysisException:  # no pointer yet: first run
         return None
-    return f"{base}/snapshot={rows[0].value}" if rows else None
+    return f"{base}/snapshot={row.v}" if row and row.v else None
 
 
 def read_latest_snapshot(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
@@ -152,4 +163,4 @@ def compact_changelog(
         return None
     upto_newest = log.where(F.col("batch_id").cast("bigint") <= newest)
     current = _latest(_since_compaction(spark, path, upto_newest, keys, values), keys, values)
-    return write_snapshot(current, f"{path}/{COMPACTED}", str(newest))
+    return write_snapshot(current, f"{path}/{COMPACTED}", f"{newest:020d}")

@@ -173,3 +173,18 @@ def test_incremental_zipper_equals_full_recompute_with_rerun_and_late_day(spark)
         J.run_zipper_daily(spark, layout, "20190709")
     J.run_zipper_rebuild(spark, layout)
     assert rows(J.read_zipper_inc(spark, layout)) == full()
+
+
+def test_snapshot_publication_survives_an_unpublished_write(spark):
+    from learnmetrics.sinks.writers import latest_snapshot_path, new_snapshot_id, write_snapshot, write_table
+
+    base = tempfile.mkdtemp(prefix="lm-snap-")
+    assert latest_snapshot_path(spark, base) is None
+    first = write_snapshot(spark.range(3), base, new_snapshot_id("20190701"))
+    # a run that wrote its data but crashed before publishing changes nothing
+    write_table(spark.range(5), f"{base}/snapshot={new_snapshot_id('20190702')}")
+    assert latest_snapshot_path(spark, base) == first
+    # a later re-run of an older day still becomes current (ids sort by write time)
+    second = write_snapshot(spark.range(7), base, new_snapshot_id("20190601"))
+    assert latest_snapshot_path(spark, base) == second
+    assert spark.read.parquet(latest_snapshot_path(spark, base)).count() == 7
