@@ -243,6 +243,10 @@ def unpaid_visitors_batch(spark, sf):
     return S.unpaid_visitors(_lines(spark, sf), V.vip_users(spark, sf), *UNPAID_WINDOW, watermark=None)
 
 
+def unpaid_users_batch(spark, sf):
+    return S.unpaid_users(unpaid_visitors_batch(spark, sf))
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "ingest_member": ingest_member,
@@ -281,6 +285,7 @@ def queries() -> dict[str, Query]:
             "vip_increment_recent": vip_increment_recent,
             "unpaid_visitors_stream": unpaid_visitors_stream,
             "unpaid_visitors_batch": unpaid_visitors_batch,
+            "unpaid_users_batch": unpaid_users_batch,
         }
     )
     return q

@@ -303,6 +303,10 @@ SELECT CAST(s_suppkey % 3 AS INTEGER) AS bind_source, 'wx' || CAST(s_suppkey AS
 FROM supplier"""
 
 
+UNPAID_USERS = "WITH w AS (" + UNPAID_VISITORS.strip() + """)
+SELECT uid, min(window_start) AS first_window_start, max(cnt) AS max_visits FROM w GROUP BY uid"""
+
+
 def oracle_sql() -> dict[str, str]:
     q = {
         "ingest_member": INGEST_MEMBER,
@@ -336,6 +340,7 @@ def oracle_sql() -> dict[str, str]:
         "vip_increment_recent": VIP_INCREMENT_RECENT,
         "unpaid_visitors_stream": UNPAID_VISITORS,
         "unpaid_visitors_batch": UNPAID_VISITORS,
+        "unpaid_users_batch": UNPAID_USERS,
     }
     for d in HEADCOUNT_DIMS:
         q[f"headcount_{d.replace('_', '')}"] = _headcount(d)

@@ -184,6 +184,18 @@ def read_unpaid_visitors(spark: SparkSession, sink_path: str) -> DataFrame:
     return read_changelog(spark, sink_path, UNPAID_KEYS, ["cnt"], schema=UNPAID_LOG_SCHEMA)
 
 
+def unpaid_users(windows: DataFrame) -> DataFrame:
+    """One row per flagged user (the reference keeps a set of uids): the first window in
+    which the user reached the threshold and the most visits in any window."""
+    return windows.groupBy("uid").agg(
+        F.min("window_start").alias("first_window_start"), F.max("cnt").alias("max_visits")
+    )
+
+
+def read_unpaid_users(spark: SparkSession, sink_path: str) -> DataFrame:
+    return unpaid_users(read_unpaid_visitors(spark, sink_path))
+
+
 def compact_vip_increments(spark: SparkSession, sink_path: str) -> str | None:
     """Periodic batch job: fold the VIP change log into a snapshot."""
     return compact_changelog(spark, sink_path, VIP_KEYS, ["cnt"], schema=VIP_LOG_SCHEMA)

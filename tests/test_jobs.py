@@ -127,6 +127,8 @@ def test_stream_jobs_from_command_line(spark):
     assert J.main(["unpaid-stream", *common, "--sink", f"{out}/us", "--checkpoint", f"{out}/uc",
                    "--vip-users", vip_path]) == 0
     assert {r.uid for r in S.read_unpaid_visitors(spark, f"{out}/us").collect()} == {3}
+    users = S.read_unpaid_users(spark, f"{out}/us").collect()
+    assert [(u.uid, u.max_visits) for u in users] == [(3, 3)]
     assert J.main(["compact", "vip-stream", "--sink", f"{out}/vs"]) == 0
     assert rows(S.read_vip_increments(spark, f"{out}/vs")) == [("2019-04-02", "east", 1), ("2019-04-02", "未知", 1)]
 
