@@ -75,6 +75,24 @@ def ingest_wxbound(spark, sf):
     return I.ingest_json(V.wxbound_json(spark, sf), I.MEMBER_WXBOUND, V.LOAD_DATE).rows
 
 
+def mask_members(spark, sf):
+    """The masking and label functions on every member: name, both phone masks, password,
+    registration-source label."""
+    from learnmetrics.functions import columns as C
+
+    c = V.table(spark, sf, "customer")
+    raw = V.raw_phone(F.col("c_custkey"))
+    return c.select(
+        F.col("c_custkey").alias("uid"),
+        C.mask_name("c_name").alias("fullname"),
+        C.mask_phone(raw).alias("phone"),
+        C.mask_phone(raw, C.PHONE_MASK_BEHAVIOUR).alias("phone_behaviour"),
+        C.password_mask().alias("password"),
+        C.regsource_name((F.col("c_custkey") % 6).cast("string")).alias("regsourcename"),
+        F.col("c_mktsegment").alias("website"),
+    )
+
+
 # --- wide table and reports ---------------------------------------------------------------
 
 def wide_table(spark: SparkSession, sf: str, fanout: str = "safe", money_default=None, columns=None) -> DataFrame:
@@ -259,6 +277,7 @@ def queries() -> dict[str, Query]:
         "ingest_base_ad_rejects": ingest_base_ad_rejects,
         "ingest_base_website": ingest_base_website,
         "ingest_wxbound": ingest_wxbound,
+        "mask_members": mask_members,
         "wide_member": wide_member,
         "wide_member_reference": wide_member_reference,
         "wide_member_api": wide_member_api,

@@ -292,6 +292,16 @@ SELECT CAST(c_custkey AS INTEGER) AS uid, 'un' || CAST(c_custkey AS VARCHAR) AS
        CAST(c_custkey % 3 AS INTEGER) AS bindsource, '{LOAD_DATE}' AS time, c_mktsegment AS website
 FROM customer"""
 
+MASK_MEMBERS = """
+SELECT c_custkey AS uid, substr(c_name, 1, 1) || 'xx' AS fullname,
+       '138*****' || substr(lpad(CAST(c_custkey AS VARCHAR), 8, '0'), 5, 4) AS phone,
+       '138xxxx' || substr(lpad(CAST(c_custkey AS VARCHAR), 8, '0'), 5, 4) AS phone_behaviour,
+       '******' AS password,
+       CASE c_custkey % 6 WHEN 1 THEN 'PC' WHEN 2 THEN 'Mobile' WHEN 3 THEN 'App'
+            WHEN 4 THEN 'WeChat' ELSE 'other' END AS regsourcename,
+       c_mktsegment AS website
+FROM customer"""
+
 CLEAN_EVENTS_REJECTS = """
 SELECT 16 AS n_fields, count(*) AS n FROM events WHERE event_type = 'error'"""
 
@@ -319,6 +329,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_base_ad_rejects": INGEST_BASE_AD_REJECTS,
         "ingest_base_website": INGEST_BASE_WEBSITE,
         "ingest_wxbound": INGEST_WXBOUND,
+        "mask_members": MASK_MEMBERS,
         "clean_events_rejects": CLEAN_EVENTS_REJECTS,
         "top3_payers_legacy_money": _top(asc=False, money="DECIMAL(10,4)"),
         "zipper_close_last": _with(*MEMBER_VIEWS, DAY_INCREMENT) + _ZIPPER_OUT,
