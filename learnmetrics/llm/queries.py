@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from learnmetrics.llm import linededup
+from learnmetrics.llm import linededup, packing
 
 
 def queries() -> dict:
-    return {"op3_line_dedup": linededup.op3_line_dedup}
+    return {
+        "op3_line_dedup": linededup.op3_line_dedup,
+        "op9_packing": packing.op9_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
