@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from learnmetrics.llm import linededup, packing
+from learnmetrics.llm import linededup, neardup, packing
 
 
 def queries() -> dict:
     return {
         "op3_line_dedup": linededup.op3_line_dedup,
+        "op5_near_dedup": neardup.op5_near_dedup,
         "op9_packing": packing.op9_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": linededup.OP3_SQL}
+    return {"op3_line_dedup": linededup.OP3_SQL, "op5_near_dedup": neardup.OP5_SQL}
