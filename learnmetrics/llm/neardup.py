@@ -43,8 +43,10 @@ BAND_ROWS = 4
 #: Elements whose permutations a task holds at once.
 ELEMENTS = 1 << 16
 TEXT_SLICE = 4 << 20
-#: Star rounds before the pairs left are listed outright.
-STAR_ROUNDS = 4
+#: Pairs still to be compared are listed outright once there are at most so many for each
+#: row of the bucket table; star rounds before that are at most STAR_ROUNDS.
+LISTED = 4
+STAR_ROUNDS = 6
 
 _UNSET = np.uint64(2**64 - 1)
 
@@ -221,37 +223,58 @@ def _join_members(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
     spark = members.sparkSession
     found = spark.createDataFrame([], T.StructType([T.StructField("node", kind), T.StructField("comp", kind)]))
     tested = spark.createDataFrame([], T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
-    for turn in range(STAR_ROUNDS + 1):
+    turn = 0
+    while True:
         labelled = members.select("bucket", "node", "n").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         apart = labelled.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        # Only buckets that still hold two components matter; the pivot is another one each turn.
+        # Only buckets that still hold two components matter.
         members = stored(labelled.join(apart.select("bucket"), "bucket").select("bucket", "node", "n", "comp"), "apart")
-        similar_size = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-        if turn < STAR_ROUNDS:
-            pivots = members.groupBy("bucket").agg(
-                F.min(F.struct(F.xxhash64(F.lit(turn), "comp") if turn else F.lit(0), F.col("comp"), F.xxhash64(F.lit(turn), "node") if turn else F.lit(0), "node", F.col("n").alias("m"))).alias("p")
-            ).select("bucket", F.col("p.comp").alias("pivot_comp"), F.col("p.node").alias("pivot"), F.col("p.m").alias("m"))
-            pairs = members.join(pivots, "bucket").where(F.col("comp") != F.col("pivot_comp")).where(similar_size)
-            pairs = pairs.groupBy("pivot", "node").agg(F.count("*").alias("votes"))
-            if turn == 0:
-                # One comparison a node first, with the pivot it meets most often: in a large group most links come from it.
-                best = F.max_by(F.col("pivot"), F.struct("votes", "pivot"))
-                pairs = pairs.groupBy("node").agg(best.alias("pivot"))
-            pairs = pairs.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
-        else:
-            other = members.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
-            pairs = members.withColumnRenamed("node", "a").join(other, "bucket").where("a < b and comp <> comp_b").where(similar_size)
-            pairs = pairs.select("a", "b").distinct()
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if turn < STAR_ROUNDS and not members.isEmpty():
-                continue
-            break
+        rows, crossing = (
+            members.groupBy("bucket", "comp").agg(F.count("*").cast("double").alias("c"))
+            .groupBy("bucket").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+            .agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
+        )
+        if not rows:
+            return found
+        last = crossing <= LISTED * rows or turn >= STAR_ROUNDS
+        pairs = stored((_crossing if last else _star)(members, turn, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
         links = stored(_verified(pairs, sets, percent), "links")
-        tested = tested.unionByName(pairs)
         if not links.isEmpty():
             found = stored(components(links.unionByName(found.select(F.col("comp").alias("a"), F.col("node").alias("b")))), "found")
-    return found
+        if last:
+            return found
+        tested = tested.unionByName(pairs)
+        turn += 1
+
+
+def _similar_size(percent: int):
+    """Sets of these sizes can reach the similarity at all."""
+    return 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+
+
+def _star(members: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of each bucket's pivot and the nodes outside its component.
+
+    The pivot is the smallest node at first, then another one each turn. In the first turn a
+    node meets only the pivot it shares most buckets with: in a large group of copies most
+    links come from that one comparison.
+    """
+    order = [F.xxhash64(F.lit(turn), "comp"), F.xxhash64(F.lit(turn), "node")] if turn else [F.lit(0), F.lit(0)]
+    first = F.min(F.struct(order[0].alias("o"), F.col("comp"), order[1].alias("p"), F.col("node"), F.col("n").alias("m")))
+    pivots = members.groupBy("bucket").agg(first.alias("p"))
+    pivots = pivots.select("bucket", F.col("p.comp").alias("pivot_comp"), F.col("p.node").alias("pivot"), F.col("p.m").alias("m"))
+    pairs = members.join(pivots, "bucket").where(F.col("comp") != F.col("pivot_comp")).where(_similar_size(percent))
+    pairs = pairs.groupBy("pivot", "node").agg(F.count("*").alias("votes"))
+    if turn == 0:
+        pairs = pairs.groupBy("node").agg(F.max_by("pivot", F.struct("votes", "pivot")).alias("pivot"))
+    return pairs.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
+
+
+def _crossing(members: DataFrame, turn: int, percent: int) -> DataFrame:
+    """All pairs (a, b) of nodes in one bucket and in different components."""
+    other = members.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
+    pairs = members.withColumnRenamed("node", "a").join(other, "bucket").where("a < b and comp <> comp_b")
+    return pairs.where(_similar_size(percent)).select("a", "b").distinct()
 
 
 def op5_near_dedup(spark, sf_dir: str) -> DataFrame:
