@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from learnmetrics.llm import linededup, neardup, packing
+from learnmetrics.llm import linededup, neardup, packing, quality
 
 
 def queries() -> dict:
     return {
+        "op2_quality": quality.op2_quality,
         "op3_line_dedup": linededup.op3_line_dedup,
         "op5_near_dedup": neardup.op5_near_dedup,
         "op9_packing": packing.op9_packing,
