@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from learnmetrics.llm import linededup, neardup, packing, quality
+from learnmetrics.llm import langid, linededup, neardup, packing, quality
 
 
 def queries() -> dict:
     return {
+        "op1_language_id": langid.op1_language_id,
         "op2_quality": quality.op2_quality,
         "op3_line_dedup": linededup.op3_line_dedup,
         "op5_near_dedup": neardup.op5_near_dedup,
