@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from learnmetrics.llm.common import binary_array, offsets_of, spans, table, text_slices
-from learnmetrics.llm.wordbpe import encode, load_tokenizer
+from learnmetrics.llm.wordbpe import WordEncoder
 
 MAX_TOKENS = 4096
 END_ID = 2
@@ -65,9 +65,9 @@ def pack(
     path = tokenizer_path or public_tokenizers.path(VOCABULARY)
 
     def run(batches):
-        tokenizer = load_tokenizer(path)
+        encoder = WordEncoder(path)
         for batch, texts in text_slices(batches, "text"):
-            ids, offsets = encode(tokenizer, texts)
+            ids, offsets = encoder.encode(texts)
             count = np.diff(offsets)
             closed = np.full(len(ids) + len(count), end_id, dtype=np.uint32)
             closed[spans(offsets[:-1] + np.arange(len(count)), count)] = ids

@@ -41,23 +41,46 @@ def _encode_list(tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(ids) if ids else np.zeros(0, np.uint32), np.array(counts, dtype=np.int64)
 
 
-def encode(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts one after the other, offset of every text)."""
-    plain = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
-    easy = pc.if_else(pa.array(plain), "", texts) if plain.any() else texts
-    easy = pc.replace_substring_regex(pc.replace_substring(easy, "\n", " "), _EDGE, r"\1 \2")
-    codes, pieces, bounds = split_encoded(pc.ascii_lower(easy))
-    ids, counts = _encode_list(tokenizer, pieces.to_pylist())
-    at = offsets_of(counts)
-    lengths = counts[codes]
-    flat = ids[spans(at[codes], lengths)]
-    offsets = offsets_of(lengths)[bounds]
-    if not plain.any():
-        return flat, offsets
-    rows = np.flatnonzero(plain)
-    more, sizes = _encode_list(tokenizer, texts.take(pa.array(rows)).to_pylist())
-    size = np.diff(offsets)
-    starts = offsets[:-1].copy()
-    starts[rows] = len(flat) + offsets_of(sizes)[:-1]
-    size[rows] = sizes
-    return np.concatenate((flat, more))[spans(starts, size)], offsets_of(size)
+class WordEncoder:
+    """Encodes slices of texts; keeps the ids of up to ``limit`` distinct pieces between slices."""
+
+    def __init__(self, path: str, limit: int = 1 << 19):
+        self.tokenizer = load_tokenizer(path)
+        self.limit = limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.zeros(0, np.uint32)
+        self.counts = np.zeros(0, np.int64)
+
+    def _rows(self, pieces: list[str]) -> np.ndarray:
+        """Row of each distinct piece in the table of known ids."""
+        if len(self.known) + len(pieces) > self.limit:
+            self._forget()
+        new = [p for p in pieces if p not in self.known]
+        ids, counts = _encode_list(self.tokenizer, new)
+        self.known.update(zip(new, range(len(self.counts), len(self.counts) + len(new)), strict=True))
+        self.ids = np.concatenate((self.ids, ids))
+        self.counts = np.concatenate((self.counts, counts))
+        return np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, offset of every text)."""
+        plain = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        easy = pc.if_else(pa.array(plain), "", texts) if plain.any() else texts
+        easy = pc.replace_substring_regex(pc.replace_substring(easy, "\n", " "), _EDGE, r"\1 \2")
+        codes, pieces, bounds = split_encoded(pc.ascii_lower(easy))
+        row = self._rows(pieces.to_pylist())[codes]
+        lengths = self.counts[row]
+        flat = self.ids[spans(offsets_of(self.counts)[row], lengths)]
+        offsets = offsets_of(lengths)[bounds]
+        if not plain.any():
+            return flat, offsets
+        rows = np.flatnonzero(plain)
+        more, sizes = _encode_list(self.tokenizer, texts.take(pa.array(rows)).to_pylist())
+        size = np.diff(offsets)
+        starts = offsets[:-1].copy()
+        starts[rows] = len(flat) + offsets_of(sizes)[:-1]
+        size[rows] = sizes
+        return np.concatenate((flat, more))[spans(starts, size)], offsets_of(size)
