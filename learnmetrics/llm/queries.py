@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from learnmetrics.llm import langid, linededup, neardup, packing, quality
+from learnmetrics.llm import bpe, langid, linededup, neardup, packing, quality
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_quality": quality.op2_quality,
         "op3_line_dedup": linededup.op3_line_dedup,
         "op5_near_dedup": neardup.op5_near_dedup,
+        "op7_byte_bpe": bpe.op7_byte_bpe,
         "op9_packing": packing.op9_packing,
     }
 
