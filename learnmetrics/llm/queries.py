@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from learnmetrics.llm import bpe, langid, linededup, neardup, packing, quality
+from learnmetrics.llm import bpe, langid, linededup, neardup, packing, quality, topk
 
 
 def queries() -> dict:
@@ -13,8 +13,9 @@ def queries() -> dict:
         "op5_near_dedup": neardup.op5_near_dedup,
         "op7_byte_bpe": bpe.op7_byte_bpe,
         "op9_packing": packing.op9_packing,
+        "op10_exact_top_k": topk.op10_exact_top_k,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": linededup.OP3_SQL, "op5_near_dedup": neardup.OP5_SQL}
+    return {"op3_line_dedup": linededup.OP3_SQL, "op5_near_dedup": neardup.OP5_SQL, "op10_exact_top_k": topk.OP10_SQL}
