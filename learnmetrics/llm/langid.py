@@ -226,18 +226,20 @@ def posteriors(model: dict, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
-def identify(docs: DataFrame, model: dict | None, text: str = "text", segments: bool = False) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; with ``segments`` also the runs of words of
-    one language, as (lang, words) in text order."""
-    docs = docs.select(*[c for c in docs.columns if c not in ("lang_pred", "score", "segments")])
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+def identify(
+    docs: DataFrame, model: dict | None, text: str = "text", segments: bool = False, names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``, under ``names``; with ``segments`` also the
+    runs of words of one language, as (lang, words) in text order."""
+    docs = docs.drop(*names, *(["segments"] if segments else []))
+    fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     run_type = T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("words", T.IntegerType())]))
     if segments:
         fields.append(T.StructField("segments", run_type))
 
     def run(batches):
         for batch, texts in text_slices(batches, text):
-            names, scores, runs = [UNKNOWN] * len(texts), np.zeros(len(texts)), [[] for _ in range(len(texts))]
+            langs, scores, runs = [UNKNOWN] * len(texts), np.zeros(len(texts)), [[] for _ in range(len(texts))]
             if model is not None:
                 each, bounds = posteriors(model, texts)
                 rows = np.flatnonzero(np.diff(bounds))
@@ -246,7 +248,7 @@ def identify(docs: DataFrame, model: dict | None, text: str = "text", segments:
                     best = mean.argmax(axis=1)
                     scores[rows] = np.clip(mean[np.arange(len(rows)), best], 0, 1)
                     for r, b in zip(rows.tolist(), best.tolist(), strict=True):
-                        names[r] = model["languages"][b]
+                        langs[r] = model["languages"][b]
                 if segments:
                     for r in rows.tolist():
                         label = each[bounds[r] : bounds[r + 1]].argmax(axis=1)
@@ -255,7 +257,7 @@ def identify(docs: DataFrame, model: dict | None, text: str = "text", segments:
                             {"lang": model["languages"][label[c]], "words": int(n)}
                             for c, n in zip(cut, np.diff(np.append(cut, len(label))), strict=True)
                         ]
-            more = [pa.array(names, pa.string()), pa.array(scores)]
+            more = [pa.array(langs, pa.string()), pa.array(scores)]
             if segments:
                 more.append(pa.array(runs, pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())]))))
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *[f.name for f in fields]])

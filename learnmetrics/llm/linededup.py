@@ -58,15 +58,16 @@ def common_lines(docs: DataFrame, doc: str, min_chars: int, min_docs: int) -> tu
 
 
 def dedup_lines(
-    docs: DataFrame, text: str = "text", doc: str = "doc_id", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS
-) -> DataFrame:
-    """``docs`` with ``text`` cleaned, plus ``n_lines`` and ``n_dropped``.
+    docs: DataFrame, text: str = "text", doc: str = "doc_id", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
+    names: tuple[str, str] = ("n_lines", "n_dropped"),
+) -> DataFrame:
+    """``docs`` with ``text`` cleaned, plus ``n_lines`` and ``n_dropped`` under ``names``.
 
     The line table carries ids, positions and hashes only; a key held by a third of all
     documents is pre-aggregated per task, and its rows are split by the skew join. The
     text moves once, to meet its dropped positions.
     """
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    columns = [c for c in docs.columns if c not in names]
     base = docs.select(*columns, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     lines, common = common_lines(base, doc, min_chars, min_docs)
     dropped = (
@@ -92,8 +93,8 @@ def dedup_lines(
     )[0]
     return joined.select(
         *[(F.when(F.col("_dropped").isNull(), F.col("_text")).otherwise(kept).alias(c) if c == text else base[c]) for c in columns],
-        (F.octet_length("_text") - F.octet_length(F.translate("_text", "\n", "")) + 1).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        (F.octet_length("_text") - F.octet_length(F.translate("_text", "\n", "")) + 1).cast("long").alias(names[0]),
+        F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias(names[1]),
     )
 
 

@@ -97,9 +97,10 @@ def write_buckets(pieces: DataFrame, path: str) -> None:
     pieces.write.partitionBy("length").parquet(path)
 
 
-def digests(pieces: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """The pieces with a checksum in place of their ids."""
-    return pieces.select(doc, "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+def digests(pieces: DataFrame, doc: str = "doc_id", extra: list[str] | None = None) -> DataFrame:
+    """The pieces with a checksum in place of their ids, and ``extra`` columns."""
+    ids = F.crc32("ids").alias("ids_crc32")
+    return pieces.select(doc, "start", "length", ids, "doc_tokens", "sequence_id", "offset", *(extra or []))
 
 
 def op9_packing(spark, sf_dir: str) -> DataFrame:

@@ -168,11 +168,12 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "do
     return mixed(sample, start_parameters(), fit, ROUNDS)
 
 
-def score(docs: DataFrame, model: dict | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on)."""
-    keep = [c for c in docs.columns if c not in ("score", "predicted")]
-    docs = docs.select(*keep)
-    fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+def score(
+    docs: DataFrame, model: dict | None, text: str = "text", threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")
+) -> DataFrame:
+    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on), under ``names``."""
+    docs = docs.drop(*names)
+    fields = [T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())]
     if model is None:
         model = {k: np.zeros_like(v) for k, v in start_parameters().items()}
 
@@ -188,7 +189,7 @@ def score(docs: DataFrame, model: dict | None, text: str = "text", threshold: fl
                 encoded[lo : lo + 4096] = np.add.reduceat(part, edges[:-1] - edges[0]) / np.diff(edges)[:, None]
             value = forward(model, encoded, bags)["p"].astype(np.float64)
             flag = (value >= threshold).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value), pa.array(flag)], names=[*batch.schema.names, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value), pa.array(flag)], names=[*batch.schema.names, *names])
 
     return docs.mapInArrow(run, with_columns_schema(docs, fields))
 
