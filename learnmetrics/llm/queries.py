@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from learnmetrics.llm import bpe, langid, linededup, neardup, packing, quality, topk
+from learnmetrics.llm import bpe, langid, linededup, neardup, nndescent, packing, quality, topk
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_line_dedup": linededup.op3_line_dedup,
         "op5_near_dedup": neardup.op5_near_dedup,
         "op7_byte_bpe": bpe.op7_byte_bpe,
+        "op8_nearest": nndescent.op8_nearest,
         "op9_packing": packing.op9_packing,
         "op10_exact_top_k": topk.op10_exact_top_k,
     }
