@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from learnmetrics.llm import bpe, langid, linededup, neardup, nndescent, packing, quality, topk
+from learnmetrics.llm import bpe, langid, licenses, linededup, neardup, nndescent, packing, quality, topk
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_language_id": langid.op1_language_id,
         "op2_quality": quality.op2_quality,
         "op3_line_dedup": linededup.op3_line_dedup,
+        "op4_license_scan": licenses.op4_license_scan,
         "op5_near_dedup": neardup.op5_near_dedup,
         "op7_byte_bpe": bpe.op7_byte_bpe,
         "op8_nearest": nndescent.op8_nearest,
