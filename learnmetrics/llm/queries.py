@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from learnmetrics.llm import bpe, langid, licenses, linededup, neardup, nndescent, packing, quality, topk
+from learnmetrics.llm import (
+    bpe, langid, licenses, linededup, neardup, nndescent, packing, quality, topk, trainorder,
+)
 
 
 def queries() -> dict:
@@ -12,6 +14,7 @@ def queries() -> dict:
         "op3_line_dedup": linededup.op3_line_dedup,
         "op4_license_scan": licenses.op4_license_scan,
         "op5_near_dedup": neardup.op5_near_dedup,
+        "op6_training_order": trainorder.op6_training_order,
         "op7_byte_bpe": bpe.op7_byte_bpe,
         "op8_nearest": nndescent.op8_nearest,
         "op9_packing": packing.op9_packing,
