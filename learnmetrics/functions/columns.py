@@ -119,15 +119,20 @@ def password_mask() -> Column:
 # --- money, dates -------------------------------------------------------------
 
 def money(c: ColumnOrName) -> Column:
-    """Money text or number -> decimal(10,4); unparsable or too large -> null."""
-    return _col(c).try_cast("decimal(10,4)")
+    """Money text or number -> decimal(20,4); unparsable -> null (see :func:`is_bad_money`)."""
+    return _col(c).try_cast("decimal(20,4)")
+
+
+def is_bad_money(c: ColumnOrName) -> Column:
+    """The value is there but is no amount that :func:`money` can hold."""
+    return _col(c).isNotNull() & money(c).isNull()
 
 
 def yyyymmdd_to_iso(c: ColumnOrName) -> Column:
-    """'20190712' -> '2019-07-12'; anything that is not 8 digits -> null."""
+    """'20190712' -> '2019-07-12'; anything that is not 8 digits, or no such day -> null."""
     c = _col(c)
     iso = F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))
-    return F.when(c.rlike("^[0-9]{8}$"), iso)
+    return F.when(c.rlike("^[0-9]{8}$") & iso.try_cast("date").isNotNull(), iso)
 
 
 def epoch_seconds(c: ColumnOrName) -> Column:

@@ -16,19 +16,16 @@ minimum. Every other column is a "first" value, made deterministic:
 several registration rows cannot multiply payments, and every aggregate is a partial
 (map-side) aggregate, which keeps a very hot uid from landing whole in one task. The three
 uid-keyed inputs are joined on the same keys, so their shuffles are shared. The payment
-aggregate, over the largest input, only sees integers (VIP attributes are rank-encoded on
-the small VIP dimension and decoded after), so it runs as a hash aggregate. ``fanout=
-"reference"`` joins first and aggregates after, which reproduces the inflated money of a
+aggregate, over the largest input, sums money per level as a hash aggregate; the level table
+joins what is left of it. ``fanout="reference"`` joins first and aggregates after, which reproduces the inflated money of a
 member with several registration rows; both modes agree when registrations are unique.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learnmetrics.session import broadcast_if_small
-
 KEY = ["uid", "website"]
 
 MEMBER_FIRST = [
@@ -103,16 +100,14 @@ def build_wide(
         need |= set(WIDE_COLUMNS)
     regtype = regtype.withColumnRenamed("siteid", "reg_siteid")
     vip = vip.withColumnRenamed("vip_id", "vip_id_dim")
-    # Dimensions keyed by few distinct values (site, VIP level, ad per website) are
-    # broadcast when their counted size allows; otherwise shuffle joins with AQE skew
-    # splitting take over.
-    ad = broadcast_if_small(ad)[0] if "adname" in need else None
-    site = broadcast_if_small(site)[0] if need & set(SITE_FIRST) else None
-    vip, vip_small = broadcast_if_small(vip) if need & PAY_COLUMNS else (None, False)
+    # The dimension joins are left to the optimizer: what turns out small at run time is
+    # broadcast, skewed keys of a large one are split.
+    ad = ad if "adname" in need else None
+    site = site if need & set(SITE_FIRST) else None
+    vip = vip if need & PAY_COLUMNS else None
     use_reg = site is not None or bool(need & REG_COLUMNS)
     if fanout == "safe":
-        wide = _build_safe(member, regtype if use_reg else None, ad, site, payment if vip is not None else None,
-                           vip, vip_small)
+        wide = _build_safe(member, regtype if use_reg else None, ad, site, payment if vip is not None else None, vip)
     elif fanout == "reference":
         wide = _build_reference(member, regtype, ad, site, payment, vip)
     else:
@@ -145,87 +140,33 @@ def _join_dims(df: DataFrame, ad: DataFrame | None, site: DataFrame | None) -> D
     ).drop("site_website")
 
 
-def encode_ranks(dim: DataFrame, cols: list[str], within: list[str], tie: list[str]) -> DataFrame:
-    """Add ``_r_<col>``: the position of each row of a small dimension in ``col`` order
-    within ``within`` (ties broken by ``tie``; null values get a null position).
-
-    A big aggregation can then take max/min of these integers (a hash aggregate) instead
-    of strings (a sort aggregate). Positions preserve value order, so the max/min position
-    belongs to a row holding the max/min value; :func:`rank_decoder` maps it back. The
-    positions are unique per ``within``, so decoding needs no de-duplication.
-    """
-    def pos(c):
-        w = Window.partitionBy(*within).orderBy(F.col(c).asc_nulls_first(), *[F.col(t) for t in tie])
-        return F.when(F.col(c).isNotNull(), F.row_number().over(w)).alias(f"_r_{c}")
-
-    return dim.select("*", *[pos(c) for c in cols])
-
-
-def rank_decoder(ranked: DataFrame, col: str, within: list[str]) -> DataFrame:
-    """(within..., ``_r_<col>``) -> ``col``, one row per position."""
-    return ranked.where(F.col(f"_r_{col}").isNotNull()).select(*within, f"_r_{col}", col)
-
-
-def rank_maps(ranked: DataFrame, cols: list[str], within: list[str]) -> DataFrame:
-    """One row per ``within`` key with a map ``_m_<col>``: position -> value, for each col.
-
-    Decoding several rank columns then takes one (broadcast) join and map lookups, instead
-    of one join per column."""
-    maps = [
-        F.map_from_entries(
-            F.collect_list(F.when(F.col(f"_r_{c}").isNotNull(), F.struct(F.col(f"_r_{c}"), F.col(c))))
-        ).alias(f"_m_{c}")
-        for c in cols
-    ]
-    return ranked.groupBy(*within).agg(*maps)
-
+def _pay_one(payment: DataFrame, vip: DataFrame) -> DataFrame:
+    """Per (uid, website): money and VIP attributes.
 
-def _pay_one_sorted(payment: DataFrame, vip: DataFrame) -> DataFrame:
-    """Per (uid, website): money and VIP attributes with string max/min (sort aggregate).
-    The path for a VIP dimension too large to broadcast."""
-    pay = _payments_with_vip(payment, vip)
-    return _unpack(pay.groupBy(*KEY).agg(F.sum("paymoney").alias("paymoney"), *_vip_aggs()), "_vip", VIP_FIRST)
-
-
-def _pay_one_hashed(payment: DataFrame, vip: DataFrame) -> DataFrame:
-    """Per (uid, website): money and VIP attributes, aggregated over integers only.
-
-    VIP attributes are functions of the (small) VIP dimension, so each is replaced by its
-    position within the website before the payments are aggregated (a hash aggregate),
-    and decoded afterwards with one join to a per-website table of maps. Both joins
-    broadcast VIP-sized tables: the caller has checked the VIP row count. (Their keys,
-    vip id and website, have very few values, so a shuffle join would pile all payments
-    into a handful of tasks.)
+    The payments, the largest input, are reduced to one row per key and level by a hash
+    aggregate, partial before its shuffle. Only those rows meet the level table, itself
+    reduced to one row per level so that it can't multiply money, and take the maxima of
+    strings. Null levels match nothing. The same plan serves a level table of any size; a
+    small one is broadcast at run time.
     """
-    ranked_cols = VIP_MAX + VIP_MIN
-    vip_r = encode_ranks(vip, ranked_cols, ["website"], tie=["vip_id_dim"])
-    p, v = payment.alias("p"), F.broadcast(vip_r).alias("v")
-    pv = p.join(
-        v, (F.col("p.vip_id") == F.col("v.vip_id_dim")) & (F.col("p.website") == F.col("v.website")), "left"
-    ).select("p.uid", "p.website", "p.paymoney", "v.vip_id_dim", *[F.col(f"v._r_{c}") for c in ranked_cols])
-    agg = pv.groupBy(*KEY).agg(
-        F.sum("paymoney").alias("paymoney"),
-        F.min("vip_id_dim").alias("vip_id"),
-        *[F.max(f"_r_{c}").alias(f"_r_{c}") for c in VIP_MAX],
-        *[F.min(f"_r_{c}").alias(f"_r_{c}") for c in VIP_MIN],
+    per_level = payment.groupBy(*KEY, "vip_id").agg(F.sum("paymoney").alias("paymoney")).alias("p")
+    level = vip.groupBy("vip_id_dim", "website").agg(
+        *[F.max(c).alias(c) for c in VIP_MAX],
+        *[F.min(c).alias(c) for c in VIP_MIN],
+        F.min(F.struct(*VIP_FIRST[1:])).alias("_own"),
     )
-    # "first" VIP columns: those of the smallest matched vip_id, one entry per vip_id.
-    first = vip.groupBy("vip_id_dim", "website").agg(
-        F.min(F.struct(*[F.col(c) for c in VIP_FIRST[1:]])).alias("_first")
-    )
-    first_map = first.groupBy("website").agg(
-        F.map_from_entries(F.collect_list(F.struct("vip_id_dim", "_first"))).alias("_m_first")
-    )
-    decode = rank_maps(vip_r, ranked_cols, ["website"]).join(first_map, "website", "full")
-    out = agg.join(F.broadcast(decode), "website", "left")
-    return out.select(
-        *KEY, "paymoney", "vip_id",
-        *[F.col(f"_m_{c}")[F.col(f"_r_{c}")].alias(c) for c in ranked_cols],
-        *[F.col("_m_first")[F.col("vip_id")].getField(c).alias(c) for c in VIP_FIRST[1:]],
+    level = level.select("vip_id_dim", "website", *VIP_MAX, *VIP_MIN, *[f"_own.{c}" for c in VIP_FIRST[1:]]).alias("v")
+    pay = per_level.join(
+        level, (F.col("p.vip_id") == F.col("v.vip_id_dim")) & (F.col("p.website") == F.col("v.website")), "left"
+    ).select(
+        "p.uid", "p.website", "p.paymoney", F.col("v.vip_id_dim").alias("vip_id"),
+        *[F.col(f"v.{c}") for c in VIP_MAX + VIP_MIN + VIP_FIRST[1:]],
     )
+    money = F.sum("paymoney").cast("decimal(20,4)").alias("paymoney")
+    return _unpack(pay.groupBy(*KEY).agg(money, *_vip_aggs()), "_vip", VIP_FIRST)
 
 
-def _build_safe(member, regtype, ad, site, payment, vip, vip_small: bool) -> DataFrame:
+def _build_safe(member, regtype, ad, site, payment, vip) -> DataFrame:
     member_one = _unpack(
         member.groupBy(*KEY).agg(_pick(F.max, ["time"], MEMBER_FIRST, "_m")), "_m", MEMBER_FIRST
     )
@@ -239,9 +180,7 @@ def _build_safe(member, regtype, ad, site, payment, vip, vip_small: bool) -> Dat
         wide = wide.join(reg_one, KEY, "left")
     if payment is None:
         return _join_dims(wide, ad, site)
-    # The integer (hash-aggregate) path broadcasts VIP-sized tables, so it is taken only
-    # when the VIP dimension's row count is under the broadcast limit.
-    pay_one = _pay_one_hashed(payment, vip) if vip_small else _pay_one_sorted(payment, vip)
+    pay_one = _pay_one(payment, vip)
     # uid-keyed joins first: all three sides are hash-partitioned on (uid, website) by their
     # aggregations, so the sort-merge joins need no further exchange.
     wide = wide.join(pay_one, KEY, "left")
@@ -256,7 +195,7 @@ def _build_reference(member, regtype, ad, site, payment, vip) -> DataFrame:
     agg = joined.groupBy(*KEY).agg(
         _pick(F.max, ["time"], member_cols, "_m"),
         _pick(F.min, ["reg_createtime", "appregurl"], reg_cols, "_r"),
-        F.sum("paymoney").alias("paymoney"),
+        F.sum("paymoney").cast("decimal(20,4)").alias("paymoney"),
         *_vip_aggs(),
     )
     return _unpack(_unpack(_unpack(agg, "_m", member_cols), "_r", reg_cols), "_vip", VIP_FIRST)

@@ -40,32 +40,20 @@ def day_increment(payment: DataFrame, vip: DataFrame, day: str | None = None) ->
 
     ``payment``: uid, paymoney (text or number), vip_id, time (yyyyMMdd), website.
     ``vip``: vip_id, vip_level, website. Payments whose level is unknown are dropped
-    (inner join). ``day`` restricts to one load date (partition pruning on ``time``);
+    (inner join). Money text that is no amount adds nothing; :func:`money_rejects` lists it. ``day`` restricts to one load date (partition pruning on ``time``);
     without it every day is computed at once, which is how a history is backfilled.
     """
-    from learnmetrics.operators.wide import encode_ranks, rank_decoder
-    from learnmetrics.session import broadcast_if_small
-
     p = payment.select("uid", "paymoney", "vip_id", "time", "website")
     if day is not None:
         p = p.where(F.col("time") == day)
-    v = vip.select("vip_id", "vip_level", "website")
     keys = ["uid", "website", "time"]
-    money_sum = F.sum(C.money("paymoney")).alias("paymoney")
-    if broadcast_if_small(v)[1]:
-        # Small VIP table (row count checked): rank-encode the level on it, so the payment
-        # aggregate takes the max of an integer (hash aggregate); both joins broadcast it.
-        v = encode_ranks(v, ["vip_level"], ["website"], tie=["vip_id"])
-        enc = F.broadcast(v.select("vip_id", "website", "_r_vip_level"))
-        agg = p.join(enc, ["vip_id", "website"], "inner").groupBy(*keys).agg(
-            money_sum, F.max("_r_vip_level").alias("_r_vip_level")
-        )
-        dec = F.broadcast(rank_decoder(v, "vip_level", ["website"]))
-        agg = agg.join(dec, ["website", "_r_vip_level"], "left")
-    else:
-        agg = p.join(v, ["vip_id", "website"], "inner").groupBy(*keys).agg(
-            money_sum, F.max("vip_level").alias("vip_level")
-        )
+    # The payments are reduced to one row per key and level first (a hash aggregate, partial
+    # before the shuffle); only that meets the level table and takes the maximum of strings.
+    per_level = p.groupBy(*keys, "vip_id").agg(F.sum(C.money("paymoney")).alias("paymoney"))
+    levels = vip.groupBy("vip_id", "website").agg(F.max("vip_level").alias("vip_level"))
+    agg = per_level.join(levels, ["vip_id", "website"], "inner").groupBy(*keys).agg(
+        F.sum("paymoney").cast("decimal(20,4)").alias("paymoney"), F.max("vip_level").alias("vip_level")
+    )
     return agg.select(
         "uid",
         "paymoney",
@@ -76,28 +64,37 @@ def day_increment(payment: DataFrame, vip: DataFrame, day: str | None = None) ->
     )
 
 
-def close_out(history: DataFrame, increment: DataFrame | None = None, close: str = "all") -> DataFrame:
+def money_rejects(payment: DataFrame) -> DataFrame:
+    """Payments whose money is there but can't be read as an amount."""
+    return payment.select("uid", "paymoney", "vip_id", "time", "website").where(C.is_bad_money("paymoney"))
+
+
+def close_out(
+    history: DataFrame, increment: DataFrame | None = None, close: str = "all", days: list[str] | None = None
+) -> DataFrame:
     """Merge a day increment into the history and recompute interval ends.
 
     Rows of the history that start on a day present in the increment are replaced, so a
     re-run of a day is idempotent and a late day slots in between its neighbours.
     ``close="all"`` sets every row's end to the next row's start (open row: 9999-12-31);
     ``close="last"`` only closes the second-newest row, trusting older rows as stored.
+    ``days``, where the caller knows the increment's start days, saves finding them.
     """
     rows = history.select(*ZIPPER_COLUMNS)
     if increment is not None:
         inc = increment.select(*ZIPPER_COLUMNS)
-        days = inc.select("start_time").distinct()
-        # One row per day in the increment: small, bounded by the days loaded at once.
-        rows = rows.join(F.broadcast(days), "start_time", "left_anti").select(*ZIPPER_COLUMNS)
+        if days is not None:
+            rows = rows.where(~F.col("start_time").isin(days) if days else F.lit(True))
+        else:
+            rows = rows.join(inc.select("start_time").distinct(), "start_time", "left_anti").select(*ZIPPER_COLUMNS)
         rows = rows.unionByName(inc)
     w = Window.partitionBy(*KEY).orderBy("start_time")
     nxt = F.lead("start_time").over(w)
     if close == "all":
         end = F.coalesce(nxt, F.lit(C.OPEN_END))
     elif close == "last":
-        newest_first = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.col("start_time").desc()))
-        end = F.when(newest_first == 2, nxt).otherwise(F.col("end_time"))
+        second_newest = nxt.isNotNull() & F.lead("start_time", 2).over(w).isNull()
+        end = F.when(second_newest, nxt).otherwise(F.col("end_time"))
     else:
         raise ValueError("close must be 'all' or 'last'")
     return rows.withColumn("end_time", end).select(*ZIPPER_COLUMNS)

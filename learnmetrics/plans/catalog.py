@@ -16,7 +16,7 @@ from learnmetrics.operators import behaviour as B
 from learnmetrics.operators.geo import lookup_region
 from learnmetrics.operators.reports import HEADCOUNT_DIMENSIONS, headcount, headcounts_all, top_payers
 from learnmetrics.operators.wide import build_wide
-from learnmetrics.operators.zipper import close_out, day_increment
+from learnmetrics.operators.zipper import close_out, day_increment, money_rejects
 from learnmetrics.plans import views as V
 from learnmetrics.session import scratch_path
 from learnmetrics.sinks.writers import read_changelog
@@ -164,12 +164,27 @@ def zipper_close_out(spark, sf):
     return _double(close_out(inc), "paymoney")
 
 
+def payment_money_rejects(spark, sf):
+    return money_rejects(V.payment(spark, sf))
+
+
+def _increments(spark, sf) -> DataFrame:
+    """The increments of all days, stored once as the daily job stores them: one scan of the
+    payments, whatever is then split off by day."""
+    path = scratch_path(spark, "zipper", "increments")
+    inc = day_increment(V.payment(spark, sf), V.vip_level(spark, sf))
+    inc.write.parquet(path)
+    return spark.read.schema(inc.schema).parquet(path)
+
+
 def zipper_incremental(spark, sf, close: str = "all"):
-    """History of every day but the latest, then the latest day merged in as an increment."""
-    pay, vip = V.payment(spark, sf), V.vip_level(spark, sf)
-    latest = pay.select(F.max("time")).scalar()
-    history = close_out(day_increment(pay.where(F.col("time") < latest), vip))
-    return _double(close_out(history, day_increment(pay, vip, day=latest), close=close), "paymoney")
+    """History of the days up to the middle one; the middle day again and all later days
+    merged in as one increment, so that many keys have rows on both sides."""
+    inc = _increments(spark, sf)
+    first, last = F.min("start_time").cast("date"), F.max("start_time").cast("date")
+    middle = inc.agg(F.date_add(first, F.floor(F.datediff(last, first) / 2).cast("int")).cast("string")).first()[0]
+    history = close_out(inc.where(F.col("start_time") <= F.lit(middle)))
+    return _double(close_out(history, inc.where(F.col("start_time") >= F.lit(middle)), close=close), "paymoney")
 
 
 def zipper_advance_open(spark, sf):
@@ -178,12 +193,12 @@ def zipper_advance_open(spark, sf):
     from learnmetrics.functions.columns import OPEN_END
     from learnmetrics.operators.zipper import advance_open
 
-    pay, vip = V.payment(spark, sf), V.vip_level(spark, sf)
-    latest = pay.select(F.max("time")).scalar()
-    history = close_out(day_increment(pay.where(F.col("time") < latest), vip))
+    inc = _increments(spark, sf)
+    latest = inc.agg(F.max("start_time")).first()[0]
+    history = close_out(inc.where(F.col("start_time") < F.lit(latest)))
     open_rows = history.where(F.col("end_time") == OPEN_END)
     closed = history.where(F.col("end_time") != OPEN_END)
-    advanced = advance_open(open_rows, day_increment(pay, vip, day=latest))
+    advanced = advance_open(open_rows, inc.where(F.col("start_time") == F.lit(latest)))
     return _double(closed.unionByName(advanced), "paymoney")
 
 
@@ -220,15 +235,18 @@ def ip_region_join(spark, sf):
 
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = V.table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # The table's own path: one file, or a folder of any number of part files.
+    return spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/events.parquet")
 
 
-def _run_to_table(spark: SparkSession, name: str, agg: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+def _run_to_table(
+    spark: SparkSession, name: str, agg: DataFrame, keys: list[str], values: list[str], per_batch=None
+) -> DataFrame:
     """Run a streaming aggregate over everything available, then read its current table."""
     base = scratch_path(spark, "streams", name)
     # One state partition per core: the state here is a few thousand keys.
     parts = spark.sparkContext.defaultParallelism
-    q = S.start_upsert_stream(agg, f"{base}/sink", f"{base}/checkpoint", available_now=True, state_partitions=parts)
+    q = S.start_upsert_stream(agg, f"{base}/sink", f"{base}/checkpoint", available_now=True, state_partitions=parts, per_batch=per_batch)
     q.awaitTermination()
     schema = StructType(list(agg.schema.fields) + [StructField("batch_id", LongType())])
     return read_changelog(spark, f"{base}/sink", keys, values, schema=schema)
@@ -253,8 +271,11 @@ UNPAID_WINDOW = ("24 hours", "12 hours")
 
 def unpaid_visitors_stream(spark, sf):
     lines = V.behaviour_lines(_events_stream(spark, sf))
-    agg = S.unpaid_visitors(lines, V.vip_users(spark, sf), *UNPAID_WINDOW, watermark="1 day")
-    return _run_to_table(spark, "unpaid_visitors", agg, S.UNPAID_KEYS, ["cnt"])
+    agg = S.unpaid_visitors(lines, None, *UNPAID_WINDOW, watermark="1 day")
+    return _run_to_table(
+        spark, "unpaid_visitors", agg, S.UNPAID_KEYS, ["cnt"],
+        per_batch=lambda df: S.without_vip(df, V.vip_users(df.sparkSession, sf)),
+    )
 
 
 def unpaid_visitors_batch(spark, sf):
@@ -291,6 +312,7 @@ def queries() -> dict[str, Query]:
             "top3_payers": top3_payers,
             "bottom3_payers": bottom3_payers,
             "top3_payers_legacy_money": top3_payers_legacy_money,
+            "payment_money_rejects": payment_money_rejects,
             "zipper_day_increment": zipper_day_increment,
             "zipper_close_out": zipper_close_out,
             "zipper_incremental": zipper_incremental,

@@ -15,7 +15,8 @@ TAB = "chr(9)"
 
 MEMBER = f"""
 member AS (
-  SELECT c_custkey AS uid, c_custkey % 200 AS ad_id, CAST(NULL AS VARCHAR) AS birthday,
+  SELECT c_custkey AS uid, CASE WHEN c_acctbal < 0 THEN -1 - c_custkey ELSE c_custkey * 4 // 3 END AS ad_id,
+         CAST(NULL AS VARCHAR) AS birthday,
          'u' || CAST(c_custkey AS VARCHAR) || '@mail.example' AS email,
          substr(c_name, 1, 1) || 'xx' AS fullname,
          'http://icon.example/' || CAST(c_custkey AS VARCHAR) AS iconurl,
@@ -31,23 +32,23 @@ member AS (
 
 REGTYPE = f"""
 regtype AS (
-  SELECT c_custkey AS uid, CAST(NULL AS VARCHAR) AS appkey,
+  SELECT CASE WHEN c_acctbal <= 9000 THEN c_custkey END AS uid, CAST(NULL AS VARCHAR) AS appkey,
          'http://reg_' || CAST(c_custkey % 10 AS VARCHAR) AS appregurl,
          CAST(NULL AS VARCHAR) AS bdp_uuid, '{LOAD_DAY}' AS createtime, CAST(NULL AS VARCHAR) AS domain,
          CAST(NULL AS VARCHAR) AS isranreg, CAST(c_custkey % 6 AS VARCHAR) AS regsource,
          CASE c_custkey % 6 WHEN 1 THEN 'PC' WHEN 2 THEN 'Mobile' WHEN 3 THEN 'App'
               WHEN 4 THEN 'WeChat' ELSE 'other' END AS regsourcename,
-         c_nationkey AS websiteid, c_mktsegment AS website
+         c_nationkey + CASE WHEN c_acctbal > 8000 THEN 100 ELSE 0 END AS websiteid, c_mktsegment AS website
   FROM customer)"""
 
 AD = f"""
-ad AS (SELECT p_partkey AS adid, p_name AS adname, unnest({_SEGS}) AS website FROM part WHERE p_partkey < 190)"""
+ad AS (SELECT p_partkey AS adid, p_name AS adname, unnest({_SEGS}) AS website FROM part)"""
 
 SITE = f"""
 site AS (
   SELECT n_nationkey AS siteid, n_name AS sitename, 'www.' || lower(n_name) || '.com' AS siteurl,
          0 AS delete, '{LOAD_DAY}' AS createtime, 'admin' AS creator, unnest({_SEGS}) AS website
-  FROM nation WHERE n_nationkey < 20)"""
+  FROM nation)"""
 
 VIP = f"""
 vip AS (
@@ -58,12 +59,16 @@ vip AS (
          CAST((r_regionkey + 1) * 10 AS VARCHAR) AS max_free, CAST(r_regionkey + 1 AS VARCHAR) AS min_free,
          'L' || CAST(r_regionkey + 2 AS VARCHAR) AS next_level, 'op' || CAST(r_regionkey + 1 AS VARCHAR) AS operator,
          unnest({_SEGS}) AS website
-  FROM region WHERE r_regionkey < 4)"""
+  FROM region)"""
 
 PAYMENT = """
 payment AS (
-  SELECT o_custkey AS uid, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS paymoney,
-         c_nationkey AS siteid, TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS vip_id,
+  SELECT o_custkey AS uid,
+         CASE WHEN CAST(o_totalprice AS DECIMAL(12,2)) < 5000 THEN 'n/a'
+              WHEN CAST(o_totalprice AS DECIMAL(12,2)) > 400000 THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 10 AS VARCHAR)
+              ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS paymoney,
+         c_nationkey AS siteid,
+         TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) + CASE WHEN o_orderstatus = 'P' THEN 10 ELSE 0 END AS vip_id,
          strftime(o_orderdate, '%Y%m%d') AS time, c_mktsegment AS website
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
@@ -90,7 +95,7 @@ WIDE_SELECT = """
   LEFT JOIN vip f ON e.vip_id = f.vip_id AND e.website = f.website
   GROUP BY m.uid, m.website"""
 
-_MONEY_SUM = "sum(TRY_CAST(e.paymoney AS DECIMAL(10,4)))"
+_MONEY_SUM = "sum(TRY_CAST(e.paymoney AS DECIMAL(20,4)))"
 
 WIDE = "wide AS (" + WIDE_SELECT.format(money=_MONEY_SUM) + ")"
 WIDE_API = "wide AS (" + WIDE_SELECT.format(money=f"coalesce({_MONEY_SUM}, 0)") + ")"
@@ -154,12 +159,33 @@ WHERE rownum <= 3"""
 
 DAY_INCREMENT = """
 inc AS (
-  SELECT e.uid, sum(TRY_CAST(e.paymoney AS DECIMAL(10,4))) AS paymoney, max(f.vip_level) AS vip_level,
+  SELECT e.uid, sum(TRY_CAST(e.paymoney AS DECIMAL(20,4))) AS paymoney, max(f.vip_level) AS vip_level,
          substr(e.time, 1, 4) || '-' || substr(e.time, 5, 2) || '-' || substr(e.time, 7, 2) AS start_time,
          '9999-12-31' AS end_time, e.website
   FROM payment e JOIN vip f ON e.vip_id = f.vip_id AND e.website = f.website
   GROUP BY e.uid, e.website, e.time)"""
 
+# The merge of days from the middle one on into a history that already holds the middle
+# day, closing only each key's second-newest row: every other row keeps its stored end.
+_ZIPPER_LAST = """,
+mid AS (
+  SELECT CAST(min(CAST(start_time AS DATE)) + CAST((max(CAST(start_time AS DATE)) - min(CAST(start_time AS DATE))) // 2 AS INTEGER)
+         AS VARCHAR) AS day FROM inc),
+history AS (
+  SELECT uid, paymoney, vip_level, start_time, website,
+         coalesce(lead(start_time) OVER (PARTITION BY uid, website ORDER BY start_time), '9999-12-31') AS end_time
+  FROM inc, mid WHERE start_time <= mid.day),
+merged AS (
+  SELECT uid, paymoney, vip_level, start_time, website, end_time FROM history
+  WHERE start_time NOT IN (SELECT start_time FROM inc, mid WHERE start_time >= mid.day)
+  UNION ALL
+  SELECT uid, paymoney, vip_level, start_time, website, end_time FROM inc, mid WHERE start_time >= mid.day)
+SELECT uid, CAST(paymoney AS DOUBLE) AS paymoney, vip_level, start_time,
+       CASE WHEN row_number() OVER (PARTITION BY uid, website ORDER BY start_time DESC) = 2
+            THEN lead(start_time) OVER (PARTITION BY uid, website ORDER BY start_time) ELSE end_time END AS end_time,
+       website
+FROM merged"""
+
 _ZIPPER_OUT = """
 SELECT uid, CAST(paymoney AS DOUBLE) AS paymoney, vip_level, start_time,
        coalesce(lead(start_time) OVER (PARTITION BY uid, website ORDER BY start_time), '9999-12-31') AS end_time,
@@ -225,7 +251,7 @@ FROM win GROUP BY uid, window_start HAVING count(*) >= 3"""
 
 INGEST_MEMBER = """
 SELECT CAST(c_custkey AS INTEGER) AS uid,
-       CASE WHEN c_nationkey = 22 THEN 0 ELSE CAST(c_custkey % 200 AS INTEGER) END AS ad_id,
+       CASE WHEN c_nationkey = 22 THEN 0 ELSE CAST(c_custkey * 4 // 3 AS INTEGER) END AS ad_id,
        CAST(NULL AS VARCHAR) AS birthday, 'u' || CAST(c_custkey AS VARCHAR) || '@mail.example' AS email,
        CASE WHEN c_nationkey = 20 THEN NULL ELSE substr(c_name, 1, 1) || 'xx' END AS fullname,
        CAST(NULL AS VARCHAR) AS iconurl, CAST(NULL AS VARCHAR) AS lastlogin, CAST(NULL AS VARCHAR) AS mailaddr,
@@ -332,7 +358,10 @@ def oracle_sql() -> dict[str, str]:
         "mask_members": MASK_MEMBERS,
         "clean_events_rejects": CLEAN_EVENTS_REJECTS,
         "top3_payers_legacy_money": _top(asc=False, money="DECIMAL(10,4)"),
-        "zipper_close_last": _with(*MEMBER_VIEWS, DAY_INCREMENT) + _ZIPPER_OUT,
+        "zipper_close_last": _with(*MEMBER_VIEWS, DAY_INCREMENT) + _ZIPPER_LAST,
+        "payment_money_rejects": _with(PAYMENT) + """
+SELECT uid, paymoney, vip_id, time, website FROM payment
+WHERE paymoney IS NOT NULL AND TRY_CAST(paymoney AS DECIMAL(20,4)) IS NULL""",
         "zipper_advance_open": _with(*MEMBER_VIEWS, DAY_INCREMENT) + _ZIPPER_OUT,
         "wide_member": _with(*MEMBER_VIEWS, WIDE) + f"SELECT {_WIDE_OUT_COLS} FROM wide",
         "wide_member_reference": _with(*MEMBER_VIEWS, WIDE) + f"SELECT {_WIDE_OUT_COLS} FROM wide",

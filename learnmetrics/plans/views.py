@@ -56,6 +56,12 @@ def raw_phone(custkey: Column) -> Column:
     return F.concat(F.lit("138"), F.lpad(_str(custkey), 8, "0"))
 
 
+def ad_id(custkey: Column, balance: Column) -> Column:
+    """Ad of a member: spread over the whole part key range (four parts for three
+    customers); members with a negative balance name an ad that isn't there."""
+    return F.when(balance < 0, -1 - custkey).otherwise(F.floor(custkey * 4 / 3))
+
+
 # --- detail tables (post-ingest shape) -------------------------------------------
 
 def member(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +70,7 @@ def member(spark: SparkSession, sf_dir: str) -> DataFrame:
     null = F.lit(None).cast("string")
     return c.select(
         k.alias("uid"),
-        (k % 200).alias("ad_id"),
+        ad_id(k, F.col("c_acctbal")).alias("ad_id"),
         null.alias("birthday"),
         F.concat(F.lit("u"), _str(k), F.lit("@mail.example")).alias("email"),
         C.mask_name("c_name").alias("fullname"),
@@ -91,8 +97,10 @@ def regtype(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     null = F.lit(None).cast("string")
     regsource = _str(k % 6)
+    balance = F.col("c_acctbal")
     return c.select(
-        k.alias("uid"),
+        # Registrations without a member, and members without a registration.
+        F.when(balance <= 9000, k).alias("uid"),
         null.alias("appkey"),
         F.concat(F.lit("http://reg_"), _str(k % 10)).alias("appregurl"),
         null.alias("bdp_uuid"),
@@ -101,24 +109,23 @@ def regtype(spark: SparkSession, sf_dir: str) -> DataFrame:
         null.alias("isranreg"),
         regsource.alias("regsource"),
         C.regsource_name(regsource).alias("regsourcename"),
-        F.col("c_nationkey").alias("websiteid"),
+        (F.col("c_nationkey") + F.when(balance > 8000, 100).otherwise(0)).alias("websiteid"),
         F.lit(LOAD_DATE).alias("time"),
         F.col("c_mktsegment").alias("website"),
     )
 
 
-# The ad, site and VIP-level dimensions deliberately cover only part of the ids members
-# and payments refer to (ads < 190 of 200, sites < 20 of 25, levels 1-4 of 5), so the left
-# joins of the wide table meet unmatched keys.
+# The ad, site and VIP-level dimensions are whole tables; the data refers to ids outside
+# them (negative ads, sites over 100, levels over 10), so the joins meet unmatched keys.
 
 
 def base_ad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") < 190)
+    p = table(spark, sf_dir, "part")
     return _per_site(p.select(F.col("p_partkey").alias("adid"), F.col("p_name").alias("adname")))
 
 
 def base_website(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 20)
+    n = table(spark, sf_dir, "nation")
     return _per_site(
         n.select(
             F.col("n_nationkey").alias("siteid"),
@@ -132,7 +139,7 @@ def base_website(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vip_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = table(spark, sf_dir, "region").where(F.col("r_regionkey") < 4)
+    r = table(spark, sf_dir, "region")
     v = F.col("r_regionkey") + 1
     return _per_site(
         r.select(
@@ -150,14 +157,20 @@ def vip_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders", spread=True).select("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = table(spark, sf_dir, "orders", spread=True).select(
+        "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus"
+    )
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
+    # Amounts over a million, and text that is no amount; levels outside the level table.
+    price = F.col("o_totalprice").cast("decimal(12,2)")
+    amount = F.when(price < 5000, F.lit("n/a")).when(price > 400000, _str(price * 10)).otherwise(_str(price))
+    level = F.substring("o_orderpriority", 1, 1).try_cast("int")
     return j.select(
         F.col("o_custkey").alias("uid"),
-        _str(F.col("o_totalprice").cast("decimal(12,2)")).alias("paymoney"),
+        amount.alias("paymoney"),
         F.col("c_nationkey").alias("siteid"),
-        F.substring("o_orderpriority", 1, 1).try_cast("int").alias("vip_id"),
+        F.when(F.col("o_orderstatus") == "P", level + 10).otherwise(level).alias("vip_id"),
         F.date_format("o_orderdate", "yyyyMMdd").alias("time"),
         F.col("c_mktsegment").alias("website"),
     )
@@ -253,7 +266,7 @@ def member_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     5-character phone; nation 20 no name."""
     c = table(spark, sf_dir, "customer")
     k, n = F.col("c_custkey"), F.col("c_nationkey")
-    ad = (k % 200).cast("string")
+    ad = F.floor(k * 4 / 3).cast("string")
     rows = c.select(
         k.alias("uid"),
         F.when(n == 24, F.concat(F.lit("x"), ad)).when(n == 23, ad).when(n == 22, F.lit(None)).otherwise(

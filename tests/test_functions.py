@@ -54,10 +54,11 @@ def test_masks(spark):
 
 
 def test_money_and_dates(spark):
-    df = spark.createDataFrame([("12.5", "20190712"), ("1000000", "2019-07-12"), ("x", None)], "m string, d string")
-    got = df.select(C.money("m").alias("m"), C.yyyymmdd_to_iso("d").alias("d")).collect()
+    df = spark.createDataFrame([("12.5", "20190712"), ("1500000", "20190230"), ("x", None)], "m string, d string")
+    got = df.select(C.money("m").alias("m"), C.yyyymmdd_to_iso("d").alias("d"), C.is_bad_money("m").alias("b")).collect()
+    assert [r.b for r in got] == [False, False, True]
     assert got[0].m == Decimal("12.5000") and got[0].d == "2019-07-12"
-    assert got[1].m is None and got[1].d is None
+    assert got[1].m == Decimal("1500000") and got[1].d is None
     assert got[2].m is None and got[2].d is None
 
 

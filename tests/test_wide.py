@@ -53,8 +53,8 @@ def test_wide_rules(spark):
     got = by_key(w)
     assert set(got) == {(1, "A"), (1, "B"), (2, "A"), (3, "A")}
     a = got[(1, "A")]
-    # 1000000 overflows decimal(10,4) -> null, ignored by sum; the unknown vip_id 9 still counts money.
-    assert a.paymoney == Decimal("30.5000")
+    # Large amounts count; the unknown vip_id 9 still counts money.
+    assert a.paymoney == Decimal("1000030.5000")
     assert (a.vip_level, a.vip_start_time, a.vip_end_time, a.vip_id, a.vip_max_free) == (
         "silver", "2018-01-01", "2020-12-31", 1, "10",
     )
@@ -84,8 +84,8 @@ def test_fanout_reference_multiplies_money_with_duplicate_registration(spark):
     f = fixtures(spark, dup_regtype=True)
     safe = by_key(build_wide(*f))
     ref = by_key(build_wide(*f, fanout="reference"))
-    assert safe[(1, "A")].paymoney == Decimal("30.5000")
-    assert ref[(1, "A")].paymoney == Decimal("61.0000")
+    assert safe[(1, "A")].paymoney == Decimal("1000030.5000")
+    assert ref[(1, "A")].paymoney == Decimal("2000061.0000")
     # both pick the earliest registration deterministically
     assert safe[(1, "A")].appregurl == ref[(1, "A")].appregurl == "http://a_b"
 
@@ -104,3 +104,11 @@ def test_column_subsets_equal_projection_of_full_table(spark):
                  ["uid", "memberlevel", "website"], ["uid", "vip_level", "paymoney", "website"]):
         assert sorted(map(tuple, build_wide(*f, columns=cols).collect()), key=repr) == \
             sorted(map(tuple, full.select(*cols).collect()), key=repr), cols
+
+
+def test_null_and_repeated_vip_rows_do_no_harm(spark):
+    member, reg, ad, site, pay, vip = fixtures(spark)
+    extra = vip.limit(1).selectExpr(*[f"cast(null as {t}) as {c}" if c == "vip_id" else c for c, t in vip.dtypes])
+    want = by_key(build_wide(member, reg, ad, site, pay, vip))
+    got = by_key(build_wide(member, reg, ad, site, pay, vip.unionByName(extra).unionByName(vip)))
+    assert got == want

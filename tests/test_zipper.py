@@ -80,3 +80,23 @@ def test_close_last_only_touches_second_newest(spark):
     assert got == [("2019-07-01", "2019-07-05"), ("2019-07-02", "2019-07-03"), ("2019-07-03", "9999-12-31")]
     fixed = rows(close_out(hist, inc, close="all"), "start_time", "end_time")
     assert fixed[0] == ("2019-07-01", "2019-07-02")
+
+
+def test_large_and_bad_money(spark):
+    from learnmetrics.operators.zipper import money_rejects
+
+    pay = spark.createDataFrame(
+        [(1, "1500000.00", 1, "20190701", "A"), (1, "10", 1, "20190701", "A"), (1, "n/a", 1, "20190701", "A"), (2, None, 1, "20190701", "A")], PAY
+    )
+    vip = spark.createDataFrame([(1, "gold", "A"), (1, "gold", "A"), (None, "x", "A")], "vip_id int, vip_level string, website string")
+    got = {r.uid: r.paymoney for r in day_increment(pay, vip).collect()}
+    assert got == {1: Decimal("1500010.0000"), 2: None}
+    assert [(r.uid, r.paymoney) for r in money_rejects(pay).collect()] == [(1, "n/a")]
+
+
+def test_known_days_equal_found_days(spark):
+    pay = spark.createDataFrame([(1, "1", 1, d, "A") for d in ("20190701", "20190702", "20190703")] + [(2, "1", 1, "20190702", "A")], PAY)
+    vip = spark.createDataFrame([(1, "gold", "A")], "vip_id int, vip_level string, website string")
+    hist, inc = close_out(day_increment(pay, vip)), day_increment(pay, vip, day="20190702")
+    for close in ("all", "last"):
+        assert rows(close_out(hist, inc, close=close, days=["2019-07-02"])) == rows(close_out(hist, inc, close=close))
