@@ -10,8 +10,10 @@ overwrite of the partitions it produces, so any job can be re-run after a failur
 from __future__ import annotations
 
 import argparse
+import hashlib
 import re
 import sys
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,9 @@ from learnmetrics.operators.wide import build_wide
 from learnmetrics.operators.zipper import close_out, day_increment, zipper_schema
 from learnmetrics.session import get_session
 from learnmetrics.sinks.writers import (
+    clean_changelog,
     read_latest_snapshot,
+    write_partition,
     write_snapshot,
     write_table,
     write_text,
@@ -103,8 +107,11 @@ def ingest_table(spark: SparkSession, layout: Layout, raw_dir: str, table: str,
     res = I.ingest_json(I.read_lines(spark, f"{raw_dir.rstrip('/')}/{RAW_FILES[table]}"), spec, dt)
     res.staged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_table(res.rows, layout.bdl(table), partition_by=spec.partition_by, files=files)
-        write_table(res.rejects, layout.rejects(table), partition_by=("time",), files=files)
+        if tuple(spec.partition_by) == ("time",):
+            write_partition(res.rows, layout.bdl(table), "time", dt, files=files)
+        else:
+            write_table(res.rows, layout.bdl(table), partition_by=spec.partition_by, files=files)
+        write_partition(res.rejects, layout.rejects(table), "time", dt, files=files)
     finally:
         res.staged.unpersist()
 
@@ -154,7 +161,7 @@ def run_zipper(spark, layout: Layout, dt: str, close: str = "all", files=None) -
     uid_type = payment.schema["uid"].dataType
     history = read_latest_snapshot(spark, layout.idl("idl_member_zipper"), zipper_schema(uid_type))
     inc = day_increment(payment, vip, day=dt)
-    merged = close_out(history, inc, close=close)
+    merged = close_out(history, inc, close=close, days=[f"{dt[:4]}-{dt[4:6]}-{dt[6:]}"])
     return write_snapshot(merged, layout.idl("idl_member_zipper"), new_snapshot_id(dt), files=files)
 
 
@@ -163,9 +170,11 @@ def read_zipper(spark, layout: Layout, uid_type=None) -> DataFrame:
 
 
 # --- J4, incremental layout ---------------------------------------------------------------
-# Closed intervals never change on a normal day, so they live in append-only partitions
-# ``closed/end_day=<day>``; the open interval of each key is kept as snapshots ``open/``.
-# A day reads only the open rows (one per key) and that day's payments.
+# Closed intervals never change on a normal day, so they live in append-only parts
+# ``closed/part=<version>/end_day=<day>``; the open interval of each key is kept as snapshots
+# ``open/``. Each version has a manifest naming the part that holds each end day, and one
+# pointer publishes snapshot and manifest together: what no published manifest names is
+# invisible. A day reads only the open rows (one per key) and that day's payments.
 
 ZIPPER_INC = "idl_member_zipper_inc"
 _STATE = "_state"
@@ -182,13 +191,30 @@ def _with_column(schema, name: str):
     return StructType(list(schema.fields) + [StructField(name, StringType())])
 
 
-def _read_closed(spark, closed_path: str, schema) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
+def _manifest(spark, layout: Layout) -> dict[str, str]:
+    """End day -> part of the current version (a row per end day)."""
+    from learnmetrics.sinks.writers import latest_snapshot_path
+
+    base = layout.idl(ZIPPER_INC)
+    snap = latest_snapshot_path(spark, f"{base}/open")
+    if snap is None:
+        return {}
+    version = snap.rsplit("snapshot=", 1)[1]
+    rows = spark.read.schema("end_day string, part string").parquet(f"{base}/manifests/version={version}").collect()
+    return {r["end_day"]: r["part"] for r in rows}
 
-    try:
-        return spark.read.schema(_with_column(schema, "end_day")).parquet(closed_path)
-    except AnalysisException:  # nothing closed yet
-        return None
+
+def _write_manifest(spark, layout: Layout, version: str, parts: dict[str, str]) -> None:
+    rows = spark.createDataFrame(sorted(parts.items()), "end_day string, part string")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{layout.idl(ZIPPER_INC)}/manifests/version={version}")
+
+
+def _read_closed(spark, closed_path: str, schema, parts: dict[str, str]) -> DataFrame:
+    """The closed rows that ``parts`` names; only their folders are listed and read."""
+    paths = [f"{closed_path}/part={part}/end_day={day}" for day, part in sorted(parts.items())]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def _read_open(spark, open_path: str, schema) -> DataFrame:
@@ -201,21 +227,19 @@ def _read_open(spark, open_path: str, schema) -> DataFrame:
 
 
 def read_zipper_inc(spark, layout: Layout, uid_type=None) -> DataFrame:
-    """The whole history in the incremental layout: closed partitions + the open snapshot."""
+    """The whole history in the incremental layout: the published closed parts + the open snapshot."""
     schema = zipper_schema(uid_type)
     open_path, closed_path = _zipper_inc_paths(layout)
-    rows = _read_open(spark, open_path, schema)
-    closed = _read_closed(spark, closed_path, schema)
-    return rows if closed is None else rows.unionByName(closed.select(*schema.fieldNames()))
+    parts = _manifest(spark, layout)
+    return _read_open(spark, open_path, schema).unionByName(_read_closed(spark, closed_path, schema, parts))
 
 
 def run_zipper_daily(spark, layout: Layout, dt: str, files=None) -> str:
     """Apply day ``dt`` to the incremental zipper; idempotent for the latest day.
 
-    Steps: (1) write open and newly closed rows together as a new snapshot directory,
-    (2) copy the day's closed rows into ``closed/end_day=<day>`` (dynamic overwrite),
-    (3) move the open pointer. A failure before (3) leaves the previous state readable;
-    a re-run tolerates a half-done (2). A day older than an open interval (a late day)
+    Steps: (1) write the open rows as a new snapshot, (2) write the day's closed rows as a
+    part of that version, (3) write its manifest, (4) move the pointer. A failure before (4)
+    leaves the previous version as it was. A day older than an open interval (a late day)
     is refused: run :func:`run_zipper_rebuild`.
     """
     from learnmetrics.functions.columns import OPEN_END
@@ -232,8 +256,8 @@ def run_zipper_daily(spark, layout: Layout, dt: str, files=None) -> str:
     open_rows = _read_open(spark, open_path, schema)
     if open_rows.where(F.col("start_time") > day).limit(1).count():
         raise JobArgumentError(f"{dt} is older than an open interval; rebuild the history instead")
-    closed = _read_closed(spark, closed_path, schema)
-    reopened = None if closed is None else closed.where(F.col("end_day") == day).select(*schema.fieldNames())
+    parts = _manifest(spark, layout)
+    reopened = _read_closed(spark, closed_path, schema, {day: parts[day]}) if day in parts else None
 
     rows = advance_open(open_rows, day_increment(payment, vip, day=dt), reopened)
     staged = rows.withColumn(_STATE, F.when(F.col("end_time") == OPEN_END, "open").otherwise("closed"))
@@ -242,13 +266,27 @@ def run_zipper_daily(spark, layout: Layout, dt: str, files=None) -> str:
     write_table(staged, snap, partition_by=(_STATE,), files=files)
     done = spark.read.schema(_with_column(schema, _STATE)).parquet(snap)
     closed_now = done.where(F.col(_STATE) == "closed").select(*schema.fieldNames())
-    # The day's partition is replaced as a whole, also when it is now empty (a re-run that
-    # closes nothing must not leave the first run's rows behind).
-    write_table(closed_now, f"{closed_path}/end_day={day}", files=files)
+    write_table(closed_now, f"{closed_path}/part={snap_id}/end_day={day}", files=files)
+    _write_manifest(spark, layout, snap_id, parts | {day: snap_id})
     publish_snapshot(spark, open_path, snap_id)
     return snap
 
 
+def clean_zipper(spark, layout: Layout) -> list[str]:
+    """Remove snapshots, parts and manifests that the current version doesn't use (run it
+    while no daily job or reader of an older version is at work). Returns what went."""
+    from learnmetrics.sinks.writers import latest_snapshot_path, remove_others
+
+    base = layout.idl(ZIPPER_INC)
+    snap = latest_snapshot_path(spark, f"{base}/open")
+    if snap is None:
+        return []
+    version = snap.rsplit("snapshot=", 1)[1]
+    gone = remove_others(spark, f"{base}/open", "snapshot=", {version})
+    gone += remove_others(spark, f"{base}/closed", "part=", set(_manifest(spark, layout).values()))
+    return gone + remove_others(spark, f"{base}/manifests", "version=", {version})
+
+
 def run_zipper_rebuild(spark, layout: Layout, files=None) -> None:
     """Recompute the incremental zipper from every loaded day (late days, repairs)."""
     from learnmetrics.functions.columns import OPEN_END
@@ -265,8 +303,9 @@ def run_zipper_rebuild(spark, layout: Layout, files=None) -> None:
     schema = zipper_schema(payment.schema["uid"].dataType)
     done = spark.read.schema(_with_column(schema, _STATE)).parquet(snap)
     closed = done.where(F.col(_STATE) == "closed").select(*schema.fieldNames()).withColumn("end_day", F.col("end_time"))
-    # A full (static) overwrite: end days that no longer exist must disappear.
-    closed.write.mode("overwrite").partitionBy("end_day").option("partitionOverwriteMode", "static").parquet(closed_path)
+    write_table(closed, f"{closed_path}/part={snap_id}", partition_by=("end_day",))
+    days = [r[0] for r in closed.select("end_day").distinct().collect()]  # a row per day
+    _write_manifest(spark, layout, snap_id, {d: snap_id for d in days})
     publish_snapshot(spark, open_path, snap_id)
 
 
@@ -292,10 +331,20 @@ def run_clean_behaviour(spark, input_path: str, output_path: str, files: int | N
     write_text(B.clean_lines(lines), output_path, files=files)
 
 
-def run_load_behaviour(spark, layout: Layout, input_path: str, tz_offset_hours: int = 8, files=None):
-    """Cleaned lines -> dwd.user_behavior partitioned by ``dt`` (dynamic overwrite)."""
+def run_load_behaviour(
+    spark, layout: Layout, input_path: str, tz_offset_hours: int = 8, files=None, load_id: str | None = None
+):
+    """Cleaned lines -> dwd.user_behavior, stored as ``load=<id>/dt=<day>``.
+
+    A load adds to the days it holds, whatever other loads have of them; running the same
+    load again (same ``load_id``, by default the input path's digest) replaces what it wrote.
+    Readers see the union of all loads, and a filter on ``dt`` prunes inside each.
+    """
+    load_id = load_id or hashlib.sha256(input_path.encode()).hexdigest()[:16]
     parsed = B.parse_lines(B.clean_lines(I.read_lines(spark, input_path)), tz_offset_hours=tz_offset_hours)
-    write_table(parsed, layout.dwd("user_behavior"), partition_by=("dt",), files=files)
+    parsed = parsed.coalesce(files) if files else parsed
+    target = f"{layout.dwd('user_behavior')}/load={load_id}"
+    parsed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("dt").parquet(target)
 
 
 # --- J8: daily video users -------------------------------------------------------------------
@@ -305,7 +354,7 @@ def run_daily_video_users(spark, layout: Layout, day: str, files=None) -> DataFr
     check_day(day)
     beh = spark.read.schema(B.BEHAVIOUR_SCHEMA).parquet(layout.dwd("user_behavior"))
     out = B.daily_video_users(beh, day=day)
-    write_table(out, layout.tmp("app_course_study_analysis"), partition_by=("dt",), files=files)
+    write_partition(out, layout.tmp("app_course_study_analysis"), "dt", day, files=files)
     return out
 
 
@@ -322,11 +371,16 @@ def stream_lines(spark: SparkSession, kafka_servers: str | None, topic: str | No
 
 
 def stream_paths(spark: SparkSession, name: str, sink: str | None, checkpoint: str | None) -> tuple[str, str]:
-    """Sink and checkpoint locations; by default under the cluster's shared checkpoint folder."""
-    from learnmetrics.session import checkpoint_root
-
-    base = f"{checkpoint_root(spark)}/streams/{name}"
-    return sink or f"{base}/sink", checkpoint or f"{base}/checkpoint"
+    """Sink and checkpoint locations: those given, or folders below ``spark.checkpoint.dir``,
+    the same at every start. Without either the job refuses to start: a stream whose state
+    lies in a new folder each time would lose its offsets and its results."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not (sink and checkpoint):
+        raise JobArgumentError("give --sink and --checkpoint, or set spark.checkpoint.dir to a shared folder")
+    paths = sink or f"{root.rstrip('/')}/streams/{name}/sink", checkpoint or f"{root.rstrip('/')}/streams/{name}/checkpoint"
+    if not spark.sparkContext.master.startswith("local") and any(re.match(r"(file:|/)", p) for p in paths):
+        raise JobArgumentError(f"on a cluster the sink and checkpoint must be on shared storage, not {paths}")
+    return paths
 
 
 def start_vip_increment(
@@ -340,13 +394,18 @@ def start_vip_increment(
     )
 
 
-def start_unpaid_visitors(spark, lines: DataFrame, vip_users: DataFrame, sink_path: str, checkpoint: str, **kw):
+def start_unpaid_visitors(
+    spark, lines: DataFrame, vip_users: Callable[[SparkSession], DataFrame], sink_path: str, checkpoint: str, **kw
+):
+    """``vip_users(spark)`` opens the VIP table; it is called anew for every micro-batch, so a
+    user who became VIP in between is not flagged."""
     opts = {k: v for k, v in kw.items() if k in ("window", "slide", "watermark", "min_visits", "time_col")}
-    agg = S.unpaid_visitors(lines, vip_users, **opts)
+    agg = S.unpaid_visitors(lines, None, **opts)
     return S.start_upsert_stream(
         agg, sink_path, checkpoint, trigger=kw.get("trigger", S.DEFAULT_TRIGGER),
         available_now=kw.get("available_now", False), state_partitions=kw.get("state_partitions"),
         sink_files=kw.get("sink_files"),
+        per_batch=lambda df: S.without_vip(df, vip_users(df.sparkSession)),
     )
 
 
@@ -363,6 +422,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("wide")
     p.add_argument("warehouse")
     p.add_argument("--fanout", default="safe", choices=["safe", "reference"])
+    p.add_argument("--money-default", type=int, help="money of members without payments")
     p = sub.add_parser("zipper")
     p.add_argument("warehouse")
     p.add_argument("dt")
@@ -372,11 +432,20 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("dt")
     p = sub.add_parser("zipper-rebuild")
     p.add_argument("warehouse")
+    p = sub.add_parser("zipper-clean")
+    p.add_argument("warehouse")
     p = sub.add_parser("reports")
     p.add_argument("warehouse")
+    p.add_argument("--n", type=int, default=3, help="payers per member level")
+    p.add_argument("--ascending", action="store_true", help="the smallest payers")
     p = sub.add_parser("clean")
     p.add_argument("input_path")
     p.add_argument("output_path")
+    p = sub.add_parser("load-behaviour")
+    p.add_argument("warehouse")
+    p.add_argument("input_path")
+    p.add_argument("--load-id", help="the same id replaces what an earlier run of the load wrote")
+    p.add_argument("--tz-offset-hours", type=int, default=8)
     p = sub.add_parser("video")
     p.add_argument("warehouse")
     p.add_argument("day")
@@ -405,28 +474,35 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--arrival-time", action="store_true", help="window on the Kafka arrival time")
     p = sub.add_parser("compact")
     p.add_argument("stream", choices=["vip-stream", "unpaid-stream"])
+    p.add_argument("--clean", action="store_true", help="remove folded batches and older snapshots afterwards")
     p.add_argument("--sink")
+    for name in ("ingest", "wide", "zipper", "reports", "clean", "load-behaviour", "video"):
+        sub.choices[name].add_argument("--files", type=int, help="output files of each write")
     a = ap.parse_args(argv)
 
     spark = get_session(f"learnmetrics-{a.job}")
     if a.job == "ingest":
-        run_ingest(spark, Layout(a.warehouse), a.raw_dir, check_day(a.dt), a.tables)
+        run_ingest(spark, Layout(a.warehouse), a.raw_dir, check_day(a.dt), a.tables, files=a.files)
     elif a.job == "wide":
-        run_wide_member(spark, Layout(a.warehouse), a.fanout)
+        run_wide_member(spark, Layout(a.warehouse), a.fanout, a.money_default, files=a.files)
     elif a.job == "zipper":
-        run_zipper(spark, Layout(a.warehouse), check_day(a.dt), a.close)
+        run_zipper(spark, Layout(a.warehouse), check_day(a.dt), a.close, files=a.files)
     elif a.job == "zipper-daily":
         run_zipper_daily(spark, Layout(a.warehouse), check_day(a.dt))
     elif a.job == "zipper-rebuild":
         run_zipper_rebuild(spark, Layout(a.warehouse))
+    elif a.job == "zipper-clean":
+        clean_zipper(spark, Layout(a.warehouse))
     elif a.job == "reports":
-        run_reports(spark, Layout(a.warehouse))
+        run_reports(spark, Layout(a.warehouse), n=a.n, ascending=a.ascending, files=a.files)
     elif a.job == "clean":
-        run_clean_behaviour(spark, a.input_path, a.output_path)
+        run_clean_behaviour(spark, a.input_path, a.output_path, files=a.files)
+    elif a.job == "load-behaviour":
+        run_load_behaviour(spark, Layout(a.warehouse), a.input_path, a.tz_offset_hours, a.files, a.load_id)
     elif a.job == "video":
-        run_daily_video_users(spark, Layout(a.warehouse), check_day(a.day))
+        run_daily_video_users(spark, Layout(a.warehouse), check_day(a.day), files=a.files)
     elif a.job in ("vip-stream", "unpaid-stream"):
-        from learnmetrics.sources.lookups import read_ip_ranges
+        from learnmetrics.sources.lookups import check_ip_ranges, read_ip_ranges
 
         lines = stream_lines(spark, a.kafka_servers, a.topic, a.file_dir, a.starting_offsets)
         sink, ckpt = stream_paths(spark, a.job, a.sink, a.checkpoint)
@@ -436,13 +512,13 @@ def main(argv: list[str] | None = None) -> int:
             kw["watermark"] = a.watermark
         if a.job == "vip-stream":
             ranges = read_ip_ranges(spark, a.ip_ranges, dotted=a.dotted)
+            check_ip_ranges(ranges)
             q = start_vip_increment(spark, lines, ranges, sink, ckpt, tz_offset_hours=a.tz_offset_hours, **kw)
         else:
-            vip = spark.read.parquet(a.vip_users)
             kw.update(window=a.window, slide=a.slide, min_visits=a.min_visits)
             if a.arrival_time:
                 kw["time_col"] = "kafka_ts"
-            q = start_unpaid_visitors(spark, lines, vip, sink, ckpt, **kw)
+            q = start_unpaid_visitors(spark, lines, lambda s: s.read.parquet(a.vip_users), sink, ckpt, **kw)
         q.awaitTermination()
     elif a.job == "compact":
         sink, _ = stream_paths(spark, a.stream, a.sink, None)
@@ -450,6 +526,8 @@ def main(argv: list[str] | None = None) -> int:
             S.compact_vip_increments(spark, sink)
         else:
             S.compact_unpaid_visitors(spark, sink)
+        if a.clean:
+            clean_changelog(spark, sink)
     return 0
 
 

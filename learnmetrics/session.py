@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -90,11 +89,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and lineage-cutting tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster's shared location). Only when it is
-    unset (tests, a laptop) a local temporary folder is created and registered.
+    unset (tests, a laptop) a folder below the warehouse, which is shared too, stands in.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="learnmetrics-ckpt-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,18 @@ def write_table(
     w.save(path)
 
 
+def write_partition(df: DataFrame, path: str, column: str, value: str, files: int | None = None) -> None:
+    """Replace the one partition ``column=value`` of the table at ``path`` by ``df``.
+
+    Unlike a dynamic overwrite this also replaces it by nothing: a re-run that has no rows
+    leaves none of the earlier run.
+    """
+    df = df.drop(column)
+    if files:
+        df = df.coalesce(files)
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={value}")
+
+
 def write_text(df: DataFrame, path: str, files: int | None = None, compression: str | None = None) -> None:
     """Write a single string column as text lines."""
     if files:
@@ -124,7 +137,7 @@ def _since_compaction(spark: SparkSession, path: str, log: DataFrame, keys: list
     snap = latest_snapshot_path(spark, f"{path}/{COMPACTED}")
     if snap is None:
         return log
-    upto = int(snap.rsplit("=", 1)[1])
+    upto = _newest_batch(snap)
     base = spark.read.parquet(snap).withColumn("batch_id", F.lit(upto).cast("bigint"))
     newer = log.where(F.col("batch_id").cast("bigint") > upto)  # partition pruning
     return newer.select(*keys, *values, F.col("batch_id").cast("bigint")).unionByName(base.select(*keys, *values, "batch_id"))
@@ -163,4 +176,38 @@ def compact_changelog(
         return None
     upto_newest = log.where(F.col("batch_id").cast("bigint") <= newest)
     current = _latest(_since_compaction(spark, path, upto_newest, keys, values), keys, values)
-    return write_snapshot(current, f"{path}/{COMPACTED}", f"{newest:020d}")
+    # A name of its own for every compaction: one in use is never written again.
+    return write_snapshot(current, f"{path}/{COMPACTED}", f"{newest:020d}_{uuid.uuid4().hex}")
+
+
+def clean_changelog(spark: SparkSession, path: str) -> list[str]:
+    """Remove the batches that the latest compaction holds, and older compactions. To be run
+    while no reader is still at work on them. Returns what went."""
+    snap = latest_snapshot_path(spark, f"{path}/{COMPACTED}")
+    if snap is None:
+        return []
+    newest = _newest_batch(snap)
+    gone = remove_others(spark, path, "batch_id=", None, lambda name: int(name) > newest)
+    return gone + remove_others(spark, f"{path}/{COMPACTED}", "snapshot=", {snap.rsplit("snapshot=", 1)[1]})
+
+
+def _newest_batch(snapshot_path: str) -> int:
+    return int(snapshot_path.rsplit("=", 1)[1].split("_")[0])
+
+
+def remove_others(spark: SparkSession, folder: str, prefix: str, keep: set[str] | None, stays=None) -> list[str]:
+    """Delete the subfolders ``prefix<name>`` of ``folder`` but those in ``keep`` (or for which
+    ``stays(name)``), through Hadoop's file system, whichever that is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    gone = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix):
+            own = name[len(prefix) :]
+            if not (own in keep if keep is not None else stays(own)):
+                fs.delete(status.getPath(), True)
+                gone.append(name)
+    return gone

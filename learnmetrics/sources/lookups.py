@@ -1,7 +1,8 @@
 """Lookup tables used by the streaming jobs: VIP users and IP ranges.
 
-Both are static DataFrames joined to a stream (stream-static joins), so Spark re-reads
-them per micro-batch from their source; no per-key queries are issued.
+The IP ranges are a static frame joined to the stream; a file table's listing is fixed when
+the stream starts. The VIP users are opened anew for every micro-batch
+(``start_upsert_stream(per_batch=...)``). No per-key queries are issued.
 """
 
 from __future__ import annotations

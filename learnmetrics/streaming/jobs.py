@@ -9,6 +9,8 @@ checkpointed offsets stay consistent after a failure (exactly-once per key).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +19,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from learnmetrics.functions import columns as C
 from learnmetrics.operators import behaviour as B
 from learnmetrics.operators.geo import lookup_region, size_checked_ranges
-from learnmetrics.session import broadcast_if_small
 from learnmetrics.sinks.writers import compact_changelog, read_changelog, upsert_changelog_batch
 from learnmetrics.sources.lookups import vip_user_ids
 
@@ -87,7 +88,7 @@ def recent_days(totals: DataFrame, reference_epoch, retention_days: int = 2, tz_
 
 def unpaid_visitors(
     lines: DataFrame,
-    vip_users: DataFrame,
+    vip_users: DataFrame | None,
     window: str = "60 seconds",
     slide: str = "30 seconds",
     watermark: str | None = "10 minutes",
@@ -96,7 +97,8 @@ def unpaid_visitors(
 ) -> DataFrame:
     """Users who opened the order page ``min_visits`` times in a sliding window and are
     not VIP. ``vip_users`` needs a ``uid`` column; it is anti-joined before the window
-    aggregation (VIP status is per user), so VIP events never enter the state store.
+    aggregation (VIP status is per user). In a stream that would fix the VIP users at its
+    start: pass None there, and take them out of every micro-batch with :func:`without_vip`.
     Windows are on event time (field 16) by default; ``time_col`` names a timestamp
     column of ``lines`` to window on instead, e.g. the Kafka arrival time ``kafka_ts``
     (the reference's arrival-time windows).
@@ -105,11 +107,8 @@ def unpaid_visitors(
     keep = [time_col] if time_col else []
     ev = B.parse_lines(lines, keep_columns=keep).where(F.col("event_key") == B.ENTER_ORDER_PAGE)
     ev = ev.select("uid", "event_time", *keep)
-    vip = vip_user_ids(vip_users)
-    if lines.isStreaming:
-        # No AQE in streaming: broadcast the VIP ids only when their count is under the limit.
-        vip = broadcast_if_small(vip)[0]
-    ev = ev.join(vip, "uid", "left_anti")
+    if vip_users is not None:
+        ev = ev.join(vip_user_ids(vip_users), "uid", "left_anti")
     ev = ev.withColumn("event_ts", F.col(time_col).cast("timestamp")) if time_col else _event_time(ev)
     if watermark:
         ev = ev.withWatermark("event_ts", watermark)
@@ -122,6 +121,12 @@ def unpaid_visitors(
     )
 
 
+def without_vip(visitors: DataFrame, vip_users: DataFrame) -> DataFrame:
+    """``visitors`` who are not VIP by a lookup opened for this micro-batch. The batch is an
+    ordinary frame, so the join is planned on the lookup's size of the moment."""
+    return visitors.join(vip_user_ids(vip_users), "uid", "left_anti").select(*visitors.columns)
+
+
 # --- running a job --------------------------------------------------------------------
 
 def start_upsert_stream(
@@ -133,6 +138,7 @@ def start_upsert_stream(
     query_name: str | None = None,
     state_partitions: int | None = None,
     sink_files: int | None = None,
+    per_batch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Run ``agg`` in update mode into a change log at ``sink_path``.
 
@@ -142,12 +148,17 @@ def start_upsert_stream(
     partitions of the stateful step), which is recorded in the checkpoint at the first
     start and cannot change later; size it to the state, not to one batch. By default the
     session's ``spark.sql.shuffle.partitions`` is used. ``sink_files`` caps the files
-    written per micro-batch.
+    written per micro-batch. ``per_batch`` is applied to every micro-batch's output before it
+    is written.
     """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        upsert_changelog_batch(per_batch(df) if per_batch else df, batch_id, sink_path, sink_files)
+
     w = (
         agg.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint_path)
-        .foreachBatch(lambda df, batch_id: upsert_changelog_batch(df, batch_id, sink_path, sink_files))
+        .foreachBatch(write)
     )
     if query_name:
         w = w.queryName(query_name)

@@ -190,3 +190,85 @@ def test_snapshot_publication_survives_an_unpublished_write(spark):
     second = write_snapshot(spark.range(7), base, new_snapshot_id("20190601"))
     assert latest_snapshot_path(spark, base) == second
     assert spark.read.parquet(latest_snapshot_path(spark, base)).count() == 7
+
+
+BEHAVIOUR_DAY = 1554134400
+
+
+def behaviour_line(uid, key, start=0, end=300, day=BEHAVIOUR_DAY):
+    return "\t".join([str(uid), "u", "F", "1", "0", "ios", "a", "wifi", "1.1.1.1", "18735100001", "1", "300", str(start), str(end), "1.0", key, str(day)])
+
+
+def test_a_second_load_adds_to_a_day_and_a_repeated_one_does_not(spark):
+    root = tempfile.mkdtemp(prefix="lm-wh-")
+    layout = J.Layout(root)
+    one, two = tempfile.mkdtemp(), tempfile.mkdtemp()
+    for d, uids in ((one, range(5)), (two, [7])):
+        with open(os.path.join(d, "log.txt"), "w") as fh:
+            fh.write("\n".join(behaviour_line(u, "startVideo") for u in uids) + "\n")
+    for src in (one, two, one):
+        assert J.main(["load-behaviour", root, src]) == 0
+    assert J.main(["video", root, "20190402"]) == 0
+    out = spark.read.parquet(layout.tmp("app_course_study_analysis"))
+    assert [r.watch_video_count for r in out.collect()] == [6]
+
+
+def test_a_rerun_without_rows_leaves_none(spark):
+    root = tempfile.mkdtemp(prefix="lm-wh-")
+    layout = J.Layout(root)
+    bad, clean, empty = (tempfile.mkdtemp() for _ in range(3))
+    raw_day(bad, [{"uid": 1, "paymoney": "3", "vip_id": 1, "dn": "A"}])
+    with open(os.path.join(bad, "pcentermempaymoney.log"), "a") as fh:
+        fh.write("not json\n")
+    raw_day(clean, [{"uid": 1, "paymoney": "3", "vip_id": 1, "dn": "A"}])
+    raw_day(empty, [])
+    count = lambda path: spark.read.option("recursiveFileLookup", "true").parquet(path).count()
+    table = "bdl_pcentermempaymoney"
+    J.ingest_table(spark, layout, bad, table, "20190711")
+    assert (count(layout.bdl(table)), count(layout.rejects(table))) == (1, 1)
+    J.ingest_table(spark, layout, clean, table, "20190711")
+    assert (count(layout.bdl(table)), count(layout.rejects(table))) == (1, 0)
+    J.ingest_table(spark, layout, empty, table, "20190711")
+    assert (count(layout.bdl(table)), count(layout.rejects(table))) == (0, 0)
+
+
+def test_stream_paths_need_a_shared_place(spark):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    assert J.stream_paths(spark, "x", "/s", "/c") == ("/s", "/c")
+    assert J.stream_paths(spark, "x", None, None)[0] == J.stream_paths(spark, "x", None, None)[0]
+    try:
+        spark.conf.set("spark.checkpoint.dir", "")
+        with pytest.raises(J.JobArgumentError):
+            J.stream_paths(spark, "x", "/s", None)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+
+
+@pytest.mark.parametrize("step", ["_write_manifest", "publish_snapshot"])
+def test_a_crash_before_the_pointer_leaves_the_old_zipper(spark, monkeypatch, step):
+    import learnmetrics.sinks.writers as W
+
+    layout = J.Layout(tempfile.mkdtemp(prefix="lm-wh-"))
+    for dt in ("20190710", "20190711", "20190712"):
+        d = tempfile.mkdtemp()
+        raw_day(d, [{"uid": 1, "paymoney": "3", "vip_id": 1, "dn": "A"}, {"uid": int(dt[-1]), "paymoney": "1", "vip_id": 1, "dn": "A"}])
+        J.run_ingest(spark, layout, d, dt)
+    J.run_zipper_daily(spark, layout, "20190710")
+    J.run_zipper_daily(spark, layout, "20190711")
+    before = rows(J.read_zipper_inc(spark, layout))
+
+    def crash(*a, **k):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(J if step == "_write_manifest" else W, step, crash)
+        for job in (lambda: J.run_zipper_daily(spark, layout, "20190712"), lambda: J.run_zipper_rebuild(spark, layout)):
+            with pytest.raises(RuntimeError):
+                job()
+            assert rows(J.read_zipper_inc(spark, layout)) == before
+    J.run_zipper_daily(spark, layout, "20190712")
+    after = rows(J.read_zipper_inc(spark, layout))
+    J.run_zipper_rebuild(spark, layout)
+    assert rows(J.read_zipper_inc(spark, layout)) == after != before
+    assert J.clean_zipper(spark, layout)
+    assert rows(J.read_zipper_inc(spark, layout)) == after
