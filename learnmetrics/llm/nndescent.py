@@ -243,11 +243,10 @@ def search(graph: DataFrame, codes: DataFrame, queries: DataFrame) -> DataFrame:
         "lists",
     )
     coded = stored(_query_codes(queries), "queries")
-    starts = codes.select("node").orderBy(F.xxhash64("node"), "node").limit(STARTS)
-    outside = coded.where("node is null").select("query").withColumn("one", F.lit(1))
-    begin = coded.where("node is not null").select("query", F.col("node").alias("near")).unionByName(
-        outside.join(F.broadcast(starts.agg(F.collect_list("node").alias("s")).withColumn("one", F.lit(1))), "one").select("query", F.explode("s").alias("near"))
-    )
+    starts = [r["node"] for r in codes.select("node").orderBy(F.xxhash64("node"), "node").limit(STARTS).collect()]
+    begin = coded.where("node is not null").select("query", F.col("node").alias("near"))
+    if starts:
+        begin = begin.unionByName(coded.where("node is null").select("query", F.explode(F.array(*[F.lit(x).cast("long") for x in starts])).alias("near")))
     state = stored(begin.distinct().withColumns({"sim": F.lit(0.0).cast("float"), "flag": F.lit(0)}), "state")
     vectors = coded.select("query", "q")
     for _ in range(SEARCH_ROUNDS):
