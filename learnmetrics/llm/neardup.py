@@ -6,11 +6,11 @@
    correlated, so slots fill evenly, and a document stops as soon as every slot is filled
    (lower levels always win).
 2. Documents with equal sets become one node, the smallest id among them.
-3. Bands of the signature give buckets. In a bucket, nodes are compared with a pivot, not
-   with each other; what the pivot doesn't join is compared across the components still
-   apart, until no bucket holds two components with an untested pair. Groups of thousands
-   of copies thus cost a comparison each, and no pair that shares a bucket is lost unless
-   its ends are already joined.
+3. Bands of the signature give buckets. In a bucket, nodes are first compared with a pivot,
+   not with each other, so that a group of thousands of copies costs a comparison each. Then
+   the pairs that share a bucket and are still in different components are compared, unless
+   exact bounds tell that they can't be similar: by the sizes of their sets, and by the
+   shingles that stand in no other component. No pair that shares a bucket is lost.
 4. Every compared pair is confirmed on the full shingle sets; components come from
    large-star / small-star joins. Nothing about documents reaches the driver.
 
@@ -43,10 +43,8 @@ BAND_ROWS = 4
 #: Elements whose permutations a task holds at once.
 ELEMENTS = 1 << 16
 TEXT_SLICE = 4 << 20
-#: Pairs still to be compared are listed outright once there are at most so many for each
-#: row of the bucket table; star rounds before that are at most STAR_ROUNDS.
-LISTED = 4
-STAR_ROUNDS = 6
+#: Rounds that compare nodes with a pivot; then the pairs left between components are listed.
+STAR_ROUNDS = 2
 
 _UNSET = np.uint64(2**64 - 1)
 
@@ -218,38 +216,54 @@ def near_duplicates(
 
 
 def _join_members(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, comp) of all nodes linked within buckets (see the module's text, step 3)."""
+    """(node, comp) of all nodes linked within buckets (see the module's text, step 3).
+
+    ``members`` has bucket, node and n, the size of the node's set; ``able`` is how many of
+    its shingles can be in common with others, n until that is known better.
+    """
     kind = members.schema["node"].dataType
     spark = members.sparkSession
     found = spark.createDataFrame([], T.StructType([T.StructField("node", kind), T.StructField("comp", kind)]))
     tested = spark.createDataFrame([], T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
-    turn = 0
-    while True:
-        labelled = members.select("bucket", "node", "n").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        apart = labelled.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        # Only buckets that still hold two components matter.
-        members = stored(labelled.join(apart.select("bucket"), "bucket").select("bucket", "node", "n", "comp"), "apart")
-        rows, crossing = (
-            members.groupBy("bucket", "comp").agg(F.count("*").cast("double").alias("c"))
-            .groupBy("bucket").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-            .agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
-        )
-        if not rows:
-            return found
-        last = crossing <= LISTED * rows or turn >= STAR_ROUNDS
-        pairs = stored((_crossing if last else _star)(members, turn, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+    members = members.withColumn("able", F.col("n"))
+    for turn in range(STAR_ROUNDS + 1):
+        labelled = members.drop("comp").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        members = stored(_apart(labelled, percent), "apart")
+        if turn:
+            members = stored(_apart(_with_shared_items(members, sets), percent), "sharing")
+        pairs = stored((_star if turn < STAR_ROUNDS else _crossing)(members, turn, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
         links = stored(_verified(pairs, sets, percent), "links")
         if not links.isEmpty():
             found = stored(components(links.unionByName(found.select(F.col("comp").alias("a"), F.col("node").alias("b")))), "found")
-        if last:
-            return found
         tested = tested.unionByName(pairs)
-        turn += 1
+    return found
+
 
+def _apart(members: DataFrame, percent: int) -> DataFrame:
+    """What is still to be compared: rows that can reach the similarity with a set as large
+    as the bucket's smallest, in buckets that hold two components."""
+    least = members.groupBy("bucket").agg(F.min("n").alias("low"))
+    best = F.greatest("low", "able")
+    rows = members.join(least, "bucket").where(100 * F.col("able") >= percent * (F.col("n") + best - F.col("able"))).drop("low")
+    two = rows.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
+    return rows.join(two, "bucket").select("bucket", "node", "n", "able", "comp")
 
-def _similar_size(percent: int):
-    """Sets of these sizes can reach the similarity at all."""
-    return 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+
+def _with_shared_items(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``members`` with ``able`` reduced to the shingles that also stand in another component
+    still to be compared. The others can't be in common with any node a link is still needed
+    to, so bounds from it are exact; in a group of copies they are each copy's own changes."""
+    nodes = members.select("node", "comp").distinct()
+    items = sets.join(nodes, "node").select("node", "comp", F.explode("items").alias("item"))
+    own = items.groupBy("item").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low = high").select("item")
+    alone = items.join(own, "item").groupBy("node").agg(F.count("*").alias("alone"))
+    return members.join(alone, "node", "left").withColumn("able", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+
+
+def _can_reach(percent: int):
+    """Sets of n and m shingles, of which able and able_b can be in common, can be similar enough."""
+    common = F.least("able", "able_b")
+    return 100 * common >= percent * (F.col("n") + F.col("m") - common)
 
 
 def _star(members: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -260,10 +274,10 @@ def _star(members: DataFrame, turn: int, percent: int) -> DataFrame:
     links come from that one comparison.
     """
     order = [F.xxhash64(F.lit(turn), "comp"), F.xxhash64(F.lit(turn), "node")] if turn else [F.lit(0), F.lit(0)]
-    first = F.min(F.struct(order[0].alias("o"), F.col("comp"), order[1].alias("p"), F.col("node"), F.col("n").alias("m")))
+    first = F.min(F.struct(order[0].alias("o"), F.col("comp"), order[1].alias("p"), "node", F.col("n").alias("m"), F.col("able").alias("able_b")))
     pivots = members.groupBy("bucket").agg(first.alias("p"))
-    pivots = pivots.select("bucket", F.col("p.comp").alias("pivot_comp"), F.col("p.node").alias("pivot"), F.col("p.m").alias("m"))
-    pairs = members.join(pivots, "bucket").where(F.col("comp") != F.col("pivot_comp")).where(_similar_size(percent))
+    pivots = pivots.select("bucket", F.col("p.comp").alias("pivot_comp"), F.col("p.node").alias("pivot"), "p.m", "p.able_b")
+    pairs = members.join(pivots, "bucket").where(F.col("comp") != F.col("pivot_comp")).where(_can_reach(percent))
     pairs = pairs.groupBy("pivot", "node").agg(F.count("*").alias("votes"))
     if turn == 0:
         pairs = pairs.groupBy("node").agg(F.max_by("pivot", F.struct("votes", "pivot")).alias("pivot"))
@@ -271,10 +285,16 @@ def _star(members: DataFrame, turn: int, percent: int) -> DataFrame:
 
 
 def _crossing(members: DataFrame, turn: int, percent: int) -> DataFrame:
-    """All pairs (a, b) of nodes in one bucket and in different components."""
-    other = members.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
+    """All pairs (a, b) of nodes in one bucket and in different components that can be similar
+    enough; a pair that shares several buckets comes from the first of them only."""
+    members = members.join(members.groupBy("node").agg(F.collect_list("bucket").alias("buckets")), "node")
+    other = members.select(
+        "bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("able").alias("able_b"), F.col("comp").alias("comp_b"),
+        F.col("buckets").alias("buckets_b"),
+    )
+    first = F.array_min(F.array_intersect("buckets", "buckets_b")) == F.col("bucket")
     pairs = members.withColumnRenamed("node", "a").join(other, "bucket").where("a < b and comp <> comp_b")
-    return pairs.where(_similar_size(percent)).select("a", "b").distinct()
+    return pairs.where(_can_reach(percent)).where(first).select("a", "b").distinct()
 
 
 def op5_near_dedup(spark, sf_dir: str) -> DataFrame:
