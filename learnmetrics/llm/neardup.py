@@ -160,7 +160,6 @@ def components(edges: DataFrame) -> DataFrame:
     Hot nodes are pre-aggregated to their minimum; a node's edges are never gathered.
     """
     edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    mark = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -172,10 +171,13 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         )
         edges = stored(small, "small")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
+        # Done when no node has two parents and no parent has one itself.
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionByName(
+            edges.select(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("parent"))
+        )
+        ends = ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+        if ends.where("child > 1 or (child = 1 and parent = 1)").isEmpty():
             break
-        mark = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
     )
