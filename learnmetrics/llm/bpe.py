@@ -1,6 +1,6 @@
 """Byte-level BPE encoding by corpus-level merge replay, and decoding.
 
-The distinct words of a stretch of the corpus (a task's texts, up to 32 MB at a time) are
+The distinct words of a stretch of the corpus (a task's texts, 8 MB at a time) are
 laid out as one long row of byte tokens. An inverted index leads from a merge's rank to the
 places where its pair stands; the merges are replayed in rank order over all words at once,
 and each one updates only the pairs next to what it touched. Texts are then put together
@@ -31,10 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from learnmetrics.llm.common import binary_array, offsets_of, spans, split_encoded, table, text_slices
+from learnmetrics.llm.shingles import text_bytes
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Bytes of text whose distinct words are replayed together.
-CORPUS_BYTES = 32 << 20
+CORPUS_BYTES = 8 << 20
+#: Documents decoded at once.
+DECODED_ROWS = 512
 _NONE = np.int32(2**31 - 1)
 
 
@@ -171,62 +174,70 @@ def replay(m: dict, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, n
     return ids[spans(first, sizes)], offsets_of(sizes)
 
 
-def pieces_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+#: Pieces of these characters are split by Arrow's expression, which equals the vocabulary's
+#: pattern where no two white-space characters meet; other pieces by the pattern itself.
+_SIMPLE = r"^[ \n\x{21}-\x{7E}\x{A1}-\x{24F}]*$"
+_ARROW_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\pL+| ?\pN+| ?[^\s\pL\pN]+|\s"
+_CUT = "\x00"
+
+
+def pieces_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(distinct pieces, piece of every place, offsets of texts).
 
-    Texts are cut before single spaces, where words of the pattern always end. A text with
-    two white-space characters in a row stays in one piece.
+    Texts are cut before single spaces and after line feeds, where words of the pattern
+    always end. A text with two white-space characters in a row stays in one piece.
     """
-    whole = pc.match_substring_regex(texts, r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}").to_numpy(zero_copy_only=False)
-    codes, pieces, bounds = split_encoded(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts)
-    key = codes.astype(np.int64) * 2 + 1
-    filled = bounds[:-1][np.diff(bounds) > 0]
-    key[filled] -= 1
+    whole = pc.match_substring_regex(texts, r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}|\x00").to_numpy(zero_copy_only=False)
+    easy = pc.if_else(pa.array(whole), "", texts) if whole.any() else texts
+    lines = pc.split_pattern(pc.replace_substring(easy, "\n", "\n" + _CUT), _CUT)
+    codes, pieces, line_bounds = split_encoded(lines.flatten())
+    bounds = line_bounds[offsets_of(pc.list_value_length(lines).to_numpy(zero_copy_only=False))]
+    key = codes.astype(np.int64) + len(pieces)
+    key[line_bounds[:-1]] -= len(pieces)  # a line's first piece follows no space
     used = np.zeros(2 * len(pieces), dtype=bool)
     used[key] = True
-    kinds = np.flatnonzero(used)
-    number = np.cumsum(used) - 1
-    words = pieces.to_pylist()
-    distinct = [words[k >> 1] if k % 2 == 0 else " " + words[k >> 1] for k in kinds.tolist()]
-    place = number[key]
+    spaced = pc.binary_join_element_wise(pa.scalar(" "), pieces, "")
+    distinct = pa.concat_arrays([pieces, spaced]).take(pa.array(np.flatnonzero(used)))
+    place = (np.cumsum(used) - 1)[key]
     rows = np.flatnonzero(whole)
     place[bounds[:-1][rows]] = len(distinct) + np.arange(len(rows))
-    return distinct + texts.take(pa.array(rows)).to_pylist(), place, bounds
-
-
-class Corpus:
-    """Texts gathered until their distinct words are replayed together."""
-
-    def __init__(self, merges: dict, pattern: str):
-        self.merges, self.pattern = merges, regex.compile(pattern)
-        self.pieces: dict[str, int] = {}
-        self.texts: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def add(self, texts: pa.Array) -> None:
-        distinct, place, bounds = pieces_of(texts)
-        known = self.pieces
-        number = np.fromiter((known.setdefault(p, len(known)) for p in distinct), dtype=np.int32, count=len(distinct))
-        self.texts.append((number[place], bounds))
-
-    def encoded(self):
-        """(ids, offsets) of every array of texts added."""
-        words: dict[str, int] = {}
-        parts, counts = [], []
-        for piece in self.pieces:
-            found = self.pattern.findall(piece)
-            counts.append(len(found))
-            parts += [words.setdefault(w, len(words)) for w in found]
-        raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
-        ids, starts = replay(self.merges, data, offsets_of(np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))))
-        part = np.array(parts, dtype=np.int64)
-        size = np.diff(starts)[part]
-        piece_ids = ids[spans(starts[part], size)]
-        piece_starts = offsets_of(size)[offsets_of(np.array(counts, dtype=np.int64))]
-        piece_sizes = np.diff(piece_starts)
-        for place, bounds in self.texts:
-            lengths = piece_sizes[place]
-            yield piece_ids[spans(piece_starts[place], lengths)], offsets_of(lengths)[bounds]
+    return pa.concat_arrays([distinct, texts.take(pa.array(rows))]), place, bounds
+
+
+def words_of(pieces: pa.Array, pattern) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct words, word of every place, first place and number of words of every piece)."""
+    simple = np.zeros(len(pieces), dtype=bool)
+    if pattern.pattern == public_tokenizers.PATTERN:
+        plain = pc.and_(pc.match_substring_regex(pieces, _SIMPLE), pc.invert(pc.match_substring_regex(pieces, r"[ \n]{2}")))
+        simple = plain.to_numpy(zero_copy_only=False)
+    rows = np.flatnonzero(simple)
+    split = pc.split_pattern(pc.replace_substring_regex(pieces.take(pa.array(rows)), _ARROW_PATTERN, r"\0" + _CUT), _CUT)
+    flat = split.flatten()
+    count = np.zeros(len(pieces), dtype=np.int64)
+    count[rows] = pc.list_value_length(split).to_numpy(zero_copy_only=False) - 1  # behind the last cut stands nothing
+    flat = flat.filter(pa.array(pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0))
+    others = np.flatnonzero(~simple)
+    found = [pattern.findall(p) for p in pieces.take(pa.array(others)).to_pylist()]
+    count[others] = [len(f) for f in found]
+    first = np.zeros(len(pieces), dtype=np.int64)
+    first[rows] = offsets_of(count[rows])[:-1]
+    first[others] = len(flat) + offsets_of(count[others])[:-1]
+    words = pa.concat_arrays([flat, pa.array([w for f in found for w in f], pa.string())]).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(zero_copy_only=False).astype(np.int64), first, count
+
+
+def encode_texts(merges: dict, pattern, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts one after the other, offset of every text)."""
+    pieces, place, bounds = pieces_of(texts)
+    words, word, first, count = words_of(pieces, pattern)
+    data, word_bounds = text_bytes(words)
+    ids, starts = replay(merges, data, word_bounds)
+    size = np.diff(starts)[word]
+    piece_ids = ids[spans(starts[word], size)]
+    at = offsets_of(size)
+    piece_start, piece_size = at[first], at[first + count] - at[first]
+    lengths = piece_size[place]
+    return piece_ids[spans(piece_start[place], lengths)], offsets_of(lengths)[bounds]
 
 
 def encode(docs: DataFrame, text: str = "text", doc: str = "doc_id", path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -237,20 +248,11 @@ def encode(docs: DataFrame, text: str = "text", doc: str = "doc_id", path: str |
     merges = merge_table(load_ranks(path or public_tokenizers.path(VOCABULARY)))
     pattern = pattern or public_tokenizers.PATTERN
 
-    def results(corpus, keys):
-        for key, (ids, bounds) in zip(keys, corpus.encoded(), strict=True):
-            yield pa.RecordBatch.from_arrays([key, binary_array(ids, bounds)], names=[doc, "ids"])
-
     def run(batches):
-        corpus, keys, held = Corpus(merges, pattern), [], 0
-        for batch, texts in text_slices(batches, "text"):
-            corpus.add(texts)
-            keys.append(batch.column(0))
-            held += pc.sum(pc.binary_length(texts)).as_py()
-            if held >= CORPUS_BYTES:
-                yield from results(corpus, keys)
-                corpus, keys, held = Corpus(merges, pattern), [], 0
-        yield from results(corpus, keys)
+        compiled = regex.compile(pattern)
+        for batch, texts in text_slices(batches, "text", CORPUS_BYTES):
+            ids, bounds = encode_texts(merges, compiled, texts)
+            yield pa.RecordBatch.from_arrays([batch.column(0), binary_array(ids, bounds)], names=[doc, "ids"])
 
     schema = T.StructType([T.StructField(doc, docs.schema[doc].dataType), T.StructField("ids", T.BinaryType())])
     return docs.select(F.col(doc), F.col(text).alias("text")).mapInArrow(run, schema)
@@ -262,7 +264,7 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> Dat
     step = 1 << 18
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(lo, DECODED_ROWS) for b in batches for lo in range(0, max(1, b.num_rows), DECODED_ROWS)):
             column = batch.column(batch.schema.get_field_index(ids))
             out = []
             for value in column:

@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -26,10 +27,8 @@ ODD = [
 ]
 
 
-def _bpe_ids(texts):
-    corpus = bpe.Corpus(MERGES, public_tokenizers.PATTERN)
-    corpus.add(pa.array(texts, pa.string()))
-    ((ids, bounds),) = corpus.encoded()
+def _bpe_ids(texts, merges=MERGES):
+    ids, bounds = bpe.encode_texts(merges, regex.compile(public_tokenizers.PATTERN), pa.array(texts, pa.string()))
     return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
@@ -54,10 +53,7 @@ def test_word_whose_merges_are_out_of_rank_order_is_exact():
     library = tiktoken.Encoding("odd", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rnd = random.Random(5)
     texts = ["".join(rnd.choice("abc") for _ in range(rnd.randint(1, 14))) for _ in range(2000)]
-    corpus = bpe.Corpus(bpe.merge_table(ranks), public_tokenizers.PATTERN)
-    corpus.add(pa.array(texts))
-    ((ids, bounds),) = corpus.encoded()
-    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [library.encode_ordinary(t) for t in texts]
+    assert _bpe_ids(texts, bpe.merge_table(ranks)) == [library.encode_ordinary(t) for t in texts]
 
 
 def test_encode_decode_round_trip(spark):
