@@ -60,10 +60,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """64-bit hash of every word, A-Z in lower case."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _powers(len(data))
+    up, down = _powers(len(data) + 1)  # an empty word may start behind the last byte
     with np.errstate(over="ignore"):
         running = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_byte_codes()[data] * up, out=running[1:])
+        np.cumsum(_byte_codes()[data] * up[:-1], out=running[1:])
         return mix64((running[ends] - running[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
