@@ -235,8 +235,9 @@ def ip_region_join(spark, sf):
 
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = V.table(spark, sf, "events").schema
-    # The table's own path: one file, or a folder of any number of part files.
-    return spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/events.parquet")
+    # The table's own path: one file, or a folder of any number of part files. Written as a
+    # pattern (of one match), since a file source takes a plain path for a folder.
+    return spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/events.parque[t]")
 
 
 def _run_to_table(
