@@ -370,11 +370,15 @@ def stream_lines(spark: SparkSession, kafka_servers: str | None, topic: str | No
     raise JobArgumentError("give --kafka-servers and --topic, or --file-dir")
 
 
-def stream_paths(spark: SparkSession, name: str, sink: str | None, checkpoint: str | None) -> tuple[str, str]:
-    """Sink and checkpoint locations: those given, or folders below ``spark.checkpoint.dir``,
-    the same at every start. Without either the job refuses to start: a stream whose state
-    lies in a new folder each time would lose its offsets and its results."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def stream_paths(
+    spark: SparkSession, name: str, sink: str | None, checkpoint: str | None, root: str | None = None
+) -> tuple[str, str]:
+    """Sink and checkpoint locations: those given, or folders below ``root`` (by default
+    ``spark.checkpoint.dir``), the same at every start. Without either the job refuses to
+    start: a stream whose state lies in a new folder each time would lose its offsets and
+    its results."""
+    if root is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and not (sink and checkpoint):
         raise JobArgumentError("give --sink and --checkpoint, or set spark.checkpoint.dir to a shared folder")
     paths = sink or f"{root.rstrip('/')}/streams/{name}/sink", checkpoint or f"{root.rstrip('/')}/streams/{name}/checkpoint"

@@ -89,12 +89,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and lineage-cutting tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster's shared location). Only when it is
-    unset (tests, a laptop) a folder below the warehouse, which is shared too, stands in.
+    unset (tests, a laptop) a folder below the warehouse, which is shared too, stands in;
+    the setting itself is left alone, a running session refuses to change it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -4,7 +4,8 @@ One :class:`IngestSpec` per target table lists its columns in order; each column
 key read as string or int, a load-date constant, or an expression over earlier columns.
 A line is parsed once (``from_json`` to ``map<string,string>``). Lines that are not one
 JSON object, or whose int fields hold non-numeric text, go to a rejects frame with a
-reason instead of failing the job. Missing or empty int fields become 0.
+reason instead of failing the job. Missing or empty int fields become 0. A blank line holds
+no record: it is neither a row nor a reject.
 """
 
 from __future__ import annotations
@@ -195,6 +196,11 @@ def reject_reason(spec: IngestSpec, m: Column) -> Column:
     return reason
 
 
+def is_blank(value_col: str) -> Column:
+    """A line of white space only (a null line isn't blank: it is rejected)."""
+    return F.coalesce(F.trim(F.col(value_col), F.lit(" \t\r\n")) == "", F.lit(False))
+
+
 def ingest_json(
     lines: DataFrame,
     spec: IngestSpec,
@@ -204,6 +210,7 @@ def ingest_json(
     """Raw JSON lines -> (typed rows in ``spec`` order, rejects with ``value, reason``)."""
     if any(f.kind == "load_date" for f in spec.fields) and load_date is None:
         raise ValueError(f"{spec.table} needs a load date (yyyyMMdd)")
+    lines = lines.where(~is_blank(value_col))
     parsed = lines.select(F.col(value_col).alias("_line"), C.parse_json_object(value_col).alias("_m"))
     m = F.col("_m")
     cols = _field_columns(spec, m, load_date)

@@ -18,10 +18,8 @@ def spark():
         "learnmetrics-tests",
         master="local[4]",
         shuffle_partitions=4,
-        extra_conf={"spark.sql.session.timeZone": "UTC"},
+        extra_conf={"spark.sql.session.timeZone": "UTC", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="lm-ckpt-")},
     )
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lm-ckpt-"))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

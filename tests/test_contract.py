@@ -1,9 +1,13 @@
 """Driver contract: registered queries run, oracles exist, names line up, no Python UDFs."""
 
+import importlib
+import sys
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from learnmetrics.plans import catalog, oracle
 from learnmetrics.plans.views import TABLES
 
 from conftest import SF_SMALL
@@ -16,7 +20,28 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("missing", ["public_tokenizers", "learnmetrics.llm", "learnmetrics.llm.bpe"])
+def test_optional_part_cannot_take_down_the_rest(monkeypatch, missing):
+    """A third-party module or the subpackage may be absent; a broken subpackage is an error."""
+    for name in [m for m in sys.modules if m.startswith(("learnmetrics.llm", "corpus_pipeline", "public_tokenizers"))]:
+        monkeypatch.delitem(sys.modules, name)
+    real = importlib.import_module
+
+    def without(name, package=None):
+        if name == "learnmetrics.llm.queries":
+            raise ModuleNotFoundError(f"No module named {missing!r}", name=missing)
+        return real(name, package)
+
+    monkeypatch.setattr(importlib, "import_module", without)
+    if missing == "learnmetrics.llm.bpe":
+        with pytest.raises(ModuleNotFoundError):
+            entry._optional("learnmetrics.llm.queries")
+    else:
+        assert entry._optional("learnmetrics.llm.queries") is None
 
 
 @pytest.fixture(scope="module")
@@ -45,9 +70,9 @@ def test_query_matches_oracle_at_smallest_scale(spark, duck, name):
 
 
 def test_no_python_udfs_in_any_batch_plan(spark):
-    for name, q in entry.queries().items():
+    for name, q in catalog.queries().items():
         if name.endswith("_stream"):
             continue
         plan = q(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+        assert not any(x in plan for x in ("Python", "Pandas", "InArrow")), name
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name

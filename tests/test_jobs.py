@@ -1,5 +1,7 @@
 import json
 import os
+import subprocess
+import sys
 import tempfile
 
 import pytest
@@ -233,15 +235,28 @@ def test_a_rerun_without_rows_leaves_none(spark):
 
 
 def test_stream_paths_need_a_shared_place(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    assert J.stream_paths(spark, "x", "/s", "/c") == ("/s", "/c")
+    assert J.stream_paths(spark, "x", "/s", "/c", root="") == ("/s", "/c")
     assert J.stream_paths(spark, "x", None, None)[0] == J.stream_paths(spark, "x", None, None)[0]
-    try:
-        spark.conf.set("spark.checkpoint.dir", "")
-        with pytest.raises(J.JobArgumentError):
-            J.stream_paths(spark, "x", "/s", None)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+    assert J.stream_paths(spark, "x", None, "/c", root="/shared/") == ("/shared/streams/x/sink", "/c")
+    with pytest.raises(J.JobArgumentError):
+        J.stream_paths(spark, "x", "/s", None, root="")
+
+
+def test_without_a_checkpoint_setting_the_warehouse_stands_in(tmp_path):
+    """A session of its own, since a running one refuses to change the setting."""
+    script = f"""
+from learnmetrics.session import get_session, scratch_path
+from learnmetrics.plans import catalog
+spark = get_session("bare", master="local[2]", shuffle_partitions=2, extra_conf={{"spark.sql.warehouse.dir": "{tmp_path}/wh"}})
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+assert scratch_path(spark, "a").split(":")[-1].startswith("{tmp_path}/wh/_checkpoints/a/")
+spark.range(3).checkpoint().count()
+print("ROWS", catalog.zipper_advance_open(spark, "/root/testdata/sf0.001").count())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path)}  # no defaults file that sets it
+    done = subprocess.run([sys.executable, "-c", script], cwd=root, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0 and "ROWS" in done.stdout, done.stderr[-2000:]
 
 
 @pytest.mark.parametrize("step", ["_write_manifest", "publish_snapshot"])
