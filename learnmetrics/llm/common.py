@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from learnmetrics.session import scratch_path
+from learnmetrics.session import checkpoint_root, scratch_path
 
 #: Bytes of text handled at once inside a task (one row may be larger).
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,33 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean_stored(spark: SparkSession, hours: float = 24) -> list[str]:
+    """Remove tables of :func:`stored` whose folder is older than ``hours``; returns what went.
+
+    A query's tables must outlive its function, since its result is read from them; so a
+    periodic job (or the end of a session, with ``hours=0``) clears what no run needs."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/llm")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    before = (time.time() - hours * 3600) * 1000
+    old = [run for label in fs.listStatus(path) for run in fs.listStatus(label.getPath()) if run.getModificationTime() <= before]
+    for run in old:
+        fs.delete(run.getPath(), True)
+    return [run.getPath().toString() for run in old]
+
+
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """``names``, each changed until it differs from all of ``taken`` (case does not count)."""
+    used, out = {x.lower() for x in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def is_training_row(doc: str = "doc_id"):
     """The learning fold: crc32 of the id as text, modulo 4, is not 2 (null ids: held out)."""
     return F.coalesce(F.crc32(F.encode(F.col(doc).cast("string"), "UTF-8")) % 4 != 2, F.lit(False))
@@ -55,6 +83,7 @@ def text_slices(
         cuts = np.flatnonzero(np.diff(block)) + 1
         for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
             yield batch.slice(lo, hi - lo), texts.slice(lo, hi - lo)
+    pa.default_memory_pool().release_unused()  # the worker process goes on to other tasks
 
 
 def split_encoded(texts: pa.Array, separator: str = " ") -> tuple[np.ndarray, pa.Array, np.ndarray]:

@@ -9,6 +9,9 @@ posterior over its words is the document's.
 Defined results
 * null text, or text without a letter: ``und`` with score 0;
 * ties between languages go to the one that sorts first;
+* every row is labelled on its own, also where rows share an id; in learning, repeated rows
+  count once and rows of one id keep the language of their own row; only the 256 most
+  frequent languages are learned; a very long text is labelled whole, in bounded memory;
 * every input column is returned; ``lang_pred`` and ``score`` replace columns of that name;
 * without any labelled row of the learning fold every text is ``und``; an empty table gives
   an empty table.
@@ -86,8 +89,10 @@ def emissions(weights: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> np.nd
     return np.add.reduceat(weights[ids], bounds[:-1])
 
 
-def forward_backward(scores: np.ndarray, transition: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Posteriors of every place and expected transitions.
+def forward_backward(
+    scores: np.ndarray, transition: np.ndarray, start: np.ndarray, learn: bool = True
+) -> tuple[np.ndarray, np.ndarray]:
+    """Posteriors of every place and, to ``learn`` from, expected transitions.
 
     ``scores`` (places x sequences x labels) is padded with NaN behind a sequence's end.
     """
@@ -109,9 +114,10 @@ def forward_backward(scores: np.ndarray, transition: np.ndarray, start: np.ndarr
     for t in range(places - 1, 0, -1):
         go = open_[t][:, None]
         inner = beta * local[t]
-        pair = alpha[t - 1][:, :, None] * step * inner[:, None, :]
-        pair /= pair.sum(axis=(1, 2), keepdims=True)
-        expected += pair[open_[t]].sum(axis=0)
+        if learn:
+            pair = alpha[t - 1][:, :, None] * step * inner[:, None, :]
+            pair /= pair.sum(axis=(1, 2), keepdims=True)
+            expected += pair[open_[t]].sum(axis=0)
         b = inner @ step.T
         b /= b.sum(axis=1, keepdims=True)
         g = alpha[t] * beta
@@ -186,7 +192,8 @@ def fit(p: dict, rows, turn: int, languages: list[str], lexicon: dict[str, int])
 def train(docs: DataFrame, text: str = "text", doc: str = "doc_id", lang: str = "lang") -> dict | None:
     """The model learned from the learning fold's rows with a language, None without any."""
     base = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"), F.col(lang).alias("label"))
-    sample = bounded_sample(base.select("doc", "text"), base.where(is_training_row("doc")).select("doc", "label"), SAMPLE_PER_LANGUAGE)
+    base = base.where(is_training_row("doc"))
+    sample = bounded_sample(base, base.select("doc", "label"), SAMPLE_PER_LANGUAGE)
     languages = [r["label"] for r in sample.select("label").distinct().orderBy("label").collect()]
     if not languages:
         return None
@@ -219,7 +226,7 @@ def posteriors(model: dict, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     while lo < len(order):  # texts of like length together: little padding, bounded memory
         hi = lo + max(1, int(PLACES // size[order[lo]]))
         part = order[lo:hi]
-        gamma, _ = forward_backward(_padded(emission, codes, bounds[:-1][part], size[part]), model["T"], model["S"])
+        gamma, _ = forward_backward(_padded(emission, codes, bounds[:-1][part], size[part]), model["T"], model["S"], learn=False)
         place = spans(np.zeros_like(size[part]), size[part])
         out[spans(bounds[:-1][part], size[part])] = gamma[place, np.repeat(np.arange(len(part)), size[part])]
         lo = hi

@@ -11,7 +11,9 @@ Defined results
   the key is over the threshold;
 * an equal line repeated inside its keeper document stays every time;
 * every input column is returned; ``n_lines`` and ``n_dropped`` replace columns of the
-  same name; an empty table gives an empty table.
+  same name, columns of any other name pass through; very long texts are split like others,
+  only their ids, positions and hashes are shuffled line by line; an empty table gives an
+  empty table.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from learnmetrics.llm.common import fresh
+
 MIN_CHARS = 20
 MIN_DOCS = 3
 #: ``[\x20\x09-\x0D]``
@@ -33,13 +37,13 @@ def line_key(line: Column) -> Column:
     return F.when(F.octet_length(key) == F.char_length(key), F.lower(key)).otherwise(F.translate(key, UPPER, LOWER))
 
 
-def common_lines(docs: DataFrame, doc: str, min_chars: int, min_docs: int) -> tuple[DataFrame, DataFrame]:
+def common_lines(docs: DataFrame, doc: str, text: str, min_chars: int, min_docs: int) -> tuple[DataFrame, DataFrame]:
     """(every long line's place and key, keys over the threshold with their keeper)."""
     lines = (
         docs.select(
             F.col(doc).alias("d"),
-            F.xxhash64("_text").alias("t"),
-            F.posexplode(F.split("_text", "\n")).alias("pos", "line"),
+            F.xxhash64(text).alias("t"),
+            F.posexplode(F.split(text, "\n")).alias("pos", "line"),
         )
         .where(F.char_length("line") >= min_chars)
         .withColumn("key", line_key(F.col("line")))
@@ -67,34 +71,35 @@ def dedup_lines(
     documents is pre-aggregated per task, and its rows are split by the skew join. The
     text moves once, to meet its dropped positions.
     """
-    columns = [c for c in docs.columns if c not in names]
-    base = docs.select(*columns, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    lines, common = common_lines(base, doc, min_chars, min_docs)
+    columns = [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
+    whole, gone = fresh([*columns, *names], "_text", "_dropped")
+    base = docs.select(*columns, F.coalesce(F.col(text), F.lit("")).alias(whole))
+    lines, common = common_lines(base, doc, whole, min_chars, min_docs)
     dropped = (
         lines.join(common, ["h1", "h2"])
         .where(F.col("d").isNull() | (F.col("d") != F.col("keeper")))
-        .groupBy("d", "t").agg(F.collect_set("pos").alias("_dropped"))
+        .groupBy("d", "t").agg(F.collect_set("pos").alias(gone))
     )
     joined = base.join(
         dropped,
-        base[doc].eqNullSafe(dropped["d"]) & (F.xxhash64(base["_text"]) == dropped["t"]),
+        base[doc].eqNullSafe(dropped["d"]) & (F.xxhash64(base[whole]) == dropped["t"]),
         "left",
     )
     # The lines are bound once to a lambda variable, so they are not split again per position.
     kept = F.transform(
-        F.array(F.split("_text", "\n")),
+        F.array(F.split(whole, "\n")),
         lambda split: F.array_join(
             F.transform(
-                F.array_except(F.sequence(F.lit(1), F.size(split)), F.transform("_dropped", lambda p: p + 1)),
+                F.array_except(F.sequence(F.lit(1), F.size(split)), F.transform(gone, lambda p: p + 1)),
                 lambda i: F.element_at(split, i),
             ),
             "\n",
         ),
     )[0]
     return joined.select(
-        *[(F.when(F.col("_dropped").isNull(), F.col("_text")).otherwise(kept).alias(c) if c == text else base[c]) for c in columns],
-        (F.octet_length("_text") - F.octet_length(F.translate("_text", "\n", "")) + 1).cast("long").alias(names[0]),
-        F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias(names[1]),
+        *[(F.when(F.col(gone).isNull(), F.col(whole)).otherwise(kept).alias(c) if c == text else base[c]) for c in columns],
+        (F.octet_length(whole) - F.octet_length(F.translate(whole, "\n", "")) + 1).cast("long").alias(names[0]),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(names[1]),
     )
 
 

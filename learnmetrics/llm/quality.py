@@ -1,12 +1,14 @@
 """Document quality by attention-based multiple-instance learning.
 
 A document is a bag of passages of 64 words. Each passage is encoded from hashed words, word
-shapes and how recently a word stood before, by learned embeddings; gated attention, learned from document labels alone,
-weighs the passages; the weighted representation gives the score. A few bad passages can
-thus decide about a long document.
+shapes and how recently a word stood before, by learned embeddings; gated attention, learned
+from document labels alone, weighs the passages; the weighted representation gives the score.
+A few bad passages can thus decide about a long document.
 
 Defined results
 * null or empty text: no passage; the score is the model's bias alone;
+* a very long text is scored whole, all its passages weighed together; rows sharing an id are
+  scored row by row; in learning, repeated rows count once;
 * every input column is returned; ``score`` and ``predicted`` replace columns of that name;
 * rows without a label, and rows outside the learning fold, teach nothing; without any
   labelled row every score is 0.5; an empty table gives an empty table.

@@ -8,7 +8,6 @@ import pyarrow as pa
 from learnmetrics.llm.common import mix64, offsets_of
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS: dict[str, np.ndarray] = {}
 
 
 def _byte_codes() -> np.ndarray:
@@ -19,14 +18,15 @@ def _byte_codes() -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd base and of its inverse modulo 2^64."""
-    if len(_POWERS.get("up", ())) < n:
-        with np.errstate(over="ignore"):
-            for key, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
-                step = np.full(n, base, dtype=np.uint64)
-                step[0] = 1
-                _POWERS[key] = np.cumprod(step)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+    """Powers of the odd base and of its inverse modulo 2^64. They are made anew for every
+    slice of texts: kept, the largest slice's would stay with the worker for its life."""
+    out = []
+    with np.errstate(over="ignore"):
+        for base in (_BASE, pow(_BASE, -1, 2**64)):
+            step = np.full(n, base, dtype=np.uint64)
+            step[0] = 1
+            out.append(np.cumprod(step, out=step))
+    return out[0], out[1]
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +85,8 @@ def shingle_sets(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarra
         rolled = np.zeros(len(hashes), dtype=np.uint64)
         for j in range(width):
             factor = mix64(np.array([j], np.uint64), 11)[0] | np.uint64(1)
-            rolled[: len(hashes) - j] += hashes[j:] * factor
+            reach = max(0, len(hashes) - j)
+            rolled[:reach] += hashes[j:] * factor
         # What would reach into the next text is cut; a short text keeps its one partial sum.
         place = np.arange(len(hashes)) - np.repeat(first[:-1], words)
         keep = place <= np.repeat(np.maximum(words - width, 0), words)

@@ -7,7 +7,7 @@ by the remaining masses (Cauchy-Schwarz), and candidates that can't reach the k-
 lower bound are compacted away before the next dimensions are read.
 
 Query blocks meet candidate blocks in a keyed join on the candidate block; a block holds at
-most so many rows whatever the ids look like, since rows are dealt by a hash of their id.
+most so many rows whatever the ids look like, since distinct rows are dealt by a hash.
 
 Defined results
 * null or empty vectors, and vectors with null, NaN or infinite components, take no part;
@@ -53,15 +53,13 @@ def _blocks(vectors: DataFrame, count: int, name: str) -> DataFrame:
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", kind="stable")
         ids = rows["id"].to_numpy(np.int64)
-        matrix = np.floor(np.stack(rows["v"].to_numpy()).astype(np.float64) * SCALE)
-        fresh = np.ones(len(ids), dtype=bool)
-        if len(np.unique(ids)) < len(ids):
-            _, first = np.unique(np.column_stack((ids.astype(np.float64), matrix)), axis=0, return_index=True)
-            fresh = np.isin(np.arange(len(ids)), first)
-        columns = np.ascontiguousarray(matrix[fresh].T)
-        return pd.DataFrame({"block": [rows["block"].iloc[0]], "dim": [rows["dim"].iloc[0]], "ids": [ids[fresh].tobytes()], "data": [columns.tobytes()]})
-
-    dealt = vectors.withColumns({"block": F.pmod(F.xxhash64("id"), F.lit(count)).cast("int"), "dim": F.size("v")})
+        columns = np.ascontiguousarray(np.floor(np.stack(rows["v"].to_numpy()).astype(np.float64) * SCALE).T)
+        return pd.DataFrame({"block": [rows["block"].iloc[0]], "dim": [rows["dim"].iloc[0]], "ids": [ids.tobytes()], "data": [columns.tobytes()]})
+
+    # Repeated rows are put together before the shuffle; those left are dealt by id and vector,
+    # so that neither a repeated row nor an id of many vectors fills one block.
+    once = vectors.groupBy("id", "v").agg(F.lit(1).alias("one")).select("id", "v")
+    dealt = once.withColumns({"block": F.pmod(F.xxhash64("id", "v"), F.lit(count)).cast("int"), "dim": F.size("v")})
     return (
         dealt.groupBy("block", "dim").applyInPandas(build, "block int, dim int, ids binary, data binary")
         .withColumnsRenamed({"ids": f"{name}_ids", "data": f"{name}_data"})

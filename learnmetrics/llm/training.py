@@ -17,22 +17,44 @@ from pyspark.sql import functions as F
 
 from learnmetrics.llm.common import stored
 
+#: Shards of the sample, fitted side by side; most label values that a model learns.
 SHARDS = 6
+MAX_LABELS = 256
 
 
-def bounded_sample(docs: DataFrame, labels: DataFrame, per_label: int, seed: int = 1) -> DataFrame:
-    """Columns doc, text, label, shard of at most ``per_label`` rows per label value.
+def _chosen(rows: DataFrame, keys: list[str], per_label: int, seed: int, labels: int) -> DataFrame:
+    """At most ``per_label`` of ``rows`` (of distinct ``keys``) per label, with their hash ``o``.
 
-    ``docs`` has doc and text, ``labels`` has doc and label. Rows are chosen by a hash of
-    the id; only ids and labels are ranked, the texts join afterwards. The chosen ids are
-    broadcast: their number is bounded by ``per_label`` and the number of labels.
+    Rows are first thinned to about twice those wanted by the value of their hash, so that a
+    label of a third of all rows is not ranked in one task; only what is left is ranked.
     """
-    order = F.xxhash64(F.lit(seed), F.col("doc"))
-    ranked = labels.where("doc is not null and label is not null").distinct().withColumn("o", order)
-    window = Window.partitionBy("label").orderBy("o", "doc")
-    chosen = ranked.withColumn("r", F.row_number().over(window)).where(F.col("r") <= per_label)
-    sample = docs.join(F.broadcast(chosen.select("doc", "label", (F.pmod("o", F.lit(SHARDS))).cast("int").alias("shard"))), "doc")
-    return stored(sample.select("doc", "text", "label", "shard"), "sample")
+    hashed = rows.withColumn("o", F.xxhash64(F.lit(seed), *keys))
+    counts = hashed.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(labels)
+    share = (F.lit(2.0 * per_label) + 64) / F.col("n")  # more than per_label rows pass, whatever the hash
+    uniform = F.shiftrightunsigned("o", 11) / F.lit(float(1 << 53))
+    thin = hashed.join(F.broadcast(counts), "label").where(uniform < share).drop("n")
+    window = Window.partitionBy("label").orderBy("o", *keys)
+    return thin.withColumn("r", F.row_number().over(window)).where(F.col("r") <= per_label).drop("r")
+
+
+def bounded_sample(
+    docs: DataFrame, labels: DataFrame, per_label: int, seed: int = 1, most_labels: int = MAX_LABELS, shards: int = SHARDS
+) -> DataFrame:
+    """Columns doc, text, label, shard of at most ``per_label`` rows per label value, for the
+    ``most_labels`` most frequent values (of equally frequent ones, those that sort first).
+
+    ``labels`` has doc and label; ``docs`` has doc and text and, where a row's label is its
+    own, label too: a text is then only learned with that. Ids are chosen by a hash before any
+    text is read, so what is broadcast is bounded by ``per_label`` times ``most_labels``. Then
+    the rows of those ids are chosen in the same way: a repeated row counts once, and an id of
+    a million rows has no more than ``per_label`` of them.
+    """
+    on = ["doc", "label"] if "label" in docs.columns else ["doc"]
+    ids = labels.where("doc is not null and label is not null").select("doc", "label").distinct()
+    rows = docs.join(F.broadcast(_chosen(ids, ["doc"], per_label, seed, most_labels).select("doc", "label")), on)
+    rows = rows.groupBy("doc", "label", F.xxhash64("text").alias("t")).agg(F.first("text").alias("text"))
+    sample = _chosen(stored(rows, "labelled"), ["doc", "t"], per_label, seed, most_labels)
+    return stored(sample.select("doc", "text", "label", F.pmod("o", F.lit(shards)).cast("int").alias("shard")), "sample")
 
 
 def mixed(sample: DataFrame, parameters: dict, fit: Callable[[dict, pd.DataFrame, int], dict], rounds: int) -> dict:

@@ -31,39 +31,44 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _encode_list(tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _encode_list(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, number of ids of each)."""
-    ids, counts = [], []
+    ids, counts = [np.zeros(0, np.uint32)], []
     for at in range(0, len(texts), 4096):
-        found = [e.ids for e in tokenizer.encode_batch(texts[at : at + 4096], add_special_tokens=False)]
+        found = [e.ids for e in tokenizer.encode_batch(texts.slice(at, 4096).to_pylist(), add_special_tokens=False)]
         counts += map(len, found)
         ids.append(np.fromiter(chain.from_iterable(found), dtype=np.uint32))
-    return np.concatenate(ids) if ids else np.zeros(0, np.uint32), np.array(counts, dtype=np.int64)
+    return np.concatenate(ids), np.array(counts, dtype=np.int32)
 
 
 class WordEncoder:
-    """Encodes slices of texts; keeps the ids of up to ``limit`` distinct pieces between slices."""
+    """Encodes slices of texts; keeps the ids of distinct pieces between slices, in Arrow form,
+    up to ``limit`` pieces and ``limit_bytes`` of them."""
 
-    def __init__(self, path: str, limit: int = 1 << 19):
+    def __init__(self, path: str, limit: int = 1 << 19, limit_bytes: int = 16 << 20):
         self.tokenizer = load_tokenizer(path)
-        self.limit = limit
+        self.limit, self.limit_bytes = limit, limit_bytes
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.string())
         self.ids = np.zeros(0, np.uint32)
-        self.counts = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int32)
 
-    def _rows(self, pieces: list[str]) -> np.ndarray:
+    def _rows(self, pieces: pa.Array) -> np.ndarray:
         """Row of each distinct piece in the table of known ids."""
-        if len(self.known) + len(pieces) > self.limit:
+        if len(self.known) + len(pieces) > self.limit or self.known.nbytes + pieces.nbytes > self.limit_bytes:
             self._forget()
-        new = [p for p in pieces if p not in self.known]
+        found = pc.index_in(pieces, value_set=self.known)
+        fresh = pc.is_null(found).to_numpy(zero_copy_only=False)
+        row = pc.fill_null(found, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        row[fresh] = len(self.known) + np.arange(int(fresh.sum()))
+        new = pieces.filter(pa.array(fresh))
         ids, counts = _encode_list(self.tokenizer, new)
-        self.known.update(zip(new, range(len(self.counts), len(self.counts) + len(new)), strict=True))
+        self.known = pa.concat_arrays([self.known, new.cast(pa.string())])
         self.ids = np.concatenate((self.ids, ids))
         self.counts = np.concatenate((self.counts, counts))
-        return np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        return row
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, offset of every text)."""
@@ -71,14 +76,14 @@ class WordEncoder:
         easy = pc.if_else(pa.array(plain), "", texts) if plain.any() else texts
         easy = pc.replace_substring_regex(pc.replace_substring(easy, "\n", " "), _EDGE, r"\1 \2")
         codes, pieces, bounds = split_encoded(pc.ascii_lower(easy))
-        row = self._rows(pieces.to_pylist())[codes]
+        row = self._rows(pieces)[codes]
         lengths = self.counts[row]
         flat = self.ids[spans(offsets_of(self.counts)[row], lengths)]
         offsets = offsets_of(lengths)[bounds]
         if not plain.any():
             return flat, offsets
         rows = np.flatnonzero(plain)
-        more, sizes = _encode_list(self.tokenizer, texts.take(pa.array(rows)).to_pylist())
+        more, sizes = _encode_list(self.tokenizer, texts.take(pa.array(rows)))
         size = np.diff(offsets)
         starts = offsets[:-1].copy()
         starts[rows] = len(flat) + offsets_of(sizes)[:-1]

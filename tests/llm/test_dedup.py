@@ -53,6 +53,22 @@ def test_lines_match_brute_force(spark):
     assert linededup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_line_columns_of_any_name_pass_through(spark):
+    docs = spark.createDataFrame(LINE_ROWS, "doc_id long, text string").selectExpr("*", "7 as _text", "8 as _DROPPED", "9 as d", "'x' as t")
+    out = linededup.dedup_lines(docs)
+    assert out.columns == ["doc_id", "text", "_text", "_DROPPED", "d", "t", "n_lines", "n_dropped"]
+    rows = out.collect()
+    assert sorted([(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in rows], key=repr) == _brute_lines(LINE_ROWS)
+    assert {(r["_text"], r["_DROPPED"], r["d"], r["t"]) for r in rows} == {(7, 8, 9, "x")}
+
+
+def test_shingles_of_few_words():
+    for n in range(8):
+        for texts in ([" ".join("abcdefgh"[:n])], [None], [" ".join("abcdefgh"[:n]), "x y"]):
+            sets, bounds = shingle_sets(pa.array([t or "" for t in texts], pa.string()))
+            assert np.diff(bounds).tolist() == [len(_brute_shingles(t)) for t in texts]
+
+
 def test_line_plan_is_native(spark):
     plan = linededup.op3_line_dedup(spark, SF)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "ArrowEval"))

@@ -131,6 +131,26 @@ def test_sample_is_bounded_and_deterministic(spark):
     assert a == b and sum(r.label == "hot" for r in a) == 20 and sum(r.label == "rare" for r in a) == 10
 
 
+def test_a_label_is_learned_with_its_own_row_only(spark):
+    rows = [(1, "own text", "en"), (1, "other text", None), (1, "third text", "fr"), (2, None, "en"), (3, "x", None), (None, "y", "en")]
+    docs = spark.createDataFrame(rows, "doc long, text string, label string")
+    got = {(r.doc, r.text, r.label) for r in bounded_sample(docs, docs, 10).collect()}
+    assert got == {(1, "own text", "en"), (1, "third text", "fr"), (2, None, "en")}
+    # A row repeated and an id of many rows: bounded, each row once.
+    many = spark.range(3000).selectExpr("7L as doc", "concat('t', id % 1000) as text", "'en' as label")
+    got = bounded_sample(many, many, 50).collect()
+    assert len(got) == 50 and len({r.text for r in got}) == 50
+    few = spark.range(300).selectExpr("id as doc", "'t' as text", "concat('l', id % 30) as label")
+    assert {r.label for r in bounded_sample(few, few, 2, most_labels=4).collect()} == {"l0", "l1", "l10", "l11"}
+
+
+def test_posteriors_do_not_depend_on_learning_sums():
+    rng = np.random.default_rng(3)
+    scores, step, start = (rng.normal(size=n).astype(np.float32) for n in ((5, 3, 4), (4, 4), (4,)))
+    a, b = (langid.forward_backward(scores.copy(), step, start, learn=x)[0] for x in (True, False))
+    assert np.array_equal(a, b)
+
+
 def _brute_base(text):
     words = licenses.words_of(text or "")
     hits = [(i, label) for p, label in licenses.BASE.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
@@ -152,7 +172,7 @@ def test_licence_scan_matches_brute_force(spark):
     docs = table(spark, SF, "documents").select("doc_id", "text")
     extra = [
         (10_001, "see: CC-BY, cc by; ALL rights reserved. All rights\nReserved"),
-        (10_002, "x " * 500 + licenses.TEMPLATES[7][1] + " y" * 500 + licenses.TEMPLATES[1][1]),
+        (10_002, "x " * 500 + licenses.TEMPLATES[7][1] + " y" * 500 + " " + licenses.TEMPLATES[1][1]),
         (10_003, "GNU general public licence"), (10_004, None), (10_005, ""), (None, "cc by"), (10_001, "cc"),
         (10_006, "Ünder the mît license éall rights reserved"),
     ]

@@ -1,5 +1,7 @@
 """The pipeline's stages and its registration."""
 
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -46,22 +48,44 @@ def test_bad_documents_go(spark):
 
 
 def test_odd_rows_pass_through_every_stage(spark):
-    fields = "doc_id long, text string, lang string, source string, n_chars long, score int, _kept int"
-    odd = [(1, None, None, None, None, 1, 1), (2, "", "en", "s", 0, 2, 2), (2, "a b c", None, "s", 5, 3, 3), (None, "x " * 20_000, "en", None, 1, 4, 4)]
+    own = ["_lang", "_share", "_quality", "_good", "_LINES", "_dropped", "_text", "_kept"]
+    fields = "doc_id long, text string, lang string, source string, n_chars long, score int, " + ", ".join(f"{c} int" for c in own)
+    texts = [(1, None, None), (2, "", "en"), (2, "a b c", None), (3, "a b", "en"), (3, "a b", "en"), (None, "x " * 20_000, "en")]
+    odd = [(d, t, lang, "s", 0, *[i] * 9) for i, (d, t, lang) in enumerate(texts)]
     docs = spark.createDataFrame(odd, fields)
-    for frame in (docs, docs.limit(0)):
+    alone = spark.createDataFrame(spark.sparkContext.parallelize(odd, len(odd)), fields)  # one row a partition
+    for frame in (docs, docs.limit(0), alone):
         for _, stage in corpus_pipeline.STAGES[1:-1]:
             out = stage(spark, frame, SF)
             assert out.columns == frame.columns
-            out.collect()
+            for r in out.collect():
+                assert all(r[c] == r["score"] for c in own)
         corpus_pipeline.STAGES[-1][1](spark, frame, SF).collect()
     none = spark.createDataFrame([], docs.schema)
     assert corpus_pipeline.STAGES[0][1](spark, none, SF).count() == 0
 
 
+#: Queries without SQL, and the test that holds their rows against brute force.
+TESTED = {
+    "op1_language_id": "test_registered_language_rows", "op2_quality": "test_registered_quality_rows",
+    "op4_license_scan": "test_registered_licence_rows", "op6_training_order": "test_training_order",
+    "op7_byte_bpe": "test_registered_bpe_rows", "op8_nearest": "test_recall_on_the_table",
+    "op9_packing": "test_registered_packing_rows", "pipeline": "test_stages_in_order_match_brute_force",
+    "op11_token_counts": "test_registered_token_count_rows", "op12_prefix_trie": "test_trie_matches_brute_force",
+}
+
+
+def test_queries_without_sql_have_a_test():
+    here = Path(__file__).parent
+    tests = "".join(p.read_text() for p in here.glob("test_*.py"))
+    llm = {n for n in entry.queries() if n.startswith("op") or n == "pipeline"}
+    assert llm - set(entry.oracle_sql()) <= set(TESTED)
+    assert all(f"def {t}" in tests for t in TESTED.values())
+
+
 def test_queries_are_registered():
     names = list(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert {"op3_line_dedup", "op5_near_dedup", "op10_exact_top_k"} <= set(entry.oracle_sql())

@@ -40,6 +40,14 @@ def test_exact_top_k_matches_brute_force_on_odd_rows(spark):
     assert topk.exact_top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_neighbouring_huge_ids_stay_apart(spark):
+    big = 2**53
+    rows = [(0, [1.0, 1.0]), (big, [1.0, 2.0]), (big + 1, [1.0, 2.0]), (5, [0.5, 0.5]), (5, [0.5, 0.5]), (5, [2.0, 2.0])]
+    vectors = spark.createDataFrame(rows, VECTORS)
+    out = topk.exact_top_k(vectors, vectors.where("vec_id = 0"), 5).orderBy("rank").collect()
+    assert [r.vec_id for r in out] == [5, big, big + 1] and out[0].score == 2 * 256 * 512
+
+
 @pytest.mark.parametrize("step", [3, 8, 100])
 def test_pruning_loses_nothing(step, monkeypatch):
     monkeypatch.setattr(topk, "STEP", step)
