@@ -4,14 +4,15 @@ near-duplicate removal, packing.
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame that ``run`` writes as Parquet to the shared folder and reads again as the next
 one's ``docs``. All stages but the last return the columns of ``docs``; packing returns the
-pieces with their ids and checksums.
+pieces with their ids, checksums and places in the buckets of equal length.
 
 Defined results
 * a stage learns only from its own input (and ``labels``), and only from the learning fold;
 * where nothing labelled is left to learn from, the filtering stages reject only what needs
   no model (language: texts without a letter);
 * rows sharing a ``doc_id`` are one document for the near-duplicate stage: they stay or go
-  together; rows with a null id stay;
+  together; rows with a null id stay; repeated rows are repeated in the result;
+* columns of any other name pass through unchanged, whatever they are called;
 * ``n_chars`` follows the text that line deduplication leaves, where that column is there.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnmetrics.llm import langid, linededup, neardup, packing, quality
-from learnmetrics.llm.common import stored, table
+from learnmetrics.llm.common import fresh, stored, table
 
 #: A text whose best language has a smaller mean posterior is rejected as mixed.
 MIN_LANGUAGE_SCORE = 0.5
@@ -32,8 +33,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     if model is None:
         return docs
-    scored = quality.score(docs, model, names=("_quality", "_good"))
-    return scored.where("_good = 1").select(*docs.columns)
+    score, good = fresh(docs.columns, "_quality", "_good")
+    return quality.score(docs, model, names=(score, good)).where(F.col(good) == 1).select(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,14 +42,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs)
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = langid.identify(docs, model, names=("_lang", "_share"))
-    good = (F.col("_lang") != langid.UNKNOWN) & (F.col("_share") >= MIN_LANGUAGE_SCORE)
+    lang, share = fresh(docs.columns, "_lang", "_share")
+    found = langid.identify(docs, model, names=(lang, share))
+    good = (F.col(lang) != langid.UNKNOWN) & (F.col(share) >= MIN_LANGUAGE_SCORE)
     return found.where(good).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that many of them share."""
-    clean = linededup.dedup_lines(docs, names=("_lines", "_dropped")).select(*docs.columns)
+    names = fresh(docs.columns, "_lines", "_dropped")
+    clean = linededup.dedup_lines(docs, names=(names[0], names[1])).select(*docs.columns)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return clean
