@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from learnmetrics.llm import (
-    bpe, langid, licenses, linededup, neardup, nndescent, packing, quality, topk, trainorder,
+    bpe, hardneg, langid, licenses, linededup, neardup, nndescent, packing, quality, tokencount, topk, trainorder,
 )
 
 
@@ -19,8 +19,13 @@ def queries() -> dict:
         "op8_nearest": nndescent.op8_nearest,
         "op9_packing": packing.op9_packing,
         "op10_exact_top_k": topk.op10_exact_top_k,
+        "op11_token_counts": tokencount.op11_token_counts,
+        "op13_hard_negatives": hardneg.op13_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": linededup.OP3_SQL, "op5_near_dedup": neardup.OP5_SQL, "op10_exact_top_k": topk.OP10_SQL}
+    return {
+        "op3_line_dedup": linededup.OP3_SQL, "op5_near_dedup": neardup.OP5_SQL, "op10_exact_top_k": topk.OP10_SQL,
+        "op13_hard_negatives": hardneg.OP13_SQL,
+    }
