@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from learnmetrics.llm import (
-    bpe, hardneg, langid, licenses, linededup, neardup, nndescent, packing, quality, tokencount, topk, trainorder,
+    bpe, hardneg, langid, licenses, linededup, neardup, nndescent, packing, prefixtrie, quality, tokencount, topk, trainorder,
 )
 
 
@@ -20,6 +20,7 @@ def queries() -> dict:
         "op9_packing": packing.op9_packing,
         "op10_exact_top_k": topk.op10_exact_top_k,
         "op11_token_counts": tokencount.op11_token_counts,
+        "op12_prefix_trie": prefixtrie.op12_prefix_trie,
         "op13_hard_negatives": hardneg.op13_hard_negatives,
     }
 
@@ -27,5 +28,5 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_dedup": linededup.OP3_SQL, "op5_near_dedup": neardup.OP5_SQL, "op10_exact_top_k": topk.OP10_SQL,
-        "op13_hard_negatives": hardneg.OP13_SQL,
+        "op12_prefix_trie": prefixtrie.OP12_SQL, "op13_hard_negatives": hardneg.OP13_SQL,
     }

@@ -1,6 +1,7 @@
 """Language identification, quality classifier, licence scan."""
 
 import itertools
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -190,3 +191,46 @@ def test_licence_scan_matches_brute_force(spark):
     assert {"mit", "bsd"} <= labels[10_002]
     assert all(0 <= r.score <= 1 for r in out)
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def _held_out(doc):
+    return zlib.crc32(str(doc).encode()) % 4 == 2
+
+
+def test_registered_language_rows(spark):
+    out = langid.op1_language_id(spark, SF)
+    assert dict(out.dtypes) == {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"}
+    docs = {r.doc_id: r for r in table(spark, SF, "documents").collect()}
+    got = out.collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    languages = {r.lang for r in docs.values() if r.lang}
+    for r in got:
+        assert r.held_out == _held_out(r.doc_id) and 0 <= r.score <= 1
+        letters = any(c.isalpha() for c in docs[r.doc_id].text or "")
+        assert (r.lang_pred in languages) if letters else (r.lang_pred == "und")
+    right = [r.lang_pred == docs[r.doc_id].lang for r in got if r.held_out and docs[r.doc_id].lang]
+    assert sum(right) / len(right) > 0.97
+
+
+def test_registered_quality_rows(spark):
+    out = quality.op2_quality(spark, SF)
+    assert dict(out.dtypes) == {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"}
+    got = out.collect()
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in table(spark, SF, "documents").select("doc_id").collect())
+    assert all(r.held_out == _held_out(r.doc_id) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
+    labels = {r.doc_id: r.quality for r in table(spark, SF, "labels").collect()}
+    right = [r.predicted == labels[r.doc_id] for r in got if r.held_out and labels.get(r.doc_id) is not None]
+    assert sum(right) / len(right) > 0.95
+
+
+def test_registered_licence_rows(spark):
+    out = licenses.op4_license_scan(spark, SF)
+    kinds = {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint", "last_word": "bigint"}
+    assert dict(out.dtypes) == kinds | {"base_labels": "string", "labels": "string", "score": "double"}
+    texts = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
+    got = {r.doc_id: r for r in out.collect()}
+    assert set(got) == set(texts)
+    for doc, r in got.items():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == _brute_base(texts[doc]), doc
+        labels = r.labels.split(",") if r.labels else []
+        assert labels == sorted(set(labels)) and set(filter(None, r.base_labels.split(","))) <= set(labels) and 0 <= r.score <= 1

@@ -68,10 +68,10 @@ def test_odd_rows_pass_through_every_stage(spark):
 #: Queries without SQL, and the test that holds their rows against brute force.
 TESTED = {
     "op1_language_id": "test_registered_language_rows", "op2_quality": "test_registered_quality_rows",
-    "op4_license_scan": "test_registered_licence_rows", "op6_training_order": "test_training_order",
+    "op4_license_scan": "test_registered_licence_rows", "op6_training_order": "test_training_order_holds_every_document",
     "op7_byte_bpe": "test_registered_bpe_rows", "op8_nearest": "test_recall_on_the_table",
-    "op9_packing": "test_registered_packing_rows", "pipeline": "test_stages_in_order_match_brute_force",
-    "op11_token_counts": "test_registered_token_count_rows", "op12_prefix_trie": "test_trie_matches_brute_force",
+    "op9_packing": "test_registered_packing_rows", "op11_token_counts": "test_registered_token_count_rows",
+    "pipeline": "test_stages_in_order_match_brute_force",
 }
 
 
@@ -88,4 +88,4 @@ def test_queries_are_registered():
     for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert {"op3_line_dedup", "op5_near_dedup", "op10_exact_top_k"} <= set(entry.oracle_sql())
+    assert {"op3_line_dedup", "op5_near_dedup", "op10_exact_top_k", "op12_prefix_trie", "op13_hard_negatives"} <= set(entry.oracle_sql())

@@ -1,5 +1,6 @@
 """Byte-level BPE, packing, training order."""
 
+import hashlib
 import random
 import zlib
 
@@ -155,3 +156,35 @@ def test_training_order_holds_every_document(spark):
             want[(r.doc_id, at)] = (len(ids[at : at + 512]), zlib.crc32(ids[at : at + 512].tobytes()))
     assert {(r.doc_id, r.start): (r.n_tokens, r.ids_crc32) for r in out.itertuples()} == want
     assert sorted(out.slot) == list(range(len(want)))
+
+
+def test_registered_bpe_rows(spark):
+    out = bpe.op7_byte_bpe(spark, SF)
+    assert dict(out.dtypes) == {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
+    want = []
+    for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect():
+        ids = LIBRARY.encode_ordinary(r.text or "")
+        digest = hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
+        want.append((r.doc_id, len(ids), digest, hashlib.sha256((r.text or "").encode()).hexdigest()))
+    assert sorted(tuple(r) for r in out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()) == sorted(want)
+
+
+def test_registered_packing_rows(spark):
+    out = packing.op9_packing(spark, SF)
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert out.columns == [*columns, *packing.PLACE] and set(dict(out.dtypes).values()) == {"bigint"}
+    tokenizer = load_tokenizer(WORDS)
+    ids = {r.doc_id: [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 2] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = out.collect()
+    at = dict.fromkeys(ids, 0)
+    for r in sorted(got, key=lambda r: (r.doc_id, r.start)):
+        piece = ids[r.doc_id][r.start : r.start + r.length]
+        assert r.start == at[r.doc_id] and r.length == len(piece) and r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(np.array(piece, dtype="<u4").tobytes())
+        assert r.offset == 0 and r.length & (r.length - 1) == 0 and r.length <= 4096 and r.bucket == r.length
+        at[r.doc_id] += r.length
+    assert at == {d: len(x) for d, x in ids.items()} and len({r.sequence_id for r in got}) == len(got)
+    shards = {}
+    for r in got:
+        shards.setdefault((r.bucket, r.bucket_shard), []).append(r.bucket_place)
+    assert all(sorted(v) == list(range(len(v))) for v in shards.values())
