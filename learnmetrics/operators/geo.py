@@ -59,6 +59,54 @@ def lookup_region(
     return joined.withColumn(region_col, region).drop("_ip_bucket", "_bucket", "_lo", "_hi", "_region")
 
 
+def _tree_nodes(ranges: DataFrame, bits: int) -> DataFrame:
+    """The aligned blocks (``level``: 2^level addresses, ``prefix``: their number) that make up each
+    range, at most two of a level: a segment tree over the addresses, without building one."""
+    levels = ranges.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(bits))))
+    size = F.expr("shiftleft(1L, level)")
+    levels = levels.withColumns({"a": F.expr("shiftright(lo + shiftleft(1L, level) - 1, level)"), "e": F.floor((F.col("hi") + 1) / size)})
+    left = F.when((F.col("a") % 2 == 1) & (F.col("a") < F.col("e")), F.col("a"))
+    right = F.when((F.col("e") % 2 == 1) & (F.col("a") + F.col("a") % 2 < F.col("e")), F.col("e") - 1)
+    prefixes = levels.withColumn("prefix", F.explode(F.array(left, right)))
+    return prefixes.where(F.col("prefix").isNotNull()).select("level", "prefix", "lo", "hi", "region")
+
+
+def flatten_ranges(ranges: DataFrame, bucket_bits: int = BUCKET_BITS, address_bits: int = 32) -> DataFrame:
+    """Nested and overlapping ``lo, hi, region`` -> disjoint pieces of the same columns.
+
+    An address belongs to the narrowest range that holds it (of equally wide ones the one that
+    starts first, then the region that sorts first), as a city's range inside its country's.
+    Inverted ranges and ranges with a null end hold nothing.
+
+    Every end of a range, and every block's start, begins a piece; no range begins or ends
+    inside one, so its first address decides. Ranges are broken into aligned blocks of powers of
+    two, and the best range of each such block is kept; a piece looks up the ``address_bits`` + 1
+    blocks its first address lies in. That is an equi-join of (2 * ranges + blocks) * 33 rows
+    at most, however deep the ranges are nested. Pieces are found block by block (a bounded
+    number of addresses), never in one global sort.
+    """
+    r = ranges.where("lo <= hi").select(F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"), "region")
+    best = F.min(F.struct((F.col("hi") - F.col("lo")).alias("width"), F.col("lo").alias("from"), "region")).alias("best")
+    nodes = _tree_nodes(r, address_bits).groupBy("level", "prefix").agg(best)
+
+    spark = ranges.sparkSession
+    blocks = spark.range(1 << (address_bits - bucket_bits)).select(F.expr(f"shiftleft(id, {bucket_bits})").alias("lo"))
+    starts = r.select("lo").unionByName(r.select((F.col("hi") + 1).alias("lo"))).unionByName(blocks)
+    starts = starts.where(F.col("lo") < F.lit(1 << address_bits)).distinct().withColumn("block", F.shiftright("lo", bucket_bits))
+    in_block = Window.partitionBy("block").orderBy("lo")
+    end = F.coalesce(F.lead("lo").over(in_block) - 1, F.expr(f"shiftleft(block + 1, {bucket_bits}) - 1"))
+    pieces = starts.withColumn("hi", end)
+
+    asked = pieces.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(address_bits))))
+    asked = asked.withColumn("prefix", F.expr("shiftright(lo, level)"))
+    owned = asked.join(nodes, ["level", "prefix"]).groupBy("block", "lo", "hi").agg(F.min("best").alias("best"))
+    # Neighbours of one owner are one piece again.
+    same = F.lag("best").over(in_block).eqNullSafe(F.col("best")) & (F.lag("hi").over(in_block) + 1).eqNullSafe(F.col("lo"))
+    runs = owned.withColumn("new", (~same).cast("int")).withColumn("run", F.sum("new").over(in_block))
+    merged = runs.groupBy("block", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("best").alias("best"))
+    return merged.select("lo", "hi", F.col("best.region").alias("region"))
+
+
 def size_checked_ranges(ranges: DataFrame, bucket_bits: int = BUCKET_BITS) -> tuple[DataFrame, bool]:
     """Count the ranges once and say whether their exploded form may be broadcast: with
     non-overlapping ranges it has at most ``#ranges + 2**(32 - bucket_bits)`` rows."""

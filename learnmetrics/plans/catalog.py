@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from learnmetrics.operators import behaviour as B
-from learnmetrics.operators.geo import lookup_region
+from learnmetrics.operators import distinct_users as U
+from learnmetrics.operators.geo import flatten_ranges, lookup_region
 from learnmetrics.operators.reports import HEADCOUNT_DIMENSIONS, headcount, headcounts_all, top_payers
 from learnmetrics.operators.wide import build_wide
 from learnmetrics.operators.zipper import close_out, day_increment, money_rejects
@@ -23,6 +24,8 @@ from learnmetrics.sinks.writers import read_changelog
 from learnmetrics.sources import ingest as I
 from learnmetrics.sources import tables as T
 from learnmetrics.streaming import jobs as S
+from learnmetrics.streaming import ledger as G
+from learnmetrics.streaming import stateful as K
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -241,13 +244,15 @@ def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run_to_table(
-    spark: SparkSession, name: str, agg: DataFrame, keys: list[str], values: list[str], per_batch=None
+    spark: SparkSession, name: str, agg: DataFrame, keys: list[str], values: list[str], per_batch=None, output_mode: str = "update"
 ) -> DataFrame:
     """Run a streaming aggregate over everything available, then read its current table."""
     base = scratch_path(spark, "streams", name)
     # One state partition per core: the state here is a few thousand keys.
     parts = spark.sparkContext.defaultParallelism
-    q = S.start_upsert_stream(agg, f"{base}/sink", f"{base}/checkpoint", available_now=True, state_partitions=parts, per_batch=per_batch)
+    q = S.start_upsert_stream(
+        agg, f"{base}/sink", f"{base}/checkpoint", available_now=True, state_partitions=parts, per_batch=per_batch, output_mode=output_mode
+    )
     q.awaitTermination()
     schema = StructType(list(agg.schema.fields) + [StructField("batch_id", LongType())])
     return read_changelog(spark, f"{base}/sink", keys, values, schema=schema)
@@ -287,6 +292,112 @@ def unpaid_users_batch(spark, sf):
     return S.unpaid_users(unpaid_visitors_batch(spark, sf))
 
 
+def ip_region_nested(spark, sf):
+    """Every event's narrowest range, of ranges that lie inside and across each other."""
+    ev = V.table(spark, sf, "events").select("event_id", "user_id", V.user_ip(F.col("user_id")).alias("ip_num"))
+    ranges = flatten_ranges(V.nested_ip_ranges(spark, sf))
+    return lookup_region(ev, "ip_num", ranges).select("event_id", "user_id", "ip_num", "region")
+
+
+# --- distinct users over spans of days --------------------------------------------------------------
+
+def _daily(spark, name: str, daily: DataFrame) -> DataFrame:
+    """A daily table, stored by day as the daily job does."""
+    path = scratch_path(spark, "spans", name)
+    daily.write.partitionBy("dt").parquet(path)
+    return spark.read.schema(daily.schema).parquet(path)
+
+
+def video_users_by_span(spark, sf):
+    """Distinct users per week and per month, exact, merged from the stored days."""
+    days = _daily(spark, "bitmaps", U.daily_bitmaps(V.behaviour(spark, sf)))
+    spans = [U.exact_users(days, span).withColumn("span", F.lit(span)) for span in ("week", "month")]
+    return spans[0].unionByName(spans[1]).select("span", "span_start", *U.METRIC_COLUMNS.values())
+
+
+def video_users_sketched(spark, sf):
+    """Estimates per week and per month against the exact figures: within four standard errors?"""
+    behaviour = V.behaviour(spark, sf)
+    sketches, bitmaps = _daily(spark, "sketches", U.daily_sketches(behaviour)), _daily(spark, "bitmaps", U.daily_bitmaps(behaviour))
+    out = None
+    for span in ("week", "month"):
+        about = U.estimated_users(sketches, span).withColumnsRenamed({c: f"about_{c}" for c in U.METRIC_COLUMNS.values()})
+        both = U.exact_users(bitmaps, span).join(about, "span_start")
+        near = [
+            (F.abs(F.col(f"about_{c}") - F.col(c)) <= F.greatest(F.lit(1.0), 4 * U.relative_error() * F.col(c))).alias(f"{m}_within")
+            for m, c in U.METRIC_COLUMNS.items()
+        ]
+        rows = both.select(F.lit(span).alias("span"), "span_start", *U.METRIC_COLUMNS.values(), *near)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# --- streams with state of their own ------------------------------------------------------------------
+
+def _run_totals(spark, name: str, totals: DataFrame, initial: DataFrame | None = None) -> DataFrame:
+    base = scratch_path(spark, "streams", name)
+    parts = spark.sparkContext.defaultParallelism
+    q = K.start_vip_totals(totals, f"{base}/sink", f"{base}/checkpoint", initial, available_now=True, state_partitions=parts)
+    q.awaitTermination()
+    return K.read_vip_totals(spark, f"{base}/sink").select("dt", "province", "cnt")
+
+
+def vip_totals_stream(spark, sf):
+    """Totals per (day, region), each with a timer of its own: those of the last two days are left."""
+    lines = V.behaviour_lines(_events_stream(spark, sf))
+    return _run_totals(spark, "vip_totals", K.vip_totals(lines, V.ip_ranges(spark, sf), retention_days=2))
+
+
+def vip_totals_seeded_stream(spark, sf):
+    """Totals of the first half of the time, computed as a batch, seed the stream of the rest."""
+    events = V.table(spark, sf, "events")
+    span = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    middle = F.lit(span["a"] + (span["b"] - span["a"]) / 2 if span["a"] else None).cast(events.schema["ts"].dataType)
+    ranges = V.ip_ranges(spark, sf)
+    earlier = S.vip_increments(V.behaviour_lines(events.where(F.col("ts") < middle)), ranges, watermark=None, with_last_event=True)
+    lines = V.behaviour_lines(_events_stream(spark, sf).where(F.col("ts") >= middle))
+    return _run_totals(spark, "vip_seeded", K.vip_totals(lines, ranges, retention_days=36500, initial=earlier), earlier)
+
+
+def unpaid_visitors_panes_stream(spark, sf):
+    """Windows that the watermark has closed, added up from panes in a second stateful step."""
+    lines = V.behaviour_lines(_events_stream(spark, sf))
+    agg = S.unpaid_visitors_by_panes(lines, None, *UNPAID_WINDOW, watermark="0 seconds")
+    return _run_to_table(
+        spark, "unpaid_panes", agg, S.UNPAID_KEYS, ["cnt"], output_mode="append",
+        per_batch=lambda df: S.without_vip(df, V.vip_users(df.sparkSession, sf)),
+    )
+
+
+def unpaid_visitors_panes_batch(spark, sf):
+    return S.unpaid_visitors_by_panes(_lines(spark, sf), V.vip_users(spark, sf), *UNPAID_WINDOW, watermark=None)
+
+
+def stream_offset_ledger(spark, sf):
+    """A stream over the events, restarted once in between: what its ledger says of it. The events
+    arrive as the table's rows of the first and of the second half of the time."""
+    events = V.table(spark, sf, "events")
+    span = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    middle = F.lit(span["a"] + (span["b"] - span["a"]) / 2 if span["a"] else None).cast(events.schema["ts"].dataType)
+    base = scratch_path(spark, "streams", "ledger")
+    ledger = G.OffsetLedger(spark, f"{base}/ledger", only={f"ledger-{base[-32:]}"}).attach()
+    try:
+        for part in (events.where(F.col("ts") < middle), events.where(~(F.col("ts") < middle) | F.col("ts").isNull())):
+            part.write.mode("append").parquet(f"{base}/arrived")
+            lines = V.behaviour_lines(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "4").parquet(f"{base}/arrived"))
+            agg = S.vip_increments(lines, V.ip_ranges(spark, sf), watermark="3650 days")
+            q = S.start_upsert_stream(
+                agg, f"{base}/sink", f"{base}/checkpoint", available_now=True, query_name=f"ledger-{base[-32:]}",
+                state_partitions=spark.sparkContext.defaultParallelism,
+            )
+            q.awaitTermination()
+    finally:
+        ledger.detach()
+    told = G.read_ledger(spark, f"{base}/ledger")
+    broken = G.gaps(told).agg(F.count(F.lit(1)).alias("gaps"))
+    return G.totals(told).select("input_rows", "late_rows").crossJoin(F.broadcast(broken))
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "ingest_member": ingest_member,
@@ -328,6 +439,14 @@ def queries() -> dict[str, Query]:
             "unpaid_visitors_stream": unpaid_visitors_stream,
             "unpaid_visitors_batch": unpaid_visitors_batch,
             "unpaid_users_batch": unpaid_users_batch,
+            "vip_totals_stream": vip_totals_stream,
+            "vip_totals_seeded_stream": vip_totals_seeded_stream,
+            "unpaid_visitors_panes_stream": unpaid_visitors_panes_stream,
+            "unpaid_visitors_panes_batch": unpaid_visitors_panes_batch,
+            "stream_offset_ledger": stream_offset_ledger,
+            "video_users_by_span": video_users_by_span,
+            "video_users_sketched": video_users_sketched,
+            "ip_region_nested": ip_region_nested,
         }
     )
     return q

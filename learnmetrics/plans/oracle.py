@@ -339,6 +339,29 @@ SELECT CAST(s_suppkey % 3 AS INTEGER) AS bind_source, 'wx' || CAST(s_suppkey AS
 FROM supplier"""
 
 
+# A stream in append mode has put out the windows that end at or before its watermark.
+UNPAID_CLOSED = UNPAID_VISITORS + """
+AND window_start + 86400 <= (SELECT max(epoch) FROM ev WHERE event_type = 'signup')"""
+
+VIDEO_USERS_BY_SPAN = _with(EV) + f"""
+, video AS (SELECT *, {_local_day('epoch')} AS day FROM ev WHERE event_type IN ('view', 'click'))
+SELECT span, CAST(CAST(date_trunc(span, CAST(day AS TIMESTAMP)) AS DATE) AS VARCHAR) AS span_start,
+       count(DISTINCT CASE WHEN event_type = 'view' THEN user_id END) AS watch_video_count,
+       count(DISTINCT CASE WHEN event_type = 'click' AND floor(value) >= k THEN user_id END) AS complete_video_count
+FROM video, (VALUES ('week'), ('month')) s(span)
+GROUP BY 1, 2
+HAVING watch_video_count + complete_video_count > 0"""
+
+IP_REGION_NESTED = _with(EV, IP_RANGES) + """
+, nested AS (
+  SELECT lo, hi, region FROM ip_ranges
+  UNION ALL
+  SELECT lo, least(lo + 40000 + (k % 13) * (k % 13) * (k % 13) * 30000, 4294967295), s_name
+  FROM (SELECT s_suppkey::BIGINT AS k, s_suppkey::BIGINT * 1640531527 % 4294967296 AS lo, s_name FROM supplier))
+SELECT ev.event_id, ev.user_id, ev.ip AS ip_num, coalesce(r.region, '未知') AS region
+FROM ev LEFT JOIN nested r ON ev.ip BETWEEN r.lo AND r.hi
+QUALIFY row_number() OVER (PARTITION BY ev.event_id ORDER BY r.hi - r.lo, r.lo, r.region) = 1"""
+
 UNPAID_USERS = "WITH w AS (" + UNPAID_VISITORS.strip() + """)
 SELECT uid, min(window_start) AS first_window_start, max(cnt) AS max_visits FROM w GROUP BY uid"""
 
@@ -381,6 +404,14 @@ WHERE paymoney IS NOT NULL AND TRY_CAST(paymoney AS DECIMAL(20,4)) IS NULL""",
         "unpaid_visitors_stream": UNPAID_VISITORS,
         "unpaid_visitors_batch": UNPAID_VISITORS,
         "unpaid_users_batch": UNPAID_USERS,
+        "vip_totals_stream": VIP_INCREMENT_RECENT,
+        "vip_totals_seeded_stream": VIP_INCREMENT,
+        "unpaid_visitors_panes_stream": UNPAID_CLOSED,
+        "unpaid_visitors_panes_batch": UNPAID_VISITORS,
+        "stream_offset_ledger": "SELECT count(*) AS input_rows, 0::BIGINT AS late_rows, 0::BIGINT AS gaps FROM events",
+        "video_users_by_span": VIDEO_USERS_BY_SPAN,
+        "video_users_sketched": "SELECT *, TRUE AS watch_within, TRUE AS complete_within FROM (" + VIDEO_USERS_BY_SPAN + ")",
+        "ip_region_nested": IP_REGION_NESTED,
     }
     for d in HEADCOUNT_DIMS:
         q[f"headcount_{d.replace('_', '')}"] = _headcount(d)

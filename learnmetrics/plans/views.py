@@ -197,6 +197,16 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select(lo.alias("lo"), hi.alias("hi"), F.col("n_name").alias("region"))
 
 
+def nested_ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nations' ranges with narrower ones of the suppliers: inside a nation's, across its end,
+    inside and across each other, in the gaps."""
+    k = F.col("s_suppkey").cast("bigint")
+    lo = F.pmod(k * 1640531527, F.lit(4294967296))
+    hi = F.least(lo + 40000 + (k % 13) * (k % 13) * (k % 13) * 30000, F.lit(4294967295))
+    s = table(spark, sf_dir, "supplier")
+    return ip_ranges(spark, sf_dir).unionByName(s.select(lo.alias("lo"), hi.alias("hi"), F.col("s_name").alias("region")))
+
+
 def user_ip(user_id: Column) -> Column:
     """A stable address per user, spread over the whole IPv4 space."""
     return F.pmod(user_id.cast("bigint") * F.lit(2654435761), F.lit(4294967296))

@@ -29,7 +29,7 @@ VIP_KEYS = ["dt", "province"]
 UNPAID_KEYS = ["uid", "window_start", "window_end"]
 
 
-def _event_time(df: DataFrame) -> DataFrame:
+def event_time(df: DataFrame) -> DataFrame:
     return df.withColumn("event_ts", F.timestamp_seconds(F.col("event_time")))
 
 
@@ -62,7 +62,7 @@ def vip_increments(
         broadcast_ranges = lines.isStreaming and size_checked_ranges(ip_ranges)[1]
     ev = B.parse_lines(lines, tz_offset_hours=tz_offset_hours).where(F.col("event_key") == B.COMPLETE_ORDER)
     ev = ev.select("event_time", C.ipv4_to_long("ip").alias("ip_num"))
-    ev = _event_time(lookup_region(ev, "ip_num", ip_ranges, region_col="province", broadcast=broadcast_ranges))
+    ev = event_time(lookup_region(ev, "ip_num", ip_ranges, region_col="province", broadcast=broadcast_ranges))
     if watermark:
         ev = ev.withWatermark("event_ts", watermark)
     day = F.window("event_ts", "1 day", "1 day", _day_window_start(tz_offset_hours))
@@ -109,7 +109,7 @@ def unpaid_visitors(
     ev = ev.select("uid", "event_time", *keep)
     if vip_users is not None:
         ev = ev.join(vip_user_ids(vip_users), "uid", "left_anti")
-    ev = ev.withColumn("event_ts", F.col(time_col).cast("timestamp")) if time_col else _event_time(ev)
+    ev = ev.withColumn("event_ts", F.col(time_col).cast("timestamp")) if time_col else event_time(ev)
     if watermark:
         ev = ev.withWatermark("event_ts", watermark)
     agg = ev.groupBy(F.window("event_ts", window, slide).alias("w"), "uid").agg(F.count(F.lit(1)).alias("cnt"))
@@ -121,6 +121,51 @@ def unpaid_visitors(
     )
 
 
+def _seconds(interval: str) -> int:
+    """Length of an interval of fixed units, e.g. ``24 hours``, in seconds."""
+    units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+    count, unit = interval.split()
+    return int(count) * units[unit.rstrip("s")]
+
+
+def unpaid_visitors_by_panes(
+    lines: DataFrame,
+    vip_users: DataFrame | None,
+    window: str = "60 seconds",
+    slide: str = "30 seconds",
+    watermark: str | None = "10 minutes",
+    min_visits: int = 3,
+    time_col: str | None = None,
+) -> DataFrame:
+    """:func:`unpaid_visitors` in two steps: visits are counted once, per user and pane (a slide
+    long), then panes are added up to windows. An event is never expanded into the windows it
+    falls in; only the panes are, of which a user has few.
+
+    In a stream the steps are two chained stateful aggregates, so it runs in append mode: a
+    window comes out once, when the watermark has passed its end. ``window`` must be a
+    multiple of ``slide``.
+    """
+    if _seconds(window) % _seconds(slide):
+        raise ValueError("the window must be a multiple of the slide")
+    keep = [time_col] if time_col else []
+    ev = B.parse_lines(lines, keep_columns=keep).where(F.col("event_key") == B.ENTER_ORDER_PAGE)
+    ev = ev.select("uid", "event_time", *keep)
+    if vip_users is not None:
+        ev = ev.join(vip_user_ids(vip_users), "uid", "left_anti")
+    ev = ev.withColumn("event_ts", F.col(time_col).cast("timestamp")) if time_col else event_time(ev)
+    if watermark:
+        ev = ev.withWatermark("event_ts", watermark)
+    panes = ev.groupBy(F.window("event_ts", slide).alias("pane"), "uid").agg(F.count(F.lit(1)).alias("visits"))
+    windows = F.window(F.window_time("pane"), window, slide).alias("w")
+    agg = panes.groupBy(windows, "uid").agg(F.sum("visits").alias("cnt"))
+    return agg.where(F.col("cnt") >= min_visits).select(
+        "uid",
+        F.unix_seconds(F.col("w.start")).alias("window_start"),
+        F.unix_seconds(F.col("w.end")).alias("window_end"),
+        F.col("cnt").cast("bigint").alias("cnt"),
+    )
+
+
 def without_vip(visitors: DataFrame, vip_users: DataFrame) -> DataFrame:
     """``visitors`` who are not VIP by a lookup opened for this micro-batch. The batch is an
     ordinary frame, so the join is planned on the lookup's size of the moment."""
@@ -139,8 +184,9 @@ def start_upsert_stream(
     state_partitions: int | None = None,
     sink_files: int | None = None,
     per_batch: Callable[[DataFrame], DataFrame] | None = None,
+    output_mode: str = "update",
 ) -> StreamingQuery:
-    """Run ``agg`` in update mode into a change log at ``sink_path``.
+    """Run ``agg`` in update mode (or ``output_mode``) into a change log at ``sink_path``.
 
     The checkpoint holds source offsets and aggregation state; restarting with the same
     ``checkpoint_path`` resumes. A fresh checkpoint needs a fresh ``sink_path``.
@@ -156,7 +202,7 @@ def start_upsert_stream(
         upsert_changelog_batch(per_batch(df) if per_batch else df, batch_id, sink_path, sink_files)
 
     w = (
-        agg.writeStream.outputMode("update")
+        agg.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint_path)
         .foreachBatch(write)
     )

@@ -50,3 +50,55 @@ def test_ip_range_loader_and_check(spark, tmp_path):
         check_ip_ranges(r.union(spark.createDataFrame([(16777300, 16777400, "x")], "lo long, hi long, region string")))
     vip = spark.createDataFrame([(1, "7"), (2, "7"), (3, None), (4, "x")], "id int, uid string")
     assert rows(vip_user_ids(vip)) == [(7,), (7,)]
+
+
+def _narrowest(ranges, ip):
+    best = min(((hi - lo, lo, region) for lo, hi, region in ranges if lo <= ip <= hi), default=None)
+    return best and best[2]
+
+
+NESTED = [
+    (0, 2**32 - 1, "world"), (B, 40 * B - 1, "country"), (3 * B + 7, 3 * B + 900, "city"), (3 * B + 100, 3 * B + 200, "street"),
+    (3 * B + 150, 3 * B + 1000, "across"), (5 * B, 6 * B - 1, "block"), (5 * B, 6 * B - 1, "alike"), (9 * B + 1, 9 * B + 1, "one"),
+    (2**32 - 3, 2**32 - 1, "last"), (0, 0, "first"), (30 * B - 1, 50 * B, "long"), (12 * B, 11 * B, "inverted"), (20 * B, None, "open"),
+]
+
+
+def test_nested_ranges_are_flattened(spark):
+    from learnmetrics.operators.geo import flatten_ranges
+
+    flat = flatten_ranges(spark.createDataFrame(NESTED, "lo long, hi long, region string"))
+    pieces = rows(flat)
+    assert overlapping_ranges(flat).count() == 0 and sum(hi - lo + 1 for lo, hi, _ in pieces) == 2**32
+    real = [r for r in NESTED if r[1] is not None and r[0] <= r[1]]
+    edges = sorted({e + d for lo, hi, _ in real for e in (lo, hi) for d in (-1, 0, 1)} | {7 * B, 3 * B + 160, 35 * B})
+    ips = [ip for ip in edges if 0 <= ip < 2**32]
+    got = {}
+    for ip in ips:
+        held = [region for lo, hi, region in pieces if lo <= ip <= hi]
+        assert len(held) == 1
+        got[ip] = held[0]
+    assert got == {ip: _narrowest(real, ip) for ip in ips}
+    asked = spark.createDataFrame([(ip,) for ip in ips], "ip long")
+    plan = lookup_region(asked, "ip", flat)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_flattening_random_ranges_and_gaps(spark):
+    import random
+
+    from learnmetrics.operators.geo import flatten_ranges
+
+    rnd = random.Random(4)
+    many = []
+    for i in range(150):
+        lo = rnd.randrange(0, 20 * B)
+        many.append((lo, lo + rnd.choice([0, 3, 500, B, 5 * B]), f"r{i % 40}"))
+    flat = flatten_ranges(spark.createDataFrame(many, "lo long, hi long, region string"))
+    ips = [rnd.randrange(0, 27 * B) for _ in range(1500)]
+    asked = spark.createDataFrame(list(enumerate(ips)), "id int, ip long")
+    got = {r.id: r.region for r in lookup_region(asked, "ip", flat, default=None).collect()}
+    assert got == {i: _narrowest(many, ip) for i, ip in enumerate(ips)}
+    assert flatten_ranges(spark.createDataFrame([], "lo long, hi long, region string")).count() == 0
+    again = flatten_ranges(flat)
+    assert rows(again) == rows(flat)  # disjoint ranges stay as they are, but for block ends
