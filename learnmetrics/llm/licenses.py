@@ -1,16 +1,19 @@
 """Licence scans by a positional rare-token index.
 
-The index holds, for every word of the licence templates, the templates and positions where
-it stands. A corpus pass counts in how many documents each of these words occurs. A scan then
-looks up the rarest licence words of each file, lets every occurrence vote for (template,
-start = place - position), keeps starts on which enough rare words agree, and verifies the
-template's mandatory key phrases at that start. Base phrases are found wherever their words
-stand one after the other.
+The index holds, for the rarest words of every licence notice, the notices and positions where
+they stand; a corpus pass counts in how many documents each licence word occurs. A scan then
+looks up the rarest licence words of each file and lets every occurrence vote for (notice,
+start = place - position). Votes whose starts lie within the notice's tolerance of each other
+belong together (a few words put in or left out move what follows); where enough rare words
+agree, each mandatory key phrase must stand, word by word, at its own offset from there, give
+or take the tolerance, and the notice's words must be there by weight. Base phrases are found
+wherever their words stand one after the other.
 
 Defined results
 * null or empty text: no words, no places, empty labels, score 0;
-* ties between words of equal frequency go to the one that sorts first; of several starts of
-  one template the best counts; a file with a base phrase has score 1;
+* a very long text is scanned whole, at every place;
+* ties between words of equal frequency go to the one that sorts first; of several places of
+  one notice the best counts; a file with a base phrase has score 1;
 * rows sharing an id are scanned row by row; other columns aren't read; an empty table gives
   an empty table.
 """
@@ -33,41 +36,115 @@ BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved"
 
 #: (label, text, mandatory key phrases): notices as they are usually worded (fixed values).
 #: Phrases are parts of the text.
+_GPL_HEADER = (
+    "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} General Public License "
+    "as published by the Free Software Foundation, {2}"
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_CC = "This work is licensed under a Creative Commons Attribution{} 4.0 International License"
 TEMPLATES = [
+    ("agpl-3.0", _GPL_HEADER.format("program", "Affero", "either version 3 of the License"), ["gnu affero general public license", "version 3 of the license"]),
+    ("agpl-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007", ["gnu affero general public license version 3"]),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0", ["apache license version 2 0"]),
+    (
+        "apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the '
+        "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        ["apache license version 2 0", "except in compliance with the license"],
+    ),
+    ("apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/", ["apache license version 2 0 january 2004"]),
     (
         "bsd",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met",
         ["redistribution and use in source and binary forms", "conditions are met"],
     ),
+    ("bsd-2-clause", _BSD, ["redistribution and use in source and binary forms", "redistributions in binary form must reproduce the above copyright notice"]),
     (
-        "cc-by-4.0",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License",
-        ["creative commons attribution 4 0"],
+        "bsd-3-clause",
+        _BSD + " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+        ["redistributions in binary form must reproduce the above copyright notice", "endorse or promote products derived from this software"],
     ),
+    ("bsl-1.0", "Distributed under the Boost Software License, Version 1.0", ["boost software license version 1 0"]),
+    ("cc-by-4.0", _CC.format(""), ["creative commons attribution 4 0"]),
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0", ["cc by nc 4 0"]),
+    ("cc-by-nc-4.0", _CC.format("-NonCommercial"), ["attribution noncommercial 4 0"]),
+    ("cc-by-nc-sa-4.0", _CC.format("-NonCommercial-ShareAlike"), ["attribution noncommercial sharealike 4 0"]),
+    ("cc-by-nd-4.0", _CC.format("-NoDerivatives"), ["attribution noderivatives 4 0"]),
+    ("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0", ["cc by sa 4 0"]),
+    ("cc-by-sa-4.0", _CC.format("-ShareAlike"), ["attribution sharealike 4 0"]),
+    ("cc0-1.0", "CC0 1.0 Universal (CC0 1.0) Public Domain Dedication", ["cc0 1 0 universal"]),
+    ("gpl-2.0", _GPL_HEADER.format("program", "", "either version 2 of the License"), ["gnu general public license", "version 2 of the license"]),
+    ("gpl-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991", ["gnu general public license version 2 june 1991"]),
+    ("gpl-2.0", "This work is licensed under the GNU General Public License, version 2", ["gnu general public license version 2"]),
+    ("gpl-3.0", _GPL_HEADER.format("program", "", "either version 3 of the License"), ["gnu general public license", "version 3 of the license"]),
+    ("gpl-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", ["gnu general public license version 3 29 june 2007"]),
+    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3", ["gnu general public license version 3"]),
     (
-        "cc-by-sa-4.0",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
-        ["attribution sharealike 4 0"],
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.",
+        ["distribute this software for any purpose with or without fee is hereby granted", "appear in all copies"],
     ),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3", ["gnu general public license version 3"]),
+    ("lgpl-2.1", _GPL_HEADER.format("library", "Lesser", "either version 2.1 of the License"), ["gnu lesser general public license", "version 2 1 of the license"]),
+    ("lgpl-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", ["gnu lesser general public license version 2 1"]),
+    ("lgpl-3.0", _GPL_HEADER.format("library", "Lesser", "either version 3 of the License"), ["gnu lesser general public license", "version 3 of the license"]),
+    ("lgpl-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", ["gnu lesser general public license version 3"]),
     ("mit", "Released under the MIT License", ["the mit license"]),
+    ("mit", "This software is licensed under the terms of the MIT License", ["terms of the mit license"]),
+    (
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        ["permission is hereby granted free of charge", "without restriction", "publish distribute sublicense"],
+    ),
     (
         "mit",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files, to deal in the Software without restriction",
         ["permission is hereby granted free of charge", "without restriction"],
     ),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", ["mozilla public license"]),
+    (
+        "mpl-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+        "with this file, You can obtain one at http://mozilla.org/MPL/2.0/",
+        ["subject to the terms of the mozilla public license v 2 0", "a copy of the mpl was not distributed"],
+    ),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", ["mozilla public license v 2 0"]),
+    ("mpl-2.0", "Mozilla Public License Version 2.0", ["mozilla public license version 2 0"]),
+    (
+        "unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+        "sell, or distribute this software",
+        ["free and unencumbered software released into the public domain"],
+    ),
+    (
+        "zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+        "damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose",
+        ["provided as is without any express or implied warranty", "permission is granted to anyone to use this software"],
+    ),
 ]
 #: Rarest distinct licence words of a file that are looked up, besides the rarest key word of
-#: each template, which always is; key words that must agree on a start, where so many were
-#: looked up; share of a template's words in place, by weight.
+#: each notice, which always is; rarest words of a notice that are listed in the index; words that
+#: must agree on a start, where so many were looked up; share of a notice's words, by weight.
 RARE_WORDS = 16
+LISTED = 12
 AGREE = 3
-COVERED = 0.6
+COVERED = 0.7
+
+
+def tolerance(words: int) -> int:
+    """Places by which parts of a notice of so many words may be moved against each other."""
+    return 2 + words // 8
+
 
 IN_WORD = np.zeros(256, dtype=bool)
 IN_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -84,7 +161,7 @@ def _hash_of(words: list[str]) -> np.ndarray:
 
 
 class Index:
-    """Word numbers of the licence vocabulary, base phrases, postings and key phrases."""
+    """Word numbers of the licence vocabulary, base phrases, notices and their key phrases."""
 
     def __init__(self, templates: list, base: dict[str, str]):
         self.labels = [label for label, _, _ in templates]
@@ -96,20 +173,28 @@ class Index:
         self.hashes = hashes[self.order]
         self.sequences = [np.array([number[w] for w in ws]) for ws in texts]
         self.base = [(label, np.array([number[w] for w in words_of(p)])) for p, label in base.items()]
-        #: Per template: which of its positions belong to mandatory phrases.
-        self.mandatory = []
+        #: Per notice: (offset, words) of its mandatory phrases, their words, the tolerance.
+        self.phrases = []
         for ws, (_, _, phrases) in zip(texts, templates, strict=True):
-            marked = np.zeros(len(ws), dtype=bool)
+            found = []
             for part in map(words_of, phrases):
                 at = next(i for i in range(len(ws)) if ws[i : i + len(part)] == part)
-                marked[at : at + len(part)] = True
-            self.mandatory.append(marked)
-        self.key_words = [set(s[m].tolist()) for s, m in zip(self.sequences, self.mandatory, strict=True)]
-        #: word number -> [(template, position)]
-        self.postings = [[] for _ in self.vocabulary]
+                found.append((at, np.array([number[w] for w in part])))
+            self.phrases.append(found)
+        self.key_words = [{int(w) for _, part in found for w in part} for found in self.phrases]
+        self.slack = [tolerance(len(s)) for s in self.sequences]
+
+    def listed(self, rank: np.ndarray) -> list[list[tuple[int, int]]]:
+        """Postings: word number -> [(notice, position)], of the ``LISTED`` words of each notice that
+        are rarest in the corpus, and of its rarest key word."""
+        postings: list[list[tuple[int, int]]] = [[] for _ in self.vocabulary]
         for t, sequence in enumerate(self.sequences):
+            rare = sorted(set(sequence.tolist()), key=lambda w: rank[w])[:LISTED]
+            rare = {*rare, min(self.key_words[t], key=lambda w: rank[w])}
             for position, w in enumerate(sequence.tolist()):
-                self.postings[w].append((t, position))
+                if w in rare:
+                    postings[w].append((t, position))
+        return postings
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Vocabulary number of every word, -1 for other words."""
@@ -145,31 +230,47 @@ def document_frequencies(docs: DataFrame, index: Index) -> tuple[np.ndarray, int
     return np.array([found.get(w, 0) for w in range(size)], dtype=np.int64), found.get(-1, 0)
 
 
-def _matches(index: Index, numbers: np.ndarray, looked: np.ndarray, idf: np.ndarray) -> dict[int, float]:
-    """Template -> weighted share of its words in place, of the templates verified in one text.
+def _stands(numbers: np.ndarray, phrase: np.ndarray, low: int, high: int) -> bool:
+    """The phrase begins at a place from ``low`` to ``high``."""
+    low, high = max(0, low), min(high, len(numbers) - len(phrase))
+    at = low + np.flatnonzero(numbers[low : high + 1] == phrase[0]) if high >= low else np.zeros(0, np.int64)
+    return any(np.array_equal(numbers[i : i + len(phrase)], phrase) for i in at.tolist())
+
+
+def _matches(index: Index, postings: list, numbers: np.ndarray, looked: np.ndarray, idf: np.ndarray) -> dict[int, float]:
+    """Notice -> weighted share of its words in place, of the notices verified in one text.
 
     ``numbers`` are the text's words, ``looked`` the places of the words looked up.
     """
-    votes: dict[tuple[int, int], set[int]] = {}
+    votes: dict[int, list[tuple[int, int]]] = {}
     for place in looked.tolist():
         word = int(numbers[place])
-        for template, position in index.postings[word]:
-            if word in index.key_words[template]:
-                votes.setdefault((template, place - position), set()).add(word)
+        for template, position in postings[word]:
+            votes.setdefault(template, []).append((place - position, word))
     known = set(numbers[looked].tolist())
     found: dict[int, float] = {}
-    for (template, start), agree in votes.items():
-        # Where the mandatory phrases are in place, all their words that were looked up agree.
-        if len(agree) < min(AGREE, len(known & index.key_words[template])):
-            continue
-        sequence = index.sequences[template]
-        at = np.arange(start, start + len(sequence))
-        inside = (at >= 0) & (at < len(numbers))
-        same = np.zeros(len(sequence), dtype=bool)
-        same[inside] = numbers[at[inside]] == sequence[inside]
-        share = float((idf[sequence] * same).sum() / idf[sequence].sum())
-        if share >= COVERED and same[index.mandatory[template]].all():
-            found[template] = max(found.get(template, 0.0), min(1.0, share))
+    for template, starts in votes.items():
+        starts.sort()
+        sequence, slack = index.sequences[template], index.slack[template]
+        listed = {w for w in set(sequence.tolist()) & known if any(t == template for t, _ in postings[w])}
+        need = min(AGREE, len(listed))
+        weight = idf[np.unique(sequence)].sum()
+        first = 0
+        for last, (start, _) in enumerate(starts):
+            while starts[first][0] < start - slack:
+                first += 1
+            # Judged at the last of a run of votes that belong together.
+            if last + 1 < len(starts) and starts[last + 1][0] <= starts[first][0] + slack:
+                continue
+            if len({w for _, w in starts[first : last + 1]}) < need:
+                continue
+            low, high = start - slack, starts[first][0] + slack
+            if not all(_stands(numbers, phrase, low + at, high + at) for at, phrase in index.phrases[template]):
+                continue
+            there = np.intersect1d(sequence, numbers[max(0, low) : max(0, high) + len(sequence)])
+            share = float(idf[there].sum() / weight)
+            if share >= COVERED:
+                found[template] = max(found.get(template, 0.0), min(1.0, share))
     return found
 
 
@@ -187,6 +288,7 @@ def scan(docs: DataFrame, text: str = "text", doc: str = "doc_id", templates: li
     rank[np.lexsort((np.arange(len(idf)), -idf))] = np.arange(len(idf))
     # Without the rarest word of its mandatory phrases, a template can't be verified.
     anchors = np.array(sorted({min(words, key=lambda w: rank[w]) for words in index.key_words}))
+    postings = index.listed(rank)
 
     def run(batches):
         for batch, texts in text_slices(batches, "text"):
@@ -214,7 +316,7 @@ def scan(docs: DataFrame, text: str = "text", doc: str = "doc_id", templates: li
                 places = held[np.searchsorted(held, first[r]) : np.searchsorted(held, first[r + 1])] - first[r]
                 words = np.unique(own[places])
                 looked = np.union1d(words[np.argsort(rank[words])][:RARE_WORDS], np.intersect1d(words, anchors))
-                for template, share in _matches(index, own, places[np.isin(own[places], looked)], idf).items():
+                for template, share in _matches(index, postings, own, places[np.isin(own[places], looked)], idf).items():
                     labels[r].add(index.labels[template])
                     scores[r] = max(scores[r], share)
             scores[n_base > 0] = 1.0

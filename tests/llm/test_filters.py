@@ -160,7 +160,7 @@ def _brute_base(text):
 
 
 def _brute_templates(text):
-    """Templates by trying every start: mandatory phrases in place (weights don't matter for whole notices)."""
+    """Whole notices, by trying every start."""
     words, found = licenses.words_of(text or ""), set()
     for label, template, _ in licenses.TEMPLATES:
         parts = licenses.words_of(template)
@@ -169,11 +169,66 @@ def _brute_templates(text):
     return found
 
 
+def _notice(label, part):
+    return next(text for kind, text, _ in licenses.TEMPLATES if kind == label and part in text)
+
+
+HEADERS = {
+    "mit": """Copyright (c) 2020 Some One\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and
+        associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights
+        to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom""",
+    "gpl-3.0": """This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as
+        published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.""",
+    "gpl-2.0": """Foo is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published
+        by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.""",
+    "lgpl-2.1": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+        License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.""",
+    "agpl-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License
+        as published by the Free Software Foundation, either version 3 of the License""",
+    "apache-2.0": """Licensed to the Some Foundation under one or more contributor license agreements. Licensed under the Apache License, Version 2.0
+        (the "License"); you may not use this file except in compliance with the License.""",
+    "bsd-3-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met:\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+        disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+        in the documentation and/or other materials provided with the distribution.\n3. Neither the name of the Foo Company nor the names of its
+        contributors may be used to endorse or promote products derived from this software without specific prior written permission.""",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\n License, v. 2.0. If a copy of the MPL was not distributed with this\n file, You can",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above"
+           " copyright notice and this permission notice appear in all copies.",
+    "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell",
+}
+NEAR_MISSES = [
+    "GNU general public licence version 3", "permission is hereby granted to deal in the software", "the Apache project, licensed by its version 2.0",
+    "redistribution and use in source and binary forms is forbidden", "This program is free software: you can redistribute it",
+    "Permission is hereby granted, free of charge, to any person " + "who asks " * 60 + "without restriction publish distribute sublicense",
+    "mozilla public license", "creative commons", "version 3 of the license " + "x " * 200 + "gnu general public license", "the MIT of license",
+]
+
+
+def test_published_notices_are_found_and_near_misses_are_not(spark):
+    titles = {"gpl-3.0": "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007", "gpl-2.0": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+              "lgpl-3.0": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "apache-2.0": "Apache License\n Version 2.0, January 2004\nhttp://www.apache.org/licenses/"}
+    asked = [(label, f"{before} {text} {after}") for found in (HEADERS, titles) for label, text in found.items()
+             for before, after in (("", ""), ("# word " * 700, "and more " * 300))]
+    rows = [(i, text) for i, (_, text) in enumerate(asked)] + [(1000 + i, text) for i, text in enumerate(NEAR_MISSES)]
+    filler = [(5000 + i, "the of and software license version to any or in this public general " * 3) for i in range(300)]
+    out = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows + filler, DOCS)).collect()}
+    for i, (label, text) in enumerate(asked):
+        assert label in out[i].labels.split(","), (label, text[:60])
+        others = {x for x in out[i].labels.split(",") if x.split("-")[0] in ("gpl", "lgpl", "agpl", "apache", "mpl", "cc")} - {"gpl"}
+        assert others <= {label}, (label, others)
+    for i, text in enumerate(NEAR_MISSES):
+        assert set(filter(None, out[1000 + i].labels.split(","))) <= {"gpl"}, text
+    assert all(out[d].labels == "" for d, _ in filler)
+
+
 def test_licence_scan_matches_brute_force(spark):
     docs = table(spark, SF, "documents").select("doc_id", "text")
     extra = [
         (10_001, "see: CC-BY, cc by; ALL rights reserved. All rights\nReserved"),
-        (10_002, "x " * 500 + licenses.TEMPLATES[7][1] + " y" * 500 + " " + licenses.TEMPLATES[1][1]),
+        (10_002, "x " * 500 + _notice("mit", "hereby") + " y" * 500 + " " + _notice("bsd", "Redistribution")),
+        (10_007, "x" + _notice("bsd", "Redistribution") + " y" * 500),  # the first word is another one
         (10_003, "GNU general public licence"), (10_004, None), (10_005, ""), (None, "cc by"), (10_001, "cc"),
         (10_006, "Ünder the mît license éall rights reserved"),
     ]
@@ -188,7 +243,7 @@ def test_licence_scan_matches_brute_force(spark):
     for r in docs.collect():
         if r.doc_id != 10_001:
             assert labels[r.doc_id] >= _brute_templates(r.text), r.doc_id
-    assert {"mit", "bsd"} <= labels[10_002]
+    assert {"mit", "bsd"} <= labels[10_002] and "bsd" not in labels[10_007]
     assert all(0 <= r.score <= 1 for r in out)
     assert licenses.scan(docs.limit(0)).count() == 0
 
