@@ -12,6 +12,11 @@ minimum. Every other column is a "first" value, made deterministic:
 * ``vip_id``, ``vip_max_free``, ``vip_min_free``, ``vip_operator`` from the matched VIP level
   with the smallest ``vip_id`` (unmatched payments last).
 
+That is the SQL form. The API form (``form="api"``) joins on shared column names, so ``siteid``
+is the registration's and ``vip_id`` the payment's also where no site or level has it, and
+``vip_next_level`` is a "first" value of the same row as ``vip_id``; members without payments
+have money 0.
+
 ``fanout="safe"`` (default) reduces each source to one row per key *before* joining, so
 several registration rows cannot multiply payments, and every aggregate is a partial
 (map-side) aggregate, which keeps a very hot uid from landing whole in one task. The three
@@ -41,6 +46,7 @@ VIP_FIRST = ["vip_id", "vip_max_free", "vip_min_free", "vip_operator"]
 VIP_MAX = ["vip_level", "vip_end_time", "vip_last_modify_time", "vip_next_level"]
 VIP_MIN = ["vip_start_time"]
 
+# Column names of the wide table in their order (fixed values).
 WIDE_COLUMNS = [
     "uid", "ad_id", "fullname", "iconurl", "lastlogin", "mailaddr", "memberlevel", "password",
     "paymoney", "phone", "qq", "register", "regupdatetime", "unitname", "userip", "zipcode", "time",
@@ -57,14 +63,24 @@ def _pick(agg_fn, order_cols: list[str], cols: list[str], alias: str):
     return agg_fn(F.struct(*fields)).alias(alias)
 
 
-def _vip_first():
-    return F.min(
-        F.struct(F.col("vip_id").isNull().alias("_unmatched"), *[F.col(c) for c in VIP_FIRST])
-    ).alias("_vip")
+def _firsts(form: str) -> list[str]:
+    """The level columns that come from one row, in the order that chooses it."""
+    return VIP_FIRST if form == "sql" else [VIP_FIRST[0], "vip_next_level", *VIP_FIRST[1:]]
+
 
+def _vip_aggs(form: str):
+    first = F.min(F.struct("_unmatched", *_firsts(form))).alias("_vip")
+    most = [F.max(c).alias(c) for c in VIP_MAX if c not in _firsts(form)]
+    return [*most, *[F.min(c).alias(c) for c in VIP_MIN], first]
 
-def _vip_aggs():
-    return [F.max(c).alias(c) for c in VIP_MAX] + [F.min(c).alias(c) for c in VIP_MIN] + [_vip_first()]
+
+def _level_columns(form: str) -> list:
+    """Columns of a payment (p) joined to its level (v)."""
+    level_id = F.col("v.vip_id_dim") if form == "sql" else F.col("p.vip_id")
+    return [
+        "p.uid", "p.website", "p.paymoney", level_id.alias("vip_id"), F.col("v.vip_id_dim").isNull().alias("_unmatched"),
+        *[F.col(f"v.{c}") for c in VIP_MAX + VIP_MIN + VIP_FIRST[1:]],
+    ]
 
 
 def _unpack(df: DataFrame, struct_col: str, cols: list[str]) -> DataFrame:
@@ -85,6 +101,7 @@ def build_wide(
     fanout: str = "safe",
     money_default: float | int | None = None,
     columns: list[str] | None = None,
+    form: str = "sql",
 ) -> DataFrame:
     """Wide member table with :data:`WIDE_COLUMNS` (or the subset ``columns``); ``paymoney``
     is decimal.
@@ -94,6 +111,10 @@ def build_wide(
     the rows unchanged. (Catalyst cannot do this itself: it does not know the joined side
     is unique per key.)
     """
+    if form not in ("sql", "api"):
+        raise ValueError("form must be 'sql' or 'api'")
+    if form == "api" and money_default is None:
+        money_default = 0
     cols = list(columns or WIDE_COLUMNS)
     need = set(cols)
     if fanout == "reference" or money_default is not None:
@@ -107,26 +128,25 @@ def build_wide(
     vip = vip if need & PAY_COLUMNS else None
     use_reg = site is not None or bool(need & REG_COLUMNS)
     if fanout == "safe":
-        wide = _build_safe(member, regtype if use_reg else None, ad, site, payment if vip is not None else None, vip)
+        wide = _build_safe(member, regtype if use_reg else None, ad, site, payment if vip is not None else None, vip, form)
     elif fanout == "reference":
-        wide = _build_reference(member, regtype, ad, site, payment, vip)
+        wide = _build_reference(member, regtype, ad, site, payment, vip, form)
     else:
         raise ValueError("fanout must be 'safe' or 'reference'")
+    if form == "api" and "reg_siteid" in wide.columns:
+        wide = wide.withColumn("siteid", F.col("reg_siteid"))
     if money_default is not None:
         wide = wide.withColumn("paymoney", F.coalesce("paymoney", F.lit(money_default).cast("decimal(20,4)")))
     return wide.select(*cols)
 
 
-def _payments_with_vip(payment: DataFrame, vip: DataFrame) -> DataFrame:
-    # The VIP dimension is joined on the payment side's keys; its own vip_id is kept, so it
-    # is null when a payment names an unknown level.
+def _payments_with_vip(payment: DataFrame, vip: DataFrame, form: str) -> DataFrame:
+    # The VIP dimension is joined on the payment side's keys; in the SQL form its own vip_id is
+    # kept, so it is null when a payment names an unknown level.
     p, v = payment.alias("p"), vip.alias("v")
     return p.join(
         v, (F.col("p.vip_id") == F.col("v.vip_id_dim")) & (F.col("p.website") == F.col("v.website")), "left"
-    ).select(
-        "p.uid", "p.website", "p.paymoney", F.col("v.vip_id_dim").alias("vip_id"),
-        *[F.col(f"v.{c}") for c in VIP_MAX + VIP_MIN + VIP_FIRST[1:]],
-    )
+    ).select(*_level_columns(form))
 
 
 def _join_dims(df: DataFrame, ad: DataFrame | None, site: DataFrame | None) -> DataFrame:
@@ -140,7 +160,7 @@ def _join_dims(df: DataFrame, ad: DataFrame | None, site: DataFrame | None) -> D
     ).drop("site_website")
 
 
-def _pay_one(payment: DataFrame, vip: DataFrame) -> DataFrame:
+def _pay_one(payment: DataFrame, vip: DataFrame, form: str = "sql") -> DataFrame:
     """Per (uid, website): money and VIP attributes.
 
     The payments, the largest input, are reduced to one row per key and level by a hash
@@ -158,15 +178,12 @@ def _pay_one(payment: DataFrame, vip: DataFrame) -> DataFrame:
     level = level.select("vip_id_dim", "website", *VIP_MAX, *VIP_MIN, *[f"_own.{c}" for c in VIP_FIRST[1:]]).alias("v")
     pay = per_level.join(
         level, (F.col("p.vip_id") == F.col("v.vip_id_dim")) & (F.col("p.website") == F.col("v.website")), "left"
-    ).select(
-        "p.uid", "p.website", "p.paymoney", F.col("v.vip_id_dim").alias("vip_id"),
-        *[F.col(f"v.{c}") for c in VIP_MAX + VIP_MIN + VIP_FIRST[1:]],
-    )
+    ).select(*_level_columns(form))
     money = F.sum("paymoney").cast("decimal(20,4)").alias("paymoney")
-    return _unpack(pay.groupBy(*KEY).agg(money, *_vip_aggs()), "_vip", VIP_FIRST)
+    return _unpack(pay.groupBy(*KEY).agg(money, *_vip_aggs(form)), "_vip", _firsts(form))
 
 
-def _build_safe(member, regtype, ad, site, payment, vip) -> DataFrame:
+def _build_safe(member, regtype, ad, site, payment, vip, form) -> DataFrame:
     member_one = _unpack(
         member.groupBy(*KEY).agg(_pick(F.max, ["time"], MEMBER_FIRST, "_m")), "_m", MEMBER_FIRST
     )
@@ -180,15 +197,15 @@ def _build_safe(member, regtype, ad, site, payment, vip) -> DataFrame:
         wide = wide.join(reg_one, KEY, "left")
     if payment is None:
         return _join_dims(wide, ad, site)
-    pay_one = _pay_one(payment, vip)
+    pay_one = _pay_one(payment, vip, form)
     # uid-keyed joins first: all three sides are hash-partitioned on (uid, website) by their
     # aggregations, so the sort-merge joins need no further exchange.
     wide = wide.join(pay_one, KEY, "left")
     return _join_dims(wide, ad, site)
 
 
-def _build_reference(member, regtype, ad, site, payment, vip) -> DataFrame:
-    pay = _payments_with_vip(payment, vip)
+def _build_reference(member, regtype, ad, site, payment, vip, form) -> DataFrame:
+    pay = _payments_with_vip(payment, vip, form)
     joined = _join_dims(member.join(regtype, KEY, "left"), ad, site).join(pay, KEY, "left")
     member_cols = MEMBER_FIRST + ["adname"]
     reg_cols = REG_FIRST + SITE_FIRST
@@ -196,6 +213,6 @@ def _build_reference(member, regtype, ad, site, payment, vip) -> DataFrame:
         _pick(F.max, ["time"], member_cols, "_m"),
         _pick(F.min, ["reg_createtime", "appregurl"], reg_cols, "_r"),
         F.sum("paymoney").cast("decimal(20,4)").alias("paymoney"),
-        *_vip_aggs(),
+        *_vip_aggs(form),
     )
-    return _unpack(_unpack(_unpack(agg, "_m", member_cols), "_r", reg_cols), "_vip", VIP_FIRST)
+    return _unpack(_unpack(_unpack(agg, "_m", member_cols), "_r", reg_cols), "_vip", _firsts(form))

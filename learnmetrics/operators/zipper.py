@@ -100,6 +100,35 @@ def close_out(
     return rows.withColumn("end_time", end).select(*ZIPPER_COLUMNS)
 
 
+def lookup_as_of(facts: DataFrame, history: DataFrame, day: str, columns: list[str] | None = None, salts: int = 1) -> DataFrame:
+    """``facts`` (uid, website, and a column ``day``, yyyy-MM-dd) with ``columns`` of the interval of
+    ``history`` that holds on their day; null where none does, or a key or day is null.
+
+    Facts and interval starts are united and sorted per key; the last start is carried forward.
+    That is one shuffle and one sorted pass, where a join on ``start <= day < end`` would pair
+    every fact of a key with all its intervals. ``salts`` > 1 spreads the facts of a key over so
+    many groups, each with a copy of the key's intervals (one a day at most), for keys with a
+    large share of all facts.
+    """
+    columns = columns or ["paymoney", "vip_level", "start_time"]
+    key = [F.col(c).alias(f"_{c}") for c in KEY]
+    kept = history.select(*key, F.col("start_time").alias("_at"), F.struct("end_time", *columns).alias("_v"), F.lit(None).cast(facts.schema.simpleString()).alias("_f"))
+    kept = kept.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
+    asked = facts.select(
+        *key, F.col(day).cast("string").alias("_at"), F.lit(None).cast(kept.schema["_v"].dataType).alias("_v"), F.struct(*facts.columns).alias("_f"),
+        spread.alias("_salt"),
+    )
+    # On one day the start comes first: an interval holds from its first day on.
+    path = Window.partitionBy(*[f"_{c}" for c in KEY], "_salt").orderBy(F.col("_at").asc_nulls_first(), F.col("_f").isNotNull())
+    last = F.last("_v", ignorenulls=True).over(path.rowsBetween(Window.unboundedPreceding, 0))
+    found = kept.unionByName(asked).withColumn("_last", last).where(F.col("_f").isNotNull())
+    there = F.col("_at").isNotNull() & (F.col("_at") < F.col("_last.end_time"))
+    for c in KEY:
+        there = there & F.col(f"_{c}").isNotNull()
+    return found.select("_f.*", *[F.when(there, F.col(f"_last.{c}")).alias(f"valid_{c}") for c in columns])
+
+
 def advance_open(open_rows: DataFrame, increment: DataFrame, reopened: DataFrame | None = None) -> DataFrame:
     """One day of the zipper on its open rows only.
 

@@ -6,23 +6,29 @@ types match the SQL in :mod:`learnmetrics.plans.oracle` (money as double).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from learnmetrics.functions import sql as Q
 from learnmetrics.operators import behaviour as B
 from learnmetrics.operators import distinct_users as U
 from learnmetrics.operators.geo import flatten_ranges, lookup_region
 from learnmetrics.operators.reports import HEADCOUNT_DIMENSIONS, headcount, headcounts_all, top_payers
 from learnmetrics.operators.wide import build_wide
-from learnmetrics.operators.zipper import close_out, day_increment, money_rejects
+from learnmetrics.operators.zipper import close_out, day_increment, lookup_as_of, money_rejects
+from learnmetrics.plans import jobs as J
 from learnmetrics.plans import views as V
 from learnmetrics.session import scratch_path
+from learnmetrics.sinks import catalog as KC
+from learnmetrics.sinks import writers as W
 from learnmetrics.sinks.writers import read_changelog
 from learnmetrics.sources import ingest as I
 from learnmetrics.sources import tables as T
+from learnmetrics.sources import variant as VA
 from learnmetrics.streaming import jobs as S
 from learnmetrics.streaming import ledger as G
 from learnmetrics.streaming import stateful as K
@@ -98,7 +104,7 @@ def mask_members(spark, sf):
 
 # --- wide table and reports ---------------------------------------------------------------
 
-def wide_table(spark: SparkSession, sf: str, fanout: str = "safe", money_default=None, columns=None) -> DataFrame:
+def wide_table(spark: SparkSession, sf: str, fanout: str = "safe", columns=None, form: str = "sql") -> DataFrame:
     return build_wide(
         T.member_columns(V.member(spark, sf)),
         T.regtype_columns(V.regtype(spark, sf)),
@@ -107,8 +113,8 @@ def wide_table(spark: SparkSession, sf: str, fanout: str = "safe", money_default
         T.payment_columns(V.payment(spark, sf)),
         T.vip_columns(V.vip_level(spark, sf)),
         fanout=fanout,
-        money_default=money_default,
         columns=columns,
+        form=form,
     )
 
 
@@ -121,7 +127,7 @@ def wide_member_reference(spark, sf):
 
 
 def wide_member_api(spark, sf):
-    return _double(wide_table(spark, sf, money_default=0), "paymoney")
+    return _double(wide_table(spark, sf, form="api"), "paymoney")
 
 
 def _report_input(spark, sf):
@@ -398,6 +404,137 @@ def stream_offset_ledger(spark, sf):
     return G.totals(told).select("input_rows", "late_rows").crossJoin(F.broadcast(broken))
 
 
+# --- other ways to the same tables ---------------------------------------------------------------------
+
+def ingest_member_variant(spark, sf):
+    """The member loader from a VARIANT column that is parsed once and stored."""
+    path = scratch_path(spark, "staged", "member")
+    VA.write_staged(V.member_json(spark, sf), path)
+    return VA.ingest_staged(VA.read_staged(spark, path), I.MEMBER, V.LOAD_DATE).rows
+
+
+def ingest_base_ad_variant_rejects(spark, sf):
+    path = scratch_path(spark, "staged", "base_ad")
+    VA.write_staged(V.base_ad_json(spark, sf), path)
+    return VA.ingest_staged(VA.read_staged(spark, path), I.BASE_AD).rejects.select("value", "reason")
+
+
+def ingest_member_counts(spark, sf):
+    """Rows and rejects per reason, as counted by the two writes of the member loader."""
+    path = scratch_path(spark, "counted", "member")
+    res, counts = I.counted(I.ingest_json(V.member_json(spark, sf), I.MEMBER, V.LOAD_DATE), I.MEMBER)
+    res.rows.write.parquet(f"{path}/rows")
+    res.rejects.write.parquet(f"{path}/rejects")
+    found = [(k, n) for k, n in counts.result().items() if n]  # one per reason
+    return spark.createDataFrame(found, "reason string, n long")
+
+
+def mask_members_sql(spark, sf):
+    """:func:`mask_members` as SQL text, with the library's SQL functions."""
+    Q.register(spark)
+    V.table(spark, sf, "customer").createOrReplaceTempView("lm_customer")
+    return spark.sql("""
+        SELECT c_custkey AS uid, lm_mask_name(c_name) AS fullname, lm_mask_phone(phone) AS phone,
+               lm_mask_phone_with(phone, 'xxxx') AS phone_behaviour, lm_password_mask() AS password,
+               lm_regsource_name(CAST(c_custkey % 6 AS STRING)) AS regsourcename, c_mktsegment AS website
+        FROM (SELECT *, concat('138', lpad(CAST(c_custkey AS STRING), 8, '0')) AS phone FROM lm_customer)""")
+
+
+def _bucketed(spark, name: str, df: DataFrame, run: str) -> DataFrame:
+    """``df`` as a catalog table bucketed and sorted by the member key, filled by position."""
+    table = f"lm_{run}_{name}"
+    df = df.select(*[c for c in df.columns if c not in KC.MEMBER_KEY], *KC.MEMBER_KEY)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    KC.create_table(spark, table, df.schema, scratch_path(spark, "bucketed", name), bucket_by=KC.MEMBER_KEY, buckets=buckets)
+    KC.insert_by_position(df, table)
+    return spark.table(table)
+
+
+def wide_member_bucketed(spark, sf):
+    """The wide table over members, registrations and payments that lie bucketed by member: they are
+    grouped and joined without an exchange."""
+    run = uuid.uuid4().hex[:12]
+    wide = build_wide(
+        T.member_columns(_bucketed(spark, "member", V.member(spark, sf), run)),
+        T.regtype_columns(_bucketed(spark, "regtype", V.regtype(spark, sf), run)),
+        T.ad_columns(V.base_ad(spark, sf)),
+        T.site_columns(V.base_website(spark, sf)),
+        T.payment_columns(_bucketed(spark, "payment", V.payment(spark, sf), run)),
+        T.vip_columns(V.vip_level(spark, sf)),
+    )
+    return _double(wide, "paymoney")
+
+
+def zipper_close_out_bucketed(spark, sf):
+    payment = _bucketed(spark, "payment", V.payment(spark, sf), uuid.uuid4().hex[:12])
+    return _double(close_out(day_increment(payment, V.vip_level(spark, sf))), "paymoney")
+
+
+def order_vip_level_as_of(spark, sf):
+    """Every order with its member's VIP level some days before or after, from the zipper."""
+    history = close_out(_increments(spark, sf))
+    o, c = V.table(spark, sf, "orders"), V.table(spark, sf, "customer")
+    facts = o.join(c, o["o_custkey"] == c["c_custkey"]).select(
+        "o_orderkey", F.col("o_custkey").alias("uid"), F.col("c_mktsegment").alias("website"),
+        F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 60 - 30).cast("int")).cast("string").alias("day"),
+    )
+    return lookup_as_of(facts, history, "day", ["vip_level", "start_time"], salts=4)
+
+
+def payments_sized_files(spark, sf):
+    """Payments written by level in files of a wanted size, read back: rows of each level, and whether
+    none of its files is over twice that size."""
+    path, target = scratch_path(spark, "sized", "payment"), 64 << 10
+    KC.write_sized(V.payment(spark, sf).withColumn("level", F.coalesce("vip_id", F.lit(-1))), path, ["level"], target)
+    back = spark.read.parquet(path).withColumn("size", F.col("_metadata.file_size"))
+    return back.groupBy(F.col("level").cast("int").alias("level")).agg(
+        F.count(F.lit(1)).alias("n"), (F.max("size") <= 2 * target).alias("sized")
+    )
+
+
+def job_ingest_rerun(spark, sf):
+    """The payment loader over lines of text, run twice for a day, and the stored table read back."""
+    root = scratch_path(spark, "jobs", "ingest")
+    layout = J.Layout(f"{root}/warehouse")
+    V.payment_json(spark, sf).write.text(f"{root}/raw/{J.RAW_FILES['bdl_pcentermempaymoney']}")
+    for _ in range(2):
+        J.ingest_table(spark, layout, f"{root}/raw", "bdl_pcentermempaymoney", V.LOAD_DATE)
+    return J.read_bdl(spark, layout, "bdl_pcentermempaymoney").select(*I.PAYMONEY.columns)
+
+
+def job_zipper_layers(spark, sf):
+    """The incremental zipper over stored layers: built from all days, then the latest day run again
+    (only that day's partition and the open intervals are read), and the published version read back."""
+    layout = J.Layout(scratch_path(spark, "jobs", "zipper"))
+    for table, df in (("bdl_pcentermempaymoney", V.payment(spark, sf)), ("bdl_vip_level", V.vip_level(spark, sf))):
+        spec = I.SPECS[table]
+        typed = df.select(*[F.col(f.name).cast("int" if f.kind == "int" else "string").alias(f.name) for f in spec.fields])
+        W.write_table(typed, layout.bdl(table), spec.partition_by)
+    J.run_zipper_rebuild(spark, layout)
+    latest = J.read_zipper_inc(spark, layout).agg(F.date_format(F.max("start_time"), "yyyyMMdd").alias("d")).first()["d"]
+    if latest:
+        J.run_zipper_daily(spark, layout, latest)
+    return _double(J.read_zipper_inc(spark, layout), "paymoney")
+
+
+def job_behaviour_days(spark, sf):
+    """Behaviour lines loaded as text twice, cleaned, stored by day; then the daily job of the first and of
+    the last day (each reads its own partition), and what they wrote read back."""
+    root = scratch_path(spark, "jobs", "behaviour")
+    layout = J.Layout(f"{root}/warehouse")
+    # A line feed inside a name would end the line in a text file.
+    lines = _lines(spark, sf).select(F.regexp_replace("value", "\n", "").alias("value"))
+    lines.write.text(f"{root}/raw")
+    for _ in range(2):
+        J.run_load_behaviour(spark, layout, f"{root}/raw")
+    stored = spark.read.schema(B.BEHAVIOUR_SCHEMA).parquet(layout.dwd("user_behavior"))
+    days = stored.agg(F.min("dt").alias("a"), F.max("dt").alias("b")).first()
+    for day in sorted({days["a"], days["b"]} - {None}):
+        J.run_daily_video_users(spark, layout, day)
+    out = "watch_video_count long, complete_video_count long, dt string"
+    return spark.read.schema(out).parquet(layout.tmp("app_course_study_analysis"))
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "ingest_member": ingest_member,
@@ -447,6 +584,17 @@ def queries() -> dict[str, Query]:
             "video_users_by_span": video_users_by_span,
             "video_users_sketched": video_users_sketched,
             "ip_region_nested": ip_region_nested,
+            "ingest_member_variant": ingest_member_variant,
+            "ingest_base_ad_variant_rejects": ingest_base_ad_variant_rejects,
+            "ingest_member_counts": ingest_member_counts,
+            "mask_members_sql": mask_members_sql,
+            "wide_member_bucketed": wide_member_bucketed,
+            "zipper_close_out_bucketed": zipper_close_out_bucketed,
+            "order_vip_level_as_of": order_vip_level_as_of,
+            "payments_sized_files": payments_sized_files,
+            "job_ingest_rerun": job_ingest_rerun,
+            "job_zipper_layers": job_zipper_layers,
+            "job_behaviour_days": job_behaviour_days,
         }
     )
     return q

@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnmetrics.operators import behaviour as B
+from learnmetrics.operators import distinct_users as U
 from learnmetrics.operators import reports as R
+from learnmetrics.operators.geo import flatten_ranges
 from learnmetrics.operators.wide import build_wide
 from learnmetrics.operators.zipper import close_out, day_increment, zipper_schema
 from learnmetrics.session import get_session
@@ -93,8 +95,11 @@ class Layout:
 
 # --- J1: raw JSON -> detail tables -----------------------------------------------
 
-def ingest_table(spark: SparkSession, layout: Layout, raw_dir: str, table: str, dt: str, files: int | None = None):
-    """One loader: text scan, parse once, write rows and rejects.
+def ingest_table(
+    spark: SparkSession, layout: Layout, raw_dir: str, table: str, dt: str, files: int | None = None
+) -> dict[str, int]:
+    """One loader: text scan, parse once, write rows and rejects. Returns the number of rows and of
+    rejects per reason, counted by the writes.
 
     Append tables get (or replace) the ``time=dt`` partition; the others are full refreshes.
     The parsed lines are persisted (memory, spilling to disk) for the two writes, so the raw
@@ -105,6 +110,7 @@ def ingest_table(spark: SparkSession, layout: Layout, raw_dir: str, table: str,
     check_day(dt)
     spec = I.SPECS[table]
     res = I.ingest_json(I.read_lines(spark, f"{raw_dir.rstrip('/')}/{RAW_FILES[table]}"), spec, dt)
+    res, counts = I.counted(res, spec)
     res.staged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if tuple(spec.partition_by) == ("time",):
@@ -114,11 +120,14 @@ def ingest_table(spark: SparkSession, layout: Layout, raw_dir: str, table: str,
         write_partition(res.rejects, layout.rejects(table), "time", dt, files=files)
     finally:
         res.staged.unpersist()
+    return counts.result()
 
 
-def run_ingest(spark, layout: Layout, raw_dir: str, dt: str, tables: list[str] | None = None, files=None):
-    for table in tables or DEFAULT_INGEST:
-        ingest_table(spark, layout, raw_dir, table, dt, files)
+def run_ingest(
+    spark, layout: Layout, raw_dir: str, dt: str, tables: list[str] | None = None, files=None
+) -> dict[str, dict[str, int]]:
+    """The loaders of a day; rows and rejects of each, counted while they were written."""
+    return {table: ingest_table(spark, layout, raw_dir, table, dt, files) for table in tables or DEFAULT_INGEST}
 
 
 # --- J2/J3: wide member table -----------------------------------------------------
@@ -358,6 +367,25 @@ def run_daily_video_users(spark, layout: Layout, day: str, files=None) -> DataFr
     return out
 
 
+def run_daily_video_spans(spark, layout: Layout, day: str) -> None:
+    """The day's mergeable tables of distinct users (exact and sketched); a re-run replaces them."""
+    check_day(day)
+    beh = spark.read.schema(B.BEHAVIOUR_SCHEMA).parquet(layout.dwd("user_behavior"))
+    write_partition(U.daily_bitmaps(beh, day), layout.tmp("video_user_bitmaps"), "dt", day)
+    write_partition(U.daily_sketches(beh, day), layout.tmp("video_user_sketches"), "dt", day)
+
+
+def read_video_users(
+    spark, layout: Layout, first: str | None = None, last: str | None = None, span: str | None = None, exact: bool = True
+) -> DataFrame:
+    """Distinct video users from ``first`` to ``last`` (or per ``span`` in it), merged from the days'
+    tables: the events aren't read again, and only the days asked for are read at all."""
+    table, schema, merge = (
+        ("video_user_bitmaps", U.BITMAP_SCHEMA, U.exact_users) if exact else ("video_user_sketches", U.SKETCH_SCHEMA, U.estimated_users)
+    )
+    return merge(U.between(spark.read.schema(schema).parquet(layout.tmp(table)), first, last), span)
+
+
 # --- J9/J10: streaming -------------------------------------------------------------------------
 
 def stream_lines(spark: SparkSession, kafka_servers: str | None, topic: str | None, file_dir: str | None,
@@ -469,6 +497,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.choices["vip-stream"]
     p.add_argument("--ip-ranges", required=True, help="CSV with header lo,hi,region")
     p.add_argument("--dotted", action="store_true", help="lo/hi are dotted IPv4 text")
+    p.add_argument("--nested-ranges", action="store_true", help="ranges may lie inside and across each other; the narrowest counts")
     p.add_argument("--tz-offset-hours", type=int, default=8)
     p = sub.choices["unpaid-stream"]
     p.add_argument("--vip-users", required=True, help="Parquet table with a uid column")
@@ -505,6 +534,7 @@ def main(argv: list[str] | None = None) -> int:
         run_load_behaviour(spark, Layout(a.warehouse), a.input_path, a.tz_offset_hours, a.files, a.load_id)
     elif a.job == "video":
         run_daily_video_users(spark, Layout(a.warehouse), check_day(a.day), files=a.files)
+        run_daily_video_spans(spark, Layout(a.warehouse), a.day)
     elif a.job in ("vip-stream", "unpaid-stream"):
         from learnmetrics.sources.lookups import check_ip_ranges, read_ip_ranges
 
@@ -516,7 +546,10 @@ def main(argv: list[str] | None = None) -> int:
             kw["watermark"] = a.watermark
         if a.job == "vip-stream":
             ranges = read_ip_ranges(spark, a.ip_ranges, dotted=a.dotted)
-            check_ip_ranges(ranges)
+            if a.nested_ranges:
+                ranges = flatten_ranges(ranges)
+            else:
+                check_ip_ranges(ranges)
             q = start_vip_increment(spark, lines, ranges, sink, ckpt, tz_offset_hours=a.tz_offset_hours, **kw)
         else:
             kw.update(window=a.window, slide=a.slide, min_visits=a.min_visits)

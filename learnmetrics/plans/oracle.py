@@ -98,7 +98,12 @@ WIDE_SELECT = """
 _MONEY_SUM = "sum(TRY_CAST(e.paymoney AS DECIMAL(20,4)))"
 
 WIDE = "wide AS (" + WIDE_SELECT.format(money=_MONEY_SUM) + ")"
-WIDE_API = "wide AS (" + WIDE_SELECT.format(money=f"coalesce({_MONEY_SUM}, 0)") + ")"
+# The API form: ids of the left side of each join, the next level of the row that gives the level id.
+WIDE_API = "wide AS (" + WIDE_SELECT.format(money=f"coalesce({_MONEY_SUM}, 0)").replace(
+    "min(d.siteid) AS siteid", "min(b.websiteid) AS siteid"
+).replace("min(f.vip_id) AS vip_id", f"(min(CASE WHEN e.uid IS NOT NULL THEN {{'u': f.vip_id IS NULL, 'v': e.vip_id}} END)).v AS vip_id").replace(
+    "max(f.next_level) AS vip_next_level", "arg_min(f.next_level, f.vip_id) AS vip_next_level"
+) + ")"
 
 MEMBER_VIEWS = [MEMBER, REGTYPE, AD, SITE, VIP, PAYMENT]
 
@@ -339,6 +344,19 @@ SELECT CAST(s_suppkey % 3 AS INTEGER) AS bind_source, 'wx' || CAST(s_suppkey AS
 FROM supplier"""
 
 
+ORDER_LEVELS = """
+, facts AS (
+  SELECT o_orderkey, o_custkey AS uid, c_mktsegment AS website,
+         CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 60 - 30 AS INTEGER) AS VARCHAR) AS day
+  FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT f.*, i.vip_level AS valid_vip_level, i.start_time AS valid_start_time
+FROM facts f ASOF LEFT JOIN inc i ON f.uid = i.uid AND f.website = i.website AND f.day >= i.start_time"""
+
+# The first and the last day that hold any valid line.
+_STORED_DAYS = _with(EV) + f"""
+SELECT unnest([strftime(min({_local_day('epoch')}), '%Y%m%d'), strftime(max({_local_day('epoch')}), '%Y%m%d')])
+FROM ev WHERE event_type <> 'error'"""
+
 # A stream in append mode has put out the windows that end at or before its watermark.
 UNPAID_CLOSED = UNPAID_VISITORS + """
 AND window_start + 86400 <= (SELECT max(epoch) FROM ev WHERE event_type = 'signup')"""
@@ -412,6 +430,17 @@ WHERE paymoney IS NOT NULL AND TRY_CAST(paymoney AS DECIMAL(20,4)) IS NULL""",
         "video_users_by_span": VIDEO_USERS_BY_SPAN,
         "video_users_sketched": "SELECT *, TRUE AS watch_within, TRUE AS complete_within FROM (" + VIDEO_USERS_BY_SPAN + ")",
         "ip_region_nested": IP_REGION_NESTED,
+        "ingest_member_variant": INGEST_MEMBER,
+        "ingest_base_ad_variant_rejects": INGEST_BASE_AD_REJECTS,
+        "ingest_member_counts": f"SELECT reason, n FROM ({INGEST_MEMBER_REJECTS}) UNION ALL SELECT 'rows', count(*) FROM ({INGEST_MEMBER})",
+        "mask_members_sql": MASK_MEMBERS,
+        "wide_member_bucketed": _with(*MEMBER_VIEWS, WIDE) + f"SELECT {_WIDE_OUT_COLS} FROM wide",
+        "zipper_close_out_bucketed": _with(*MEMBER_VIEWS, DAY_INCREMENT) + _ZIPPER_OUT,
+        "order_vip_level_as_of": _with(*MEMBER_VIEWS, DAY_INCREMENT) + ORDER_LEVELS,
+        "payments_sized_files": _with(PAYMENT) + "SELECT coalesce(vip_id, -1)::INTEGER AS level, count(*) AS n, TRUE AS sized FROM payment GROUP BY 1",
+        "job_ingest_rerun": INGEST_PAYMENT,
+        "job_zipper_layers": _with(*MEMBER_VIEWS, DAY_INCREMENT) + _ZIPPER_OUT,
+        "job_behaviour_days": f"WITH d AS ({DAILY_VIDEO_USERS}) SELECT * FROM d WHERE dt IN ({_STORED_DAYS})",
     }
     for d in HEADCOUNT_DIMS:
         q[f"headcount_{d.replace('_', '')}"] = _headcount(d)

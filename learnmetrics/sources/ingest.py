@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -208,10 +208,14 @@ def ingest_json(
     value_col: str = "value",
 ) -> IngestResult:
     """Raw JSON lines -> (typed rows in ``spec`` order, rejects with ``value, reason``)."""
+    lines = lines.where(~is_blank(value_col))
+    return ingest_parsed(lines.select(F.col(value_col).alias("_line"), C.parse_json_object(value_col).alias("_m")), spec, load_date)
+
+
+def ingest_parsed(parsed: DataFrame, spec: IngestSpec, load_date: str | None = None) -> IngestResult:
+    """As :func:`ingest_json`, from lines (``_line``) and their fields (``_m``, null: no object)."""
     if any(f.kind == "load_date" for f in spec.fields) and load_date is None:
         raise ValueError(f"{spec.table} needs a load date (yyyyMMdd)")
-    lines = lines.where(~is_blank(value_col))
-    parsed = lines.select(F.col(value_col).alias("_line"), C.parse_json_object(value_col).alias("_m"))
     m = F.col("_m")
     cols = _field_columns(spec, m, load_date)
     with_reason = parsed.withColumn("_reason", reject_reason(spec, m))
@@ -229,6 +233,32 @@ def ingest_json(
     return IngestResult(rows, rejects, staged)
 
 
+def reasons(spec: IngestSpec) -> list[str]:
+    """The reasons a line can be rejected for."""
+    return [REJECT_NOT_OBJECT, *(REJECT_BAD_INT + f.name for f in spec.int_fields)]
+
+
+@dataclass
+class WriteCounts:
+    """Rows and rejects by reason, counted by the two writes themselves (:func:`counted`)."""
+
+    rows: Observation
+    rejects: Observation
+
+    def result(self) -> dict[str, int]:
+        """Number of rows (key ``rows``) and of rejects per reason; waits for both writes."""
+        return {"rows": self.rows.get["rows"]} | {k: v or 0 for k, v in self.rejects.get.items()}
+
+
+def counted(res: IngestResult, spec: IngestSpec) -> tuple[IngestResult, WriteCounts]:
+    """``res`` with counts that are taken while its rows and its rejects are written: no job of
+    their own, no other pass over the data."""
+    counts = WriteCounts(Observation(), Observation())
+    rows = res.rows.observe(counts.rows, F.count(F.lit(1)).alias("rows"))
+    each = [F.sum((F.col("reason") == r).cast("long")).alias(r) for r in reasons(spec)]
+    return IngestResult(rows, res.rejects.observe(counts.rejects, *each), res.staged), counts
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text scan: one row per line, column ``value``."""
     return spark.read.text(path)

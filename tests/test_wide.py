@@ -68,6 +68,19 @@ def test_wide_rules(spark):
     assert three.paymoney is None and three.appregurl is None and three.vip_id is None
 
 
+def test_api_form(spark):
+    for fanout in ("safe", "reference"):
+        got = by_key(build_wide(*fixtures(spark), form="api", fanout=fanout))
+        a, two, three = got[(1, "A")], got[(2, "A")], got[(3, "A")]
+        assert (a.vip_id, a.vip_next_level, a.vip_level, a.siteid) == (1, "L2", "silver", 5)  # the first level's next one
+        assert (two.siteid, two.sitename) == (77, None)  # the registration's site, though no site has that id
+        assert three.paymoney == Decimal("0.0000") and three.vip_id is None
+    unknown = list(fixtures(spark))
+    unknown[4] = T.payment_columns(spark.createDataFrame([(1, "3", 9, "A")], PAY))
+    assert by_key(build_wide(*unknown, form="api"))[(1, "A")].vip_id == 9
+    assert by_key(build_wide(*unknown))[(1, "A")].vip_id is None
+
+
 def test_money_default_zero(spark):
     got = by_key(build_wide(*fixtures(spark), money_default=0))
     assert got[(3, "A")].paymoney == Decimal("0.0000")
