@@ -503,10 +503,12 @@ def job_ingest_rerun(spark, sf):
 
 
 def job_zipper_layers(spark, sf):
-    """The incremental zipper over stored layers: built from all days, then the latest day run again
-    (only that day's partition and the open intervals are read), and the published version read back."""
+    """The incremental zipper over stored layers, loaded once a month: built from all loads, then the
+    latest load run again (only its partition and the open intervals are read), and the published
+    version read back."""
     layout = J.Layout(scratch_path(spark, "jobs", "zipper"))
-    for table, df in (("bdl_pcentermempaymoney", V.payment(spark, sf)), ("bdl_vip_level", V.vip_level(spark, sf))):
+    monthly = V.payment(spark, sf).withColumn("time", F.concat(F.substring("time", 1, 6), F.lit("01")))
+    for table, df in (("bdl_pcentermempaymoney", monthly.repartition("time")), ("bdl_vip_level", V.vip_level(spark, sf))):
         spec = I.SPECS[table]
         typed = df.select(*[F.col(f.name).cast("int" if f.kind == "int" else "string").alias(f.name) for f in spec.fields])
         W.write_table(typed, layout.bdl(table), spec.partition_by)

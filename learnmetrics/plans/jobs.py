@@ -312,7 +312,8 @@ def run_zipper_rebuild(spark, layout: Layout, files=None) -> None:
     schema = zipper_schema(payment.schema["uid"].dataType)
     done = spark.read.schema(_with_column(schema, _STATE)).parquet(snap)
     closed = done.where(F.col(_STATE) == "closed").select(*schema.fieldNames()).withColumn("end_day", F.col("end_time"))
-    write_table(closed, f"{closed_path}/part={snap_id}", partition_by=("end_day",))
+    # Dealt by day: a file per day, instead of one per day and task.
+    write_table(closed.repartition("end_day"), f"{closed_path}/part={snap_id}", partition_by=("end_day",))
     days = [r[0] for r in closed.select("end_day").distinct().collect()]  # a row per day
     _write_manifest(spark, layout, snap_id, {d: snap_id for d in days})
     publish_snapshot(spark, open_path, snap_id)

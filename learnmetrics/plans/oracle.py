@@ -439,7 +439,7 @@ WHERE paymoney IS NOT NULL AND TRY_CAST(paymoney AS DECIMAL(20,4)) IS NULL""",
         "order_vip_level_as_of": _with(*MEMBER_VIEWS, DAY_INCREMENT) + ORDER_LEVELS,
         "payments_sized_files": _with(PAYMENT) + "SELECT coalesce(vip_id, -1)::INTEGER AS level, count(*) AS n, TRUE AS sized FROM payment GROUP BY 1",
         "job_ingest_rerun": INGEST_PAYMENT,
-        "job_zipper_layers": _with(*MEMBER_VIEWS, DAY_INCREMENT) + _ZIPPER_OUT,
+        "job_zipper_layers": _with(*MEMBER_VIEWS, DAY_INCREMENT.replace("e.time", "concat(substr(e.time, 1, 6), '01')")) + _ZIPPER_OUT,
         "job_behaviour_days": f"WITH d AS ({DAILY_VIDEO_USERS}) SELECT * FROM d WHERE dt IN ({_STORED_DAYS})",
     }
     for d in HEADCOUNT_DIMS:

@@ -8,6 +8,8 @@ own, and totals of an earlier run can seed it:
   watermark passes it the state goes, and a row marked ``expired`` says so downstream;
 * ``expiry="processing_time"``: a time to live, counted from the key's last update by the wall
   clock, as where the age of a day is judged by the system time.
+  Such a stream always has a next micro-batch, which looks for what has expired: run it with a
+  trigger interval and stop it, since "available now" would not end.
 
 Spark offers this kind of state to Python only through Python workers (Arrow batches, one
 value state per key), with RocksDB as the state store; everything before it (parsing, the
@@ -16,9 +18,11 @@ region join) stays in the JVM, and only days, regions and event times travel to
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -29,6 +33,9 @@ from learnmetrics.operators.geo import lookup_region, size_checked_ranges
 from learnmetrics.sinks.writers import read_changelog, upsert_changelog_batch
 from learnmetrics.streaming.jobs import VIP_KEYS, event_time, start_upsert_stream
 
+# The processor travels to the Python workers by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_S = 86400
 TOTAL_COLUMNS = ["dt", "province", "cnt", "last_event_time", "expired"]
