@@ -166,9 +166,10 @@ def negatives_of(
 
 
 def _meeting(candidates: DataFrame, anchors: DataFrame, blocks: int) -> DataFrame:
-    """Every block of candidates with every block of anchors of its dimension, by key."""
+    """Every block of candidates with every block of anchors of its dimension, by key. Never a
+    broadcast: the size Spark knows of the anchors is that before there is one per block."""
     asked = anchors.drop("block").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return candidates.join(asked, ["block", "dim"])
+    return candidates.join(asked.hint("merge"), ["block", "dim"])
 
 
 def _loaded(row: dict, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
