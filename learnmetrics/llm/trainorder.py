@@ -11,14 +11,14 @@ A record is: id, start (64-bit), tokens, 1 for a null id (32-bit), then the ids
 32-bit), all little-endian; ids beyond ``tokens`` are padding (0).
 
 Defined results
-* null or empty text: one sequence holding the end id alone;
+* null or empty text: one sequence holding the end id alone; a very long text is cut into as
+  many sequences as it fills; ids too large for ``width`` bytes are an error;
 * rows sharing an id, and rows with null ids, are cut row by row; other columns aren't read;
 * an empty table gives no shards and reads as an empty table.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,11 +34,12 @@ SEQUENCE_TOKENS = 512
 END_ID = 50256
 #: Records per shard (a shard of 512 16-bit ids has 4.3 MB).
 SHARD_SLOTS = 4096
+#: Most shards that one task sorts and writes (about 280 MB).
+SHARDS_PER_TASK = 64
 KEY = 20240613
 FEISTEL_ROUNDS = 4
 
 
-
 def record_type(length: int, width: int) -> np.dtype:
     return np.dtype([("doc", "<i8"), ("start", "<i8"), ("tokens", "<u4"), ("null", "<u4"), ("ids", f"<u{width}", (length,))])
 
@@ -81,6 +82,8 @@ def cut(encoded: DataFrame, doc: str = "doc_id", ids: str = "ids", length: int =
                     hi += 1
                 count = np.fromiter(map(len, values[lo:hi]), dtype=np.int64, count=hi - lo) + 1
                 flat = np.concatenate([x for v in values[lo:hi] for x in (v, np.array([end_id], "<u4"))])
+                if int(flat.max()) >> (8 * width):
+                    raise ValueError(f"id {int(flat.max())} doesn't fit in {width} bytes")
                 pieces = -(-count // length)
                 row = np.repeat(np.arange(hi - lo), pieces)
                 start = spans(np.zeros_like(pieces), pieces) * length
@@ -113,12 +116,12 @@ def materialise(records: DataFrame, path: str, stride: int, slots: int = SHARD_S
     starts = offsets_of(np.array([r["count"] for r in counts], dtype=np.int64))
     total = int(starts[-1])
     shards = -(-total // slots)
-    first = {r["task"]: int(s) for r, s in zip(counts, starts[:-1], strict=True)}
+    writers = np.array([r["task"] for r in counts], dtype=np.int64)
 
     def place(batches):
         for batch in batches:
             number = batch.column(0).to_numpy()
-            base = np.array([first[t] for t in (number >> 33).tolist()], dtype=np.int64)
+            base = starts[np.searchsorted(writers, number >> 33)]
             slot = feistel(base + (number & ((1 << 33) - 1)), total, key)
             yield pa.RecordBatch.from_arrays([pa.array(slot), batch.column(1)], names=["slot", "record"])
 
@@ -135,7 +138,9 @@ def materialise(records: DataFrame, path: str, stride: int, slots: int = SHARD_S
         if held:
             yield _blob(first_slot, held, slots, stride)
 
-    tasks = max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    # As many owners as the session has shuffle partitions, and more where that would give an owner
+    # over SHARDS_PER_TASK shards: a task's data stay bounded at any size of the corpus.
+    tasks = max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-shards // SHARDS_PER_TASK))
     placed = staged.mapInArrow(place, "slot long, record binary")
     owner = (F.floor(F.col("slot") / slots) * tasks / max(shards, 1)).cast("int")
     ordered = placed.repartitionById(tasks, owner).sortWithinPartitions("slot")

@@ -188,3 +188,24 @@ def test_registered_packing_rows(spark):
     for r in got:
         shards.setdefault((r.bucket, r.bucket_shard), []).append(r.bucket_place)
     assert all(sorted(v) == list(range(len(v))) for v in shards.values())
+
+
+def test_ids_too_large_for_their_width_are_an_error(spark):
+    wide = spark.createDataFrame([(1, np.array([70_000], "<u4").tobytes())], "doc_id long, ids binary")
+    with pytest.raises(Exception, match="doesn't fit in 2 bytes"):
+        trainorder.cut(wide, width=2).collect()
+    assert trainorder.cut(wide, width=4).count() == 1
+
+
+def test_owners_grow_with_the_shards(spark, tmp_path, monkeypatch):
+    """More shards than shuffle partitions can hold: more tasks, the same training order."""
+    docs = spark.createDataFrame([(i, "word " * (i % 7)) for i in range(300)], "doc_id long, text string")
+    monkeypatch.setattr(trainorder, "SHARD_SLOTS", 8)
+    records = trainorder.cut(bpe.encode(docs))
+    stride = trainorder.record_type(trainorder.SEQUENCE_TOKENS, 2).itemsize
+    read = {}
+    for most in (64, 2):
+        monkeypatch.setattr(trainorder, "SHARDS_PER_TASK", most)
+        trainorder.materialise(records, f"file:{tmp_path}/{most}", stride, slots=8)
+        read[most] = [tuple(r) for r in trainorder.read(spark, f"file:{tmp_path}/{most}").orderBy("slot").collect()]
+    assert read[64] == read[2] and len(read[2]) == 300 and [r[0] for r in read[2]] == list(range(300))
