@@ -14,6 +14,7 @@ HEADCOUNTS_SCHEMA = StructType(
      StructField("dimension", StringType())]
 )
 
+# Column names in their order (fixed values).
 TOP_PAYER_COLUMNS = [
     "uid", "memberlevel", "register", "appregurl", "regsourcename", "adname", "sitename",
     "vip_level", "paymoney", "rownum", "website",

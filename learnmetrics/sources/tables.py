@@ -29,6 +29,7 @@ class Warehouse:
 
 # --- detail-table readers used by the wide-table build ----------------------------
 
+# Column names in their order (fixed values).
 MEMBER_COLUMNS = [
     "uid", "ad_id", "email", "fullname", "iconurl", "lastlogin", "mailaddr", "memberlevel",
     "password", "phone", "qq", "register", "regupdatetime", "unitname", "userip", "zipcode",
