@@ -400,8 +400,9 @@ def stream_offset_ledger(spark, sf):
     finally:
         ledger.detach()
     told = G.read_ledger(spark, f"{base}/ledger")
-    broken = G.gaps(told).agg(F.count(F.lit(1)).alias("gaps"))
-    return G.totals(told).select("input_rows", "late_rows").crossJoin(F.broadcast(broken))
+    broken = G.gaps(told).groupBy("query_id").agg(F.count(F.lit(1)).alias("gaps"))
+    total = G.totals(told).join(broken, "query_id", "left")
+    return total.select("input_rows", "late_rows", F.coalesce("gaps", F.lit(0)).cast("long").alias("gaps"))
 
 
 # --- other ways to the same tables ---------------------------------------------------------------------
