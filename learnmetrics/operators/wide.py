@@ -31,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from learnmetrics.session import merge_if_large
+
 KEY = ["uid", "website"]
 
 MEMBER_FIRST = [
@@ -122,7 +124,8 @@ def build_wide(
     regtype = regtype.withColumnRenamed("siteid", "reg_siteid")
     vip = vip.withColumnRenamed("vip_id", "vip_id_dim")
     # The dimension joins are left to the optimizer: what turns out small at run time is
-    # broadcast, skewed keys of a large one are split.
+    # broadcast, skewed keys of a large one are split. Ads can be as many as members: above a
+    # counted limit they are merged, whatever the size of their files.
     ad = ad if "adname" in need else None
     site = site if need & set(SITE_FIRST) else None
     vip = vip if need & PAY_COLUMNS else None
@@ -151,7 +154,7 @@ def _payments_with_vip(payment: DataFrame, vip: DataFrame, form: str) -> DataFra
 
 def _join_dims(df: DataFrame, ad: DataFrame | None, site: DataFrame | None) -> DataFrame:
     if ad is not None:
-        df = df.join(ad, ["ad_id", "website"], "left")
+        df = df.join(merge_if_large(ad), ["ad_id", "website"], "left")
     if site is None:
         return df
     s = site.withColumnRenamed("website", "site_website")

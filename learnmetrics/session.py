@@ -85,6 +85,22 @@ def broadcast_if_small(df, max_rows: int | None = None, extra_rows: int = 0):
     return df, False
 
 
+# Largest lookup table (rows) whose join is left to the planner, which may broadcast it.
+PLANNED_MAX_ROWS = 250_000
+
+
+def merge_if_large(df, max_rows: int | None = None):
+    """Hint a sort-merge join for ``df`` when it counts more than ``max_rows`` rows.
+
+    The planner broadcasts by the size of files, which tells little about memory: compressed
+    columns and generated rows can be a hundred times larger in a hash table, and that table
+    lies whole on the driver and on every executor. The count reads no columns of a Parquet
+    table. A smaller table is left to the optimizer.
+    """
+    limit = PLANNED_MAX_ROWS if max_rows is None else max_rows
+    return df.hint("merge") if df.count() > limit else df
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and lineage-cutting tables.
 

@@ -125,3 +125,18 @@ def test_null_and_repeated_vip_rows_do_no_harm(spark):
     want = by_key(build_wide(member, reg, ad, site, pay, vip))
     got = by_key(build_wide(member, reg, ad, site, pay, vip.unionByName(extra).unionByName(vip)))
     assert got == want
+
+
+def test_many_ads_are_never_broadcast(spark):
+    member = spark.createDataFrame([m(i, i % 4, "1", "A") for i in range(8)], MEMBER)
+    empty = [spark.createDataFrame([], s) for s in (REGTYPE, SITE, PAY, VIP)]
+    readers = (T.regtype_columns, T.site_columns, T.payment_columns, T.vip_columns)
+    reg, site, pay, vip = [read(df) for read, df in zip(readers, empty, strict=True)]
+    for many, form in ((True, "sql"), (True, "api"), (False, "sql")):
+        ads = spark.range(300_000 if many else 3).selectExpr("cast(id as int) adid", "concat('ad', id) adname", "'A' website")
+        for fanout in ("safe", "reference"):
+            wide = build_wide(T.member_columns(member), reg, T.ad_columns(ads), site, pay, vip, fanout=fanout, form=form)
+            plan = wide._jdf.queryExecution().executedPlan().toString()
+            assert ("SortMergeJoin [cast(ad_id" in plan or "SortMergeJoin [ad_id" in plan) == many
+            got = {r["uid"]: r["adname"] for r in wide.collect()}
+            assert got == {i: f"ad{i % 4}" if many or i % 4 < 3 else None for i in range(8)}
