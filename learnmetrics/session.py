@@ -6,6 +6,7 @@ import os
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on. AQE re-plans joins (runtime broadcast when a side turns
 # out small, skew-join splitting) and coalesces shuffle partitions; ANSI stays on, so
@@ -62,6 +63,19 @@ def ensure_parallelism(df, min_partitions: int | None = None):
     return df
 
 
+def spread_rows(df, min_partitions: int | None = None):
+    """As :func:`ensure_parallelism`, by the partitions that hold rows: a Parquet file of one row
+    group is planned as several splits, and all its rows come out of one of them. Counting them
+    reads no columns of a Parquet table."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    held = df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+    filled, rows, most = held.agg(F.count("p"), F.sum("n"), F.max("n")).first()
+    # Few full partitions, or one with far more than its share.
+    if filled and (filled < target or most > 4 * rows / filled) and rows > 1:
+        return df.repartition(max(target, filled), *df.columns)
+    return df
+
+
 # Largest static lookup side (rows) hinted for broadcast where AQE cannot decide at run
 # time (streaming). ~2M narrow rows is tens of MB per executor.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -75,8 +89,6 @@ def broadcast_if_small(df, max_rows: int | None = None, extra_rows: int = 0):
     start-up; ``extra_rows`` adds a known bound on growth (e.g. exploded range blocks).
     Above ``max_rows`` the table is left to an ordinary shuffle join.
     """
-    from pyspark.sql import functions as F
-
     if max_rows is None:
         max_rows = BROADCAST_MAX_ROWS
     n = df.count()

@@ -218,6 +218,9 @@ def ingest_parsed(parsed: DataFrame, spec: IngestSpec, load_date: str | None = N
         raise ValueError(f"{spec.table} needs a load date (yyyyMMdd)")
     m = F.col("_m")
     cols = _field_columns(spec, m, load_date)
+    # The fields come out of a generator of one row: a filter on the reason would otherwise be
+    # pushed down with the whole parse in place of every use of ``_m``.
+    parsed = parsed.select("_line", F.explode(F.array("_m")).alias("_m"))
     with_reason = parsed.withColumn("_reason", reject_reason(spec, m))
     staged = with_reason.select(
         *[F.when(F.col("_reason").isNull(), cols[n]).alias(n) for n in spec.columns],

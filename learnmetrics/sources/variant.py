@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from learnmetrics.session import spread_rows
 from learnmetrics.sources.ingest import IngestResult, IngestSpec, ingest_parsed, is_blank
 
 STAGED_SCHEMA = "value string, v variant"
@@ -24,38 +25,22 @@ def stage(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def write_staged(lines: DataFrame, path: str, value_col: str = "value") -> None:
-    stage(lines, value_col).write.mode("overwrite").parquet(path)
+    """Lines that lie in few tasks are spread first: every task writes a file, and the readers
+    have as many tasks as there are files (a small file is one row group, which no reader splits)."""
+    stage(spread_rows(lines), value_col).write.mode("overwrite").parquet(path)
 
 
 def read_staged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STAGED_SCHEMA).parquet(path)
 
 
-def _text_of(field: Column) -> Column:
-    """A field as the text it has in the line: nested values as JSON, others as their value."""
-    kind = F.schema_of_variant(field)
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.when(nested, F.to_json(field)).otherwise(F.try_variant_get(field, "$", "string"))
-
-
-def fields_of(v: Column, keys: list[str]) -> Column:
-    """``map<string,string>`` of the keys that the object has, null unless ``v`` is an object."""
-    is_object = F.schema_of_variant(v).startswith("OBJECT")
-    values = []
-    for key in keys:
-        quote = '"' if "'" in key else "'"
-        if quote in key:
-            raise ValueError(f"a key can't hold both kinds of quotes: {key}")
-        path = f"$[{quote}{key}{quote}]"
-        values += [F.lit(key), _text_of(F.try_variant_get(v, path, "variant"))]
-    return F.when(is_object, F.create_map(*values))
+def fields_of(v: Column) -> Column:
+    """``map<string,string>`` of an object's fields, null unless ``v`` is an object. Nested values
+    are JSON text, others their value. One pass over the object, however many fields are read."""
+    return F.try_variant_get(v, "$", "map<string,string>")
 
 
 def ingest_staged(staged: DataFrame, spec: IngestSpec, load_date: str | None = None) -> IngestResult:
     """Rows and rejects of ``spec`` from staged lines, without parsing the text again."""
-    wanted = []
-    for f in spec.fields:
-        if f.kind in ("int", "string"):
-            wanted += [f.json_key] if isinstance(f.json_key, str) else list(f.json_key)
-    parsed = staged.select(F.col("value").alias("_line"), fields_of(F.col("v"), list(dict.fromkeys(wanted))).alias("_m"))
+    parsed = staged.select(F.col("value").alias("_line"), fields_of(F.col("v")).alias("_m"))
     return ingest_parsed(parsed, spec, load_date)

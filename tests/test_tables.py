@@ -89,6 +89,34 @@ def test_variant_fields_keep_their_text(spark):
     assert rows(got.rows) == rows(want.rows) and rows(got.rejects) == rows(want.rejects)
 
 
+def test_staged_lines_are_spread_by_their_rows(spark, tmp_path):
+    lines = [(f'{{"uid": {i}, "dn": "A"}}',) for i in range(400)]
+    # One row group, planned as several splits: all rows come out of one of them.
+    spark.createDataFrame(lines, "value string").coalesce(1).write.parquet(f"{tmp_path}/one")
+    size = os.path.getsize(glob.glob(f"{tmp_path}/one/*.parquet")[0])
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in kept:
+            spark.conf.set(k, str(size // 8))
+        one = spark.read.parquet(f"{tmp_path}/one")
+        assert one.rdd.getNumPartitions() >= 8
+        VA.write_staged(one, f"{tmp_path}/staged")
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    filled = [f for f in glob.glob(f"{tmp_path}/staged/*.parquet") if spark.read.parquet(f).count()]
+    assert len(filled) == 4 and VA.read_staged(spark, f"{tmp_path}/staged").count() == 400
+    VA.write_staged(spark.createDataFrame([], "value string"), f"{tmp_path}/none")
+    assert VA.read_staged(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_fields_are_read_once(spark):
+    lines = spark.createDataFrame([('{"uid": 1, "dn": "A"}',), ("{",)], "value string")
+    for res, parse in ((VA.ingest_staged(VA.stage(lines), I.MEMBER, "20190712"), "try_variant_get("), (I.ingest_json(lines, I.MEMBER, "20190712"), "from_json(")):
+        for df in (res.rows, res.rejects):
+            assert plan(df).lower().count(parse) == 1
+
+
 # --- counts taken while writing
 
 def test_counts_are_taken_by_the_writes(spark, tmp_path):
