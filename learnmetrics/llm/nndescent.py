@@ -29,7 +29,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,8 +148,11 @@ def _first_neighbours(codes: DataFrame) -> DataFrame:
 
 
 def _best(edges: DataFrame, key: str, near: str, kept: int, flag: Column) -> DataFrame:
-    """Each key's ``kept`` best distinct neighbours, with the combined ``flag``."""
-    edges = edges.groupBy(key, near).agg(F.max("sim").alias("sim"), flag.alias("flag"))
+    """Each key's ``kept`` best distinct neighbours, with the combined ``flag``.
+
+    The rows are dealt by key once; grouping, ranking and what a caller adds by key follow in
+    the same stage."""
+    edges = edges.repartition(key).groupBy(key, near).agg(F.max("sim").alias("sim"), flag.alias("flag"))
     order = Window.partitionBy(key).orderBy(F.desc("sim"), near)
     return edges.withColumn("r", F.row_number().over(order)).where(F.col("r") <= kept).drop("r")
 
@@ -189,15 +192,20 @@ def build_graph(codes: DataFrame) -> DataFrame:
         )
         order = Window.partitionBy("v").orderBy(F.desc("flag"), F.xxhash64("u", "v", F.lit(turn)))
         some = both.withColumn("r", F.row_number().over(order)).where(F.col("r") <= JOINED)
-        least = graph.groupBy("node").agg(F.min("sim").alias("low"), F.count("*").alias("c"))
+        # Code and bar of every node, by one exchange of both tables.
+        known = codes.select("node", "code", F.lit(None).cast("float").alias("sim")).unionByName(
+            graph.select("node", F.lit(None).cast("binary").alias("code"), "sim")
+        )
+        least = known.groupBy(F.col("node").alias("u")).agg(F.max("code").alias("code"), F.min("sim").alias("low"), F.count("sim").alias("c"))
         bar = F.when(F.col("c") >= KEPT, F.col("low")).otherwise(F.lit(float("-inf")).cast("float"))
-        targets = codes.select("node", "code").join(least.select("node", bar.alias("bar")), "node").withColumnRenamed("node", "u")
+        targets = least.select("u", "code", bar.alias("bar"))
         groups = some.join(targets, "u").groupBy("v").agg(F.collect_list(F.struct("u", "flag", "bar", "code")).alias("members"))
         pairs = groups.select("members").mapInArrow(_local_join, _FOUND)
         edges = graph.withColumn("flag", F.lit(0)).unionByName(pairs.withColumn("flag", F.lit(1)))
-        graph = stored(_best(edges, "node", "near", KEPT, F.min("flag")), "graph")
-        new, total = graph.agg(F.coalesce(F.sum("flag"), F.lit(0)), F.count("*")).first()
-        if new <= ENOUGH * total:
+        told = Observation()
+        best = _best(edges, "node", "near", KEPT, F.min("flag"))
+        graph = stored(best.observe(told, F.coalesce(F.sum("flag"), F.lit(0)).alias("new"), F.count("*").alias("total")), "graph")
+        if told.get["new"] <= ENOUGH * told.get["total"]:
             break
     return graph
 
@@ -233,6 +241,21 @@ def _query_codes(queries: DataFrame) -> DataFrame:
     return queries.select("query", "node", "v").mapInArrow(run, "query long, node long, q binary")
 
 
+def _search_state(edges: DataFrame) -> tuple[DataFrame, int]:
+    """The best candidates of every query, stored, and how many of them are to be expanded.
+
+    ``expand`` marks the next ones, ``bar`` is what their neighbours must beat: only what beats
+    the last of a full beam is worth sending."""
+    every = Window.partitionBy("query")
+    order = Window.partitionBy("query", "flag").orderBy(F.desc("sim"), "near")
+    bar = F.when(F.count("*").over(every) >= BEAM, F.min("sim").over(every)).otherwise(F.lit(float("-inf")).cast("float"))
+    state = _best(edges, "query", "near", BEAM, F.max("flag")).withColumn("bar", bar)
+    state = state.withColumn("expand", (F.col("flag") == 0) & (F.row_number().over(order) <= EXPANDED))
+    told = Observation()
+    state = stored(state.observe(told, F.count_if("expand").alias("left")), "state")
+    return state, told.get["left"]
+
+
 def search(graph: DataFrame, codes: DataFrame, queries: DataFrame) -> DataFrame:
     """(query, near, sim, flag): best candidates of ``queries`` (query, node, v); node is the
     query's own node, or null."""
@@ -247,23 +270,18 @@ def search(graph: DataFrame, codes: DataFrame, queries: DataFrame) -> DataFrame:
     begin = coded.where("node is not null").select("query", F.col("node").alias("near"))
     if starts:
         begin = begin.unionByName(coded.where("node is null").select("query", F.explode(F.array(*[F.lit(x).cast("long") for x in starts])).alias("near")))
-    state = stored(begin.distinct().withColumns({"sim": F.lit(0.0).cast("float"), "flag": F.lit(0)}), "state")
+    begin = begin.withColumns({"sim": F.lit(0.0).cast("float"), "flag": F.lit(0)})
+    state, left = _search_state(begin)
     vectors = coded.select("query", "q")
     for _ in range(SEARCH_ROUNDS):
-        order = Window.partitionBy("query").orderBy(F.desc("sim"), "near")
-        every = Window.partitionBy("query")
-        # Only what beats the last of a full beam is worth sending.
-        bar = F.when(F.count("*").over(every) >= BEAM, F.min("sim").over(every)).otherwise(F.lit(float("-inf")).cast("float"))
-        frontier = state.withColumn("bar", bar).where("flag = 0").withColumn("r", F.row_number().over(order)).where(F.col("r") <= EXPANDED)
-        frontier = stored(frontier.select("query", "near", "bar"), "frontier")
-        if frontier.isEmpty():
+        if not left:
             break
-        rows = frontier.withColumnRenamed("near", "node").join(vectors, "query").join(lists, "node").select("query", "q", "listed", "bar")
+        frontier = state.where("expand").select("query", F.col("near").alias("node"), "bar")
+        rows = frontier.join(vectors, "query").join(lists, "node").select("query", "q", "listed", "bar")
         reached = rows.mapInArrow(_expand, _FOUND).withColumnRenamed("node", "query").withColumn("flag", F.lit(0))
-        seen = frontier.drop("bar").withColumns({"sim": F.lit(float("-inf")).cast("float"), "flag": F.lit(1)})
         # The starts have no score of their own yet; they get it as somebody's neighbour.
-        edges = state.unionByName(seen).unionByName(reached)
-        state = stored(_best(edges, "query", "near", BEAM, F.max("flag")), "state")
+        seen = state.where("expand").select("query", "near", F.lit(float("-inf")).cast("float").alias("sim"), F.lit(1).alias("flag"))
+        state, left = _search_state(state.select("query", "near", "sim", "flag").unionByName(seen).unionByName(reached))
     return state
 
 
