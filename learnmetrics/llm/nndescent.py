@@ -112,7 +112,8 @@ def _codes(classes: DataFrame) -> DataFrame:
                     names=["node", "dim", "code", "along"],
                 )
 
-    return sized.join(largest, "dim").select("node", "dim", "v", "norm", "most").mapInArrow(run, "node long, dim int, code binary, along array<double>")
+    # One row per dimension: rows of one dimension, usually all, stay where they are.
+    return sized.join(F.broadcast(largest), "dim").select("node", "dim", "v", "norm", "most").mapInArrow(run, "node long, dim int, code binary, along array<double>")
 
 
 def _first_neighbours(codes: DataFrame) -> DataFrame:
@@ -295,14 +296,14 @@ def approximate_top_k(vectors: DataFrame, queries: DataFrame, top: int = TOP, ve
     asked = asked.withColumn("query", F.xxhash64("key", "v"))
     graph = build_graph(codes)
     found = search(graph, codes, asked.select("query", "node", "v")).select("query", F.col("near").alias("node"))
-    found = found.unionByName(asked.where("node is not null").select("query", "node")).distinct()
+    found = found.unionByName(asked.where("node is not null").select("query", "node"))
     order = Window.partitionBy("node").orderBy("id")
     members = classes.select("node", "id", "v").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= top + 1)
     scored = (
         found.join(members.select("node", "id", F.col("v").alias("c")), "node")
         .join(asked.select("query", "key", "v"), "query").where("id <> key and size(v) = size(c)")
         .select(F.col("key").alias("query_id"), F.col("id").alias("vec_id"), _dot("v", "c").alias("score"))
-        .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        .repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     )
     ranks = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return scored.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
