@@ -109,7 +109,7 @@ def ingest_table(
 
     check_day(dt)
     spec = I.SPECS[table]
-    res = I.ingest_json(I.read_lines(spark, f"{raw_dir.rstrip('/')}/{RAW_FILES[table]}"), spec, dt)
+    res = I.ingest_json(I.without_blank_lines(I.read_lines(spark, f"{raw_dir.rstrip('/')}/{RAW_FILES[table]}")), spec, dt)
     res, counts = I.counted(res, spec)
     res.staged.persist(StorageLevel.MEMORY_AND_DISK)
     try:

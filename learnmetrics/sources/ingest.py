@@ -4,8 +4,8 @@ One :class:`IngestSpec` per target table lists its columns in order; each column
 key read as string or int, a load-date constant, or an expression over earlier columns.
 A line is parsed once (``from_json`` to ``map<string,string>``). Lines that are not one
 JSON object, or whose int fields hold non-numeric text, go to a rejects frame with a
-reason instead of failing the job. Missing or empty int fields become 0. A blank line holds
-no record: it is neither a row nor a reject.
+reason instead of failing the job. Missing or empty int fields become 0. The job loader drops
+the blank lines of a raw file (:func:`without_blank_lines`): they hold no record.
 """
 
 from __future__ import annotations
@@ -196,9 +196,9 @@ def reject_reason(spec: IngestSpec, m: Column) -> Column:
     return reason
 
 
-def is_blank(value_col: str) -> Column:
-    """A line of white space only (a null line isn't blank: it is rejected)."""
-    return F.coalesce(F.trim(F.col(value_col), F.lit(" \t\r\n")) == "", F.lit(False))
+def without_blank_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Lines of a raw file without those of white space only (a null line isn't blank)."""
+    return lines.where(~F.coalesce(F.trim(F.col(value_col), F.lit(" \t\r\n")) == "", F.lit(False)))
 
 
 def ingest_json(
@@ -208,7 +208,6 @@ def ingest_json(
     value_col: str = "value",
 ) -> IngestResult:
     """Raw JSON lines -> (typed rows in ``spec`` order, rejects with ``value, reason``)."""
-    lines = lines.where(~is_blank(value_col))
     return ingest_parsed(lines.select(F.col(value_col).alias("_line"), C.parse_json_object(value_col).alias("_m")), spec, load_date)
 
 

@@ -14,14 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnmetrics.session import spread_rows
-from learnmetrics.sources.ingest import IngestResult, IngestSpec, ingest_parsed, is_blank
+from learnmetrics.sources.ingest import IngestResult, IngestSpec, ingest_parsed
 
 STAGED_SCHEMA = "value string, v variant"
 
 
 def stage(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """``value`` and ``v`` of every line that isn't blank; ``v`` is null for text that isn't JSON."""
-    return lines.where(~is_blank(value_col)).select(F.col(value_col).alias("value"), F.try_parse_json(F.col(value_col)).alias("v"))
+    """``value`` and ``v`` of every line; ``v`` is null for text that isn't JSON."""
+    return lines.select(F.col(value_col).alias("value"), F.try_parse_json(F.col(value_col)).alias("v"))
 
 
 def write_staged(lines: DataFrame, path: str, value_col: str = "value") -> None:
