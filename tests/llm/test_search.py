@@ -118,3 +118,11 @@ def test_recall_on_the_table(spark):
         scores[table.vec_id == q] = -np.inf
         hits += len(set(table.vec_id[np.argsort(-scores, kind="stable")[:20]]) & set(part.vec_id))
     assert hits / len(out) >= 0.9
+
+
+def test_best_edges_take_one_exchange(spark):
+    rows = [(1, 2, 0.5, 1), (1, 2, 0.7, 0), (1, 3, 0.1, 1), (1, 4, 0.6, 1), (2, 1, 0.5, 1)]
+    edges = spark.createDataFrame(rows, "node long, near long, sim float, flag int")
+    best = nndescent._best(edges, "node", "near", 2, F.min("flag"))
+    assert best._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    assert sorted((r.node, r.near, r.flag) for r in best.collect()) == [(1, 2, 0), (1, 4, 1), (2, 1, 1)]
