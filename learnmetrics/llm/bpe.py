@@ -1,7 +1,7 @@
 """Byte-level BPE encoding by corpus-level merge replay, and decoding.
 
-The distinct words of a stretch of the corpus (a task's texts, 8 MB at a time) are
-laid out as one long row of byte tokens. An inverted index leads from a merge's rank to the
+The distinct words of a stretch of the corpus (a task's texts, 8 MB at a time; words met
+before in the task keep their ids) are laid out as one long row of byte tokens. An inverted index leads from a merge's rank to the
 places where its pair stands; the merges are replayed in rank order over all words at once,
 and each one updates only the pairs next to what it touched. Texts are then put together
 from the ids of their words.
@@ -140,10 +140,14 @@ def replay(m: dict, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, n
         third = after[second]
         right = np.flatnonzero(third >= 0)
         follow = third[right]
-        early = _pair_rank(m, np.full(len(follow), r), token[follow])
-        if (early < r).any():
-            odd.append(places[right[early < r]])
+        behind = token[follow]
         token[places] = r
+        # A pair with what is merged itself just now; the others are among those looked up below.
+        chain = np.flatnonzero(token[follow] != behind)
+        if len(chain):
+            early = _pair_rank(m, np.full(len(chain), r), behind[chain])
+            if (early < r).any():
+                odd.append(places[right[chain[early < r]]])
         rank[places] = _NONE
         rank[second] = _NONE
         token[second] = -1
@@ -226,12 +230,41 @@ def words_of(pieces: pa.Array, pattern) -> tuple[pa.Array, np.ndarray, np.ndarra
     return words.dictionary, words.indices.to_numpy(zero_copy_only=False).astype(np.int64), first, count
 
 
-def encode_texts(merges: dict, pattern, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts one after the other, offset of every text)."""
+class KnownWords:
+    """Ids of the distinct words that a task has met, in Arrow form, up to ``limit`` words and
+    ``limit_bytes`` of them: the merges are replayed over words that are new to the task only."""
+
+    def __init__(self, merges: dict, limit: int = 1 << 19, limit_bytes: int = 16 << 20):
+        self.merges, self.limit, self.limit_bytes = merges, limit, limit_bytes
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def rows(self, words: pa.Array) -> np.ndarray:
+        """Row of each of some distinct words; its ids are ``ids[starts[row] : starts[row + 1]]``."""
+        if len(self.words) + len(words) > self.limit or self.words.nbytes + words.nbytes > self.limit_bytes:
+            self._forget()
+        found = pc.index_in(words, value_set=self.words)
+        fresh = pc.is_null(found).to_numpy(zero_copy_only=False)
+        row = pc.fill_null(found, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        row[fresh] = len(self.words) + np.arange(int(fresh.sum()))
+        new = words.filter(pa.array(fresh))
+        ids, starts = replay(self.merges, *text_bytes(new))
+        self.words = pa.concat_arrays([self.words, new])
+        self.starts = np.concatenate((self.starts, len(self.ids) + starts[1:]))
+        self.ids = np.concatenate((self.ids, ids))
+        return row
+
+
+def encode_texts(merges: dict, pattern, texts: pa.Array, known: KnownWords | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts one after the other, offset of every text); ``known`` goes from slice to slice."""
+    known = KnownWords(merges) if known is None else known
     pieces, place, bounds = pieces_of(texts)
     words, word, first, count = words_of(pieces, pattern)
-    data, word_bounds = text_bytes(words)
-    ids, starts = replay(merges, data, word_bounds)
+    word = known.rows(words)[word]
+    ids, starts = known.ids, known.starts
     size = np.diff(starts)[word]
     piece_ids = ids[spans(starts[word], size)]
     at = offsets_of(size)
@@ -243,15 +276,15 @@ def encode_texts(merges: dict, pattern, texts: pa.Array) -> tuple[np.ndarray, np
 def encode(docs: DataFrame, text: str = "text", doc: str = "doc_id", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """(doc, ids): the token ids of every whole text as little-endian unsigned 32-bit integers.
 
-    No shuffle: tasks replay the merges over the words of their own texts.
+    No shuffle: tasks replay the merges over the words of their own texts, each word once.
     """
     merges = merge_table(load_ranks(path or public_tokenizers.path(VOCABULARY)))
     pattern = pattern or public_tokenizers.PATTERN
 
     def run(batches):
-        compiled = regex.compile(pattern)
+        compiled, known = regex.compile(pattern), KnownWords(merges)
         for batch, texts in text_slices(batches, "text", CORPUS_BYTES):
-            ids, bounds = encode_texts(merges, compiled, texts)
+            ids, bounds = encode_texts(merges, compiled, texts, known)
             yield pa.RecordBatch.from_arrays([batch.column(0), binary_array(ids, bounds)], names=[doc, "ids"])
 
     schema = T.StructType([T.StructField(doc, docs.schema[doc].dataType), T.StructField("ids", T.BinaryType())])

@@ -90,8 +90,9 @@ def cut(encoded: DataFrame, doc: str = "doc_id", ids: str = "ids", length: int =
                 tokens = np.minimum(length, count[row] - start)
                 records = np.zeros(len(row), dtype=kind)
                 records["doc"], records["start"], records["tokens"], records["null"] = docs[lo:hi][row], start, tokens, null[lo:hi][row]
-                place = spans(np.zeros_like(tokens), tokens)
-                records["ids"][np.repeat(np.arange(len(row)), tokens), place] = flat[spans(offsets_of(count)[:-1][row] + start, tokens)]
+                ids = np.zeros(len(row) * length, dtype=f"<u{width}")  # a document's records follow each other
+                ids[spans(offsets_of(pieces)[:-1] * length, count)] = flat
+                records["ids"] = ids.reshape(-1, length)
                 raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(kind.itemsize), len(records), [None, pa.py_buffer(records)])
                 yield pa.RecordBatch.from_arrays([raw.cast(pa.binary())], names=["record"])
                 lo = hi
