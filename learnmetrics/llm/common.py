@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import time
 from collections.abc import Iterable, Iterator
 
@@ -70,6 +71,15 @@ def with_columns_schema(df: DataFrame, fields: list[T.StructField]) -> T.StructT
     return T.StructType(list(df.schema.fields) + fields)
 
 
+def release() -> None:
+    """Give memory that was freed back to the system: the worker process stays for other tasks, and
+    what it keeps counts with its executor's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def text_slices(
     batches: Iterable[pa.RecordBatch], column: str, limit: int = TEXT_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
@@ -83,7 +93,7 @@ def text_slices(
         cuts = np.flatnonzero(np.diff(block)) + 1
         for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
             yield batch.slice(lo, hi - lo), texts.slice(lo, hi - lo)
-    pa.default_memory_pool().release_unused()  # the worker process goes on to other tasks
+    release()
 
 
 def split_encoded(texts: pa.Array, separator: str = " ") -> tuple[np.ndarray, pa.Array, np.ndarray]:

@@ -40,8 +40,9 @@ NGRAMS = (1, 2, 3, 4)
 ROUNDS, EPOCHS, RATE = 3, 3, 0.05
 #: Words in a training passage, passages in a training sequence.
 PASSAGE, CHAIN = 24, 8
-#: Padded places that forward-backward holds at once.
+#: Padded places that forward-backward holds at once; distinct words whose features stand at once.
 PLACES = 1 << 18
+FEATURED = 1 << 13
 START, END, GAP = 2, 3, "\x03\x02"
 
 
@@ -216,7 +217,7 @@ def posteriors(model: dict, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     codes, pieces, bounds = letter_words(texts)
     emission = np.concatenate(
         [np.zeros((0, len(model["languages"])), np.float32)]
-        + [emissions(model["W"], *word_features(pieces[lo : lo + 65536].to_pylist(), model["lexicon"])) for lo in range(0, len(pieces), 65536)]
+        + [emissions(model["W"], *word_features(pieces[lo : lo + FEATURED].to_pylist(), model["lexicon"])) for lo in range(0, len(pieces), FEATURED)]
     )
     out = np.zeros((len(codes), emission.shape[1]), dtype=np.float32)
     size = np.diff(bounds)

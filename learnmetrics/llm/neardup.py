@@ -42,7 +42,9 @@ BANDS = 40
 BAND_ROWS = 4
 #: Elements whose permutations a task holds at once.
 ELEMENTS = 1 << 16
-TEXT_SLICE = 4 << 20
+TEXT_SLICE = 2 << 20
+#: 64-bit words of a set's bitmap, by which pairs are excluded before their sets are compared.
+BITMAP = 16
 #: Rounds that compare nodes with a pivot; then the pairs left between components are listed.
 STAR_ROUNDS = 2
 
@@ -128,15 +130,20 @@ def _signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame
 
 
 def _full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(node, items): the shingle set of each document as an array of hashes."""
+    """(node, items, bits): the shingle set of each document as an array of hashes, and a bitmap
+    of it with a bit for each hash."""
 
     def run(batches):
         for batch, texts in text_slices(batches, "text", TEXT_SLICE):
             sets, bounds = shingle_sets(texts, width)
             items = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(sets.astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), items], names=["node", "items"])
+            bits = np.zeros((len(texts), 64 * BITMAP), dtype=bool)
+            bits[np.repeat(np.arange(len(texts)), np.diff(bounds)), (sets % np.uint64(64 * BITMAP)).astype(np.int64)] = True
+            bits = pa.FixedSizeListArray.from_arrays(pa.array(np.packbits(bits, axis=1).reshape(-1).view(np.int64)), BITMAP)
+            yield pa.RecordBatch.from_arrays([batch.column(0), items, bits.cast(pa.list_(pa.int64()))], names=["node", "items", "bits"])
 
-    schema = T.StructType([T.StructField("node", docs.schema["doc"].dataType), T.StructField("items", T.ArrayType(T.LongType()))])
+    listed = T.ArrayType(T.LongType())
+    schema = T.StructType([T.StructField("node", docs.schema["doc"].dataType), T.StructField("items", listed), T.StructField("bits", listed)])
     return docs.mapInArrow(run, schema)
 
 
@@ -223,17 +230,17 @@ def _join_members(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
     ``members`` has bucket, node and n, the size of the node's set; ``able`` is how many of
     its shingles can be in common with others, n until that is known better.
     """
-    kind = members.schema["node"].dataType
-    spark = members.sparkSession
-    found = spark.createDataFrame([], T.StructType([T.StructField("node", kind), T.StructField("comp", kind)]))
-    tested = spark.createDataFrame([], T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
+    none = members.where(F.lit(False))
+    found = none.select("node", F.col("node").alias("comp"))
+    tested = none.select(F.col("node").alias("a"), F.col("node").alias("b"))
     members = members.withColumn("able", F.col("n"))
     for turn in range(STAR_ROUNDS + 1):
         labelled = members.drop("comp").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         members = stored(_apart(labelled, percent), "apart")
         if turn:
             members = stored(_apart(_with_shared_items(members, sets), percent), "sharing")
-        pairs = stored((_star if turn < STAR_ROUNDS else _crossing)(members, turn, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = _star(members, turn, percent) if turn < STAR_ROUNDS else _crossing(members, sets, percent)
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         links = stored(_verified(pairs, sets, percent), "links")
         if not links.isEmpty():
             found = stored(components(links.unionByName(found.select(F.col("comp").alias("a"), F.col("node").alias("b")))), "found")
@@ -286,17 +293,29 @@ def _star(members: DataFrame, turn: int, percent: int) -> DataFrame:
     return pairs.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
 
 
-def _crossing(members: DataFrame, turn: int, percent: int) -> DataFrame:
+def _crossing(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b) of nodes in one bucket and in different components that can be similar
-    enough; a pair that shares several buckets comes from the first of them only."""
+    enough; a pair that shares several buckets comes from the first of them only.
+
+    A bit of one set's bitmap that the other's lacks is a shingle that the other lacks, and
+    different bits are different shingles: what is in common has an exact bound without the sets.
+    """
     members = members.join(members.groupBy("node").agg(F.collect_list("bucket").alias("buckets")), "node")
+    members = members.join(sets.select("node", "bits").distinct(), "node")
     other = members.select(
         "bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("able").alias("able_b"), F.col("comp").alias("comp_b"),
-        F.col("buckets").alias("buckets_b"),
+        F.col("buckets").alias("buckets_b"), F.col("bits").alias("bits_b"),
     )
     first = F.array_min(F.array_intersect("buckets", "buckets_b")) == F.col("bucket")
     pairs = members.withColumnRenamed("node", "a").join(other, "bucket").where("a < b and comp <> comp_b")
-    return pairs.where(_can_reach(percent)).where(first).select("a", "b").distinct()
+    common = F.least("able", "able_b", F.col("n") - _lacking("bits", "bits_b"), F.col("m") - _lacking("bits_b", "bits"))
+    able = 100 * common >= percent * (F.col("n") + F.col("m") - common)
+    return pairs.where(_can_reach(percent)).where(able).where(first).select("a", "b").distinct()
+
+
+def _lacking(bits: str, other: str):
+    """Bits of one bitmap that the other hasn't."""
+    return sum(F.bit_count(F.get(bits, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(other, F.lit(i))))) for i in range(BITMAP))
 
 
 def op5_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from learnmetrics.llm.common import binary_array, offsets_of, spans, table, text_slices
+from learnmetrics.llm.common import binary_array, offsets_of, release, spans, table, text_slices
 from learnmetrics.llm.wordbpe import WordEncoder
 
 MAX_TOKENS = 4096
@@ -107,6 +107,8 @@ def pack(
                 ],
                 names=[doc, "start", "length", "ids", "doc_tokens", *PLACE],
             )
+        del encoder
+        release()
 
     schema = T.StructType(
         [T.StructField(doc, docs.schema[doc].dataType), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
