@@ -166,28 +166,32 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star until the edges are stars around their minima.
     Hot nodes are pre-aggregated to their minimum; a node's edges are never gathered.
     """
-    edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    stars = _stars(edges)
+    return stars.unionByName(stars.select(F.col("comp").alias("node"), "comp")).distinct()
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """:func:`components` without the rows of the components' smallest nodes; rows may repeat."""
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        # A row for each edge, so repeated ones needn't go before the small stars are made.
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         large = stored(large, "large")
+        # Done when no node has two parents and no parent has one itself.
+        ends = large.select(F.col("u").alias("node"), F.col("v").alias("up"), F.lit(0).alias("parent")).unionByName(
+            large.select(F.col("v").alias("node"), F.lit(None).cast(large.schema["v"].dataType).alias("up"), F.lit(1).alias("parent"))
+        )
+        ends = ends.groupBy("node").agg(F.min("up").alias("low"), F.max("up").alias("high"), F.max("parent").alias("parent"))
+        if ends.where("low < high or (low is not null and parent = 1)").isEmpty():
+            return large.select(F.col("u").alias("node"), F.col("v").alias("comp"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         )
         edges = stored(small, "small")
-        # Done when no node has two parents and no parent has one itself.
-        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionByName(
-            edges.select(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("parent"))
-        )
-        ends = ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
-        if ends.where("child > 1 or (child = 1 and parent = 1)").isEmpty():
-            break
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
-    )
 
 
 def near_duplicates(
@@ -225,54 +229,60 @@ def near_duplicates(
 
 
 def _join_members(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, comp) of all nodes linked within buckets (see the module's text, step 3).
+    """(node, comp) of all nodes linked within buckets but the smallest of each component (see
+    the module's text, step 3).
 
     ``members`` has bucket, node and n, the size of the node's set; ``able`` is how many of
-    its shingles can be in common with others, n until that is known better.
+    its shingles can be in common with others, n until that is known better. That is found
+    once: components only grow and rows only go, so the bound holds in later rounds.
     """
-    none = members.where(F.lit(False))
-    found = none.select("node", F.col("node").alias("comp"))
-    tested = none.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    members = members.withColumn("able", F.col("n"))
+    found, tested = members.where(F.lit(False)).select("node", F.col("node").alias("comp")), None
+    members = members.withColumn("able", F.col("n")).withColumn("comp", F.col("node"))
     for turn in range(STAR_ROUNDS + 1):
-        labelled = members.drop("comp").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        members = stored(_apart(labelled, percent), "apart")
         if turn:
-            members = stored(_apart(_with_shared_items(members, sets), percent), "sharing")
+            labelled = members.drop("comp").join(found.distinct(), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+            members = stored(_apart(labelled), "apart")
+        if turn == 1:
+            members = stored(_apart(_reaching(_with_shared_items(members, sets), percent)), "sharing")
         pairs = _star(members, turn, percent) if turn < STAR_ROUNDS else _crossing(members, sets, percent)
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = stored(_verified(pairs, sets, percent), "links")
+        if turn < STAR_ROUNDS:
+            pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+            tested = pairs if tested is None else tested.unionByName(pairs)
+        links = stored(_verified(pairs, sets, percent).distinct(), "links")
         if not links.isEmpty():
-            found = stored(components(links.unionByName(found.select(F.col("comp").alias("a"), F.col("node").alias("b")))), "found")
-        tested = tested.unionByName(pairs)
-    return found
+            found = _stars(links.unionByName(found.select(F.col("comp").alias("a"), F.col("node").alias("b"))))
+    return found.distinct()
 
 
-def _apart(members: DataFrame, percent: int) -> DataFrame:
-    """What is still to be compared: rows that can reach the similarity with a set as large
-    as the bucket's smallest, in buckets that hold two components."""
+def _reaching(members: DataFrame, percent: int) -> DataFrame:
+    """Rows that can reach the similarity with a set as large as the bucket's smallest."""
     least = members.groupBy("bucket").agg(F.min("n").alias("low"))
     best = F.greatest("low", "able")
-    rows = members.join(least, "bucket").where(100 * F.col("able") >= percent * (F.col("n") + best - F.col("able"))).drop("low")
-    two = rows.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
-    return rows.join(two, "bucket").select("bucket", "node", "n", "able", "comp")
+    return members.join(least, "bucket").where(100 * F.col("able") >= percent * (F.col("n") + best - F.col("able"))).drop("low")
+
+
+def _apart(members: DataFrame) -> DataFrame:
+    """What is still to be compared: rows of buckets that hold two components."""
+    two = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
+    return members.join(two, "bucket").select("bucket", "node", "n", "able", "comp")
 
 
 def _with_shared_items(members: DataFrame, sets: DataFrame) -> DataFrame:
     """``members`` with ``able`` reduced to the shingles that also stand in another component
     still to be compared. The others can't be in common with any node a link is still needed
-    to, so bounds from it are exact; in a group of copies they are each copy's own changes."""
+    to, so bounds from it are exact; in a group of copies they are each copy's own changes.
+    A node of several rows keeps its bound: what is counted over all of them says little of one."""
     nodes = members.select("node", "comp").distinct()
     items = sets.join(nodes, "node").select("node", "comp", F.explode("items").alias("item"))
     own = items.groupBy("item").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low = high").select("item")
     alone = items.join(own, "item").groupBy("node").agg(F.count("*").alias("alone"))
+    alone = alone.join(sets.groupBy("node").agg(F.count("*").alias("rows")).where("rows = 1").select("node"), "node")
     return members.join(alone, "node", "left").withColumn("able", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
 
 
 def _can_reach(percent: int):
     """Sets of n and m shingles, of which able and able_b can be in common, can be similar enough."""
-    common = F.least("able", "able_b")
-    return 100 * common >= percent * (F.col("n") + F.col("m") - common)
+    return (100 + percent) * F.least("able", "able_b") >= percent * (F.col("n") + F.col("m"))
 
 
 def _star(members: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -287,35 +297,37 @@ def _star(members: DataFrame, turn: int, percent: int) -> DataFrame:
     pivots = members.groupBy("bucket").agg(first.alias("p"))
     pivots = pivots.select("bucket", F.col("p.comp").alias("pivot_comp"), F.col("p.node").alias("pivot"), "p.m", "p.able_b")
     pairs = members.join(pivots, "bucket").where(F.col("comp") != F.col("pivot_comp")).where(_can_reach(percent))
-    pairs = pairs.groupBy("pivot", "node").agg(F.count("*").alias("votes"))
     if turn == 0:
+        pairs = pairs.groupBy("pivot", "node").agg(F.count("*").alias("votes"))
         pairs = pairs.groupBy("node").agg(F.max_by("pivot", F.struct("votes", "pivot")).alias("pivot"))
+        return pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     return pairs.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
 
 
 def _crossing(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b) of nodes in one bucket and in different components that can be similar
-    enough; a pair that shares several buckets comes from the first of them only.
+    enough.
 
     A bit of one set's bitmap that the other's lacks is a shingle that the other lacks, and
-    different bits are different shingles: what is in common has an exact bound without the sets.
+    different bits are different shingles: what is in common has an exact bound without the sets,
+    the shared bits and the shingles beyond its bits of the set that has fewer of these. It is
+    tried for every pair of a bucket, so it reads plain numbers and takes each one once: methods
+    of more than 8,000 bytes of bytecode aren't compiled by the Java machine. Rows hold no more
+    than it needs, a list of a node's buckets would be most of what is shuffled.
     """
-    members = members.join(members.groupBy("node").agg(F.collect_list("bucket").alias("buckets")), "node")
-    members = members.join(sets.select("node", "bits").distinct(), "node")
+    words = [F.coalesce(F.get("bits", F.lit(i)), F.lit(0)).alias(f"w{i}") for i in range(BITMAP)]
+    # The words aren't named here: the optimizer would derive conditions from each mixture of names.
+    held = F.aggregate("bits", F.lit(0), lambda total, word: total + F.bit_count(word))
+    bits = sets.select("node", "bits").distinct().select("node", held.alias("held"), *words)
+    members = members.join(bits, "node").withColumn("spare", F.col("n") - F.col("held")).drop("held")
     other = members.select(
         "bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("able").alias("able_b"), F.col("comp").alias("comp_b"),
-        F.col("buckets").alias("buckets_b"), F.col("bits").alias("bits_b"),
+        F.col("spare").alias("spare_b"), *(F.col(f"w{i}").alias(f"v{i}") for i in range(BITMAP)),
     )
-    first = F.array_min(F.array_intersect("buckets", "buckets_b")) == F.col("bucket")
     pairs = members.withColumnRenamed("node", "a").join(other, "bucket").where("a < b and comp <> comp_b")
-    common = F.least("able", "able_b", F.col("n") - _lacking("bits", "bits_b"), F.col("m") - _lacking("bits_b", "bits"))
-    able = 100 * common >= percent * (F.col("n") + F.col("m") - common)
-    return pairs.where(_can_reach(percent)).where(able).where(first).select("a", "b").distinct()
-
-
-def _lacking(bits: str, other: str):
-    """Bits of one bitmap that the other hasn't."""
-    return sum(F.bit_count(F.get(bits, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(other, F.lit(i))))) for i in range(BITMAP))
+    shared = sum(F.bit_count(F.col(f"w{i}").bitwiseAND(F.col(f"v{i}"))) for i in range(BITMAP))
+    able = (100 + percent) * (F.least("spare", "spare_b") + shared) >= percent * (F.col("n") + F.col("m"))
+    return pairs.where(_can_reach(percent)).where(able).select("a", "b").distinct()
 
 
 def op5_near_dedup(spark, sf_dir: str) -> DataFrame:

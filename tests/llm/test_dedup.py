@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -199,3 +201,33 @@ def test_linking_starts_without_python_rows(spark):
     found = neardup._join_members(members, sets, 75)
     assert found.columns == ["node", "comp"] and found.isEmpty()
     assert "ExistingRDD" not in found._jdf.queryExecution().toString()
+
+
+def test_pairs_of_a_bucket_are_tried_in_compiled_code(spark):
+    """The bounds tried for each pair of a large bucket were a method too long to be compiled."""
+    members = spark.createDataFrame([(1, 1, 5, 5, 1), (1, 2, 5, 5, 2)], "bucket long, node long, n long, able long, comp long")
+    sets = spark.createDataFrame([(i, [1, 2, 3, 4, 5], [31] + 15 * [0]) for i in (1, 2)], "node long, items array<long>, bits array<long>")
+    began = time.time()
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for name, rows in (("members", members), ("sets", sets)):
+        rows.createOrReplaceGlobalTempView(f"crossing_{name}")
+    pairs = neardup._crossing(session.table("global_temp.crossing_members"), session.table("global_temp.crossing_sets"), 75)
+    plan = pairs._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    assert time.time() - began < 30  # of planning
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
+    assert len(sizes) > 2 and max(sizes) < 8000, sizes
+    assert pairs.collect() == [(1, 2)]
+
+
+def test_copies_of_a_row_do_not_weaken_its_bound(spark):
+    """Shingles of a repeated row that no other component has were subtracted once for each copy."""
+    members = spark.createDataFrame([(1, i, 100, 100, i) for i in (1, 2)], "bucket long, node long, n long, able long, comp long")
+    rows = [(1, list(range(100))), (1, list(range(100))), (2, list(range(12, 112)))]
+    sets = spark.createDataFrame(rows, "node long, items array<long>")
+    able = {r.node: r.able for r in neardup._with_shared_items(members, sets).collect()}
+    assert able[1] >= 88 and able[2] == 88
+    both = [(1, " ".join(map(str, range(100)))), (1, " ".join(map(str, range(100)))), (2, " ".join(map(str, range(12, 112))))]
+    docs = spark.createDataFrame(both, "doc_id long, text string")
+    assert {r.component_id for r in neardup.near_duplicates(docs, width=1).collect()} == {1}
