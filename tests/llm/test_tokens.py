@@ -13,7 +13,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from learnmetrics.llm import bpe, packing, trainorder
+from learnmetrics.llm import bpe, packing, trainorder, wordbpe
 from learnmetrics.llm.wordbpe import WordEncoder, load_tokenizer
 
 SF = "/root/testdata/sf0.01"
@@ -21,6 +21,7 @@ RANKS = bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY))
 MERGES = bpe.merge_table(RANKS)
 LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 WORDS = public_tokenizers.path(packing.VOCABULARY)
+LETTER_ENCODER = WordEncoder(WORDS)
 ODD = [
     "", " ", "  ", "a  b", "a   b", " a", "a ", "a\n b", "x\n\n  b", "\t", "it's 're we'll'd", "a" * 1000, "日本語 テスト",
     "\U0001f600 \U0001f600", "a\x1c b", "a  b", "ab" * 500, " " * 100, "1234567 89 0", "é é", "<|endoftext|> x",
@@ -95,6 +96,46 @@ def test_word_encoder_equals_the_library():
         assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_plain_words_go_to_the_model_alone(monkeypatch):
+    """op9_packing's CPU seconds: only pieces that aren't lower-case letters take all of the library's steps."""
+    listed = []
+
+    def encode_list(tokenizer, texts, plain=wordbpe._encode_list):
+        listed.extend(texts.to_pylist())
+        return plain(tokenizer, texts)
+
+    monkeypatch.setattr(wordbpe, "_encode_list", encode_list)
+    texts = ["The straße, élan 12 naïve", "σας όλος ς", "ёлка съезд", "élan dž ŉ ſ µ ÿ x́y É 日本 élan don't <b> x" + "y" * 700]
+    tokenizer = load_tokenizer(WORDS)
+    ids, bounds = WordEncoder(WORDS).encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert {"É", "日本", "12"} <= set(listed)
+    assert not {"the", "straße", "élan", "naïve", "σας", "όλος", "ς", "ёлка", "съезд", "ÿ"} & set(listed)
+
+
+def test_other_tokenizers_have_no_plain_letters():
+    from tokenizers import normalizers, pre_tokenizers
+
+    tokenizer = load_tokenizer(WORDS)
+    letters = wordbpe.plain_letters(tokenizer)
+    assert set("abcxyzßéÿςё") <= set(letters) and not set("AÉ1' .İ\u0301日") & set(letters)
+    keeps = tokenizer.pre_tokenizer
+    for split in (pre_tokenizers.Metaspace(), pre_tokenizers.Sequence([pre_tokenizers.Split("aa", "isolated"), keeps])):
+        tokenizer.pre_tokenizer = split
+        assert wordbpe.plain_letters(tokenizer) == {}
+    tokenizer.pre_tokenizer, tokenizer.normalizer = keeps, normalizers.Prepend("x")
+    assert wordbpe.plain_letters(tokenizer) == {}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from(wordbpe._LETTERS), st.sampled_from(" .'AÉ\u0301İſ1"), st.characters()), max_size=40), max_size=6))
+def test_word_encoder_equals_the_library_on_letters(texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    ids, bounds = LETTER_ENCODER.encode(pa.array(texts, pa.string()))
+    got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+    assert got == [LETTER_ENCODER.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @given(st.lists(st.integers(0, 20_000), max_size=20))
 @settings(max_examples=100, deadline=None)
 def test_decomposition_covers_each_document_by_powers_of_two(lengths):
