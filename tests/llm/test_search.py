@@ -70,6 +70,48 @@ def test_huge_components_stay_exact(spark):
     assert out == {3: 2**63 - 1, 1: 2**63 - 1, 2: big * 512 - 768 * 256}
 
 
+def test_queries_are_copied_to_groups_without_a_broadcast(spark):
+    rows = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(5).normal(size=(3000, 4)))]
+    vectors = spark.createDataFrame(rows, VECTORS)
+    out = topk.exact_top_k(vectors, vectors.where("vec_id % 50 = 0"))
+    assert len(out.collect()) == 300
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "Broadcast" not in plan
+
+
+def test_copies_of_the_queries_do_not_outgrow_the_candidates():
+    for rows in (10, 2_000, 120_000, 720_000, 5_000_000):
+        groups = topk._group_count(rows, rows * 64, rows // 50, 12, 200)
+        assert groups * (rows // 50) <= max(rows, 24 * (rows // 50)) and groups <= max(1, rows / 1000)
+    assert topk._group_count(0, 0, 0, 12, 200) == 1
+    # Memory comes first: long vectors, and more rows than the cores' groups hold.
+    assert topk._group_count(1000, 1000 * 2**20, 1000, 2, 4) == 125
+    assert topk._group_count(10**8, 64 * 10**8, 10**8, 12, 200) == 763
+
+
+@pytest.mark.parametrize("cells", [64, 1500, 1 << 23])
+def test_groups_and_blocks_of_any_size_give_the_same(spark, monkeypatch, cells):
+    for name, value in (("GROUP_CELLS", cells), ("CANDIDATE_ROWS", 7), ("QUERY_ROWS", 3)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(6)
+    rows = [(int(i), rng.integers(-3, 4, d).astype(float).tolist()) for i, d in zip(rng.integers(0, 150, 400), rng.choice([1, 9, 17], 400), strict=True)]
+    vectors = spark.createDataFrame(rows, VECTORS).repartition(3)
+    out = topk.exact_top_k(vectors, vectors.where("vec_id % 10 = 0"), 4).collect()
+    assert sorted(tuple(r) for r in out) == sorted(_brute(rows, lambda i: i % 10 == 0, 4, True, True))
+
+
+def test_many_vectors_of_one_id_hide_no_other(spark):
+    rows = [(0, [1.0, 0.0]), *((7, [9.0, float(i)]) for i in range(12)), (8, [3.0, 0.0]), (9, [2.0, 0.0])]
+    vectors = spark.createDataFrame(rows, VECTORS)
+    out = topk.exact_top_k(vectors, vectors.where("vec_id = 0"), 3).collect()
+    assert sorted((r["rank"], r.vec_id) for r in out) == [(1, 7), (2, 8), (3, 9)]
+
+
+def test_least_scores_come_last():
+    place, ids, score = topk._best(np.zeros(4, np.int64), np.array([1, 2, 3, 2]), np.array([-(2**63), 5, 7, 6]), 2)
+    assert ids.tolist() == [3, 2] and score.tolist() == [7, 6]
+
+
 def test_nearest_odd_rows(spark):
     vectors = spark.createDataFrame(ODD, VECTORS).selectExpr("*", "1 as node", "'x' as code")
     out = nndescent.approximate_top_k(vectors, vectors.where("vec_id % 20 = 0")).collect()
