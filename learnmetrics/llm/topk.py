@@ -186,7 +186,7 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, top: int = TOP, vec: str
     meeting = (
         _distinct(base).select(dealt.alias("group"), F.size("v").alias("dim"), F.lit(False).alias("asks"), "id", "v")
         .unionByName(_distinct(asked).select(everywhere.alias("group"), F.size("v").alias("dim"), F.lit(True).alias("asks"), "id", "v"))
-        .repartition(2 * groups, "group", "dim").sortWithinPartitions("group", "dim", "asks")
+        .repartitionById(groups, "group").sortWithinPartitions("group", "dim", "asks")
     )
     candidate_rows, query_rows = CANDIDATE_ROWS, QUERY_ROWS
 
